@@ -18,8 +18,11 @@ The starts index the blocks: any one can be read without those before it.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ._shared import binary, partitions, workspace
+from ._shared import binary, partitions, sliced, workspace
 
 BLOCK, LANES, PERCENTILE = 128, 32, 0.95
 #: Ids after which a segment is closed; a longer document is a segment of its own.
 SEGMENT_IDS = 1 << 20
-#: Words whose ids a task remembers at once.
-MEMO = 300_000
+#: Pieces between blanks, and parts of them, whose ids a worker process remembers at once.
+MEMO, PARTS_MEMO = 400_000, 600_000
 
 
 def bit_width(x: np.ndarray) -> np.ndarray:
@@ -130,24 +133,51 @@ class Segment:
         return self.blocks(first, -(-end // BLOCK))[start - first * BLOCK : end - first * BLOCK] if end > start else np.zeros(0, np.uint32)
 
 
-class WordIds(dict):
+class WordIds:
     """Token ids of pieces of text between blanks, as bytes; forgets all when full.
 
-    This holds for tokenizers that drop white space and never join across it.
+    This holds for tokenizers that drop white space, ignore case and never join
+    letters to what isn't a letter, nor across white space.  A piece that is
+    letters and then ASCII marks is cut between them.  The parts that aren't
+    known yet are encoded together, many in one text, and the places of the
+    tokens tell which are whose.
     """
 
+    #: Letters that have one lower-case form, and marks that join with no letter.
+    PARTS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
-            self[""] = b""
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) < 256:
-            self[word] = ids
-        return ids
+        self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    @classmethod
+    def of_process(cls, path: str, tokenizer) -> WordIds:
+        """What this worker process knows from earlier tasks of the tokenizer at ``path``."""
+        memo = sys.modules.setdefault("_tarnfold_memo", ModuleType("_tarnfold_memo")).__dict__
+        return memo.setdefault(path, cls(tokenizer))
+
+    def learn(self, words: list[str]) -> None:
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        places = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+        cuts = (4 * np.searchsorted(places, np.cumsum(sizes) - sizes)).tolist()
+        ids = np.array(found.ids, "<u4").tobytes()
+        self.parts.update(zip(words, (ids[a:b] for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)), strict=True))
+
+    def encode(self, docs: list[list[str]]) -> Iterator[bytes]:
+        if len(self.known) > MEMO:
+            self.known = {"": b""}
+        if len(self.parts) > PARTS_MEMO:
+            self.parts = {"": b""}
+        missing = list(set().union(*docs) - self.known.keys())
+        cut = [(m[1].lower(), m[2]) if (m := self.PARTS.fullmatch(w)) else (w, "") for w in missing]
+        new = list({p for pair in cut for p in pair} - self.parts.keys())
+        for i in range(0, len(new), 10_000):
+            self.learn(new[i : i + 10_000])
+        parts = self.parts
+        self.known.update(zip(missing, (parts[a] + parts[b] for a, b in cut), strict=True))
+        return (b"".join(map(self.known.__getitem__, d)) for d in docs)
 
 
 SEGMENTS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("first_id", T.LongType()), T.StructField("n_docs", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("payload", T.BinaryType())])
@@ -157,7 +187,8 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_
     """Tokenize whole texts and write them to ``path`` in ascending id order.
 
     ``tokenizer_path`` is a file of the tokenizers library whose pre-tokenizer
-    drops white space (checked on a sample text); every executor can open it.
+    drops white space and case and
+    cuts between letters and marks (checked on a sample text); every executor can open it.
     ``end_id`` ends each document.  A null text is empty; rows of null id come
     first; rows that repeat an id are ordered by text.  Extra columns are ignored.
     One range shuffle orders the texts; a task then encodes as it reads, so that
@@ -168,10 +199,10 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
-        probe = " a  b\nc\td "
-        if tokenizer.encode(probe, add_special_tokens=False).ids != [i for w in probe.split() for i in tokenizer.encode(w, add_special_tokens=False).ids]:
-            raise ValueError("the tokenizer doesn't drop white space")
-        known, part, seq = WordIds(tokenizer), TaskContext.get().partitionId(), 0
+        probe = " Ab,  b\nc\td. "
+        if tokenizer.encode(probe, add_special_tokens=False).ids != [i for w in ("ab", ",", "b", "c", "d", ".") for i in tokenizer.encode(w, add_special_tokens=False).ids]:
+            raise ValueError("the tokenizer doesn't drop white space and case or joins words and marks")
+        known, part, seq = WordIds.of_process(tokenizer_path, tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         doc_ids: list = []
         texts: list[bytes] = []
@@ -183,10 +214,10 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_
             row = [[part], [seq], [doc_ids[0]], [len(doc_ids)], [int(lens.sum())], [payload]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=SEGMENTS.names)
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = (text.as_py() or "").replace("\n", " ").replace("\t", " ").split(" ")
-                ids = b"".join(map(known.__getitem__, words)) + end
+        for batch in (part for whole in batches for part in sliced(whole, 1)):
+            words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in batch.column(1).to_pylist()]
+            for doc, ids in zip(batch.column(0).to_pylist(), known.encode(words), strict=True):
+                ids += end
                 doc_ids.append(doc)
                 texts.append(ids)
                 held += len(ids) // 4
