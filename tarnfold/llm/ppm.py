@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
 from ._shared import binary, materialize, partitions, share, sliced, workspace
 
 ORDER = 5
 END = b"\n"
 #: Canonical bytes of a batch, and of the part of it that is worked on at once.
-BATCH_BYTES, STEP = 32 << 20, 1 << 21
+BATCH_BYTES, STEP = 32 << 20, 1 << 19
 #: Orders whose counts every task gets: at most 256 ** 3 of them, however large the corpus.
 LOW = 2
 
@@ -84,7 +85,7 @@ class Lookup:
     """A hash table from codes to numbers, built and asked in whole arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.bits = max(4, int(2 * len(keys)).bit_length())
         self.keys, self.values = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, values.dtype)
         full = np.zeros(1 << self.bits, bool)
         at, left = self.slot(keys), np.arange(len(keys))
@@ -189,7 +190,7 @@ def batches_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         size, seq, part = 0, 0, TaskContext.get().partitionId()
 
         def close() -> pa.RecordBatch:
-            data = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+            data = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
             row = [[part << 32 | seq], [ids], [[len(t) for t in texts]], [[held_out(i) for i in ids]], [data]]
             kinds = (pa.int64(), pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names=schema.names)
@@ -244,6 +245,8 @@ def grams_in(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
                 found.append(tally(codes[train]))
                 keys, n = tally(codes[~train])
                 found.append((keys, n * 0))
+                if len(found) > 16:
+                    found = [merge(found)]
             keys, n = merge(found)
             for i in range(0, len(keys), 100_000):
                 part = keys[i : i + 100_000].astype(np.int64)
@@ -264,11 +267,13 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     path = workspace(spark, "ppm")
     batches = materialize(batches_of(df, id_col, text_col), f"{path}/batches")
     bare = batches.select("batch", "lens", "held", "data")
-    words = materialize(bare.mapInArrow(words_in, "word binary, batch long, n long"), f"{path}/words")
+    words = bare.mapInArrow(words_in, "word binary, batch long, n long")
+    of_word = Window.partitionBy("word")
+    words = words.select("batch", "word", F.sum("n").over(of_word).alias("c"), (F.min("batch").over(of_word) == F.col("batch")).alias("first"))
+    words = materialize(words, f"{path}/words")
     grams = materialize(bare.mapInArrow(lambda it: grams_in(it, order), "gram long, batch long, n long"), f"{path}/grams")
 
-    counts = materialize(words.groupBy("word").agg(F.sum("n").alias("c")), f"{path}/counts")
-    n_train, n_words = counts.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
+    n_train, n_words = words.where("first").agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     n_train = n_train or 0
     unknown = -float(np.log10(n_train + n_words + 1))
 
@@ -290,7 +295,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     known = materialize(known, f"{path}/known")
 
     none = F.lit(None)
-    right = words.select("batch", "word").join(counts, "word").select("batch", "word", none.cast("long").alias("gram"), F.col("c").cast("double").alias("v"))
+    right = words.select("batch", "word", none.cast("long").alias("gram"), F.col("c").cast("double").alias("v"))
     right = right.unionByName(grams.select("batch", "gram").join(known, "gram").select("batch", none.cast("binary").alias("word"), "gram", F.col("p").alias("v")))
     kind = df.schema[id_col].dataType
     id_type = to_arrow_type(kind)
@@ -299,25 +304,26 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     def measure(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         starts, lens, held, data = opened(row)
-        is_word = right["word"].is_valid()
-        mine = right.filter(is_word)
-        count = dict(zip(mine["word"].to_pylist(), mine["v"].to_pylist(), strict=True))
-        docs = [data[a : a + n].split() for a, n in zip(starts.tolist(), lens.tolist(), strict=True)]
-        n_tokens = np.array([len(d) for d in docs], np.int64)
-        c = np.fromiter((x for d in docs for x in map(count.__getitem__, d)), np.float64, int(n_tokens.sum()))
-        del docs
-        ends = np.cumsum(n_tokens)
-        total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends])])
-        end_count = count[END]
-        base = total(np.log10(c + 1)) + np.log10(end_count + 1) + (n_tokens + 1) * unknown
-        n_known = total((c > 0).astype(np.int64)) + (end_count > 0)
+        n = len(starts)
         mine = right.filter(right["gram"].is_valid())
         table = Lookup(mine["gram"].to_numpy().astype(np.uint64), mine["v"].to_numpy())
-        p = np.empty(len(data))
+        scores = np.zeros(n)
         for at, codes in windows(np.frombuffer(data, np.uint8), starts, order):
-            p[at[0] : at[-1] + 1] = table.get(codes)
-        scores = np.add.reduceat(p, starts)
-        columns = [pa.array(row["ids"], id_type), pa.array(held), pa.array(n_tokens + 1), pa.array(n_known), pa.array(np.full(len(starts), n_train), pa.int64()), pa.array(base), pa.array(scores)]
+            first = np.searchsorted(starts, at[0], side="right") - 1
+            doc = np.searchsorted(starts, at, side="right") - 1 - first
+            sums = np.bincount(doc, weights=table.get(codes))
+            scores[first : first + len(sums)] += sums
+        del table
+        mine = right.filter(right["word"].is_valid())
+        count = dict(zip(mine["word"].to_pylist(), mine["v"].to_pylist(), strict=True))
+        del mine, right
+        n_tokens, n_known, base = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+        for i, (a, size) in enumerate(zip(starts.tolist(), lens.tolist(), strict=True)):
+            words = data[a : a + size].split()
+            c = np.fromiter(map(count.__getitem__, [*words, END]), np.float64, len(words) + 1)
+            n_tokens[i], n_known[i], base[i] = len(c), np.count_nonzero(c), np.log10(c + 1).sum()
+        base += n_tokens * unknown
+        columns = [pa.array(row["ids"], id_type), pa.array(held), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(n, n_train), pa.int64()), pa.array(base), pa.array(scores)]
         return pa.table(columns, names=schema.names)
 
     return batches.groupBy("batch").cogroup(right.groupBy("batch")).applyInArrow(measure, schema)
