@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,9 +18,13 @@ from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
 
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
+# Workers get these classes by value and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 RELATION = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 PACKAGE = "http://schemas.openxmlformats.org/package/2006"
