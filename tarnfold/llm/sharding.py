@@ -12,7 +12,7 @@ from ._shared import materialize, partitions, tokens, workspace
 #: Lots of small groups in each of three tiers; a tier holds a tenth of the one before.
 LOTS = 4096
 #: Weight of bytes, tokens and rows in the dot product.  Bytes are the law.
-WEIGHTS = (1.0, 0.25, 0.05)
+WEIGHTS = (1.0, 0.02, 0.002)
 #: Pieces of a shard's fair share into which a group larger than a shard is salted.
 PIECES = 64
 
