@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ._shared import connected_components, materialize, share, workspace
 
-TREES, LEAF, SPILL = 12, 256, 0.1
+TREES, LEAF, SPILL = 16, 256, 0.1
 #: Vectors that the split points of the trees are taken from, in expectation.
 SAMPLE = 1 << 16
 #: Vectors of a block; a leaf of more than two blocks' size is compared block by block.
