@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnfold.llm import cotraining, decontaminate, packing, simhash
+from tarnfold.llm import cotraining, decontaminate, packing, similar
 from tarnfold.llm._shared import workspace
 
 
@@ -14,8 +14,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of texts that share 0.8 or more of their five-word shingles."""
+    return similar.keep_one(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

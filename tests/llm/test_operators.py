@@ -12,7 +12,7 @@ import xxhash
 
 pytest.importorskip("tarnfold.llm")
 
-from tarnfold.llm import cotraining, decontaminate, forest, packing, pfor, ppm, sharding, simhash, templates, urls
+from tarnfold.llm import cotraining, decontaminate, forest, packing, pfor, ppm, sharding, simhash, similar, templates, urls
 from tarnfold.llm._shared import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, shard int, node long, `label` string"
@@ -265,6 +265,55 @@ def test_multi_index_links_find_all(spark):
     assert components(signed, links) == components(signed, [(a, b) for a, b in combinations(signed, 2) if ((a ^ b) % (1 << 64)).bit_count() <= 2])
 
 
+def shingle_jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").encode().lower().split() for t in (a, b)))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_similar_texts(spark, docs, rows, none):
+    rng = random.Random(5)
+    texts = {r[0]: r[1] for r in rows if r[0] is not None}
+    want = components(texts, [(a, b) for a, b in combinations(texts, 2) if shingle_jaccard(texts[a], texts[b]) >= 0.8])
+    got = similar.similar_texts(docs).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows if r[0] is not None)
+    assert all(r.component_id == want[r.doc_id] for r in got)
+    kept = similar.keep_one(docs)
+    assert kept.columns == docs.columns
+    kept = kept.collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(set(want.values())) and sum(r.doc_id is None for r in kept) == 1
+    assert similar.similar_texts(none).count() == similar.keep_one(none).count() == 0
+    # Near copies about the threshold, and a group that overfills blocks.
+    texts = []
+    for edits in [1, 2, 3, 4, 5, 6] * 20:
+        words = prose(rng, 200).split()
+        texts.append(" ".join(words))
+        for at in rng.sample(range(200), edits):
+            words[at] = "edited"
+        texts.append(" ".join(words))
+    base = prose(rng, 150)
+    hot = [f"{base} {prose(rng, 2)}" for _ in range(1300)]
+    found = {r.doc_id: r.component_id for r in similar.similar_texts(spark.createDataFrame(list(enumerate(texts + hot)), "doc_id long, text string")).collect()}
+    links = [(i, i + 1) for i in range(0, len(texts), 2) if shingle_jaccard(texts[i], texts[i + 1]) >= 0.8]
+    want = components(range(len(texts)), links)
+    assert len(links) > 60 and sum(found[i] != want[i] for i in range(len(texts))) <= 2
+    assert all(found[i] in (i, want[i]) for i in range(len(texts)))
+    assert {found[i] for i in range(len(texts), len(texts) + len(hot))} == {len(texts)}
+
+
+def test_close_pairs():
+    rng = np.random.default_rng(1)
+    key = np.sort(rng.integers(0, 60, 300))
+    fps = rng.integers(-(2**62), 2**62, (300, 2))
+    fps[rng.integers(0, 300, 150)] = fps[0] ^ 5
+    dist = np.bitwise_count((fps[:, None] ^ fps[None]).view(np.uint64)).sum(2, dtype=int)
+    same = (key[:, None] == key) & ~np.eye(300, dtype=bool) & (dist <= 40)
+    got = {frozenset(e) for e in zip(*similar.close_pairs(key, fps, 40), strict=True)}
+    assert all(same[a, b] for a, b in map(tuple, got))
+    few = np.bincount(key)[key] <= similar.SMALL
+    assert {frozenset(e) for e in np.argwhere(same & few).tolist()} == {e for e in got if few[min(e)]}
+    assert all(any(i in e and dist[tuple(e)] == dist[i][same[i]].min() for e in got) for i in np.flatnonzero(same.any(1)))
+
+
 def test_forest(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((900, 16))
