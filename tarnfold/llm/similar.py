@@ -17,10 +17,14 @@ from .decontaminate import MIX, WordHashes, shingle_hashes
 
 #: Bits of a key, and the share of links at the threshold itself that no key may miss.
 WIDTH, MISS = 24, 0.01
+#: Longs of a complete fingerprint, at least; the more, the fewer pairs below the threshold are read.
+LANES = 16
 #: Standard errors by which a distance may exceed its expectation before a pair is refused unread.
 SLACK = 3.0
 #: Entries of a key compared with each other at once, and up to how many every pair is kept.
 BLOCK, SMALL = 512, 8
+#: The bits of each byte value.
+BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.float64)
 
 
 def share_of_bits(similarity: float) -> float:
@@ -51,19 +55,18 @@ def shingle_set(words: list[bytes], n_words: int, hashes: WordHashes) -> np.ndar
 
 def long_fingerprint(shingles: np.ndarray, lanes: int) -> np.ndarray:
     """A SimHash of ``lanes`` times 64 bits over distinct shingles, as signed longs; zeros if there are none."""
-    out = np.zeros(lanes, np.uint64)
-    offset = np.arange(8, dtype=np.int64) * 256
-    bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
-    for lane in range(lanes if len(shingles) else 0):
-        counts = np.zeros(2048, np.int64)
-        for at in range(0, len(shingles), 1 << 16):
-            h = (shingles[at : at + (1 << 16)] ^ np.uint64((lane + 1) * 0xD1B54A32D192ED03 % (1 << 64))) * MIX
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            h = (h ^ (h >> np.uint64(29))).astype("<u8")
-            counts += np.bincount((h.view(np.uint8).reshape(-1, 8) + offset).ravel(), minlength=2048)
-        ones = counts.reshape(8, 256) @ bits
-        out[lane] = np.packbits((2 * ones > len(shingles)).astype(np.uint8), axis=1, bitorder="little").ravel().view("<u8")[0]
-    return out.view(np.int64)
+    if not len(shingles):
+        return np.zeros(lanes, np.int64)
+    salts = np.array([(lane + 1) * 0xD1B54A32D192ED03 % (1 << 64) for lane in range(lanes)], np.uint64)
+    offset = np.arange(8 * lanes, dtype=np.int64) * 256
+    counts = np.zeros(2048 * lanes, np.int64)
+    for at in range(0, len(shingles), 1 << 13):
+        h = (shingles[at : at + (1 << 13), None] ^ salts) * MIX
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(29))).astype("<u8")
+        counts += np.bincount((h.view(np.uint8).reshape(-1, 8 * lanes) + offset).ravel(), minlength=2048 * lanes)
+    ones = counts.reshape(-1, 256).astype(np.float64) @ BYTE_BITS
+    return np.packbits((2 * ones > len(shingles)).astype(np.uint8), axis=1, bitorder="little").ravel().view("<i8")
 
 
 def ball_keys(fingerprints: np.ndarray, segments: int, width: int) -> np.ndarray:
@@ -209,7 +212,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     path = workspace(df.sparkSession, "similar")
     segments = n_segments(similarity, width)
-    lanes = max(2, math.ceil(segments * width / 64))
+    lanes = max(LANES, math.ceil(segments * width / 64))
     df = df.where(F.col(id_col).isNotNull())
     docs = materialize(_sketch(df, id_col, text_col, n_words, lanes), f"{path}/sketches")
     node = F.col("fp")[0]
