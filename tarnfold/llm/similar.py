@@ -23,6 +23,8 @@ LANES = 16
 SLACK = 3.0
 #: Entries of a key compared with each other at once, and up to how many every pair is kept.
 BLOCK, SMALL = 512, 8
+#: Entries, and texts and shingles, of a block in which what nearest pairs left apart is compared.
+ENTRIES, TEXTS, SHINGLES = 2048, 256, 1 << 20
 #: The bits of each byte value.
 BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.float64)
 
@@ -77,15 +79,19 @@ def ball_keys(fingerprints: np.ndarray, segments: int, width: int) -> np.ndarray
     return ((parts[:, :, None] ^ ball) | (np.arange(segments) << width)[:, None]).reshape(n, -1)
 
 
-def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of close pairs among entries sorted by key.
+def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int, begun: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of close pairs among entries sorted by key, and places of the entries of large keys.
 
     Under a key of at most ``SMALL`` entries these are all pairs within
-    ``bound`` bits; under others each entry's nearest within its block.
+    ``bound`` bits; under large ones each entry's nearest within its block.
+    The key ``begun`` has had entries before and is large.
     """
     n = len(key)
     starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1)) if n else np.zeros(0, np.int64)
     size = np.repeat(np.diff(starts, append=n), np.diff(starts, append=n))
+    large = size > SMALL
+    if begun is not None:
+        large |= key == begun
     place = np.arange(n) - np.repeat(starts, np.diff(starts, append=n))
     left = np.minimum(BLOCK - place % BLOCK, size - place)
     best = np.full(n, np.iinfo(np.int64).max)
@@ -95,7 +101,7 @@ def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int) -> tuple[np.ndarra
         dist = np.bitwise_count((fps[at] ^ fps[at + d]).view(np.uint64)).sum(axis=1, dtype=np.int64)
         near = dist <= bound
         i, dist = at[near], dist[near]
-        small = size[i] <= SMALL
+        small = ~large[i]
         found.append((i[small], i[small] + d))
         i, dist = i[~small], dist[~small]
         best[i] = np.minimum(best[i], dist << 32 | (i + d))
@@ -104,7 +110,24 @@ def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int) -> tuple[np.ndarra
         at = at[left[at] > d]
     i = np.flatnonzero(best < np.iinfo(np.int64).max)
     found.append((i, best[i] & 0xFFFFFFFF))
-    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]), np.flatnonzero(large)
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each value of the first column, by which the batches are sorted."""
+    held: list[pa.RecordBatch] = []
+    value = None
+    for batch in batches:
+        g = batch.column(0).to_numpy()
+        starts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist()] if len(g) else []
+        for a, b in zip(starts, [*starts[1:], len(g)], strict=False):
+            if held and g[a] != value:
+                yield pa.Table.from_batches(held)
+                held = []
+            value = g[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int) -> DataFrame:
@@ -122,7 +145,11 @@ def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int)
 
 
 def _candidates(classes: DataFrame, segments: int, width: int, similarity: float) -> DataFrame:
-    """Pairs of classes that meet under a key and are close by the first 128 bits."""
+    """Pairs ``a``, ``b`` of classes that meet under a key and are close by the first 128 bits.
+
+    Under a large key only nearest pairs; its entries are rows too, with the
+    ``key``, which pairs don't have, and their first 128 bits as ``a`` and ``b``.
+    """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -136,26 +163,30 @@ def _candidates(classes: DataFrame, segments: int, width: int, similarity: float
     bound = farthest(similarity, 128)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(rows: np.ndarray) -> pa.RecordBatch:
-            i, j = close_pairs(rows[:, 0], rows[:, 1:], bound)
+        def pairs(rows: np.ndarray, begun: int | None) -> pa.RecordBatch:
+            i, j, large = close_pairs(rows[:, 0], rows[:, 1:], bound, begun)
             p, q = rows[i, 1], rows[j, 1]
             both = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            listed = np.concatenate([both, rows[large, 1:]])
+            key = pa.concat_arrays([pa.nulls(len(both), pa.int64()), pa.array(rows[large, 0])])
+            return pa.RecordBatch.from_arrays([pa.array(listed[:, 0]), pa.array(listed[:, 1]), key], names=["a", "b", "key"])
 
-        held = np.zeros((0, 3), np.int64)
+        held, begun = np.zeros((0, 3), np.int64), None
         for batch in batches:
             held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], axis=1)])
             if not len(held):
                 continue
             last = int(np.searchsorted(held[:, 0], held[-1, 0]))
             last += (len(held) - last) // BLOCK * BLOCK
-            yield pairs(held[:last])
+            yield pairs(held[:last], begun)
+            if last and held[last - 1, 0] == held[-1, 0]:
+                begun = int(held[-1, 0])
             held = held[last:]
-        yield pairs(held)
+        yield pairs(held, begun)
 
     keys = classes.select("fp").mapInArrow(enter, "key long, p long, q long")
     keys = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "p"))
-    return keys.mapInArrow(meet, "a long, b long").distinct()
+    return keys.mapInArrow(meet, "a long, b long, key long").distinct()
 
 
 def _sets(df: DataFrame, text_col: str, n_words: int) -> DataFrame:
@@ -187,6 +218,87 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _apart(entries: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
+    """``node``, ``label`` and ``block``: classes and the blocks of other groups that hold an entry close to theirs.
+
+    ``entries`` are those of large keys.  Of a key, entries that aren't of its
+    most frequent group are held against all, both dealt into blocks; so a key
+    of one group costs nothing, and a hot group isn't compared with itself.
+    """
+    bound = farthest(similarity, 128)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[np.ndarray]:
+            for t in runs(batches):
+                row, p, q, label, block, size = (t[c].to_numpy() for c in ("row", "a", "b", "label", "block", "size"))
+                one, two = np.flatnonzero(row), np.flatnonzero(~row)
+                fps = np.stack([p, q], axis=1)
+                for at in range(0, len(one), 64):
+                    x = one[at : at + 64]
+                    dist = np.bitwise_count((fps[x][:, None] ^ fps[two]).view(np.uint64)).sum(axis=2, dtype=np.int64)
+                    i, j = np.nonzero((dist <= bound) & (label[x][:, None] != label[two]))
+                    i, j = x[i], two[j]
+                    less = (size[i] < size[j]) | (size[i] == size[j]) & (label[i] < label[j])
+                    i, j = np.where(less, i, j), np.where(less, j, i)
+                    if len(i):
+                        yield np.unique(np.stack([p[i], label[j], block[j]], axis=1), axis=0)
+
+        def batch(rows: list[np.ndarray]) -> pa.RecordBatch:
+            out = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *rows]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(out[:, c]) for c in range(3)], names=["node", "label", "block"])
+
+        rows: list[np.ndarray] = []
+        for part in found():
+            rows.append(part)
+            if len(rows) == 4096:
+                yield batch(rows)
+                rows = []
+        yield batch(rows)
+
+    named = entries.join(comps.select(F.col("node").alias("a"), "label", "block", "size"), "a")
+    shares = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+    keys = shares.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "label")).alias("top")).where("top.k < m")
+    keys = keys.select("key", F.col("top.label").alias("most"), F.ceil(F.col("m") / ENTRIES).cast("int").alias("cols"), F.ceil((F.col("m") - F.col("top.k")) / ENTRIES).cast("int").alias("rows"))
+    own = named.join(keys, "key")
+    col = own.withColumn("row", F.lit(False)).withColumn("j", F.pmod(F.xxhash64("a", F.lit(1)), "cols").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn("i", F.pmod(F.xxhash64("a", F.lit(2)), "rows").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
+    dealt = col.unionByName(row).select(F.xxhash64("key", "i", "j").alias("g"), "row", "a", "b", "label", "block", "size")
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(meet, "node long, label long, block long")
+
+
+def _links_to_blocks(asked: DataFrame, comps: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a``, ``b``: for each class and block of a group asked for, one to a member that is similar enough, if any is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches):
+            asks, node = t["asks"].to_numpy(), t["node"].to_numpy()
+            texts = [np.frombuffer(x, np.uint64) for x in t["set"].to_pylist()]
+            two = np.flatnonzero(~asks)
+            if not len(two):
+                continue
+            n = np.array([len(texts[j]) for j in two])
+            held, owner = np.concatenate([texts[j] for j in two]), np.repeat(np.arange(len(two)), n)
+            order = np.argsort(held, kind="stable")
+            held, owner = held[order], owner[order]
+            a, b = [], []
+            for i in np.flatnonzero(asks):
+                x = texts[i]
+                lo, hi = np.searchsorted(held, x, "left"), np.searchsorted(held, x, "right")
+                at = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
+                shared = np.bincount(owner[at], minlength=len(two))
+                match = np.flatnonzero(shared >= similarity * (len(x) + n - shared) - 1e-9)
+                if len(match):
+                    a.append(node[i])
+                    b.append(node[two[match[0]]])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    chunks = asked.groupBy("label", "block").agg(F.ceil(F.count(F.lit(1)) / TEXTS).cast("int").alias("chunks"))
+    one = asked.join(chunks, ["label", "block"]).select("node", "label", "block", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(True).alias("asks"))
+    two = comps.select("node", "label", "block").join(chunks, ["label", "block"]).select("node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("asks"))
+    dealt = one.unionByName(two).join(sets, "node").select(F.xxhash64("label", "block", "chunk").alias("g"), "asks", "node", "set")
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
+
+
 def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: float = 0.8, width: int = WIDTH) -> DataFrame:
     """``id_col`` and ``component_id`` of every row with an id: groups of texts that links connect.
 
@@ -202,13 +314,15 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key every pair is taken if there are few, else each entry with its nearest,
     in blocks.  Their complete distance is verified, then the shingles
     themselves: first each class with its nearest, then, where a group is not
-    yet connected, the next nearest, then all pairs that are left.
-
-    At the threshold ``MISS`` of the links meet under no key.  Under a key of
-    more than ``SMALL`` entries only nearest pairs are taken, so that a link to
-    a large group is missed where the nearest under all of its keys are not
-    similar enough.  ``width`` should grow with the logarithm of the classes:
-    24 leaves a dozen entries a key at 8 million.
+    yet connected, the next nearest.  That joins most of each group, and what
+    is left is done whole: all pairs not yet read, and all pairs of entries of
+    large keys, whose groups still differ.  A class that has such a pair is
+    held against the shingles of the block of the other group that the pair
+    lies in, so that rows grow with blocks and not with pairs.
+
+    At the threshold ``MISS`` of the links meet under no key, and a few exceed
+    ``SLACK``; no other link is lost.  ``width`` should grow with the logarithm
+    of the classes: 24 leaves a dozen entries a key at 8 million.
     """
     path = workspace(df.sparkSession, "similar")
     segments = n_segments(similarity, width)
@@ -218,33 +332,47 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     node = F.col("fp")[0]
     classes = docs.groupBy(node.alias("node")).agg(F.min(F.struct(id_col, "n", "fp")).alias("c")).select("node", F.col(f"c.{id_col}").alias("first_id"), "c.n", "c.fp")
     classes = materialize(classes, f"{path}/classes")
-    found = materialize(_candidates(classes, segments, width, similarity), f"{path}/candidates")
+    met = materialize(_candidates(classes, segments, width, similarity), f"{path}/candidates")
+    found = met.where("key IS NULL").select("a", "b")
     one = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"))
     two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"))
     distance = reduce(lambda x, y: x + y, [F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(lanes)])
     near = found.join(one, "a").join(two, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
     near = materialize(near.select("a", "b", distance.alias("d")).where(F.col("d") <= farthest(similarity, 64 * lanes)), f"{path}/near")
-    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(classes, "node").select("node", F.col("first_id").alias(id_col))
-    texts = df.select(id_col, text_col).join(ends, id_col).dropDuplicates(["node"])
-    sets = materialize(_sets(texts, text_col, n_words), f"{path}/sets")
-    links, labels = None, None
-    for step in range(3):
-        chosen = near
-        if step < 2:
-            by = near.select(F.col("a").alias("node"), F.struct("d", "a", "b").alias("e")).union(near.select("b", F.struct("d", "a", "b")))
-            chosen = by.groupBy("node").agg(F.min("e").alias("e")).select("e.a", "e.b").distinct()
-        chosen = materialize(chosen.select("a", "b"), f"{path}/chosen-{step}")
+
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        ends = nodes.join(classes, "node").select("node", F.col("first_id").alias(id_col))
+        texts = df.select(id_col, text_col).join(ends, id_col).dropDuplicates(["node"])
+        return materialize(_sets(texts, text_col, n_words), f"{path}/{name}")
+
+    sets = sets_of(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "sets")
+    links = None
+    for step in range(2):
+        by = near.select(F.col("a").alias("node"), F.struct("d", "a", "b").alias("e")).union(near.select("b", F.struct("d", "a", "b")))
+        chosen = by.groupBy("node").agg(F.min("e").alias("e")).select("e.a", "e.b").distinct()
+        chosen = materialize(chosen, f"{path}/chosen-{step}")
         passed = materialize(_verify(chosen, sets, similarity), f"{path}/passed-{step}")
         links = passed if links is None else links.union(passed)
         labels = connected_components(links, f"{path}/components-{step}")
-        if step == 2:
-            break
         left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
         near = near.join(chosen, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
         near = materialize(near.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "d"), f"{path}/near-{step}")
-        if near.isEmpty():
-            break
+    comps = classes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
+    sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("size") / TEXTS, F.col("shingles") / SHINGLES, F.lit(1)))
+    comps = comps.join(sizes, "label").select("node", "label", "size", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("long").alias("block"))
+    comps = materialize(comps, f"{path}/groups")
+    one, two = (comps.select(*(F.col(c).alias(f"{c}_{end}") for c in comps.columns)).withColumnRenamed(f"node_{end}", end) for end in "ab")
+    less = F.struct("size_a", "label_a") < F.struct("size_b", "label_b")
+    crossing = near.join(one, "a").join(two, "b").select(F.when(less, F.col("a")).otherwise(F.col("b")).alias("node"), *(F.when(less, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(c) for c in ("label", "block")))
+    asked = crossing.union(_apart(met.where("key IS NOT NULL"), comps, similarity)).distinct()
+    asked = materialize(asked, f"{path}/asked")
+    asked_of = comps.join(asked.select("label", "block").distinct(), ["label", "block"], "left_semi").select("node")
+    more = asked.select("node").union(asked_of).distinct().join(sets, "node", "left_anti")
+    sets = sets.union(sets_of(more, "more-sets"))
+    passed = materialize(_links_to_blocks(asked, comps, sets, similarity), f"{path}/passed-2")
+    labels = connected_components(links.union(passed), f"{path}/components-2")
     rooted = classes.select("node", "first_id").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = materialize(rooted.join(first, "root").select("node", "component_id"), f"{path}/members")

@@ -307,7 +307,10 @@ def test_close_pairs():
     fps[rng.integers(0, 300, 150)] = fps[0] ^ 5
     dist = np.bitwise_count((fps[:, None] ^ fps[None]).view(np.uint64)).sum(2, dtype=int)
     same = (key[:, None] == key) & ~np.eye(300, dtype=bool) & (dist <= 40)
-    got = {frozenset(e) for e in zip(*similar.close_pairs(key, fps, 40), strict=True)}
+    one, two, large = similar.close_pairs(key, fps, 40)
+    got = {frozenset(e) for e in zip(one, two, strict=True)}
+    assert (np.bincount(key)[key[large]] > similar.SMALL).all() and len(large) == (np.bincount(key)[key] > similar.SMALL).sum()
+    assert set(similar.close_pairs(key, fps, 40, int(key[0]))[2]) == set(large) | set(np.flatnonzero(key == key[0]))
     assert all(same[a, b] for a, b in map(tuple, got))
     few = np.bincount(key)[key] <= similar.SMALL
     assert {frozenset(e) for e in np.argwhere(same & few).tolist()} == {e for e in got if few[min(e)]}
