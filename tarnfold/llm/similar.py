@@ -71,20 +71,40 @@ def long_fingerprint(shingles: np.ndarray, lanes: int) -> np.ndarray:
     return np.packbits((2 * ones > len(shingles)).astype(np.uint8), axis=1, bitorder="little").ravel().view("<i8")
 
 
+def parts(fingerprints: np.ndarray, segments: int, width: int) -> np.ndarray:
+    """The segments of each fingerprint."""
+    bits = np.unpackbits(np.ascontiguousarray(fingerprints).view(np.uint8), axis=1, bitorder="little")
+    return bits[:, : segments * width].reshape(len(bits), segments, width).astype(np.int64) @ (np.int64(1) << np.arange(width))
+
+
 def ball_keys(fingerprints: np.ndarray, segments: int, width: int) -> np.ndarray:
     """Of each fingerprint the keys of the radius-1 balls within its segments, segment number on top."""
-    n, bits = len(fingerprints), np.unpackbits(fingerprints.view(np.uint8), axis=1, bitorder="little")
-    parts = bits[:, : segments * width].reshape(n, segments, width).astype(np.int64) @ (np.int64(1) << np.arange(width))
     ball = np.concatenate([[0], np.int64(1) << np.arange(width)])
-    return ((parts[:, :, None] ^ ball) | (np.arange(segments) << width)[:, None]).reshape(n, -1)
+    keys = (parts(fingerprints, segments, width)[:, :, None] ^ ball) | (np.arange(segments) << width)[:, None]
+    return keys.reshape(len(keys), -1)
+
 
+def first_key(x: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
+    """The smallest key that the balls of rows of segments ``x`` and ``y`` share; -1 if there is none."""
+    differ = x ^ y
+    meet = np.bitwise_count(differ) <= 2
+    at = np.argmax(meet, axis=1)
+    row = np.arange(len(x))
+    px, py, d = x[row, at], y[row, at], differ[row, at]
+    low = d & -d
+    one, two = np.minimum(px, py), np.minimum(px ^ low, py ^ low)
+    none = np.minimum(px, (px[:, None] ^ (np.int64(1) << np.arange(width))).min(axis=1))
+    key = np.choose(np.minimum(np.bitwise_count(d), 2), [none, one, two])
+    return np.where(meet.any(axis=1), key | at << width, -1)
 
-def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int, begun: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of close pairs among entries sorted by key, and places of the entries of large keys.
+
+def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int, begun: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of close pairs among entries sorted by key.
 
     Under a key of at most ``SMALL`` entries these are all pairs within
-    ``bound`` bits; under large ones each entry's nearest within its block.
-    The key ``begun`` has had entries before and is large.
+    ``bound`` bits; under large ones each entry's nearest within its block.  An
+    entry that is alone in its block, but not under its key, is paired with
+    itself.  The key ``begun`` has had a block before.
     """
     n = len(key)
     starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1)) if n else np.zeros(0, np.int64)
@@ -110,7 +130,12 @@ def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int, begun: int | None
         at = at[left[at] > d]
     i = np.flatnonzero(best < np.iinfo(np.int64).max)
     found.append((i, best[i] & 0xFFFFFFFF))
-    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]), np.flatnonzero(large)
+    alone = size >= BLOCK
+    if begun is not None:
+        alone |= key == begun
+    alone = np.flatnonzero(alone & (best == np.iinfo(np.int64).max))
+    found.append((alone, alone))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -147,8 +172,8 @@ def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int)
 def _candidates(classes: DataFrame, segments: int, width: int, similarity: float) -> DataFrame:
     """Pairs ``a``, ``b`` of classes that meet under a key and are close by the first 128 bits.
 
-    Under a large key only nearest pairs; its entries are rows too, with the
-    ``key``, which pairs don't have, and their first 128 bits as ``a`` and ``b``.
+    Under a large key these are nearest pairs, and classes paired with
+    themselves that have none in their block.
     """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,12 +189,12 @@ def _candidates(classes: DataFrame, segments: int, width: int, similarity: float
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(rows: np.ndarray, begun: int | None) -> pa.RecordBatch:
-            i, j, large = close_pairs(rows[:, 0], rows[:, 1:], bound, begun)
+            i, j = close_pairs(rows[:, 0], rows[:, 1:], bound, begun)
             p, q = rows[i, 1], rows[j, 1]
+            twice = (p == q) & (i != j)
+            p, q = p[~twice], q[~twice]
             both = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0)
-            listed = np.concatenate([both, rows[large, 1:]])
-            key = pa.concat_arrays([pa.nulls(len(both), pa.int64()), pa.array(rows[large, 0])])
-            return pa.RecordBatch.from_arrays([pa.array(listed[:, 0]), pa.array(listed[:, 1]), key], names=["a", "b", "key"])
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         held, begun = np.zeros((0, 3), np.int64), None
         for batch in batches:
@@ -186,7 +211,7 @@ def _candidates(classes: DataFrame, segments: int, width: int, similarity: float
 
     keys = classes.select("fp").mapInArrow(enter, "key long, p long, q long")
     keys = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "p"))
-    return keys.mapInArrow(meet, "a long, b long, key long").distinct()
+    return keys.mapInArrow(meet, "a long, b long").distinct()
 
 
 def _sets(df: DataFrame, text_col: str, n_words: int) -> DataFrame:
@@ -218,52 +243,106 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _apart(entries: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
-    """``node``, ``label`` and ``block``: classes and the blocks of other groups that hold an entry close to theirs.
+def _apart(active: DataFrame, segments: int, width: int, similarity: float) -> DataFrame:
+    """``node``, ``label`` and ``block``: classes and the blocks of other groups that hold a class close to theirs.
 
-    ``entries`` are those of large keys.  Of a key, entries that aren't of its
-    most frequent group are held against all, both dealt into blocks; so a key
-    of one group costs nothing, and a hot group isn't compared with itself.
+    ``active`` (``fp``, ``label``, ``block``, ``size``) holds all classes of
+    large keys that are close to another there.  They are entered again, and
+    under each large key those that aren't of its most frequent group are held
+    against all.  So a key of one group costs nothing, and a hot group isn't
+    compared with itself.  Of the keys of a pair the smallest gives it.  A key
+    of more than ``ENTRIES`` is dealt into blocks first.
     """
-    bound = farthest(similarity, 128)
+    lanes = math.ceil(segments * width / 64)
+    bound = farthest(similarity, 64 * lanes)
+    names = ["label", "block", "size", *(f"f{i}" for i in range(lanes))]
+    longs = ", ".join(f"{c} long" for c in names)
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                fps = np.array(batch.column(0).to_pylist(), np.int64)[:, :lanes]
+                keys = ball_keys(fps, segments, width)
+                own = np.column_stack([*(c.to_numpy() for c in batch.columns[1:]), fps])
+                own = np.repeat(own, keys.shape[1], axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(own[:, c]) for c in range(own.shape[1]))], names=["key", *names])
+
+    def asks(key: int, rows: np.ndarray, one: np.ndarray, two: np.ndarray) -> Iterator[np.ndarray]:
+        label, block, size, fps = rows[:, 0], rows[:, 1], rows[:, 2], np.ascontiguousarray(rows[:, 3:])
+        for at in range(0, len(one), 32):
+            x = one[at : at + 32]
+            dist = np.bitwise_count((fps[x][:, None] ^ fps[two]).view(np.uint64)).sum(axis=2, dtype=np.int64)
+            i, j = np.nonzero((dist <= bound) & (label[x][:, None] != label[two]))
+            i, j = x[i], two[j]
+            less = (size[i] < size[j]) | (size[i] == size[j]) & (label[i] < label[j])
+            i, j = np.where(less, i, j), np.where(less, j, i)
+            first = first_key(parts(fps[i], segments, width), parts(fps[j], segments, width), width) == key if len(i) else np.zeros(0, bool)
+            i, j = i[first], j[first]
+            if len(i):
+                yield np.stack([fps[i, 0], label[j], block[j]], axis=1)
+
+    def asked(rows: list[np.ndarray]) -> np.ndarray:
+        return np.unique(np.concatenate([np.zeros((0, 3), np.int64), *rows]), axis=0)
+
+    def of_keys(held: np.ndarray) -> np.ndarray:
+        starts = np.flatnonzero(np.diff(held[:, 0], prepend=held[0, 0] - 1)) if len(held) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(held))
+        mixed = ends - starts > SMALL
+        if len(starts):
+            mixed &= np.minimum.reduceat(held[:, 1], starts) != np.maximum.reduceat(held[:, 1], starts)
+        out = []
+        for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
+            rows = held[a:b, 1:]
+            labels, counts = np.unique(rows[:, 0], return_counts=True)
+            out += asks(int(held[a, 0]), rows, np.flatnonzero(rows[:, 0] != labels[np.argmax(counts)]), np.arange(b - a))
+        return asked(out)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[np.ndarray]:
-            for t in runs(batches):
-                row, p, q, label, block, size = (t[c].to_numpy() for c in ("row", "a", "b", "label", "block", "size"))
-                one, two = np.flatnonzero(row), np.flatnonzero(~row)
-                fps = np.stack([p, q], axis=1)
-                for at in range(0, len(one), 64):
-                    x = one[at : at + 64]
-                    dist = np.bitwise_count((fps[x][:, None] ^ fps[two]).view(np.uint64)).sum(axis=2, dtype=np.int64)
-                    i, j = np.nonzero((dist <= bound) & (label[x][:, None] != label[two]))
-                    i, j = x[i], two[j]
-                    less = (size[i] < size[j]) | (size[i] == size[j]) & (label[i] < label[j])
-                    i, j = np.where(less, i, j), np.where(less, j, i)
-                    if len(i):
-                        yield np.unique(np.stack([p[i], label[j], block[j]], axis=1), axis=0)
-
-        def batch(rows: list[np.ndarray]) -> pa.RecordBatch:
-            out = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *rows]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(out[:, c]) for c in range(3)], names=["node", "label", "block"])
-
-        rows: list[np.ndarray] = []
-        for part in found():
-            rows.append(part)
-            if len(rows) == 4096:
-                yield batch(rows)
-                rows = []
-        yield batch(rows)
-
-    named = entries.join(comps.select(F.col("node").alias("a"), "label", "block", "size"), "a")
-    shares = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+        def out(found: np.ndarray, huge: np.ndarray) -> pa.RecordBatch:
+            n = len(found)
+            columns = [pa.concat_arrays([pa.array(found[:, c]), pa.nulls(len(huge), pa.int64())]) for c in range(3)]
+            columns += [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(huge[:, c])]) for c in range(huge.shape[1])]
+            return pa.RecordBatch.from_arrays(columns, names=["to_node", "to_label", "to_block", "key", *names])
+
+        held, dealt = np.zeros((0, 4 + lanes), np.int64), None
+        for batch in batches:
+            held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], axis=1)])
+            if not len(held):
+                continue
+            first = int(np.searchsorted(held[:, 0], dealt, "right")) if dealt is not None else 0
+            last = max(first, int(np.searchsorted(held[:, 0], held[-1, 0])))
+            starts = np.flatnonzero(np.diff(held[first:, 0], prepend=-1)) + first
+            sizes = np.diff(starts, append=len(held))
+            huge = np.repeat(sizes > ENTRIES, sizes)
+            if len(starts) and sizes[-1] > ENTRIES:
+                last, dealt = len(held), int(held[-1, 0])
+            own = held[first:last]
+            huge = huge[: last - first]
+            yield out(of_keys(own[~huge]), np.concatenate([held[:first], own[huge]]))
+            held = held[last:]
+        yield out(of_keys(held), held[:0])
+
+    def meet_dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches):
+            rows, row, key = np.stack([t[c].to_numpy() for c in names], axis=1), t["row"].to_numpy(), t["key"].to_numpy()
+            found = asked([x for k in np.unique(key).tolist() for x in asks(k, rows, np.flatnonzero(row & (key == k)), np.flatnonzero(~row & (key == k)))])
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(3)], names=["node", "label", "block"])
+
+    met = active.select("fp", "label", "block", "size").mapInArrow(enter, f"key long, {longs}").repartition("key").sortWithinPartitions("key")
+    met = met.mapInArrow(meet, f"to_node long, to_label long, to_block long, key long, {longs}")
+    met = materialize(met, workspace(active.sparkSession, "apart"))
+    found = met.where("key IS NULL").select(F.col("to_node").alias("node"), F.col("to_label").alias("label"), F.col("to_block").alias("block"))
+    huge = met.where("key IS NOT NULL").select("key", *names)
+    shares = huge.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     keys = shares.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "label")).alias("top")).where("top.k < m")
     keys = keys.select("key", F.col("top.label").alias("most"), F.ceil(F.col("m") / ENTRIES).cast("int").alias("cols"), F.ceil((F.col("m") - F.col("top.k")) / ENTRIES).cast("int").alias("rows"))
-    own = named.join(keys, "key")
-    col = own.withColumn("row", F.lit(False)).withColumn("j", F.pmod(F.xxhash64("a", F.lit(1)), "cols").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
-    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn("i", F.pmod(F.xxhash64("a", F.lit(2)), "rows").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
-    dealt = col.unionByName(row).select(F.xxhash64("key", "i", "j").alias("g"), "row", "a", "b", "label", "block", "size")
-    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(meet, "node long, label long, block long")
+    own = huge.join(keys, "key")
+    col = own.withColumn("row", F.lit(False)).withColumn("j", F.pmod(F.xxhash64("f0", F.lit(1)), "cols").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn("i", F.pmod(F.xxhash64("f0", F.lit(2)), "rows").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
+    dealt = col.unionByName(row).select(F.xxhash64("key", "i", "j").alias("g"), "row", "key", *names)
+    dealt = dealt.repartition("g").sortWithinPartitions("g").mapInArrow(meet_dealt, "node long, label long, block long")
+    return found.unionByName(dealt)
 
 
 def _links_to_blocks(asked: DataFrame, comps: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -333,7 +412,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = docs.groupBy(node.alias("node")).agg(F.min(F.struct(id_col, "n", "fp")).alias("c")).select("node", F.col(f"c.{id_col}").alias("first_id"), "c.n", "c.fp")
     classes = materialize(classes, f"{path}/classes")
     met = materialize(_candidates(classes, segments, width, similarity), f"{path}/candidates")
-    found = met.where("key IS NULL").select("a", "b")
+    found = met.where("a <> b")
     one = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"))
     two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"))
     distance = reduce(lambda x, y: x + y, [F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(lanes)])
@@ -366,7 +445,9 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one, two = (comps.select(*(F.col(c).alias(f"{c}_{end}") for c in comps.columns)).withColumnRenamed(f"node_{end}", end) for end in "ab")
     less = F.struct("size_a", "label_a") < F.struct("size_b", "label_b")
     crossing = near.join(one, "a").join(two, "b").select(F.when(less, F.col("a")).otherwise(F.col("b")).alias("node"), *(F.when(less, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(c) for c in ("label", "block")))
-    asked = crossing.union(_apart(met.where("key IS NOT NULL"), comps, similarity)).distinct()
+    active = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
+    active = classes.select("node", "fp").join(active.join(comps, "node"), "node")
+    asked = crossing.union(_apart(active, segments, width, similarity)).distinct()
     asked = materialize(asked, f"{path}/asked")
     asked_of = comps.join(asked.select("label", "block").distinct(), ["label", "block"], "left_semi").select("node")
     more = asked.select("node").union(asked_of).distinct().join(sets, "node", "left_anti")

@@ -307,16 +307,41 @@ def test_close_pairs():
     fps[rng.integers(0, 300, 150)] = fps[0] ^ 5
     dist = np.bitwise_count((fps[:, None] ^ fps[None]).view(np.uint64)).sum(2, dtype=int)
     same = (key[:, None] == key) & ~np.eye(300, dtype=bool) & (dist <= 40)
-    one, two, large = similar.close_pairs(key, fps, 40)
-    got = {frozenset(e) for e in zip(one, two, strict=True)}
-    assert (np.bincount(key)[key[large]] > similar.SMALL).all() and len(large) == (np.bincount(key)[key] > similar.SMALL).sum()
-    assert set(similar.close_pairs(key, fps, 40, int(key[0]))[2]) == set(large) | set(np.flatnonzero(key == key[0]))
+    got = {frozenset(e) for e in zip(*similar.close_pairs(key, fps, 40), strict=True)}
     assert all(same[a, b] for a, b in map(tuple, got))
     few = np.bincount(key)[key] <= similar.SMALL
     assert {frozenset(e) for e in np.argwhere(same & few).tolist()} == {e for e in got if few[min(e)]}
     assert all(any(i in e and dist[tuple(e)] == dist[i][same[i]].min() for e in got) for i in np.flatnonzero(same.any(1)))
 
 
+def test_first_key():
+    rng = np.random.default_rng(2)
+    x = rng.integers(-(2**62), 2**62, (300, 1))
+    y = x ^ np.array([sum(1 << int(b) for b in rng.choice(62, rng.integers(0, 40), replace=False)) for _ in x])[:, None]
+    want = [min(set(a) & set(b), default=-1) for a, b in zip(similar.ball_keys(x, 5, 12).tolist(), similar.ball_keys(y, 5, 12).tolist(), strict=True)]
+    assert similar.first_key(similar.parts(x, 5, 12), similar.parts(y, 5, 12), 12).tolist() == want and -1 in want
+
+
+def test_apart(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.integers(-(2**62), 2**62, (1, 6))
+    flips = [sum(1 << int(b) for b in rng.choice(60, 8, replace=False)) for _ in range(240)]
+    fps = np.unique(base ^ np.array([[f, *(f >> k & 1 for k in range(5))] for f in flips]), axis=0)
+    rows = [(f.tolist(), 1 if i < 120 else 2 + i % 40, i % 3, 120 if i < 120 else 3) for i, f in enumerate(fps)]
+    df = spark.createDataFrame(rows, "fp array<long>, label long, block long, size long")
+    keys = [set(k) for k in similar.ball_keys(fps, 15, 24).tolist()]
+    entries = Counter(k for own in keys for k in own)
+    want = set()
+    for i, j in combinations(range(len(rows)), 2):
+        if rows[i][1] != rows[j][1] and (common := keys[i] & keys[j]) and entries[min(common)] > similar.SMALL:
+            i, j = sorted((i, j), key=lambda k: (rows[k][3], rows[k][1]))
+            want.add((rows[i][0][0], rows[j][1], rows[j][2]))
+    for entries_at_once in (2048, 20):
+        monkeypatch.setattr(similar, "ENTRIES", entries_at_once)
+        got = similar._apart(df, 15, 24, 0.8).collect()
+        assert {tuple(r) for r in got} == want and len(want) > 1000
+
+
 def test_forest(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((900, 16))
