@@ -100,11 +100,71 @@ def close_pairs(table: pa.Table, other: pa.Table | None, threshold: float) -> tu
     return np.minimum(left, right), np.maximum(left, right)
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest pairs that connect what the pairs ``a``, ``b`` do: each node with the smallest that it reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while (label[u] != label[v]).any():
+        low, high = np.minimum(label[u], label[v]), np.maximum(label[u], label[v])
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+    own = label != np.arange(len(nodes))
+    return nodes[label[own]], nodes[own]
+
+
+def link_counts(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and how many rows each links to, within one block or, if ``i`` and ``j`` differ, across two.
+
+    Only nodes of one label are held against each other; ``n`` rows are of a node.
+    """
+    own, i, j = table["own"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
+    node, label, n = (table[c].to_numpy() for c in ("node", "label", "n"))
+    x = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64).reshape(len(node), -1)
+    rows, cols = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    y, other, weight = x[cols], label[cols], n[cols].astype(np.float64)
+    counts = np.zeros(len(node))
+    for at in range(0, len(rows), BLOCK):
+        r = rows[at : at + BLOCK]
+        near = (x[r] @ y.T >= threshold) & (label[r][:, None] == other)
+        if i == j:
+            near &= r[:, None] < cols
+        near = near.astype(np.float32 if weight.sum() < 1 << 24 and n[r].sum() < 1 << 24 else np.float64)
+        counts[r] += near @ weight.astype(near.dtype)
+        counts[cols] += n[r].astype(near.dtype) @ near
+    return node, counts.astype(np.int64)
+
+
+def _links_within(members: DataFrame, threshold: float, path: str) -> DataFrame:
+    """``node`` and ``links``, the rows that each node of a component links to, all pairs of it compared.
+
+    A component of more than ``2 * BLOCK`` nodes is dealt into blocks, and each
+    pair of blocks is a task's work; smaller ones share blocks.  What is written
+    are counts, so that rows grow with blocks and not with links.
+    """
+    sizes = materialize(members.groupBy("label").agg(F.count(F.lit(1)).alias("m")), path)
+    bundles = max(1, math.ceil((sizes.where(F.col("m") <= 2 * BLOCK).agg(F.sum("m")).first()[0] or 0) / BLOCK))
+    blocks = F.when(F.col("m") > 2 * BLOCK, F.ceil(F.col("m") / BLOCK)).otherwise(1).cast("int")
+    group = F.when(F.col("m") > 2 * BLOCK, F.col("label")).otherwise(-1 - F.pmod(F.xxhash64("label"), F.lit(bundles)))
+    dealt = members.join(sizes.withColumn("blocks", blocks).withColumn("group", group), "label")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("group", F.length("unit").alias("dim"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "unit")
+
+    def count(table: pa.Table) -> pa.Table:
+        node, links = link_counts(table, threshold)
+        return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64())})
+
+    return dealt.groupBy("group", "dim", "i", "j").applyInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
     """``id_col``, ``n_links``, ``component_id`` and ``kept`` of every row.
 
-    Two rows link if the forest finds them and the cosine of their vectors, in
-    double precision, is ``threshold`` or more.  Vectors that are null, empty,
+    Two rows link if the cosine of their vectors, in double precision, is
+    ``threshold`` or more.  The forest finds what connects each component; then
+    all pairs of the component are compared, so that a link can be lost only
+    between components, which takes that no tree keeps any link between them.  Vectors that are null, empty,
     zero, or hold null or non-finite components link with nothing, and vectors
     of different lengths don't link.  Equal vectors are one class: the forest
     sees it once, and its members count as links of each other.  ``n_links``
@@ -176,14 +236,14 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         else:
             first = np.equal(table["own"].to_numpy(), table["i"].to_numpy())
             a, b = close_pairs(table.filter(pa.array(first)), table.filter(pa.array(~first)), threshold)
+        a, b = spanning(a, b)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     links = dealt.groupBy(*key, "i", "j").applyInArrow(compare, "a long, b long").distinct()
     links = materialize(links, f"{path}/links")
-    sizes = classes.select(F.col("node").alias("b"), "n")
-    ends = links.union(links.select("b", "a"))
-    counts = ends.join(sizes, "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     labels = connected_components(links, f"{path}/components")
+    members = materialize(classes.join(labels, "node").select("node", "unit", "n", "label"), f"{path}/found")
+    counts = _links_within(members, threshold, f"{path}/sizes")
     rooted = classes.select("node", "unit", "first_id", "n").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = rooted.join(first, "root").join(counts, "node", "left").select("unit", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))

@@ -356,6 +356,22 @@ def test_forest(spark):
     assert forest.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_forest_counts_all_links_of_tight_groups(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3600, 32))
+    for at, size in ((0, 1500), (1500, 300), (1800, 20)):
+        x[at : at + size] = rng.standard_normal(32) + 0.3 * rng.standard_normal((size, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate([*x, x[0]])], "vec_id long, embedding array<double>").repartition(3)
+    u = np.array([*x, x[0]])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    near = (u @ u.T >= 0.9) & ~np.eye(len(u), dtype=bool)
+    want = components(range(len(u)), [(a, b) for a, b in np.argwhere(near).tolist() if a < b])
+    for block in (1024, 100):
+        monkeypatch.setattr(forest, "BLOCK", block)
+        got = forest.near_duplicates(df, leaf=32).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(near[i].sum()), want[i]) for i in range(len(u))}
+
+
 def test_html(spark):
     def page(i, body):
         return f'<!DOCTYPE html><html><head><title>t{i}</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Menu<li>More</ul></nav><div class="ad">Buy</div>{body}<aside>Side</aside><div id="comments"><p>Reader</p></div><form>Send <input></form><footer>&copy; x</footer></body></html>'
