@@ -23,6 +23,8 @@ LANES = 16
 SLACK = 3.0
 #: Entries of a key compared with each other at once, and up to how many every pair is kept.
 BLOCK, SMALL = 512, 8
+#: Active entries of a key up to which the second pass reads many keys at once.
+FEW = 32
 #: Entries, and texts and shingles, of a block in which what nearest pairs left apart is compared.
 ENTRIES, TEXTS, SHINGLES = 2048, 256, 1 << 20
 #: The bits of each byte value.
@@ -243,13 +245,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _apart(active: DataFrame, segments: int, width: int, similarity: float) -> DataFrame:
+def _apart(active: DataFrame, segments: int, width: int, similarity: float, small: int = SMALL) -> DataFrame:
     """``node``, ``label`` and ``block``: classes and the blocks of other groups that hold a class close to theirs.
 
     ``active`` (``fp``, ``label``, ``block``, ``size``) holds all classes of
     large keys that are close to another there.  They are entered again, and
-    under each large key those that aren't of its most frequent group are held
-    against all.  So a key of one group costs nothing, and a hot group isn't
+    under each key of more than ``small`` of these those that aren't of its most
+    frequent group are held against all.  So a key of one group costs nothing, and a hot group isn't
     compared with itself.  Of the keys of a pair the smallest gives it.  A key
     of more than ``ENTRIES`` is dealt into blocks first.
     """
@@ -268,19 +270,30 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float) -> D
                 own = np.repeat(own, keys.shape[1], axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(own[:, c]) for c in range(own.shape[1]))], names=["key", *names])
 
+    def give(key: np.ndarray, rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        label, block, size, fps = rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3:]
+        less = (size[i] < size[j]) | (size[i] == size[j]) & (label[i] < label[j])
+        first = first_key(parts(fps[i], segments, width), parts(fps[j], segments, width), width) == key if len(i) else np.zeros(0, bool)
+        i, j = np.where(less, i, j)[first], np.where(less, j, i)[first]
+        return np.stack([fps[i, 0], label[j], block[j]], axis=1)
+
     def asks(key: int, rows: np.ndarray, one: np.ndarray, two: np.ndarray) -> Iterator[np.ndarray]:
-        label, block, size, fps = rows[:, 0], rows[:, 1], rows[:, 2], np.ascontiguousarray(rows[:, 3:])
+        label, fps = rows[:, 0], np.ascontiguousarray(rows[:, 3:])
         for at in range(0, len(one), 32):
             x = one[at : at + 32]
             dist = np.bitwise_count((fps[x][:, None] ^ fps[two]).view(np.uint64)).sum(axis=2, dtype=np.int64)
             i, j = np.nonzero((dist <= bound) & (label[x][:, None] != label[two]))
             i, j = x[i], two[j]
-            less = (size[i] < size[j]) | (size[i] == size[j]) & (label[i] < label[j])
-            i, j = np.where(less, i, j), np.where(less, j, i)
-            first = first_key(parts(fps[i], segments, width), parts(fps[j], segments, width), width) == key if len(i) else np.zeros(0, bool)
-            i, j = i[first], j[first]
             if len(i):
-                yield np.stack([fps[i, 0], label[j], block[j]], axis=1)
+                yield give(np.full(len(i), key), rows, i, j)
+
+    def asks_of_few(held: np.ndarray) -> Iterator[np.ndarray]:
+        rows, fps = held[:, 1:], np.ascontiguousarray(held[:, 4:])
+        for d in range(1, FEW):
+            i = np.flatnonzero((held[d:, 0] == held[:-d, 0]) & (held[d:, 1] != held[:-d, 1]))
+            if len(i):
+                i = i[np.bitwise_count((fps[i] ^ fps[i + d]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= bound]
+                yield give(held[i, 0], rows, i, i + d)
 
     def asked(rows: list[np.ndarray]) -> np.ndarray:
         return np.unique(np.concatenate([np.zeros((0, 3), np.int64), *rows]), axis=0)
@@ -288,10 +301,12 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float) -> D
     def of_keys(held: np.ndarray) -> np.ndarray:
         starts = np.flatnonzero(np.diff(held[:, 0], prepend=held[0, 0] - 1)) if len(held) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(held))
-        mixed = ends - starts > SMALL
+        mixed = ends - starts > small
         if len(starts):
             mixed &= np.minimum.reduceat(held[:, 1], starts) != np.maximum.reduceat(held[:, 1], starts)
-        out = []
+        few = mixed & (ends - starts <= FEW)
+        out = list(asks_of_few(held[np.repeat(few, ends - starts)]))
+        mixed &= ~few
         for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
             rows = held[a:b, 1:]
             labels, counts = np.unique(rows[:, 0], return_counts=True)
@@ -447,7 +462,8 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     crossing = near.join(one, "a").join(two, "b").select(F.when(less, F.col("a")).otherwise(F.col("b")).alias("node"), *(F.when(less, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(c) for c in ("label", "block")))
     active = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
     active = classes.select("node", "fp").join(active.join(comps, "node"), "node")
-    asked = crossing.union(_apart(active, segments, width, similarity)).distinct()
+    # Keys count active classes only here, so none is too small to be a large one.
+    asked = crossing.union(_apart(active, segments, width, similarity, small=1)).distinct()
     asked = materialize(asked, f"{path}/asked")
     asked_of = comps.join(asked.select("label", "block").distinct(), ["label", "block"], "left_semi").select("node")
     more = asked.select("node").union(asked_of).distinct().join(sets, "node", "left_anti")

@@ -300,6 +300,21 @@ def test_similar_texts(spark, docs, rows, none):
     assert {found[i] for i in range(len(texts), len(texts) + len(hot))} == {len(texts)}
 
 
+def test_unrelated_texts_hide_no_links(spark):
+    # Fillers make every key a large one; the links between the nearest pairs lie under keys of few active entries.
+    rng = random.Random(12)
+    texts = []
+    for _ in range(20):
+        words = prose(rng, 120).split()
+        for own in (words, [*words[:-6], *prose(rng, 6).split()]):
+            texts += [" ".join(own), " ".join([prose(rng, 1), *own])]
+    filler = [prose(rng, 120) for _ in range(1500)]
+    found = {r.doc_id: r.component_id for r in similar.similar_texts(spark.createDataFrame(list(enumerate(texts + filler)), "doc_id long, text string"), width=9).collect()}
+    assert all(shingle_jaccard(texts[i], texts[i + 2]) > 0.85 for i in range(0, 80, 4))
+    assert [found[i] for i in range(80)] == [i // 4 * 4 for i in range(80)]
+    assert all(found[i] == i for i in range(80, 1580))
+
+
 def test_close_pairs():
     rng = np.random.default_rng(1)
     key = np.sort(rng.integers(0, 60, 300))
