@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,8 @@ BLOCK, SMALL = 512, 8
 FEW = 32
 #: Entries, and texts and shingles, of a block in which what nearest pairs left apart is compared.
 ENTRIES, TEXTS, SHINGLES = 2048, 256, 1 << 20
+#: Shingles of the smaller set up to which the odds of a bit are counted, and not taken from the angle.
+COUNTED = 64
 #: The bits of each byte value.
 BYTE_BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(np.float64)
 
@@ -36,9 +39,64 @@ def share_of_bits(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def n_segments(similarity: float, width: int = WIDTH, miss: float = MISS) -> int:
+def counted_share(m: int, n: int, shared: int) -> float:
+    """The share of differing bits of two sets of ``m`` and ``n`` shingles, with ties as in ``long_fingerprint``."""
+
+    def one(size: int) -> np.ndarray:
+        own = size - shared
+        odds = np.array([math.comb(own, b) for b in range(own + 1)], float) / 2.0**own
+        return np.array([odds[max(0, size // 2 + 1 - k) :].sum() for k in range(shared + 1)])
+
+    p, q = one(m), one(n)
+    odds = np.array([math.comb(shared, k) / 2**shared for k in range(shared + 1)])
+    return float((odds * (p * (1 - q) + q * (1 - p))).sum())
+
+
+@cache
+def shares(similarity: float) -> tuple[float, ...]:
+    """The largest expected share of differing bits of similar enough sets, by the shingles of the smaller.
+
+    Sets of more than ``COUNTED`` shingles have the last value, which exceeds
+    what their sizes still add to the angle's share.
+    """
+    out = [0.0]
+    for m in range(1, COUNTED + 1):
+        sizes = range(m, math.floor(m / similarity + 1e-9) + 1)
+        least = [(n, math.ceil(similarity * (m + n) / (1 + similarity) - 1e-9)) for n in sizes]
+        out.append(max(counted_share(m, n, k) for n, k in least if k <= m))
+    return (*out[:-1], max(out[-1], share_of_bits(similarity)))
+
+
+@cache
+def segments_by_size(similarity: float, width: int, miss: float = MISS) -> np.ndarray:
+    """The segments under which a text of so many shingles is entered: enough for all that it may be similar to."""
+    need = [n_segments(similarity, width, miss, p) for p in shares(similarity)]
+    base = n_segments(similarity, width, miss)
+    own = [max([base, *need[math.ceil(similarity * n - 1e-9) : n + 1]]) for n in range(COUNTED + 1)]
+    return np.array([*own, *(max([base, *need[math.ceil(similarity * n - 1e-9) :]]) for n in range(COUNTED + 1, math.ceil(COUNTED / similarity) + 1)), base])
+
+
+def bounds_by_size(similarity: float, bits: int) -> np.ndarray:
+    """``farthest`` by the shingles of the smaller set; it never grows with these, so that the larger of two bounds holds for a pair."""
+    plain = farthest(similarity, bits)
+    own = [max(plain, math.floor(bits * p + SLACK * math.sqrt(bits * p * (1 - p)))) for p in shares(similarity)]
+    return np.maximum.accumulate(own[::-1])[::-1]
+
+
+def entries(fps: np.ndarray, n: np.ndarray, segments: int, width: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and the places of the texts that they are of; texts of few shingles have more."""
+    table = segments_by_size(similarity, width)
+    own = np.minimum(segments, table[np.minimum(n, len(table) - 1)])
+    keys = ball_keys(fps, segments, width)
+    at = np.repeat(np.arange(segments), width + 1) < own[:, None]
+    return keys[at], np.nonzero(at)[0]
+
+
+def n_segments(similarity: float, width: int = WIDTH, miss: float = MISS, p: float | None = None) -> int:
     """How many segments it takes that one of them differs in at most two bits, but for the share ``miss``."""
-    p = share_of_bits(similarity)
+    p = share_of_bits(similarity) if p is None else p
+    if p == 0:
+        return 1
     meet = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
     return math.ceil(math.log(miss) / math.log(1 - meet))
 
@@ -100,15 +158,16 @@ def first_key(x: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
     return np.where(meet.any(axis=1), key | at << width, -1)
 
 
-def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int, begun: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int | np.ndarray, begun: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places of close pairs among entries sorted by key.
 
     Under a key of at most ``SMALL`` entries these are all pairs within
-    ``bound`` bits; under large ones each entry's nearest within its block.  An
+    ``bound`` bits, or the larger of their own bounds; under large ones each entry's nearest within its block.  An
     entry that is alone in its block, but not under its key, is paired with
     itself.  The key ``begun`` has had a block before.
     """
     n = len(key)
+    bound = np.broadcast_to(bound, n)
     starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1)) if n else np.zeros(0, np.int64)
     size = np.repeat(np.diff(starts, append=n), np.diff(starts, append=n))
     large = size > SMALL
@@ -121,7 +180,7 @@ def close_pairs(key: np.ndarray, fps: np.ndarray, bound: int, begun: int | None
     at, d = np.flatnonzero(left > 1), 1
     while len(at):
         dist = np.bitwise_count((fps[at] ^ fps[at + d]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-        near = dist <= bound
+        near = dist <= np.maximum(bound[at], bound[at + d])
         i, dist = at[near], dist[near]
         small = ~large[i]
         found.append((i[small], i[small] + d))
@@ -158,16 +217,17 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int) -> DataFrame:
-    """``id_col``, ``n`` (distinct shingles) and ``fp`` (long fingerprint) of every row."""
+    """``id_col``, ``node`` (hash of the shingle set), ``n`` (distinct shingles) and ``fp`` (long fingerprint) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in (part for whole in batches for part in sliced(whole, 1)):
             sets = [shingle_set((t or b"").lower().split(), n_words, hashes) for t in binary(batch.column(1))]
             fps = [long_fingerprint(s, lanes) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps, pa.list_(pa.int64()))], names=[id_col, "n", "fp"])
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps, pa.list_(pa.int64()))], names=[id_col, "node", "n", "fp"])
 
-    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("n", T.LongType()), T.StructField("fp", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fp", T.ArrayType(T.LongType()))])
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
@@ -182,23 +242,23 @@ def _candidates(classes: DataFrame, segments: int, width: int, similarity: float
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                fps = np.array(batch.column(0).to_pylist(), np.int64)
-                keys = ball_keys(fps, segments, width)
-                per = keys.shape[1]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(fps[:, 0], per)), pa.array(np.repeat(fps[:, 1], per))], names=["key", "p", "q"])
+                node, n, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.array(batch.column(2).to_pylist(), np.int64)
+                keys, of = entries(fps, n, segments, width, similarity)
+                own = bounds[np.minimum(n, len(bounds) - 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, node[of], own[of], fps[of, 0], fps[of, 1])], names=["key", "node", "bound", "p", "q"])
 
-    bound = farthest(similarity, 128)
+    bounds = bounds_by_size(similarity, 128)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(rows: np.ndarray, begun: int | None) -> pa.RecordBatch:
-            i, j = close_pairs(rows[:, 0], rows[:, 1:], bound, begun)
+            i, j = close_pairs(rows[:, 0], rows[:, 3:], rows[:, 2], begun)
             p, q = rows[i, 1], rows[j, 1]
             twice = (p == q) & (i != j)
             p, q = p[~twice], q[~twice]
             both = np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
-        held, begun = np.zeros((0, 3), np.int64), None
+        held, begun = np.zeros((0, 5), np.int64), None
         for batch in batches:
             held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], axis=1)])
             if not len(held):
@@ -211,8 +271,8 @@ def _candidates(classes: DataFrame, segments: int, width: int, similarity: float
             held = held[last:]
         yield pairs(held, begun)
 
-    keys = classes.select("fp").mapInArrow(enter, "key long, p long, q long")
-    keys = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "p"))
+    keys = classes.select("node", "n", "fp").mapInArrow(enter, "key long, node long, bound long, p long, q long")
+    keys = keys.repartition("key").sortWithinPartitions("key", F.xxhash64("key", "node"))
     return keys.mapInArrow(meet, "a long, b long").distinct()
 
 
@@ -253,11 +313,15 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
     under each key of more than ``small`` of these those that aren't of its most
     frequent group are held against all.  So a key of one group costs nothing, and a hot group isn't
     compared with itself.  Of the keys of a pair the smallest gives it.  A key
-    of more than ``ENTRIES`` is dealt into blocks first.
+    of more than ``ENTRIES`` is dealt into blocks first.  ``node`` and ``n`` of
+    ``active`` may be missing: the first of ``fp``, and many shingles.
     """
+    for c, missing in (("node", F.col("fp")[0]), ("n", F.lit(1 << 20).cast("long"))):
+        if c not in active.columns:
+            active = active.withColumn(c, missing)
     lanes = math.ceil(segments * width / 64)
-    bound = farthest(similarity, 64 * lanes)
-    names = ["label", "block", "size", *(f"f{i}" for i in range(lanes))]
+    bounds = bounds_by_size(similarity, 64 * lanes)
+    names = ["label", "block", "size", "node", "bound", *(f"f{i}" for i in range(lanes))]
     longs = ", ".join(f"{c} long" for c in names)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,34 +329,34 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 fps = np.array(batch.column(0).to_pylist(), np.int64)[:, :lanes]
-                keys = ball_keys(fps, segments, width)
-                own = np.column_stack([*(c.to_numpy() for c in batch.columns[1:]), fps])
-                own = np.repeat(own, keys.shape[1], axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(pa.array(own[:, c]) for c in range(own.shape[1]))], names=["key", *names])
+                n = batch.column(5).to_numpy()
+                keys, of = entries(fps, n, segments, width, similarity)
+                own = np.column_stack([*(c.to_numpy() for c in batch.columns[1:5]), bounds[np.minimum(n, len(bounds) - 1)], fps])[of]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(own[:, c]) for c in range(own.shape[1]))], names=["key", *names])
 
     def give(key: np.ndarray, rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        label, block, size, fps = rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3:]
+        label, block, size, node, fps = rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 5:]
         less = (size[i] < size[j]) | (size[i] == size[j]) & (label[i] < label[j])
         first = first_key(parts(fps[i], segments, width), parts(fps[j], segments, width), width) == key if len(i) else np.zeros(0, bool)
         i, j = np.where(less, i, j)[first], np.where(less, j, i)[first]
-        return np.stack([fps[i, 0], label[j], block[j]], axis=1)
+        return np.stack([node[i], label[j], block[j]], axis=1)
 
     def asks(key: int, rows: np.ndarray, one: np.ndarray, two: np.ndarray) -> Iterator[np.ndarray]:
-        label, fps = rows[:, 0], np.ascontiguousarray(rows[:, 3:])
+        label, bound, fps = rows[:, 0], rows[:, 4], np.ascontiguousarray(rows[:, 5:])
         for at in range(0, len(one), 32):
             x = one[at : at + 32]
             dist = np.bitwise_count((fps[x][:, None] ^ fps[two]).view(np.uint64)).sum(axis=2, dtype=np.int64)
-            i, j = np.nonzero((dist <= bound) & (label[x][:, None] != label[two]))
+            i, j = np.nonzero((dist <= np.maximum(bound[x][:, None], bound[two])) & (label[x][:, None] != label[two]))
             i, j = x[i], two[j]
             if len(i):
                 yield give(np.full(len(i), key), rows, i, j)
 
     def asks_of_few(held: np.ndarray) -> Iterator[np.ndarray]:
-        rows, fps = held[:, 1:], np.ascontiguousarray(held[:, 4:])
+        rows, bound, fps = held[:, 1:], held[:, 5], np.ascontiguousarray(held[:, 6:])
         for d in range(1, FEW):
             i = np.flatnonzero((held[d:, 0] == held[:-d, 0]) & (held[d:, 1] != held[:-d, 1]))
             if len(i):
-                i = i[np.bitwise_count((fps[i] ^ fps[i + d]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= bound]
+                i = i[np.bitwise_count((fps[i] ^ fps[i + d]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= np.maximum(bound[i], bound[i + d])]
                 yield give(held[i, 0], rows, i, i + d)
 
     def asked(rows: list[np.ndarray]) -> np.ndarray:
@@ -320,7 +384,7 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
             columns += [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(huge[:, c])]) for c in range(huge.shape[1])]
             return pa.RecordBatch.from_arrays(columns, names=["to_node", "to_label", "to_block", "key", *names])
 
-        held, dealt = np.zeros((0, 4 + lanes), np.int64), None
+        held, dealt = np.zeros((0, 6 + lanes), np.int64), None
         for batch in batches:
             held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], axis=1)])
             if not len(held):
@@ -344,7 +408,7 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
             found = asked([x for k in np.unique(key).tolist() for x in asks(k, rows, np.flatnonzero(row & (key == k)), np.flatnonzero(~row & (key == k)))])
             yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(3)], names=["node", "label", "block"])
 
-    met = active.select("fp", "label", "block", "size").mapInArrow(enter, f"key long, {longs}").repartition("key").sortWithinPartitions("key")
+    met = active.select("fp", "label", "block", "size", "node", "n").mapInArrow(enter, f"key long, {longs}").repartition("key").sortWithinPartitions("key")
     met = met.mapInArrow(meet, f"to_node long, to_label long, to_block long, key long, {longs}")
     met = materialize(met, workspace(active.sparkSession, "apart"))
     found = met.where("key IS NULL").select(F.col("to_node").alias("node"), F.col("to_label").alias("label"), F.col("to_block").alias("block"))
@@ -353,8 +417,8 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
     keys = shares.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "label")).alias("top")).where("top.k < m")
     keys = keys.select("key", F.col("top.label").alias("most"), F.ceil(F.col("m") / ENTRIES).cast("int").alias("cols"), F.ceil((F.col("m") - F.col("top.k")) / ENTRIES).cast("int").alias("rows"))
     own = huge.join(keys, "key")
-    col = own.withColumn("row", F.lit(False)).withColumn("j", F.pmod(F.xxhash64("f0", F.lit(1)), "cols").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
-    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn("i", F.pmod(F.xxhash64("f0", F.lit(2)), "rows").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
+    col = own.withColumn("row", F.lit(False)).withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), "cols").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn("i", F.pmod(F.xxhash64("node", F.lit(2)), "rows").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
     dealt = col.unionByName(row).select(F.xxhash64("key", "i", "j").alias("g"), "row", "key", *names)
     dealt = dealt.repartition("g").sortWithinPartitions("g").mapInArrow(meet_dealt, "node long, label long, block long")
     return found.unionByName(dealt)
@@ -402,9 +466,10 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies of each other.  A repeated row gives a row each time; rows without
     an id are left out; extra columns are ignored.
 
-    Rows of one fingerprint (64 of its bits) are a class, found by an
+    Rows of one shingle set (by a hash of 64 bits) are a class, found by an
     aggregation.  A class is entered under the radius-1 balls of each segment,
-    so two meet if a segment of theirs differs in two bits or fewer.  Under a
+    so two meet if a segment of theirs differs in two bits or fewer.  Texts of
+    few shingles, whose bits differ more, have more segments and wider bounds.  Under a
     key every pair is taken if there are few, else each entry with its nearest,
     in blocks.  Their complete distance is verified, then the shingles
     themselves: first each class with its nearest, then, where a group is not
@@ -419,12 +484,11 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of the classes: 24 leaves a dozen entries a key at 8 million.
     """
     path = workspace(df.sparkSession, "similar")
-    segments = n_segments(similarity, width)
+    segments = int(segments_by_size(similarity, width).max())
     lanes = max(LANES, math.ceil(segments * width / 64))
     df = df.where(F.col(id_col).isNotNull())
     docs = materialize(_sketch(df, id_col, text_col, n_words, lanes), f"{path}/sketches")
-    node = F.col("fp")[0]
-    classes = docs.groupBy(node.alias("node")).agg(F.min(F.struct(id_col, "n", "fp")).alias("c")).select("node", F.col(f"c.{id_col}").alias("first_id"), "c.n", "c.fp")
+    classes = docs.groupBy("node").agg(F.min(F.struct(id_col, "n", "fp")).alias("c")).select("node", F.col(f"c.{id_col}").alias("first_id"), "c.n", "c.fp")
     classes = materialize(classes, f"{path}/classes")
     met = materialize(_candidates(classes, segments, width, similarity), f"{path}/candidates")
     found = met.where("a <> b")
@@ -432,7 +496,9 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"))
     distance = reduce(lambda x, y: x + y, [F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(lanes)])
     near = found.join(one, "a").join(two, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
-    near = materialize(near.select("a", "b", distance.alias("d")).where(F.col("d") <= farthest(similarity, 64 * lanes)), f"{path}/near")
+    bounds = bounds_by_size(similarity, 64 * lanes).tolist()
+    bound = F.element_at(F.array(*map(F.lit, bounds)), F.least(F.least("na", "nb") + 1, F.lit(len(bounds))).cast("int"))
+    near = materialize(near.select("a", "b", distance.alias("d"), bound.alias("bound")).where(F.col("d") <= F.col("bound")), f"{path}/near")
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
         ends = nodes.join(classes, "node").select("node", F.col("first_id").alias(id_col))
@@ -455,7 +521,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     comps = classes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
     sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("size") / TEXTS, F.col("shingles") / SHINGLES, F.lit(1)))
-    comps = comps.join(sizes, "label").select("node", "label", "size", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("long").alias("block"))
+    comps = comps.join(sizes, "label").select("node", "label", "size", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("long").alias("block"), "n")
     comps = materialize(comps, f"{path}/groups")
     one, two = (comps.select(*(F.col(c).alias(f"{c}_{end}") for c in comps.columns)).withColumnRenamed(f"node_{end}", end) for end in "ab")
     less = F.struct("size_a", "label_a") < F.struct("size_b", "label_b")
@@ -473,7 +539,7 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rooted = classes.select("node", "first_id").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = materialize(rooted.join(first, "root").select("node", "component_id"), f"{path}/members")
-    return docs.select(id_col, node.alias("node")).join(members, "node").select(id_col, "component_id")
+    return docs.select(id_col, "node").join(members, "node").select(id_col, "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -315,6 +315,27 @@ def test_unrelated_texts_hide_no_links(spark):
     assert all(found[i] == i for i in range(80, 1580))
 
 
+def test_links_of_few_shingles(spark):
+    assert similar.counted_share(4, 5, 4) == 0.1875 and similar.counted_share(7, 7, 7) == 0
+    rng = random.Random(14)
+    texts = []
+    for _ in range(400):
+        words = prose(rng, 9).split()
+        texts += [" ".join(words[:8]), " ".join(words)]
+    found = {r.doc_id: r.component_id for r in similar.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    pairs = [i for i in range(0, 800, 2) if shingle_jaccard(texts[i], texts[i + 1]) >= 0.8]
+    assert len(pairs) == 400 and sum(found[i + 1] != i for i in pairs) <= 12
+
+
+def test_equal_bits_are_no_class(spark, monkeypatch):
+    # Two texts of one fingerprint that share nothing, each with a near copy.
+    monkeypatch.setattr(similar, "long_fingerprint", lambda s, lanes: np.full(lanes, 7, np.int64))
+    rng = random.Random(15)
+    texts = [t for _ in range(3) for w in [prose(rng, 60)] for t in (w, w + " more")]
+    found = {r.doc_id: r.component_id for r in similar.similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == {i: i // 2 * 2 for i in range(6)}
+
+
 def test_close_pairs():
     rng = np.random.default_rng(1)
     key = np.sort(rng.integers(0, 60, 300))
