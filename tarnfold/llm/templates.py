@@ -19,6 +19,9 @@ from .urls import host_of
 #: Means of a template group: pages of one host that are deduced together.
 GROUP_PAGES, GROUP_CHARS = 64, 8 << 20
 
+#: Share of a group's different pages from which a slot's content counts as alike on all.
+ALIKE = 0.9
+
 # Elements by their part in a page.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style noscript template iframe textarea select svg math object title".split())
@@ -169,18 +172,38 @@ def main_slots(pages: Sequence[Page], frame: dict[tuple[str, ...], tuple[int, ..
     return {p for p in usable if p[: len(best)] == best}
 
 
+def shared_slots(pages: Sequence[Page], slots: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Those main slots whose content is alike on nearly all pages: the template's own text, whatever its name.
+
+    Pages of the same main text count once, so that copied articles aren't taken
+    for template, and fewer than three different ones tell nothing.
+    """
+    distinct = set()
+    for page in pages:
+        texts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+        for r in page.runs:
+            if r.path in slots:
+                texts[r.path] += r.text.split()
+        distinct.add(frozenset((path, " ".join(words)) for path, words in texts.items() if words))
+    distinct.discard(frozenset())
+    seen = Counter(content for page in distinct for content in page)
+    return {path for (path, _), n in seen.items() if len(distinct) >= 3 and n >= ALIKE * len(distinct)}
+
+
 def extract(sources: Sequence[str]) -> list[str]:
     """The main text of each page, from the template that the pages share.
 
-    A page without the slots of its group's main text is taken by itself.
+    A page without the slots of its group's main text is taken by itself.  What
+    main slots hold alike on nearly all different pages is left out.
     """
     pages = [parse(s) for s in sources]
     frame = template(pages)
     slots = main_slots(pages, frame)
+    alike = shared_slots(pages, slots)
     out = []
     for page in pages:
-        own = slots
-        if not any(r.path in own for r in page.runs):
+        own = slots - alike
+        if not any(r.path in slots for r in page.runs):
             own = main_slots([page], template([page]))
         blocks: list[str] = []
         breaks = True

@@ -424,6 +424,17 @@ def test_html(spark):
     assert got.limit(0).count() == 0
 
 
+def test_shared_slots_inside_main_text():
+    def page(text):
+        return f'<html><body><article><h1>Head {text}</h1><p>Body {text}</p><div class="x12">Read our letter <ul><li>daily</ul></div><div class="y3">By {text}</div></article></body></html>'
+
+    texts = [f"own {i}" for i in range(6)]
+    assert templates.extract([page(t) for t in texts]) == [f"Head {t} Body {t} By {t}" for t in texts]
+    # Copies of one article, or two pages, tell nothing of a template.
+    for few in (["same"] * 5, ["one", "two"]):
+        assert templates.extract([page(t) for t in few]) == [f"Head {t} Body {t} Read our letter daily By {t}" for t in few]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
