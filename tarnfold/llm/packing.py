@@ -56,8 +56,9 @@ def pack(df: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col:
     is cut into pieces.  One row a piece: ``id_col``, ``piece``, ``piece_start``,
     ``n_tokens``, ``bin_id``, ``bin_offset``, ``source``, ``cluster``.  No bin
     has two pieces of one source or of one duplicate cluster.  The cluster is
-    ``cluster_col``, or else the text lower-cased with single spaces, by hash.  A
-    null source conflicts with nothing; null texts are empty ones and of no
+    ``cluster_col``, or else the text lower-cased with single spaces and none
+    about it, by hash, so that near copies are of different clusters.  A null
+    source conflicts with nothing; null texts are empty ones and of no
     cluster.  Repeated rows are packed each.  Extra columns are ignored.
 
     Pieces are dealt by hash into groups of about ``GROUP_TOKENS`` tokens and
@@ -66,8 +67,9 @@ def pack(df: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col:
     """
     spark = df.sparkSession
     text = F.col(text_col)
-    cluster = F.col(cluster_col).cast("string") if cluster_col else F.hex(F.xxhash64(F.lower(F.regexp_replace(F.trim(text), r"\s+", " "))))
-    docs = df.select(F.col(id_col), F.col(source_col).cast("string").alias("source"), F.when(F.length(F.trim(text)) > 0, cluster).alias("cluster"), (tokens(text) + 1).alias("size"))
+    plain = F.trim(F.regexp_replace(text, r"\s+", " "))
+    cluster = F.col(cluster_col).cast("string") if cluster_col else F.hex(F.xxhash64(F.lower(plain)))
+    docs = df.select(F.col(id_col), F.col(source_col).cast("string").alias("source"), F.when(F.length(plain) > 0, cluster).alias("cluster"), (tokens(text) + 1).alias("size"))
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(capacity).cast("long")))
     pieces = docs.select("*", start.alias("piece_start"))
     pieces = pieces.select(id_col, "source", "cluster", (F.col("piece_start") / capacity).cast("int").alias("piece"), "piece_start", F.least(F.col("size") - F.col("piece_start"), F.lit(capacity).cast("long")).alias("n_tokens"))

@@ -232,6 +232,13 @@ def test_packing(docs, rows, none):
     assert packing.pack(none).count() == 0
 
 
+def test_white_space_hides_no_copies(spark):
+    data = [(i, t, None) for i, t in enumerate(["a copy", "\n a\tCopy", "a copy\t\r\n", "\t\n", "", " ", None])]
+    got = {r.doc_id: r for r in packing.pack(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()}
+    assert len({got[i].cluster for i in range(3)}) == 1 and len({got[i].bin_id for i in range(3)}) == 3
+    assert all(got[i].cluster is None for i in range(3, 7))
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     assert packing.best_fit([6, 5, 4, 3, 1], "abacd", [None] * 5, 10) == [0, 1, 1, 0, 0]
     assert packing.best_fit([6, 6, 4], ["a", "b", "a"], [None] * 3, 10) == [0, 1, 1]
