@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words of a text, as a Java and DuckDB pattern; ``bytes.split()`` splits alike.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,11 +22,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder on storage that the driver and all executors share.
 
-    It lies in ``spark.checkpoint.dir``.  Only where that is unset, as in local
-    tests, a temporary folder of this machine is set for the session.
+    It lies in ``spark.checkpoint.dir``.  Where that is unset, a local session
+    gets a temporary folder of this machine; a cluster is refused, as its
+    executors couldn't see one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         base = "file://" + tempfile.mkdtemp(prefix="tarnfold-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -69,6 +73,34 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared, and so chosen from by order."""
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, T.MapType | T.VariantType | T.CalendarIntervalType)
+
+
+def first_document(id_col: Column | str, text_hash: Column | str) -> Column:
+    """Orders documents by id, null ids last, and by their text's hash where ids repeat."""
+    return F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(text_hash).alias("th"))
+
+
+def only_documents(df: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` whose id and text's hash are in ``kept`` (``id``, ``th``), one of each.
+
+    A document is an id and a text: a repeated id with another text is another
+    document, and a null id is an id like any other.  Of rows that repeat both,
+    the least by all columns that have an order stays.
+    """
+    names = [F.col(f"`{c}`") for c in df.columns]
+    order = F.struct(*[F.col(f"`{f.name}`") for f in df.schema.fields if orderable(f.dataType)])
+    keyed = df.select(F.struct(*names).alias("row"), order.alias("by"), F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_th"))
+    found = keyed.join(kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th")), "left_semi")
+    return found.groupBy("own_id", "own_th").agg(F.min_by("row", "by").alias("row")).select("row.*")
+
+
 def connected_components(edges: DataFrame, path: str) -> DataFrame:
     """Smallest node of each node's component, by rounds of graph contraction.
 

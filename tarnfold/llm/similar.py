@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import binary, connected_components, materialize, sliced, workspace
+from ._shared import binary, connected_components, first_document, materialize, only_documents, sliced, workspace
 from .decontaminate import MIX, WordHashes, shingle_hashes
 
 #: Bits of a key, and the share of links at the threshold itself that no key may miss.
@@ -217,7 +217,7 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int) -> DataFrame:
-    """``id_col``, ``node`` (hash of the shingle set), ``n`` (distinct shingles) and ``fp`` (long fingerprint) of every row."""
+    """``id``, ``th`` (hash of the text), ``node`` (hash of the shingle set), ``n`` (distinct shingles) and ``fp`` (long fingerprint) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -225,10 +225,12 @@ def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int)
             sets = [shingle_set((t or b"").lower().split(), n_words, hashes) for t in binary(batch.column(1))]
             fps = [long_fingerprint(s, lanes) for s in sets]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps, pa.list_(pa.int64()))], names=[id_col, "node", "n", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fp", T.ArrayType(T.LongType()))])
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    longs = [T.StructField(c, T.LongType()) for c in ("th", "node", "n")]
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), *longs, T.StructField("fp", T.ArrayType(T.LongType()))])
+    return df.select(id_col, text_col, F.xxhash64(text_col).alias("th")).mapInArrow(run, schema)
 
 
 def _candidates(classes: DataFrame, segments: int, width: int, similarity: float) -> DataFrame:
@@ -457,98 +459,131 @@ def _links_to_blocks(asked: DataFrame, comps: DataFrame, sets: DataFrame, simila
     return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
 
 
-def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: float = 0.8, width: int = WIDTH) -> DataFrame:
-    """``id_col`` and ``component_id`` of every row with an id: groups of texts that links connect.
+def _near_pairs(classes: DataFrame, met: DataFrame, lanes: int, similarity: float) -> DataFrame:
+    """The pairs of ``met`` that may be similar by their sizes and their complete distance ``d``."""
+    one = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"))
+    two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"))
+    distance = reduce(lambda x, y: x + y, [F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(lanes)])
+    bounds = bounds_by_size(similarity, 64 * lanes).tolist()
+    at = F.least(F.least("na", "nb") + 1, F.lit(len(bounds))).cast("int")
+    sized = met.where("a <> b").join(one, "a").join(two, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
+    found = sized.select("a", "b", distance.alias("d"), F.element_at(F.array(*map(F.lit, bounds)), at).alias("bound"))
+    return found.where(F.col("d") <= F.col("bound"))
 
-    Two texts link if their sets of ``n_words``-word shingles have a Jaccard
-    similarity of ``similarity`` or more.  Texts are lower-cased in A-Z and cut
-    into words; a text of fewer words is one shingle; null and empty texts are
-    copies of each other.  A repeated row gives a row each time; rows without
-    an id are left out; extra columns are ignored.
 
-    Rows of one shingle set (by a hash of 64 bits) are a class, found by an
-    aggregation.  A class is entered under the radius-1 balls of each segment,
-    so two meet if a segment of theirs differs in two bits or fewer.  Texts of
-    few shingles, whose bits differ more, have more segments and wider bounds.  Under a
-    key every pair is taken if there are few, else each entry with its nearest,
-    in blocks.  Their complete distance is verified, then the shingles
-    themselves: first each class with its nearest, then, where a group is not
-    yet connected, the next nearest.  That joins most of each group, and what
-    is left is done whole: all pairs not yet read, and all pairs of entries of
-    large keys, whose groups still differ.  A class that has such a pair is
-    held against the shingles of the block of the other group that the pair
-    lies in, so that rows grow with blocks and not with pairs.
+def _nearest(near: DataFrame) -> DataFrame:
+    """Of each class the pair with its nearest."""
+    pair = F.struct("d", "a", "b")
+    by = near.select(F.col("a").alias("node"), pair.alias("e")).union(near.select("b", pair))
+    return by.groupBy("node").agg(F.min("e").alias("e")).select("e.a", "e.b").distinct()
 
-    At the threshold ``MISS`` of the links meet under no key, and a few exceed
-    ``SLACK``; no other link is lost.  ``width`` should grow with the logarithm
-    of the classes: 24 leaves a dozen entries a key at 8 million.
-    """
+
+def _still_apart(near: DataFrame, chosen: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs not read yet whose ends are in different groups."""
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    rest = near.join(chosen, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
+    return rest.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "d")
+
+
+def _blocks_of(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Classes with their groups, dealt into blocks of bounded texts and shingles."""
+    comps = classes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
+    sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("size") / TEXTS, F.col("shingles") / SHINGLES, F.lit(1)))
+    block = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("long")
+    return comps.join(sizes, "label").select("node", "label", "size", block.alias("block"), "n")
+
+
+def _blocks_met(near: DataFrame, comps: DataFrame) -> DataFrame:
+    """For each pair the class of the smaller group, and the other's group and block."""
+    one, two = (comps.select(*(F.col(c).alias(f"{c}_{end}") for c in comps.columns)).withColumnRenamed(f"node_{end}", end) for end in "ab")
+    less = F.struct("size_a", "label_a") < F.struct("size_b", "label_b")
+    to = [F.when(less, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(c) for c in ("label", "block")]
+    return near.join(one, "a").join(two, "b").select(F.when(less, F.col("a")).otherwise(F.col("b")).alias("node"), *to)
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, n_words: int, similarity: float, width: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's ``id``, ``th`` and ``node``; and each node's ``first``, the first document of its group."""
     path = workspace(df.sparkSession, "similar")
     segments = int(segments_by_size(similarity, width).max())
     lanes = max(LANES, math.ceil(segments * width / 64))
-    df = df.where(F.col(id_col).isNotNull())
     docs = materialize(_sketch(df, id_col, text_col, n_words, lanes), f"{path}/sketches")
-    classes = docs.groupBy("node").agg(F.min(F.struct(id_col, "n", "fp")).alias("c")).select("node", F.col(f"c.{id_col}").alias("first_id"), "c.n", "c.fp")
-    classes = materialize(classes, f"{path}/classes")
+    by_node = docs.groupBy("node").agg(F.min(F.struct(first_document("id", "th").alias("first"), "n", "fp")).alias("c"))
+    classes = materialize(by_node.select("node", "c.first", "c.n", "c.fp"), f"{path}/classes")
     met = materialize(_candidates(classes, segments, width, similarity), f"{path}/candidates")
-    found = met.where("a <> b")
-    one = classes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fp").alias("fa"))
-    two = classes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fp").alias("fb"))
-    distance = reduce(lambda x, y: x + y, [F.bit_count(F.col("fa")[i].bitwiseXOR(F.col("fb")[i])) for i in range(lanes)])
-    near = found.join(one, "a").join(two, "b").where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)
-    bounds = bounds_by_size(similarity, 64 * lanes).tolist()
-    bound = F.element_at(F.array(*map(F.lit, bounds)), F.least(F.least("na", "nb") + 1, F.lit(len(bounds))).cast("int"))
-    near = materialize(near.select("a", "b", distance.alias("d"), bound.alias("bound")).where(F.col("d") <= F.col("bound")), f"{path}/near")
+    near = materialize(_near_pairs(classes, met, lanes, similarity), f"{path}/near")
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
-        ends = nodes.join(classes, "node").select("node", F.col("first_id").alias(id_col))
-        texts = df.select(id_col, text_col).join(ends, id_col).dropDuplicates(["node"])
-        return materialize(_sets(texts, text_col, n_words), f"{path}/{name}")
+        # A class's own text, by id and text: a row that only repeats the id is another document.
+        ends = nodes.join(classes, "node").select("node", F.col("first.id").alias("first_id"), F.col("first.th").alias("first_th"))
+        texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+        own = texts.join(ends, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th")))
+        return materialize(_sets(own.dropDuplicates(["node"]), "text", n_words), f"{path}/{name}")
 
     sets = sets_of(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "sets")
     links = None
     for step in range(2):
-        by = near.select(F.col("a").alias("node"), F.struct("d", "a", "b").alias("e")).union(near.select("b", F.struct("d", "a", "b")))
-        chosen = by.groupBy("node").agg(F.min("e").alias("e")).select("e.a", "e.b").distinct()
-        chosen = materialize(chosen, f"{path}/chosen-{step}")
+        chosen = materialize(_nearest(near), f"{path}/chosen-{step}")
         passed = materialize(_verify(chosen, sets, similarity), f"{path}/passed-{step}")
         links = passed if links is None else links.union(passed)
         labels = connected_components(links, f"{path}/components-{step}")
-        left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        near = near.join(chosen, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
-        near = materialize(near.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "d"), f"{path}/near-{step}")
-    comps = classes.join(labels, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
-    sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    blocks = F.ceil(F.greatest(F.col("size") / TEXTS, F.col("shingles") / SHINGLES, F.lit(1)))
-    comps = comps.join(sizes, "label").select("node", "label", "size", F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("long").alias("block"), "n")
-    comps = materialize(comps, f"{path}/groups")
-    one, two = (comps.select(*(F.col(c).alias(f"{c}_{end}") for c in comps.columns)).withColumnRenamed(f"node_{end}", end) for end in "ab")
-    less = F.struct("size_a", "label_a") < F.struct("size_b", "label_b")
-    crossing = near.join(one, "a").join(two, "b").select(F.when(less, F.col("a")).otherwise(F.col("b")).alias("node"), *(F.when(less, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(c) for c in ("label", "block")))
+        near = materialize(_still_apart(near, chosen, labels), f"{path}/near-{step}")
+    comps = materialize(_blocks_of(classes, labels), f"{path}/groups")
     active = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
     active = classes.select("node", "fp").join(active.join(comps, "node"), "node")
     # Keys count active classes only here, so none is too small to be a large one.
-    asked = crossing.union(_apart(active, segments, width, similarity, small=1)).distinct()
+    asked = _blocks_met(near, comps).union(_apart(active, segments, width, similarity, small=1)).distinct()
     asked = materialize(asked, f"{path}/asked")
     asked_of = comps.join(asked.select("label", "block").distinct(), ["label", "block"], "left_semi").select("node")
     more = asked.select("node").union(asked_of).distinct().join(sets, "node", "left_anti")
     sets = sets.union(sets_of(more, "more-sets"))
     passed = materialize(_links_to_blocks(asked, comps, sets, similarity), f"{path}/passed-2")
     labels = connected_components(links.union(passed), f"{path}/components-2")
-    rooted = classes.select("node", "first_id").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
-    first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = materialize(rooted.join(first, "root").select("node", "component_id"), f"{path}/members")
-    return docs.select(id_col, "node").join(members, "node").select(id_col, "component_id")
+    rooted = classes.select("node", "first").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
+    first = rooted.groupBy("root").agg(F.min("first").alias("of_group"))
+    members = materialize(rooted.join(first, "root").select("node", F.col("of_group").alias("first")), f"{path}/members")
+    return docs.select("id", "th", "node"), members
+
+
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: float = 0.8, width: int = WIDTH) -> DataFrame:
+    """``id_col`` and ``component_id`` of every row: groups of texts that links connect, by their smallest id.
+
+    Two texts link if their sets of ``n_words``-word shingles have a Jaccard
+    similarity of ``similarity`` or more.  Texts are lower-cased in A-Z and cut
+    into words; a text of fewer words is one shingle; null and empty texts are
+    copies of each other.  A repeated row gives a row each time; a repeated id
+    with another text is another document; a null id links as any other and
+    names only groups that have no id.  Extra columns are ignored.
+
+    Rows of one shingle set (by a hash of 64 bits) are a class, found by an
+    aggregation.  A class is entered under the radius-1 balls of each segment,
+    so two meet if a segment of theirs differs in two bits or fewer.  Texts of
+    few shingles, whose bits differ more, have more segments and wider bounds.  Under a
+    key every pair is taken if there are few, else each entry with its nearest,
+    in blocks.  Their complete distance is verified, then the shingles
+    themselves: first each class with its nearest, then, where a group is not
+    yet connected, the next nearest.  That joins most of each group, and what
+    is left is done whole: all pairs not yet read, and all pairs of entries of
+    large keys, whose groups still differ.  A class that has such a pair is
+    held against the shingles of the block of the other group that the pair
+    lies in, so that rows grow with blocks and not with pairs.
+
+    At the threshold ``MISS`` of the links meet under no key, and a few exceed
+    ``SLACK``; no other link is lost.  ``width`` should grow with the logarithm
+    of the classes: 24 leaves a dozen entries a key at 8 million.
+    """
+    docs, members = _grouped(df, id_col, text_col, n_words, similarity, width)
+    return docs.join(members, "node").select(F.col("id").alias(id_col), F.col("first.id").alias("component_id"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``df`` with one row of each group of similar texts: that of the smallest id.
+    """``df`` with one document of each group of similar texts: that of the smallest id.
 
-    Rows without an id can't be told apart by it and all stay.  Of rows that
-    repeat a kept id one stays.
+    A document is an id and a text.  So a repeated id with an unlike text is
+    another document and stays, and a null id is an id, after all others.  Of
+    rows that repeat both, one stays: the least by all columns.  All columns
+    stay, whatever their names.
     """
-    found = similar_texts(df, id_col, text_col, n_words, similarity)
-    kept = found.select(F.col("component_id").alias(id_col)).distinct()
-    one = df.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return one.select(df.columns).unionByName(df.where(F.col(id_col).isNull()))
+    _, members = _grouped(df, id_col, text_col, n_words, similarity, WIDTH)
+    return only_documents(df, members.select("first.id", "first.th").distinct(), id_col, text_col)

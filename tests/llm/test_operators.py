@@ -259,15 +259,57 @@ def test_simhash(docs, rows, none):
     assert all(r.component_id == want[r.doc_id] for r in got if r.doc_id is not None)
     kept = simhash.keep_one(docs).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(set(want.values())) and sum(r.doc_id is None for r in kept) == 1
+    assert simhash.keep_one(none).count() == 0
+
+
+@pytest.mark.parametrize("module", [simhash, similar])
+def test_keep_one_loses_no_text(spark, module):
+    # Repeated ids with unlike texts, a null id, repeated rows, columns of clashing names and one without an order.
+    rng = random.Random(21)
+    one, two, three, four = (prose(rng, 40) for _ in range(4))
+    data = [(1, one, "p", 1, {"k": 1}), (1, two, "q", 2, None), (2, three, "r", 3, None), (5, two.upper(), "s", 4, None), (None, one, "t", 5, None), (None, four, "u", 6, None), (None, None, "v", 7, None), (9, "", "w", 8, None), (2, three, "r", 3, None), (2, three, "a", 3, None)]
+    want = sorted([(1, one, "p"), (1, two, "q"), (2, three, "a"), (None, four, "u"), (9, "", "w")], key=str)
+    for parts in (1, 5):
+        df = spark.createDataFrame(data, "doc_id long, text string, th string, node long, id map<string,int>").repartition(parts)
+        kept = module.keep_one(df)
+        assert kept.columns == df.columns and sorted([(r.doc_id, r.text, r.th) for r in kept.collect()], key=str) == want
+
+
+def test_simhash_of_null_ids(spark, none):
+    df = spark.createDataFrame([(None, "a b c"), (4, "a b c"), (None, "x y z w")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()} == {(None, 4), (4, 4), (None, None)}
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_multi_index_links_find_all(spark):
+def test_segment_tables_refuse_and_lose_nothing(spark, tmp_path):
+    rng = random.Random(10)
+    base = rng.getrandbits(64)
+    # A hot value in every segment, families, and pairs that share a segment but are far apart.
+    fps = {base ^ (rng.getrandbits(32) << 32 * (i % 2)) for i in range(400)} | {base ^ 1 << i for i in range(64)} | {base ^ (1 << i) ^ (1 << j) for i, j in combinations(range(0, 64, 7), 2)}
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    links = [(a, b) for a, b in combinations(signed, 2) if ((a ^ b) % (1 << 64)).bit_count() <= 2]
+    want = components(signed, links)
+    keys = {}
+    for segments in (2, 3, 4):
+        keys[segments] = {tuple(r) for r in simhash.ball_probes(df, segments, 2 // segments).select("fp", "key").collect()}
+        for hot in (3, 1000):
+            found = simhash.multi_index_links(df, f"file://{tmp_path}/{segments}-{hot}", segments, hot).collect()
+            assert all(((a ^ b) % (1 << 64)).bit_count() <= 2 for a, b in found) and components(signed, found) == want
+            if hot == 1000:
+                assert {frozenset(e) for e in found} == {frozenset(e) for e in links}
+    assert len({len(k) for k in keys.values()}) == 3
+    # Matches under a key are mostly far apart: the verification refuses them.
+    under = Counter(r.key for r in simhash.segment_tables(df, 2).collect())
+    assert sum(n * (n - 1) // 2 for n in under.values()) > 10 * len(links)
+
+
+def test_multi_index_links_find_all(spark, tmp_path):
     rng = random.Random(9)
     base = [rng.getrandbits(64) for _ in range(40)]
     fps = {x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for x in base for _ in range(12)}
     signed = {x - (1 << 64) if x >> 63 else x for x in fps}
-    links = simhash.multi_index_links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()
+    links = simhash.multi_index_links(spark.createDataFrame([(x,) for x in signed], "fp long"), f"file://{tmp_path}/links").collect()
     assert all(((a ^ b) % (1 << 64)).bit_count() <= 2 for a, b in links)
     assert components(signed, links) == components(signed, [(a, b) for a, b in combinations(signed, 2) if ((a ^ b) % (1 << 64)).bit_count() <= 2])
 
@@ -282,8 +324,8 @@ def test_similar_texts(spark, docs, rows, none):
     texts = {r[0]: r[1] for r in rows if r[0] is not None}
     want = components(texts, [(a, b) for a, b in combinations(texts, 2) if shingle_jaccard(texts[a], texts[b]) >= 0.8])
     got = similar.similar_texts(docs).collect()
-    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows if r[0] is not None)
-    assert all(r.component_id == want[r.doc_id] for r in got)
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    assert all(r.component_id == want.get(r.doc_id) for r in got)
     kept = similar.keep_one(docs)
     assert kept.columns == docs.columns
     kept = kept.collect()
