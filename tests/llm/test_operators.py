@@ -232,6 +232,49 @@ def test_packing(docs, rows, none):
     assert packing.pack(none).count() == 0
 
 
+def naive_best_fit(sizes, sources, clusters, capacity):
+    bins, out = [], {}
+    names = ({}, {})
+    for xs, own in zip((sources, clusters), names):
+        for x in xs:
+            own.setdefault(x, len(own))
+    rank = lambda x, own: -1 if x is None else own[x]
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], rank(sources[i], names[0]), rank(clusters[i], names[1]))):
+        fits = [b for b in bins if b[0] >= sizes[i] and (sources[i] is None or sources[i] not in b[2]) and (clusters[i] is None or clusters[i] not in b[3])]
+        b = min(fits, key=lambda b: (b[0], b[1]), default=None)
+        if b is None:
+            b = [capacity, len(bins), set(), set()]
+            bins.append(b)
+        b[0] -= sizes[i]
+        b[2].add(sources[i])
+        b[3].add(clusters[i])
+        out[i] = b[1]
+    return [out[i] for i in range(len(sizes))]
+
+
+def test_best_fit_is_the_naive_search():
+    rng = random.Random(31)
+    for _ in range(60):
+        n = rng.randint(0, 60)
+        sizes = [rng.choice((1, 2, 3, 5, 8, 13, 20)) for _ in range(n)]
+        sources = [rng.choice("abcd") if rng.random() < 0.8 else None for _ in range(n)]
+        clusters = [rng.choice("vwxyz") if rng.random() < 0.6 else None for _ in range(n)]
+        assert packing.best_fit(sizes, sources, clusters, 20) == naive_best_fit(sizes, sources, clusters, 20)
+    # Copies are placed in one search: a hundred thousand of them are no matter.
+    assert sorted(packing.best_fit([7] * 100_000, ["a"] * 100_000, ["c"] * 100_000, 20)) == list(range(100_000))
+
+
+def test_packing_in_groups_fills_as_one_group(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    bins = []
+    for group_pieces in (1 << 20, 1024):
+        got = packing.pack(docs, group_pieces=group_pieces).toPandas()
+        assert got.n_tokens.groupby(got.bin_id).sum().max() <= 2048 and not got[got.source.notna()].duplicated(["bin_id", "source"]).any()
+        bins.append(got.bin_id.nunique())
+    fill = [got.n_tokens.sum() / 2048 / n for n in bins]
+    assert fill[1] > fill[0] - 0.005
+
+
 def test_white_space_hides_no_copies(spark):
     data = [(i, t, None) for i, t in enumerate(["a copy", "\n a\tCopy", "a copy\t\r\n", "\t\n", "", " ", None])]
     got = {r.doc_id: r for r in packing.pack(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()}
