@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import binary, sliced
+from ._shared import binary, materialize, sliced, workspace
 
-#: Expected rows of the labelled sample and of the pool of unlabelled rows.
-LABELLED, POOL = 8000, 8000
-#: Rounds of exchange, and pseudo-labels that a view may give in one, as a share of the pool.
-ROUNDS, GIVEN = 4, 0.1
-#: Calibrated probability from which a pseudo-label counts as confident.
-CONFIDENT = 0.98
-META_SLOTS = 64
+#: Expected rows of the labelled sample.  All other rows are unlabelled ones, and all of them are in the exchange.
+LABELLED = 8000
+#: Rounds of exchange, and the share of rows that a view labels for the other in each, those it is surest of.
+ROUNDS, GIVEN = 4, 0.2
+#: Sums of tasks that are added up at once.
+FAN = 16
+META_SLOTS = 128
 
 
 def text_features(text: bytes) -> np.ndarray:
@@ -40,10 +42,10 @@ def text_features(text: bytes) -> np.ndarray:
 
 
 def meta_features(values: Sequence) -> np.ndarray:
-    """One slot for each metadata column's value, by hash; numbers count by their power of two."""
+    """One slot for each metadata column's value, by hash; numbers count by their half powers of two."""
     out = np.zeros(META_SLOTS, np.float32)
     for i, v in enumerate(values):
-        v = round(np.log2(abs(v) + 1)) if isinstance(v, int | float) and v == v else v
+        v = round(2 * np.log2(abs(v) + 1)) if isinstance(v, int | float) and v == v else v
         out[zlib.crc32(f"{i}={v}".encode()) % META_SLOTS] = 1
     return out
 
@@ -58,25 +60,40 @@ class Logistic:
     platt: tuple[float, float] = (1.0, 0.0)
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> Logistic:
+    def fit(cls, x: np.ndarray, y: np.ndarray, steps: int = 25) -> Logistic:
         x = x.astype(np.float64)
         mean, scale = x.mean(0), x.std(0)
         scale[scale < 1e-6] = 1.0
-        z = np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))])
-        w, reg = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
-        reg[-1] = 1e-6
+        self = cls(mean, scale, np.zeros(x.shape[1] + 1))
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            g = z.T @ (p - y) + reg * w
-            h = (z * np.maximum(p * (1 - p), 1e-5)[:, None]).T @ z + np.diag(reg)
-            step = np.linalg.solve(h, g)
-            w -= step
-            if np.abs(step).max() < 1e-4:
+            if np.abs(self.step(*self.sums(x, y, np.ones(len(x)), 1e-5))).max() < 1e-4:
                 break
-        return cls(mean, scale, w)
+        return self
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.hstack([np.clip((x - self.mean) / self.scale, -8, 8), np.ones((len(x), 1))])
+
+    def sums(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, least: float = 0.25) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature of the weighted log loss; they add up over rows, wherever these are.
+
+        A row's curvature is ``p * (1 - p)``, but ``least`` at least.  With a
+        quarter it is a bound of the true one everywhere, so that a step on it
+        never overshoots, however sure the model is of a row with another label.
+        """
+        z = self.standard(x)
+        p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
+        return z.T @ (weight * (p - y)), (z * (weight * np.maximum(p * (1 - p), least))[:, None]).T @ z
+
+    def step(self, gradient: np.ndarray, hessian: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+        """One Newton step on a curvature."""
+        reg = np.full(len(self.w), ridge)
+        reg[-1] = 1e-6
+        step = np.linalg.solve(hessian + np.diag(reg), gradient + reg * self.w)
+        self.w = self.w - step
+        return step
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -8, 8) @ self.w[:-1] + self.w[-1]
+        return self.standard(x) @ self.w
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Platt scaling on held-out rows, with Platt's smoothed targets."""
@@ -98,54 +115,27 @@ class Logistic:
         return np.clip(self.platt[0] * self.raw(x) + self.platt[1], -30, 30)
 
 
+def probability(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-logit))
+
+
+@dataclass
+class Round:
+    """One exchange: good and bad pseudo-labels that the text view gave, and the metadata view; and their weights."""
+
+    by_text: tuple[int, int]
+    by_meta: tuple[int, int]
+    weight_by_text: float
+    weight_by_meta: float
+
+
 @dataclass
 class CoTrained:
     """Two calibrated views and the prior log odds; ``views`` is empty without both classes."""
 
     views: list[Logistic]
     prior: float
-    given: list[tuple[int, int]]
-
-    @classmethod
-    def fit(cls, views: Sequence[np.ndarray], y: np.ndarray, pool: Sequence[np.ndarray], rounds: int = ROUNDS, confident: float = CONFIDENT, given: float = GIVEN) -> CoTrained:
-        """``views``: each view's features of the labelled rows; ``pool``: of unlabelled rows.
-
-        A quarter of the labelled rows is set aside for calibration.  In each
-        round both views are fitted on their own labels, calibrated, and give
-        pseudo-labels for the pool rows they are most sure of, in the classes'
-        proportion, to the other view.
-        """
-        y = y.astype(np.float64)
-        aside = np.arange(len(y)) % 4 == 3
-        if min((y[aside] > 0).sum(), (y[aside] <= 0).sum(), (y[~aside] > 0).sum(), (y[~aside] <= 0).sum()) < 1:
-            return cls([], 0.0, [])
-        share = y.mean()
-        pseudo: list[dict[int, float]] = [{}, {}]
-        fitted: list[Logistic] = []
-        told = []
-        for step in range(rounds + 1):
-            fitted = []
-            for v in (0, 1):
-                own = sorted(pseudo[v])
-                x = np.vstack([views[v][~aside], pool[v][own]]) if own else views[v][~aside]
-                m = Logistic.fit(x, np.concatenate([y[~aside], [pseudo[v][i] for i in own]]))
-                m.calibrate(views[v][aside], y[aside])
-                fitted.append(m)
-            if step == rounds or not len(pool[0]):
-                break
-            counts = []
-            for v, other in ((0, 1), (1, 0)):
-                p = 1 / (1 + np.exp(-fitted[v].logit(pool[v])))
-                free = np.array([i not in pseudo[other] for i in range(len(p))])
-                n = 0
-                for label, sure, part in ((1.0, p, share), (0.0, 1 - p, 1 - share)):
-                    best = np.flatnonzero(free & (sure >= confident))
-                    best = best[np.argsort(-sure[best], kind="stable")][: int(np.ceil(given * len(p) * part))]
-                    pseudo[other].update((int(i), label) for i in best)
-                    n += len(best)
-                counts.append(n)
-            told.append((counts[0], counts[1]))
-        return cls(fitted, float(np.log(share / (1 - share))), told)
+    rounds: list[Round]
 
     def scores(self, views: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each view's calibrated probability and the combined one, views taken as independent given the class."""
@@ -153,7 +143,95 @@ class CoTrained:
             one = np.ones(len(views[0]))
             return one, one, one
         a, b = (m.logit(x) for m, x in zip(self.views, views, strict=True))
-        return tuple(1 / (1 + np.exp(-z)) for z in (a, b, np.clip(a + b - self.prior, -30, 30)))
+        return tuple(probability(z) for z in (a, b, np.clip(a + b - self.prior, -30, 30)))
+
+
+@dataclass
+class Exchange:
+    """What a round needs to know to give pseudo-labels: the views, and from which logits each is sure.
+
+    A view gives a label where its calibrated logit is beyond a quantile of its
+    logits on held-out labelled rows: the share ``GIVEN`` of rows that it is
+    surest of, in the classes' proportion.  So a weak view, too, has rows that
+    it is surest of.  A label weighs what its calibrated probability exceeds the
+    class's share by, so that a view that knows little says little.
+    """
+
+    views: list[Logistic]
+    share: float
+    bounds: list[tuple[float, float]]
+
+    @classmethod
+    def plan(cls, views: list[Logistic], aside: Sequence[np.ndarray], share: float, given: float) -> Exchange:
+        logits = [cls.settled(m.logit(x)) for m, x in zip(views, aside, strict=True)]
+        return cls(views, share, [(float(np.quantile(z, given * (1 - share))), float(np.quantile(z, 1 - given * share))) for z in logits])
+
+    @staticmethod
+    def settled(logits: np.ndarray) -> np.ndarray:
+        """Without the last digits, in which equal rows may differ by the batch they are in."""
+        return np.round(logits, 7)
+
+    def labels(self, v: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, labels and weights of the rows that view ``v`` is sure of."""
+        z, (low, high) = self.settled(self.views[v].logit(x)), self.bounds[v]
+        good, bad = z >= high, z <= low
+        at = np.flatnonzero(good ^ bad)
+        p, y = probability(z[at]), good[at].astype(np.float64)
+        sure, prior = np.where(y > 0, p, 1 - p), np.where(y > 0, self.share, 1 - self.share)
+        return at, y, np.maximum(0.0, (sure - prior) / (1 - prior))
+
+    def sums(self, batches: Iterator[Sequence[np.ndarray]]) -> np.ndarray:
+        """Over unlabelled rows, in one array: labels given and their weight by view, and what they add to the other view."""
+        sizes = [len(m.w) for m in self.views]
+        counts = np.zeros(6)
+        parts = [(np.zeros(n), np.zeros((n, n))) for n in sizes]
+        for x in batches:
+            for v, other in ((0, 1), (1, 0)):
+                at, y, weight = self.labels(v, x[v])
+                counts[3 * v : 3 * v + 3] += (y > 0).sum(), (y <= 0).sum(), weight.sum()
+                for total, more in zip(parts[other], self.views[other].sums(x[other][at], y, weight), strict=True):
+                    total += more
+        return np.concatenate([counts, *(a.ravel() for pair in parts for a in pair)])
+
+    def opened(self, sums: np.ndarray) -> tuple[Round, list[tuple[np.ndarray, np.ndarray]]]:
+        """The round's numbers, and each view's gradient and Hessian."""
+        c, at, parts = sums[:6], 6, []
+        for m in self.views:
+            n = len(m.w)
+            parts.append((sums[at : at + n], sums[at + n : at + n + n * n].reshape(n, n)))
+            at += n + n * n
+        return Round((int(c[0]), int(c[1])), (int(c[3]), int(c[4])), float(c[2]), float(c[5])), parts
+
+
+def co_train(views: Sequence[np.ndarray], y: np.ndarray, unlabelled: Callable[[Exchange], np.ndarray], rounds: int = ROUNDS, given: float = GIVEN) -> CoTrained:
+    """Fit both views on the labelled rows, then exchange pseudo-labels over rounds.
+
+    ``views`` are each view's features of the labelled rows, ``unlabelled`` sums
+    an exchange over all others.  A quarter of the labelled rows is set aside
+    for calibration.  In a round each view labels for the other the rows that it
+    is surest of; each takes a step on its labelled rows and what it was
+    given, which together weigh no more than the labelled ones; and both are
+    calibrated again.
+    """
+    y = y.astype(np.float64)
+    aside = np.arange(len(y)) % 4 == 3
+    if min((y[aside] > 0).sum(), (y[aside] <= 0).sum(), (y[~aside] > 0).sum(), (y[~aside] <= 0).sum()) < 1:
+        return CoTrained([], 0.0, [])
+    share, told = float(y.mean()), []
+    own, own_y, held, held_y = [x[~aside] for x in views], y[~aside], [x[aside] for x in views], y[aside]
+    fitted = [Logistic.fit(x, own_y) for x in own]
+    for m, x in zip(fitted, held, strict=True):
+        m.calibrate(x, held_y)
+    for _ in range(rounds):
+        exchange = Exchange.plan(fitted, held, share, given)
+        told_now, parts = exchange.opened(unlabelled(exchange))
+        told.append(told_now)
+        for m, x, x_held, (gradient, hessian), weight in zip(fitted, own, held, parts, (told_now.weight_by_meta, told_now.weight_by_text), strict=True):
+            scale = len(own_y) / max(len(own_y), weight)
+            g, h = m.sums(x, own_y, np.ones(len(x)))
+            m.step(g + scale * gradient, h + scale * hessian)
+            m.calibrate(x_held, held_y)
+    return CoTrained(fitted, float(np.log(share / (1 - share))), told)
 
 
 def features(batch: pa.RecordBatch, text_at: int, meta_at: Sequence[int]) -> list[np.ndarray]:
@@ -162,20 +240,39 @@ def features(batch: pa.RecordBatch, text_at: int, meta_at: Sequence[int]) -> lis
     return [text, meta.reshape(batch.num_rows, META_SLOTS)]
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), label_col: str = "quality", labelled: int = LABELLED, pool: int = POOL) -> CoTrained:
-    """Co-train on about ``labelled`` labelled rows and ``pool`` others, chosen by hash of the id.
+def unpacked(batch: pa.RecordBatch, columns: Sequence[str] = ("text", "meta")) -> list[np.ndarray]:
+    """The views' features of packed rows."""
+    return [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.float32).reshape(batch.num_rows, -1) for c in columns]
 
-    A document with several labels has the least; null labels and ids don't count.
-    """
+
+def summed(rows: DataFrame, exchange: Exchange) -> np.ndarray:
+    """An exchange over all packed rows: summed in each task, then ``FAN`` tasks at a time until few are left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = exchange.sums(unpacked(b.slice(at, 4096)) for b in batches for at in range(0, b.num_rows, 4096))
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        arrays = [np.frombuffer(x.as_py(), np.float64) for x in table["sums"]]
+        return pa.table({"part": table["part"][:1], "sums": pa.array([np.sum(arrays, axis=0).tobytes()], pa.binary())})
+
+    parts, n = rows.mapInArrow(run, "part long, sums binary"), rows.rdd.getNumPartitions()
+    while n > 1:
+        n = math.ceil(n / FAN)
+        parts = parts.groupBy(F.floor(F.col("part") / FAN).alias("of")).applyInArrow(add, "part long, sums binary").select(F.floor(F.col("part") / FAN).alias("part"), "sums")
+    found = [np.frombuffer(r["sums"], np.float64) for r in parts.collect()]
+    return np.sum(found, axis=0) if found else exchange.sums(iter(()))
+
+
+def packed_rows(docs: DataFrame, labels: DataFrame, path: str, id_col: str, text_col: str, meta_cols: Sequence[str], label_col: str, labelled: int) -> DataFrame:
+    """Every document's ``id``, packed features ``text`` and ``meta``, and its label ``y`` if it is in the labelled sample."""
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("double").alias("y"))
-    n_marks, n_docs = marks.count(), docs.count()
     cut = 1 << 30
     at = F.pmod(F.xxhash64("id", F.lit("labelled")), F.lit(cut))
-    chosen = marks.where(at < int(cut * min(1.0, labelled / max(1, n_marks)))).withColumn("y", F.when(F.col("y") > 0, 1.0).otherwise(0.0))
-    spare = F.pmod(F.xxhash64("id", F.lit("pool")), F.lit(cut)) < int(cut * min(1.0, pool / max(1, n_docs)))
-    n_meta = len(meta_cols)
+    chosen = marks.where(at < int(cut * min(1.0, labelled / max(1, marks.count())))).withColumn("y", F.when(F.col("y") > 0, 1.0).otherwise(0.0))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"m{i}") for i, c in enumerate(meta_cols)])
-    rows = rows.join(F.broadcast(chosen), "id", "left").where(F.col("y").isNotNull() | spare)
+    rows = rows.join(F.broadcast(chosen), "id", "left")
+    n_meta = len(meta_cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -184,20 +281,33 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 packed = [pa.array([x.tobytes() for x in v], pa.binary()) for v in views]
                 yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *packed, batch.column(batch.num_columns - 1)], names=["id", "text", "meta", "y"])
 
-    found = rows.mapInArrow(run, "id string, text binary, meta binary, y double").toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
-    y = np.array(found["y"].to_pylist(), np.float64)
-    known = ~np.isnan(y)
-    if not known.any():
+    return materialize(rows.mapInArrow(run, "id string, text binary, meta binary, y double"), f"{path}/features")
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained:
+    """Co-train on about ``labelled`` labelled rows, chosen by hash of the id, and all others.
+
+    A document with several labels has the least; null labels and ids don't
+    count.  Rows that repeat an id are rows each; ties at a bound are all given.
+    Extra columns are ignored.  Without rows of both classes the model has no
+    views and scores all rows 1.  Features are written once; a round reads them
+    in parallel and adds up gradients, so that the driver sees sums only.
+    """
+    rows = packed_rows(docs, labels, workspace(docs.sparkSession, "cotraining"), id_col, text_col, meta_cols, label_col, labelled)
+    found = rows.where("y IS NOT NULL").toArrow().sort_by([("id", "ascending"), ("text", "ascending"), ("meta", "ascending")])
+    if not found.num_rows:
         return CoTrained([], 0.0, [])
-    views = [np.frombuffer(b"".join(found[c].to_pylist()), np.float32).reshape(len(y), -1) for c in ("text", "meta")]
-    return CoTrained.fit([v[known] for v in views], y[known], [v[~known] for v in views])
+    rest = rows.where("y IS NULL").select("text", "meta")
+    return co_train(unpacked(found), found["y"].to_numpy(), lambda exchange: summed(rest, exchange), rounds)
 
 
 def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), threshold: float = 0.5) -> DataFrame:
     """``id_col``, ``text_score``, ``meta_score``, ``quality_score``, ``kept`` of every row.
 
-    Scores are probabilities of good quality.  Null and empty texts are scored
-    by what they are: a text without bytes.  Null metadata is a value of its own.
+    Scores are probabilities of good quality; a score of ``threshold`` is kept.
+    Null and empty texts are scored by what they are: a text without bytes.
+    Null metadata is a value of its own.  Texts are read whole, however long.
+    Repeated rows and null ids are scored each; extra columns are ignored.
     """
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *[T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "quality_score")], T.StructField("kept", T.BooleanType())])
 
@@ -211,7 +321,10 @@ def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: s
 
 
 def keep_good(docs: DataFrame, model: CoTrained, text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), threshold: float = 0.5) -> DataFrame:
-    """``docs`` without those scored below ``threshold``; all columns stay."""
+    """``docs`` without those scored below ``threshold``; all columns stay, whatever their names.
+
+    Nulls, empty and long texts and repeated rows are as in ``score``.
+    """
     text_at, meta_at = docs.columns.index(text_col), [docs.columns.index(c) for c in meta_cols]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -232,6 +232,47 @@ def test_packing(docs, rows, none):
     assert packing.pack(none).count() == 0
 
 
+def test_cotraining_round_is_the_plain_sum(spark, monkeypatch):
+    # The distributed round against one that goes row by row in one place.
+    rng = random.Random(41)
+    data = [(i, prose(rng, rng.randint(5, 90)) + " %%" * (4 * (i % 3 == 0)), "en", f"s{i % 2 if i % 5 else i % 3}", 50 * (1 + i % 3)) for i in range(900)]
+    data.append((900, prose(rng, 30_000), None, None, None))
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    labels = spark.createDataFrame([(i, int(bool(i % 3) ^ (i % 11 == 0))) for i in range(300)], "doc_id long, quality int")
+    monkeypatch.setattr(cotraining, "FAN", 3)
+    rows = [(str(r[0]), cotraining.text_features(r[1].encode()), cotraining.meta_features(r[2:])) for r in data]
+    known = sorted((i, t.tobytes(), m.tobytes()) for i, t, m in rows if int(i) < 300)
+    y = np.array([int(bool(int(i) % 3) ^ (int(i) % 11 == 0)) for i, _, _ in known], float)
+    views = [np.array([np.frombuffer(r[k], np.float32) for r in known]) for k in (1, 2)]
+    pool = [r for r in rows if int(r[0]) >= 300]
+
+    def one_by_one(exchange):
+        out = 0.0
+        for _, t, m in pool:
+            out = out + exchange.sums(iter([[t[None], m[None]]]))
+        return out
+
+    want = cotraining.co_train(views, y, one_by_one)
+    got = cotraining.train(df, labels)
+    assert [(r.by_text, r.by_meta) for r in got.rounds] == [(r.by_text, r.by_meta) for r in want.rounds]
+    assert all(np.allclose(a.w, b.w, atol=1e-6) and np.allclose(a.platt, b.platt) for a, b in zip(got.views, want.views, strict=True))
+    # And the sums of one row against the formula.
+    exchange = cotraining.Exchange.plan(want.views, views, float(y.mean()), 0.9)
+    _, t, m = next(r for r in pool if len(exchange.labels(0, r[1][None])[0]))
+    (_, (label,), (weight,)), meta = exchange.labels(0, t[None]), want.views[1]
+    z = np.append(np.clip((m - meta.mean) / meta.scale, -8, 8), 1)
+    p = 1 / (1 + np.exp(-z @ meta.w))
+    _, parts = exchange.opened(exchange.sums(iter([[t[None], m[None]]])))
+    assert np.allclose(parts[1][0], weight * (p - label) * z) and np.allclose(parts[1][1], weight * 0.25 * np.outer(z, z))
+
+
+def test_both_views_give_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    model = cotraining.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert len(model.rounds) == cotraining.ROUNDS
+    assert all(min(*r.by_text, *r.by_meta) > 0 and r.weight_by_text > 0 and r.weight_by_meta > 0 for r in model.rounds)
+
+
 def naive_best_fit(sizes, sources, clusters, capacity):
     bins, out = [], {}
     names = ({}, {})
