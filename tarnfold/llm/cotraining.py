@@ -153,8 +153,9 @@ class Exchange:
     A view gives a label where its calibrated logit is beyond a quantile of its
     logits on held-out labelled rows: the share ``GIVEN`` of rows that it is
     surest of, in the classes' proportion.  So a weak view, too, has rows that
-    it is surest of.  A label weighs what its calibrated probability exceeds the
-    class's share by, so that a view that knows little says little.
+    it is surest of.  A label weighs the square of what its calibrated probability
+    exceeds the class's share by, as a part of what it could, so that a view
+    that knows little says little: the noise of weak labels grows as that square.
     """
 
     views: list[Logistic]
@@ -178,7 +179,7 @@ class Exchange:
         at = np.flatnonzero(good ^ bad)
         p, y = probability(z[at]), good[at].astype(np.float64)
         sure, prior = np.where(y > 0, p, 1 - p), np.where(y > 0, self.share, 1 - self.share)
-        return at, y, np.maximum(0.0, (sure - prior) / (1 - prior))
+        return at, y, np.maximum(0.0, (sure - prior) / (1 - prior)) ** 2
 
     def sums(self, batches: Iterator[Sequence[np.ndarray]]) -> np.ndarray:
         """Over unlabelled rows, in one array: labels given and their weight by view, and what they add to the other view."""
