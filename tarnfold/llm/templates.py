@@ -1,26 +1,41 @@
-"""HTML extraction by equivalence-class template deduction (operator 10)."""
+"""HTML extraction by equivalence-class template deduction (operator 10).
+
+A page's template tokens are its tags, told apart by the containers about them,
+and its whole blocks of text.  Tokens of one container that have the same
+occurrence vector over a host's pages are an equivalence class.  Classes that
+are frequent, large and ordered are valid; valid containers, nested, are the
+host's template.  Text belongs to the slot of the innermost template container
+about it.  The main text is what the slots under the template's main container
+hold, but for blocks that the template itself repeats.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialize, workspace
+from ._shared import materialize, sliced, workspace
 from .urls import host_of
 
-#: Means of a template group: pages of one host that are deduced together.
-GROUP_PAGES, GROUP_CHARS = 64, 8 << 20
-
-#: Share of a group's different pages from which a slot's content counts as alike on all.
-ALIKE = 0.9
+#: Share of a host's different pages, two at least, that a class must occur in, and tokens that it must have.
+SUPPORT, LARGE = 0.005, 2
+#: Share of the different pages with a slot, and their least number, on which a block is alike to be the template's own.
+ALIKE, ALIKE_PAGES = 0.9, 5
+#: Share of a slot's text that a container inside must hold to be gone into, and how much a telling name counts.
+MOST, NAMED = 0.7, 8
+#: Paths and pages that a task remembers at once.
+MEMO = 100_000
 
 # Elements by their part in a page.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -42,20 +57,27 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 @dataclass
-class Run:
-    """A run of text: its container path, and whether a block begins before it."""
+class Page:
+    """A page cut into template tokens and blocks of text.
 
-    path: tuple[str, ...]
-    text: str
-    breaks: bool
+    ``tags`` has each tag token's count, first place and container, ``paths``
+    every container's path by its token, and ``blocks`` the container, text and
+    characters within links of each block, in page order.
+    """
 
+    tags: dict[int, tuple[int, int, int]] = field(default_factory=dict)
+    paths: dict[int, tuple[str, ...]] = field(default_factory=dict)
+    blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
-@dataclass
-class Page:
-    """A page as template tokens, which are tags told apart by their container path, and runs of text."""
 
-    tags: list[tuple[tuple[str, ...], str]] = field(default_factory=list)
-    runs: list[Run] = field(default_factory=list)
+class PathTokens(dict):
+    """Tokens of container paths, and of tags within them; forgets all when full."""
+
+    def __missing__(self, key: tuple) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        self[key] = h = xxhash.xxh64_intdigest("\x1f".join(map(str, key))) - (1 << 63)
+        return h
 
 
 def signature(name: str, attributes: str) -> str:
@@ -64,15 +86,42 @@ def signature(name: str, attributes: str) -> str:
     return " ".join([name, *words])
 
 
+TOKENS = PathTokens()
+ROOT = TOKENS[()]
+
+
+def block_token(container: int, text: str) -> int:
+    return xxhash.xxh64_intdigest(text, container & ((1 << 64) - 1)) - (1 << 63)
+
+
 def parse(source: str) -> Page:
-    """Cut a page into tags and runs of text; unclosed and cut-off tags do no harm."""
-    page, stack, at, breaks = Page(), [], 0, True
+    """Cut a page into tags and blocks; unclosed and cut-off tags do no harm."""
+    page, stack, at = Page(paths={ROOT: ()}), [], 0
+    counts: dict[int, list[int]] = {}
+    parts: list[str] = []
+    links, in_link, container = 0, False, ROOT
 
     def text(end: int) -> None:
-        nonlocal breaks
+        nonlocal links
         if end > at:
-            page.runs.append(Run(tuple(stack), source[at:end], breaks))
-            breaks = False
+            parts.append(source[at:end])
+            links += (end - at) * in_link
+
+    def close_block() -> None:
+        nonlocal links
+        if parts:
+            words = " ".join(html.unescape("".join(parts)).split())
+            if words:
+                page.blocks.append((container, words, min(links, len(words))))
+            parts.clear()
+        links = 0
+
+    def tag(token: int, owner: int) -> None:
+        own = counts.get(token)
+        if own is None:
+            counts[token] = [1, len(counts), owner]
+        else:
+            own[0] += 1
 
     pos = 0
     while m := TOKEN.search(source, pos):
@@ -83,20 +132,32 @@ def parse(source: str) -> Page:
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if name not in INLINE:
-            breaks = True
+            close_block()
+            in_link = False
+        elif name == "a":
+            in_link = not closing
         if name in RAW and not closing and not attributes.endswith("/"):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, pos)
             pos = at = end.end() if end else len(source)
-        page.tags.append((tuple(stack), ("/" if closing else "") + name))
-        if name in CONTAINERS:
-            if not closing:
-                stack.append(signature(name, attributes))
-            else:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].partition(" ")[0] == name:
-                        del stack[i:]
-                        break
+        if name not in CONTAINERS:
+            tag(TOKENS[container, closing, name], container)
+        elif not closing:
+            stack.append(signature(name, attributes))
+            path = tuple(stack)
+            container = TOKENS[path]
+            page.paths.setdefault(container, path)
+            tag(container, container)
+        else:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i].partition(" ")[0] == name:
+                    owner = TOKENS[tuple(stack[: i + 1])]
+                    tag(TOKENS[owner, closing, name], owner)
+                    del stack[i:]
+                    container = TOKENS[tuple(stack)]
+                    break
     text(len(source))
+    close_block()
+    page.tags = {token: tuple(own) for token, own in counts.items()}
     return page
 
 
@@ -114,130 +175,241 @@ def is_aside(path: Sequence[str]) -> bool:
     return False
 
 
-def equivalence_classes(pages: Sequence[Page]) -> dict[tuple[int, ...], list[tuple[tuple[str, ...], str]]]:
-    """Template tokens grouped by their occurrence vectors: how often they are in each page."""
-    counts = [Counter(p.tags) for p in pages]
-    groups: dict[tuple[int, ...], list[tuple[tuple[str, ...], str]]] = defaultdict(list)
-    for token in dict.fromkeys(t for p in pages for t in p.tags):
-        groups[tuple(c[token] for c in counts)].append(token)
-    return groups
+def text_key(page: Page) -> int:
+    """The same for pages that have the same text outside of what is named as something else: copies count once."""
+    texts = sorted({(c, t) for c, t, _ in page.blocks if not is_aside(page.paths[c])})
+    return xxhash.xxh64_intdigest("\x1e".join(f"{c} {t}" for c, t in texts)) - (1 << 63)
 
 
-def template(pages: Sequence[Page]) -> dict[tuple[str, ...], tuple[int, ...]]:
-    """The nested template: each container path that a valid class opens, with its occurrence vector.
+@dataclass
+class Template:
+    """A host's template.
 
-    A class is valid if its tokens come in the same order in every page that has
-    them, and it nests if each path that it opens lies in a path of a class that
-    occurs in every page where it does.
+    ``slots`` has, for each frequent container, whether it is in a valid class,
+    the different pages that have it and the characters of text right in it that
+    isn't the template's; ``alike`` has the tokens of the template's own blocks.
     """
-    valid: dict[tuple[str, ...], tuple[int, ...]] = {(): (1,) * len(pages)}
-    first = [{t: i for i, t in reversed(list(enumerate(p.tags)))} for p in pages]
-    for vector, found in sorted(equivalence_classes(pages).items(), key=lambda g: -sum(map(bool, g[0]))):
-        order = None
-        for places, n in zip(first, vector, strict=True):
-            if n:
-                own = sorted(found, key=places.__getitem__)
-                if order is not None and own != order:
-                    break
-                order = own
-        else:
-            for path, _ in found:
-                valid.setdefault(path, vector)
-    return {p: v for p, v in valid.items() if all(p[:i] in valid and all(a >= bool(b) for a, b in zip(valid[p[:i]], v, strict=True)) for i in range(len(p)))}
-
-
-def main_slots(pages: Sequence[Page], frame: dict[tuple[str, ...], tuple[int, ...]]) -> set[tuple[str, ...]]:
-    """Paths of the template slots that hold the main text.
 
-    These are the slots of article or main elements, or else of containers named
-    so, or else the slot with most text that isn't alike on all pages.
+    slots: dict[int, tuple[bool, int, int]] = field(default_factory=dict)
+    alike: frozenset[int] = frozenset()
+
+    def packed(self) -> bytes:
+        rows = [x for c, (valid, pages, chars) in self.slots.items() for x in (c, int(valid), pages, chars)]
+        return struct.pack(f"<q{len(rows) + len(self.alike)}q", len(rows), *rows, *self.alike)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Template:
+        x = np.frombuffer(data, "<i8").tolist()
+        rows = x[1 : 1 + x[0]]
+        return cls({rows[i]: (bool(rows[i + 1]), rows[i + 2], rows[i + 3]) for i in range(0, len(rows), 4)}, frozenset(x[1 + x[0] :]))
+
+
+def deduce(pages: Sequence[Page]) -> Template:
+    """The template of some pages of one host, in one place; ``deduce_hosts`` does the same over a table."""
+    different = list({text_key(p): p for p in pages}.values())
+    vectors = {t: tuple(p.tags[t][0] if t in p.tags else 0 for p in different) for p in different for t in p.tags}
+    owners = {t: own[2] for p in different for t, own in p.tags.items()}
+    sizes = Counter(vectors.values())
+    classes: dict[tuple, list[int]] = defaultdict(list)
+    for token, vector in vectors.items():
+        classes[owners[token], vector].append(token)
+    least = max(2, SUPPORT * len(different)) if len(different) > 1 else 1
+    valid = set()
+    for (_, vector), tokens in classes.items():
+        orders = {tuple(sorted(tokens, key=lambda t: p.tags[t][1])) for p, n in zip(different, vector, strict=True) if n}
+        if sizes[vector] >= LARGE and len(orders) == 1:
+            valid.update(tokens)
+    support = {t: sum(map(bool, v)) for t, v in vectors.items()}
+    containers = {c for p in different for c in p.paths if c != ROOT}
+    blocks: Counter = Counter()
+    chars: Counter = Counter()
+    owner_of = {}
+    for p in different:
+        for c, text, _ in p.blocks:
+            owner_of[block_token(c, text)] = c
+            chars[block_token(c, text)] += len(text)
+        blocks.update({block_token(c, text) for c, text, _ in p.blocks})
+    pages_with = lambda c: len(different) if c == ROOT else support[c]
+    alike = frozenset(b for b, n in blocks.items() if n >= max(ALIKE_PAGES, ALIKE * pages_with(owner_of[b])))
+    own: Counter = Counter()
+    for b, n in chars.items():
+        if b not in alike:
+            own[owner_of[b]] += n
+    slots = {c: (c in valid, support[c], own[c]) for c in containers if support[c] >= least}
+    return Template({ROOT: (True, len(different), own[ROOT])} | slots, alike)
+
+
+def main_container(page: Page, slot_of: dict[int, int], weight: Counter) -> tuple[str, ...]:
+    """The path of the template container whose slots hold the main text.
+
+    From the root on, the container is gone into that holds most of the text of
+    the slot, over the host's pages; one that is named as main text counts
+    ``NAMED`` times, and one that is named as something else doesn't count.
     """
-    paths = dict.fromkeys(r.path for p in pages for r in p.runs)
-    usable = [p for p in paths if not is_aside(p)]
-    for test in (lambda part: part.partition(" ")[0] == "article", lambda part: part.partition(" ")[0] == "main" or "main" in part.split(" ")[1:], lambda part: bool(MAIN_WORDS.intersection(part.split(" ")[1:]))):
-        found = {p for p in usable if any(map(test, p))}
-        if found:
-            return found
-    weight: Counter = Counter()
-    seen: Counter = Counter(t for p in pages for t in {(r.path, r.text.strip()) for r in p.runs})
-    for p in pages:
-        for r in p.runs:
-            if not is_aside(r.path) and (len(pages) < 3 or seen[r.path, r.text.strip()] < len(pages)):
-                weight[r.path] += len(r.text.strip())
-    if not weight:
-        return set()
-    best = max(weight, key=lambda p: (weight[p], -len(p)))
-    while best and best not in frame:
-        best = best[:-1]
-    return {p for p in usable if p[: len(best)] == best}
-
-
-def shared_slots(pages: Sequence[Page], slots: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
-    """Those main slots whose content is alike on nearly all pages: the template's own text, whatever its name.
-
-    Pages of the same main text count once, so that copied articles aren't taken
-    for template, and fewer than three different ones tell nothing.
+    slots = {page.paths[s]: s for s in set(slot_of.values()) if not is_aside(page.paths[s])}
+    total: Counter = Counter()
+    for path, s in slots.items():
+        for i in range(len(path) + 1):
+            total[path[:i]] += weight[s]
+    at: tuple[str, ...] = ()
+    while True:
+        inside = {path[:n] for path in slots if len(path) > len(at) and path[: len(at)] == at for n in range(len(at) + 1, len(path) + 1)}
+        inside = [p for p in inside if total[p] and not any(len(q) < len(p) and p[: len(q)] == q for q in inside)]
+        if not inside:
+            return at
+        named = {p: p[-1].partition(" ")[0] in MAIN or bool(MAIN_WORDS.intersection(p[-1].split(" ")[1:])) for p in inside}
+        best = max(inside, key=lambda p: (total[p] * (NAMED if named[p] else 1), p))
+        if not named[best] and total[best] < MOST * total[at]:
+            return at
+        at = best
+
+
+def main_text(page: Page, template: Template) -> str:
+    """What the slots of the main text hold, block by block.
+
+    A container that the template doesn't know, as on a page unlike the host's
+    others, is a slot if it is one by the page alone.
     """
-    distinct = set()
-    for page in pages:
-        texts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-        for r in page.runs:
-            if r.path in slots:
-                texts[r.path] += r.text.split()
-        distinct.add(frozenset((path, " ".join(words)) for path, words in texts.items() if words))
-    distinct.discard(frozenset())
-    seen = Counter(content for page in distinct for content in page)
-    return {path for (path, _), n in seen.items() if len(distinct) >= 3 and n >= ALIKE * len(distinct)}
+    alone: Template | None = None
+    slot_of: dict[int, int] = {}
+    for container, path in page.paths.items():
+        slot = ROOT
+        for i in range(1, len(path) + 1):
+            part = TOKENS[path[:i]]
+            known = template.slots.get(part)
+            if known is None:
+                alone = alone or deduce([page])
+                known = alone.slots.get(part)
+            if known is None or not known[0]:
+                break
+            slot = part
+        slot_of[container] = slot
+    here = Counter()
+    for c, text, _ in page.blocks:
+        here[c] += len(text) * (block_token(c, text) not in template.alike)
+    weight: Counter = Counter()
+    for c, slot in slot_of.items():
+        _, pages, chars = template.slots.get(c, (False, 0, 0))
+        weight[slot] += chars / pages if pages >= 3 else here[c]
+    main = main_container(page, slot_of, weight)
+    chosen = {c for c, s in slot_of.items() if page.paths[s][: len(main)] == main and not is_aside(page.paths[s])}
+    return " ".join(text for c, text, _ in page.blocks if c in chosen and block_token(c, text) not in template.alike)
 
 
 def extract(sources: Sequence[str]) -> list[str]:
-    """The main text of each page, from the template that the pages share.
-
-    A page without the slots of its group's main text is taken by itself.  What
-    main slots hold alike on nearly all different pages is left out.
-    """
+    """The main text of each of some pages of one host."""
     pages = [parse(s) for s in sources]
-    frame = template(pages)
-    slots = main_slots(pages, frame)
-    alike = shared_slots(pages, slots)
-    out = []
-    for page in pages:
-        own = slots - alike
-        if not any(r.path in slots for r in page.runs):
-            own = main_slots([page], template([page]))
-        blocks: list[str] = []
-        breaks = True
-        for r in page.runs:
-            breaks = breaks or r.breaks
-            if r.path in own:
-                if breaks or not blocks:
-                    blocks.append("")
-                blocks[-1] += r.text
-                breaks = False
-        words = (" ".join(html.unescape(b).split()) for b in blocks)
-        out.append(" ".join(w for w in words if w))
-    return out
-
-
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group_pages: int = GROUP_PAGES, group_chars: int = GROUP_CHARS) -> DataFrame:
+    template = deduce(pages)
+    return [main_text(p, template) for p in pages]
+
+
+TAG_ROWS = "host string, page long, token long, owner long, n long, place long, chars long"
+
+
+def page_tokens(rows: DataFrame) -> DataFrame:
+    """Tokens of each different page of ``host`` and ``html``; ``place`` is null for blocks, and a row of null token is the page."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for batch in (part for whole in batches for part in sliced(whole, 1)):
+            out: list[tuple] = []
+            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                page = parse(source)
+                key = text_key(page)
+                if (host, key) in seen:
+                    continue
+                if len(seen) >= MEMO:
+                    seen.clear()
+                seen.add((host, key))
+                out.append((host, key, None, None, 1, None, 0))
+                out += [(host, key, token, owner, n, place, 0) for token, (n, place, owner) in page.tags.items()]
+                chars: dict[tuple[int, int], int] = {}
+                for c, text, _ in page.blocks:
+                    token = block_token(c, text)
+                    chars[token, c] = chars.get((token, c), 0) + len(text)
+                out += [(host, key, token, c, 1, None, n) for (token, c), n in chars.items()]
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i else pa.string()) for i, c in enumerate(columns)], names=["host", "page", "token", "owner", "n", "place", "chars"])
+
+    return rows.select("host", "html").mapInArrow(run, TAG_ROWS)
+
+
+def deduce_hosts(rows: DataFrame, path: str) -> DataFrame:
+    """``host`` and packed ``template`` of every host of ``host``, ``html``, over all of its pages.
+
+    Occurrence vectors are never in one place: a vector is known by three sums
+    of counts times hashes of the pages, which add up before the shuffle, so
+    that a host may have any number of pages.  A host's template has no more
+    containers than the mean page divided by ``SUPPORT``.
+    """
+    found = materialize(page_tokens(rows), f"{path}/tokens")
+    # Copies in different tasks: one row for each different page and token.
+    once = found.groupBy("host", "page", "token", "owner").agg(F.max("n").alias("n"), F.max("place").alias("place"), F.max("chars").alias("chars"))
+    once = materialize(once, f"{path}/different")
+    h = F.xxhash64("page", F.lit("vector"))
+    lanes = [F.sum(F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << 21) - 1)) * F.col("n")).alias(f"v{at}") for at in (0, 21, 42)]
+    sums = once.groupBy("host", "token", "owner", F.col("place").isNotNull().alias("tag")).agg(*lanes, F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
+    sums = materialize(sums, f"{path}/vectors")
+    hosts = sums.where("token IS NULL").select("host", F.col("pages").alias("different"))
+    least = F.when(F.col("different") > 1, F.greatest(F.lit(2.0), SUPPORT * F.col("different"))).otherwise(1.0)
+    tags = sums.where("tag").join(hosts, "host").where(F.col("pages") >= least)
+    tags = tags.select("host", "token", "owner", "pages", F.xxhash64("v0", "v21", "v42", "pages").alias("vector"))
+    tags = tags.withColumn("class", F.xxhash64("owner", "vector"))
+    tags = materialize(tags, f"{path}/tags")
+    large = tags.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
+    # The order of a class's tokens in each page and container, and whether it is one.
+    placed = once.where("place IS NOT NULL").select("host", "page", "token", "place").join(tags.select("host", "token", "class"), ["host", "token"])
+    order = placed.groupBy("host", "page", "class").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("order"))
+    order = order.select("host", "class", F.xxhash64(F.transform("order", lambda t: t["token"])).alias("order"))
+    orders = order.groupBy("host", "class").agg((F.min("order") == F.max("order")).alias("ordered"))
+    containers = tags.where("token = owner").join(orders, ["host", "class"]).join(large, ["host", "vector"], "left")
+    containers = containers.select("host", "owner", (F.col("ordered") & F.col("size").isNotNull()).alias("valid"), "pages")
+    root = hosts.select("host", F.lit(ROOT).alias("owner"), F.lit(True).alias("valid"), F.col("different").alias("pages"))
+    containers = materialize(containers.unionByName(root), f"{path}/containers")
+    blocks = sums.where("NOT tag AND token IS NOT NULL").select("host", "token", "owner", F.col("pages").alias("n"), "chars")
+    # Containers that are too rare for the template have no block that is alike.
+    blocks = blocks.join(containers, ["host", "owner"]).withColumn("alike", F.col("n") >= F.greatest(F.lit(float(ALIKE_PAGES)), ALIKE * F.col("pages")))
+    chars = blocks.where("NOT alike").groupBy("host", "owner").agg(F.sum("chars").alias("chars"))
+    slots = containers.join(chars, ["host", "owner"], "left").groupBy("host").agg(F.collect_list(F.struct("owner", "valid", "pages", F.coalesce("chars", F.lit(0)).alias("chars"))).alias("slots"))
+    alike = blocks.where("alike").groupBy("host").agg(F.collect_list("token").alias("alike"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [
+                Template({s["owner"]: (s["valid"], s["pages"], s["chars"]) for s in slots}, frozenset(alike or ())).packed()
+                for slots, alike in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["host", "template"])
+
+    return materialize(slots.join(alike, "host", "left").mapInArrow(pack, "host string, template binary"), f"{path}/templates")
+
+
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col``, ``url_col``, ``text`` and ``n_chars`` of every page.
 
-    Pages of a host are dealt by hash into groups of about ``group_pages``
-    pages and ``group_chars`` characters, as many as the host needs; a group
-    deduces its template apart.  A page whose url has no host is grouped with
-    others such.  A null html is empty and its text too.  Repeated rows are
-    extracted each; a null id is kept; extra columns are ignored.
+    A host's template is deduced over all of its pages; pages whose url has no
+    host are one host.  Pages of the same text count once in the deduction, and
+    each is extracted.  A page that shares nothing with others is its own
+    template.  A null html is empty and its text too; html is read whole,
+    however long.  Repeated rows are extracted each; a null id is kept; extra
+    columns are ignored.  Blocks that at least ``ALIKE`` of the different pages
+    with their container repeat, ``ALIKE_PAGES`` at least, are the template's.
     """
     host = F.coalesce(host_of(F.col(url_col))[0], F.lit(""))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(html_col, F.lit("")).alias("html"), host.alias("host"))
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars"))
-    sizes = sizes.select("host", F.greatest(F.ceil(F.col("n") / group_pages), F.ceil(F.col("chars") / group_chars), F.lit(1)).alias("salts"))
-    sizes = materialize(sizes.where("salts > 1"), workspace(pages.sparkSession, "html") + "/hosts")
-    dealt = rows.join(sizes, "host", "left").withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.coalesce("salts", F.lit(1))))
+    rows = pages.select(host.alias("host"), F.coalesce(html_col, F.lit("")).alias("html"), F.col(id_col).alias("id"), F.col(url_col).alias("url"))
+    templates = deduce_hosts(rows, workspace(pages.sparkSession, "html"))
     schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField(url_col, T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
-    def run(table: pa.Table) -> pa.Table:
-        texts = extract(table["html"].to_pylist())
-        return pa.table([table["id"], table["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
-
-    return dealt.select("host", "salt", "id", "url", "html").groupBy("host", "salt").applyInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Template] = {}
+        for batch in (part for whole in batches for part in sliced(whole, 1)):
+            texts = []
+            for i, (host, source) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if host not in known:
+                    if len(known) >= 256:
+                        known.clear()
+                    known[host] = Template.unpacked(batch.column(4)[i].as_py())
+                texts.append(main_text(parse(source), known[host]))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
+
+    return rows.join(templates, "host").select("host", "html", "id", "url", "template").mapInArrow(run, schema)

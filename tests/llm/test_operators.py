@@ -546,8 +546,8 @@ def test_html(spark):
         return f'<!DOCTYPE html><html><head><title>t{i}</title><style>p{{}}</style><script>var t="</p>";</script></head><body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Menu<li>More</ul></nav><div class="ad">Buy</div>{body}<aside>Side</aside><div id="comments"><p>Reader</p></div><form>Send <input></form><footer>&copy; x</footer></body></html>'
 
     text = "A &amp; B  <b>bo</b>ld<br>two &lt;3 a < b"
-    sources = [page(i, f"<article><h1>Head {i}</h1><p>{text}<p>last\n {i}<div class='share'>Share</div></article>") for i in range(5)]
-    assert templates.extract(sources) == [f"Head {i} A & B bold two <3 a < b last {i}" for i in range(5)]
+    sources = [page(i, f"<article><h1>Head {i}</h1><p>{i} {text}{i}<p>last\n {i}<div class='share'>Share</div></article>") for i in range(5)]
+    assert templates.extract(sources) == [f"Head {i} {i} A & B bold two <3 a < b{i} last {i}" for i in range(5)]
     assert templates.extract([page(i, f"<div><p>Plain {i} {'word ' * 30}</div>") for i in range(4)]) == [f"Plain {i} {('word ' * 30).strip()}" for i in range(4)]
     data = [(i, f"http://h/{i}", s, "x") for i, s in enumerate(sources)] + [(7, None, None, ""), (8, "http://h/8", "", ""), (8, "http://h/8", "", ""), (None, "http://h/9", "<article>Cut <b>off</article", ""), (9, "http://h/7", "<article>" + "<p>long &eacute; " * 5000, "")]
     got = templates.extract_text(spark.createDataFrame(data, "page_id long, url string, html string, host string"))
@@ -559,13 +559,71 @@ def test_html(spark):
 
 def test_shared_slots_inside_main_text():
     def page(text):
-        return f'<html><body><article><h1>Head {text}</h1><p>Body {text}</p><div class="x12">Read our letter <ul><li>daily</ul></div><div class="y3">By {text}</div></article></body></html>'
+        return f'<html><body><article><h1>Head {text}</h1><p>Body {text}</p><div class="x12">Read our letter <ul><li>daily</ul></div><p>All rights kept</p><div class="y3">By {text}</div></article></body></html>'
 
     texts = [f"own {i}" for i in range(6)]
     assert templates.extract([page(t) for t in texts]) == [f"Head {t} Body {t} By {t}" for t in texts]
-    # Copies of one article, or two pages, tell nothing of a template.
-    for few in (["same"] * 5, ["one", "two"]):
-        assert templates.extract([page(t) for t in few]) == [f"Head {t} Body {t} Read our letter daily By {t}" for t in few]
+    # Copies of one article, or few pages, tell nothing of a template.
+    for few in (["same"] * 9, ["one", "two"]):
+        assert templates.extract([page(t) for t in few]) == [f"Head {t} Body {t} Read our letter daily All rights kept By {t}" for t in few]
+
+
+def nameless_site(rng, n):
+    """Pages without a telling name, whose menu, advert, notice and footer vary in place; and their main texts."""
+    pages, texts = [], []
+    for i in range(n):
+        body = [prose(rng, rng.randint(1, 60)) for _ in range(rng.randint(1, 4))]
+        # The advert's place varies, and a page type has another frame about the text.
+        advert = f'<div class="k4"><a href="#">{prose(rng, 2)}</a></div>'
+        inner = "".join(f"<p>{b}" for b in body) + '<div class="q2">Get our weekly letter</div>'
+        main = f'<div class="x7"><h2>Title {i}</h2>{inner}</div>' if i % 4 else f'<table class="t1"><tr><td>{inner}</td></tr></table>'
+        pages.append(f'<html><body><div class="x1"><ul><li>{prose(rng, 1)}<li>{prose(rng, 1)}</ul></div>{advert if i % 2 else ""}{main}{"" if i % 2 else advert}<div class="x9">{prose(rng, 3)} {i}</div>' + ("</body></html>" if i % 5 else ""))
+        texts.append(" ".join([f"Title {i}"] * (i % 4 > 0) + body))
+    return pages, texts
+
+
+def test_template_finds_text_without_names(monkeypatch):
+    pages, texts = nameless_site(random.Random(51), 60)
+    assert templates.extract(pages) == texts
+    monkeypatch.setattr(templates, "deduce", lambda pages: templates.Template())
+    assert all(a != b for a, b in zip(templates.extract(pages), texts, strict=True))
+
+
+def plain_template(sources):
+    """Equivalence classes by whole vectors, from tags and blocks that are counted one by one."""
+    pages = list({templates.text_key(p): p for p in map(templates.parse, sources)}.values())
+    vector = {t: [p.tags.get(t, (0,))[0] for p in pages] for p in pages for t in p.tags}
+    slots = {templates.ROOT: (True, len(pages))}
+    for t, v in vector.items():
+        seen = sum(n > 0 for n in v)
+        if all(p.tags[t][2] == t for p in pages if t in p.tags) and seen >= (max(2, 0.005 * len(pages)) if len(pages) > 1 else 1):
+            own = [u for u in vector if vector[u] == v]
+            inside = [[u for u in sorted(own, key=lambda u: p.tags[u][1]) if p.tags[u][2] == t] for p in pages if t in p.tags]
+            slots[t] = (len(own) >= 2 and all(o == inside[0] for o in inside), seen)
+    alike = set()
+    for c, (_, seen) in slots.items():
+        texts = Counter(t for p in pages for t in {t for d, t, _ in p.blocks if d == c})
+        alike |= {templates.block_token(c, t) for t, n in texts.items() if n >= 5 and n >= 0.9 * seen}
+    return slots, alike
+
+
+def test_templates_of_hosts_are_the_plain_ones(spark, tmp_path):
+    rng = random.Random(52)
+    sites = {"a": nameless_site(rng, 60)[0], "b": nameless_site(rng, 1)[0], "c": ["", "<p>x", "<p>x", "no tags", "<div>y</div>"], "": nameless_site(rng, 7)[0]}
+    # A swapped order within a container, an unclosed one, and copies that fill the host.
+    sites["d"] = [f"<div class=m><ul>{prose(rng, 3)}</ul><ol>{i}</ol></div>" if i % 2 else f"<div class=m><ol>{prose(rng, 4)}</ol><ul>{i}</ul></div><main>{prose(rng, 5)}" for i in range(20)]
+    sites["e"] = sites["a"][:3] * 30
+    rows = [(h, x) for h, own in sites.items() for x in own]
+    got = templates.deduce_hosts(spark.createDataFrame(rows, "host string, html string").repartition(5), f"file://{tmp_path}/t")
+    found = {r.host: templates.Template.unpacked(bytes(r.template)) for r in got.collect()}
+    assert set(found) == set(sites)
+    for h, own in sites.items():
+        slots, alike = plain_template(own)
+        one = templates.deduce([templates.parse(x) for x in own])
+        for t in (found[h], one):
+            assert {c: (valid, pages) for c, (valid, pages, _) in t.slots.items()} == slots and t.alike == alike
+        assert found[h] == one
+    assert not all(v for v, _, _ in found["d"].slots.values()) and templates.deduce_hosts(spark.createDataFrame([], "host string, html string"), f"file://{tmp_path}/e").count() == 0
 
 
 def test_pipeline(spark):
