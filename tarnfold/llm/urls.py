@@ -1,4 +1,12 @@
-"""URL filter: host word segmentation and naive Bayes (operator 4)."""
+"""URL filter: host word segmentation and naive Bayes (operator 4).
+
+There are no labels.  Hosts are labelled by weak evidence: seed words in their
+names, and pages whose title and text are full of seed words, if the host's
+pages agree.  Naive Bayes then learns from all words of these hosts' names and
+paths, labels the hosts itself, and learns again from what it finds; only
+what pages say stays.  So words that only go along with the seeds decide too, and a seed word
+among words of wanted sites needn't.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +33,12 @@ RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow",
 
 #: A word is in the unigram model if it is at least this share of all words: at most so many are.
 SHARE = 1 / 200_000
-#: Slots of the naive Bayes counts, by hash of the token.
-SLOTS = 1 << 16
-LONGEST = 24
+#: Slots of the naive Bayes counts, by hash of the token, and what is added to each.
+SLOTS, ADDED = 1 << 16, 0.1
+#: Share of seed words in a page's text, two at least, from which it speaks against its host, and share of such pages.
+DENSE, AGREED = 0.02, 0.5
+#: How often hosts are labelled by the model and it is fitted again.
+ROUNDS = 2
 MEMO = 100_000
 
 
@@ -78,12 +89,24 @@ class Segmenter(dict):
 
     def __init__(self, counts: dict[str, float]) -> None:
         self.total = sum(counts.values()) or 1.0
+        # No word is longer than the longest, so no split is left out.
+        self.longest = max(map(len, counts), default=1)
         self.logs = {w: math.log10(c / self.total) for w, c in counts.items() if c > 0}
 
     def __missing__(self, name: str) -> list[str]:
+        # A longer unknown run is never better than its parts by much: each letter costs a tenth, each part ``1 / total``.
+        unknown = -math.log10(self.total) - 1
         best: list[tuple[float, int]] = [(0.0, 0)]
+        run: tuple[float, int] = (-math.inf, 0)
         for end in range(1, len(name) + 1):
-            best.append(max((best[start][0] + self.logs.get(name[start:end], -math.log10(self.total) - 1 - (end - start)), start) for start in range(max(0, end - LONGEST), end)))
+            # ``run`` is the best begin of an unknown run that ends here, whatever its length.
+            run = max(run, (best[end - 1][0] + (end - 1), end - 1))
+            options = [(run[0] + unknown - end, run[1])]
+            for start in range(max(0, end - self.longest), end):
+                known = self.logs.get(name[start:end])
+                if known is not None:
+                    options.append((best[start][0] + known, start))
+            best.append(max(options))
         words, end = [], len(name)
         while end:
             start = best[end][1]
@@ -108,7 +131,7 @@ def slot(token: str) -> int:
 
 @dataclass
 class UrlModel:
-    """Word counts for segmentation, and multinomial naive Bayes with add-one smoothing."""
+    """Word counts for segmentation, and multinomial naive Bayes over hosts."""
 
     counts: dict[str, float]
     weights: np.ndarray
@@ -119,56 +142,95 @@ class UrlModel:
         return self.prior + float(sum(self.weights[slot(t)] for t in tokens))
 
 
-def train(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", unwanted: Sequence[str] = UNWANTED, usual: Sequence[str] = USUAL, share: float = SHARE) -> UrlModel:
-    """Count words and fit the classifier, both over all pages.
+def fit_bayes(table: np.ndarray, hosts: Sequence[float]) -> tuple[np.ndarray, float]:
+    """Weights of all slots and the prior, from tokens' counts in wanted and unwanted hosts and the hosts' numbers."""
+    used = table.sum(0) > 0
+    smooth = (table + ADDED) / (table.sum(1, keepdims=True) + ADDED * max(1, int(used.sum())))
+    weights = np.where(used, np.log(smooth[1] / smooth[0]), 0.0)
+    return weights, math.log((hosts[1] + 1) / (hosts[0] + 1))
 
-    Unigrams are the words of page titles, of paths and between hyphens in
-    hosts, and the given seed words.  A word counts if it is ``share`` of all at
-    least, so the model is bounded by ``1 / share`` words at every size.  A page
-    trains the classifier as unwanted if a segmented word of its host is in
-    ``unwanted``, else as wanted.
-    """
-    host, path = host_of(F.col(url_col))
+
+def visible(html_col: Column) -> Column:
+    """A page's title and text, lower-cased, without tags, scripts and styles."""
+    bare = F.regexp_replace(html_col, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    return F.lower(F.coalesce(bare, F.lit("")))
+
+
+def word_counts(pages: DataFrame, host: Column, path: Column, text: Column, seeds: Sequence[str], share: float, out: str) -> dict[str, float]:
+    """Unigram counts of words in texts, paths and hyphened hosts, from ``share`` of all on, and the seeds."""
     hyphened = F.when(F.instr(host, "-") > 0, host).otherwise("")
-    title = F.regexp_extract(html_col, r"(?is)<title[^>]*>([^<]*)", 1) if html_col else F.lit("")
-    words = F.regexp_extract_all(F.lower(F.concat_ws(" ", hyphened, path, title)), F.lit(r"\p{L}{2,}"), 0)
+    words = F.regexp_extract_all(F.lower(F.concat_ws(" ", hyphened, path, text)), F.lit(r"\p{L}{2,}"), 0)
     counted = pages.select(F.explode(words).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    counted = materialize(counted, workspace(pages.sparkSession, "urls") + "/words")
+    counted = materialize(counted, f"{out}/words")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    found = counted.where((F.col("n") >= max(2.0, share * total)) & (F.length("w") <= LONGEST)).collect()
-    counts = {r["w"]: float(r["n"]) for r in found}
-    seed = max(10.0, total * 1e-4)
-    for w in (*unwanted, *usual):
-        counts[w] = counts.get(w, 0.0) + seed
-    bad = frozenset(unwanted)
+    counts = {r["w"]: float(r["n"]) for r in counted.where(F.col("n") >= max(2.0, share * total)).collect()}
+    for w in seeds:
+        counts[w] = counts.get(w, 0.0) + max(10.0, total * 1e-4)
+    return counts
+
+
+def host_tokens(pages: DataFrame, host: Column, path: Column, speaks: Column, counts: dict[str, float], unwanted: frozenset[str]) -> DataFrame:
+    """``host``, ``slot`` of each of its tokens; null slots count its ``pages``, those that speak against it, and ``named``, seed words in its name."""
+    sent = share(pages.sparkSession, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, seen = Segmenter(counts), np.zeros((2, SLOTS), np.int64)
-        pages_of = [0, 0]
+        segment = Segmenter(sent())
         for batch in batches:
-            for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own: dict[str, list[int]] = {}
+            slots: set[tuple[str, int]] = set()
+            for h, p, bad in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if h:
-                    own, rest = url_tokens(h, p, segment)
-                    kind = int(any(w in bad for w in own))
-                    pages_of[kind] += 1
-                    np.add.at(seen[kind], [slot(t) for t in (*own, *rest)], 1)
-        kinds, slots = np.nonzero(seen)
-        n = np.concatenate([seen[kinds, slots], pages_of])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([kinds, [0, 1]]), pa.int32()), pa.array(np.concatenate([slots, [-1, -1]]), pa.int32()), pa.array(n, pa.int64())], names=["kind", "slot", "n"])
-
-    table = np.zeros((2, SLOTS))
-    docs = [0.0, 0.0]
-    sums = pages.select(host.alias("h"), path.alias("p")).mapInArrow(run, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n").alias("n"))
-    for r in sums.collect():
-        if r["slot"] < 0:
-            docs[r["kind"]] = float(r["n"])
-        else:
+                    words, rest = url_tokens(h, p, segment)
+                    seen = own.setdefault(h, [0, 0, 0])
+                    seen[0] += 1
+                    seen[1] += bool(bad)
+                    seen[2] = int(any(w in unwanted for w in words))
+                    slots.update((h, slot(t)) for t in (*words, *rest))
+            found = [(h, s, 0, 0, 0) for h, s in slots] + [(h, None, *n) for h, n in own.items()]
+            columns = list(zip(*found, strict=True)) or [()] * 5
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "slot", "pages", "against", "named"])
+
+    rows = pages.select(host.alias("h"), path.alias("p"), speaks.alias("s")).mapInArrow(run, "host string, slot int, pages long, against long, named long")
+    return rows.groupBy("host", "slot").agg(F.sum("pages").alias("pages"), F.sum("against").alias("against"), F.max("named").alias("named"))
+
+
+def train(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", unwanted: Sequence[str] = UNWANTED, usual: Sequence[str] = USUAL, share: float = SHARE, rounds: int = ROUNDS) -> UrlModel:
+    """Count words and fit the classifier, both over all pages.
+
+    Unigrams are the words of page titles and texts, of paths and between
+    hyphens in hosts, and the given seed words.  A word counts if it is ``share``
+    of all at least, so the model is bounded by ``1 / share`` words at every
+    size; rarer words are unknown.  A host is labelled unwanted if its segmented
+    name has a word of ``unwanted`` or if ``AGREED`` of its pages are dense with
+    them, else wanted.  Over ``rounds`` the model labels the hosts itself and is
+    fitted again; only those that their pages speak against stay as they are.  Each token counts once a host, so that a host of many pages
+    says no more than another.  Nulls, and urls without a host, tell nothing.
+    """
+    out = workspace(pages.sparkSession, "urls")
+    host, path = host_of(F.col(url_col))
+    text = visible(F.col(html_col)) if html_col else F.lit("")
+    counts = word_counts(pages, host, path, text, (*unwanted, *usual), share, out)
+    seeds = F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(unwanted)})(?!\p{{L}})")) if unwanted else F.lit(0)
+    speaks = (seeds >= 2) & (seeds >= DENSE * F.regexp_count(text, F.lit(r"\p{L}+")))
+    found = materialize(host_tokens(pages, host, path, speaks, counts, frozenset(unwanted)), f"{out}/tokens")
+    hosts = found.where("slot IS NULL").select("host", (F.col("named") > 0).alias("named"), (F.col("against") >= AGREED * F.col("pages")).alias("against"))
+    hosts = materialize(hosts, f"{out}/hosts")
+    tokens = found.where("slot IS NOT NULL").select("host", "slot")
+    labels = hosts.select("host", (F.col("named") | F.col("against")).cast("int").alias("kind"))
+    for step in range(rounds + 1):
+        table = np.zeros((2, SLOTS))
+        for r in tokens.join(labels, "host").groupBy("kind", "slot").agg(F.count(F.lit(1)).alias("n")).collect():
             table[r["kind"], r["slot"]] = r["n"]
-    used = max(1, int((table.sum(0) > 0).sum()))
-    smooth = (table + 1) / (table.sum(1, keepdims=True) + used)
-    weights = np.log(smooth[1] / smooth[0])
-    weights[table.sum(0) == 0] = 0.0
-    return UrlModel(counts, weights, math.log((docs[1] + 1) / (docs[0] + 1)))
+        numbers = {r["kind"]: r["n"] for r in labels.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+        weights, prior = fit_bayes(table, [numbers.get(0, 0), numbers.get(1, 0)])
+        if step < rounds:
+            used = np.flatnonzero(weights)
+            by_slot = pages.sparkSession.createDataFrame(pa.table({"slot": pa.array(used, pa.int32()), "weight": pa.array(weights[used], pa.float64())}))
+            odds = tokens.join(F.broadcast(by_slot), "slot").groupBy("host").agg(F.sum("weight").alias("odds"))
+            kind = F.col("against") | (F.coalesce("odds", F.lit(0.0)) + F.lit(prior) > 0)
+            labels = materialize(hosts.join(odds, "host", "left").select("host", kind.cast("int").alias("kind")), f"{out}/labels-{step}")
+    return UrlModel(counts, weights, prior)
 
 
 def judge(pages: DataFrame, model: UrlModel, rules: Iterable[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

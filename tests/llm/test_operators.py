@@ -165,6 +165,79 @@ def test_url_filter(spark):
     assert urls.judge(empty, urls.train(empty)).count() == 0
 
 
+def best_split(name, counts):
+    """Every split of a name, one by one; equal ones by the later begin of the last word, as ties go."""
+    total = sum(counts.values())
+    cost = lambda w: np.log10(counts[w] / total) if w in counts else -np.log10(total) - 1 - len(w)
+    splits = []
+    for cuts in range(1 << max(0, len(name) - 1)):
+        words, at = [], 0
+        for i in range(1, len(name) + 1):
+            if i == len(name) or cuts >> (i - 1) & 1:
+                words.append(name[at:i])
+                at = i
+        splits.append((sum(map(cost, words)), words))
+    return max(x for x, _ in splits), splits
+
+
+def test_segmentation_is_the_best_of_all_splits():
+    rng = random.Random(61)
+    for _ in range(40):
+        counts = {"".join(rng.choices("abc", k=rng.randint(1, 4))): float(rng.randint(1, 50)) for _ in range(8)}
+        segment, name = urls.Segmenter(counts), "".join(rng.choices("abcd", k=rng.randint(1, 10)))
+        best, splits = best_split(name, counts)
+        words = segment[name]
+        assert "".join(words) == name and next(x for x, w in splits if w == words) == pytest.approx(best)
+    assert urls.Segmenter({"a" * 60: 5.0, "b": 5.0})["b" + "a" * 60] == ["b", "a" * 60]
+
+
+def test_naive_bayes_is_the_plain_one():
+    rng = random.Random(62)
+    hosts = [(i % 3 == 0, {rng.randrange(30) for _ in range(6)}) for i in range(40)]
+    table = np.zeros((2, urls.SLOTS))
+    for bad, own in hosts:
+        for t in own:
+            table[int(bad), t] += 1
+    weights, prior = urls.fit_bayes(table, [sum(not b for b, _ in hosts), sum(b for b, _ in hosts)])
+    used = {t for _, own in hosts for t in own}
+    n = [sum(len(own) for b, own in hosts if b == k) for k in (False, True)]
+    for t in used:
+        p = [(sum(t in own for b, own in hosts if b == k) + 0.1) / (n[k] + 0.1 * len(used)) for k in (False, True)]
+        assert weights[t] == pytest.approx(np.log(p[1] / p[0]))
+    assert np.flatnonzero(weights).size <= len(used) and prior == pytest.approx(np.log(15 / 27))
+
+
+def test_url_filter_learns_more_than_its_list(spark):
+    rng = random.Random(63)
+    bad_words, good_words = ["lucky", "spin", "bonus", "deal", "prize", "golden"], ["river", "choir", "parish", "meadow", "county", "museum"]
+    hosts = []
+    for i in range(60):
+        bad = i % 2 == 0
+        words = rng.sample(bad_words if bad else good_words, 2)
+        if bad and i < 40:
+            words.append(rng.choice(urls.UNWANTED))
+        # Half of the good hosts that are held out have a seed word, as a river's farm may.
+        if not bad and i >= 40 and i % 4 == 1:
+            words.append("farm")
+        rng.shuffle(words)
+        hosts.append((f"{'-'.join(words)}{i}.example.com", bad, i >= 40))
+    # Hosts that only their pages speak against.
+    hosts += [(f"quiet{w}.example.com", True, False) for w in ("one", "two")]
+    rows = []
+    for h, bad, _ in hosts:
+        for page in range(3):
+            text = "casino poker bets " * 3 if h.startswith("quiet") and page < 2 else f"a page of {' '.join(rng.sample(good_words, 3))}"
+            rows.append((len(rows), f"https://{h}/fr/{page}", f"<title>{text}</title><p>{text}", bad))
+    rows += [(9000, f"http://big.example.org/{'x' * 3000}", "<p>" + "word " * 30_000, False), (9000, f"http://big.example.org/{'x' * 3000}", None, False)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, verdict boolean")
+    model = urls.train(pages)
+    got = {r.page_id: r.verdict == "block" for r in urls.judge(pages, model).collect()}
+    held = [(r[0], r[1], r[3]) for r in rows if any(h in r[1] and out for h, _, out in hosts)]
+    listed = {i: any(w in urls.UNWANTED for w in u.split("/")[2].replace(".", "-").split("-")) for i, u, _ in held}
+    assert sum(got[i] == bad for i, _, bad in held) >= 0.95 * len(held) and sum(listed[i] == bad for i, _, bad in held) <= 0.5 * len(held)
+    assert all(got[r[0]] for r in rows if "quiet" in r[1]) and not got[9000]
+
+
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
 def test_pfor_round_trip(n):
     rng = np.random.default_rng(n)
