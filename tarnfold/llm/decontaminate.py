@@ -17,8 +17,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ._shared import binary, share, sliced
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Bytes of test items that one pass over the documents looks for.
-BLOCK_BYTES = 32 << 20
+#: Bytes of test items that are broadcast and held at once.
+BLOCK_BYTES = 16 << 20
+#: Items whose shingle sets a task remembers at once.
+SETS = 20_000
 #: Words whose hashes a task remembers at once.
 MEMO = 400_000
 
@@ -45,75 +47,139 @@ def shingles(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(n)), strict=False)) if len(words) >= n else set()
 
 
+class Hashed:
+    """Some documents' words, and the hashes of their shingles, of each width once."""
+
+    def __init__(self, docs: list[list[bytes]], hashes: WordHashes) -> None:
+        self.docs = docs
+        self.lens = np.array([len(w) for w in docs], np.int64)
+        self.ends = np.cumsum(self.lens)
+        self.words = np.fromiter((x for w in docs for x in map(hashes.__getitem__, w)), np.uint64, int(self.ends[-1]) if len(docs) else 0)
+        self.by_width: dict[int, np.ndarray] = {}
+
+    def shingles(self, width: int) -> np.ndarray:
+        """Hashes of all runs of ``width`` words, those across two documents too."""
+        if width not in self.by_width:
+            self.by_width[width] = shingle_hashes(self.words, width) if len(self.words) >= width else np.zeros(0, np.uint64)
+        return self.by_width[width]
+
+
+@dataclass
+class Partition:
+    """The sketches of items of one size class: ``keys``, sorted, and the item ``owner`` of each.
+
+    Its items have ``2 ** (k - 1)`` to ``2 ** k - 1`` shingles.  All have sketches
+    of one length: the smallest ranks under the partition's own permutation, one
+    more than its largest item may miss.  ``least`` is the fewest shingles that
+    a document needs to contain any of them.
+    """
+
+    width: int
+    least: int
+    keys: np.ndarray
+    owner: np.ndarray
+
+
+def permutation(h: np.ndarray, size_class: int) -> np.ndarray:
+    """Ranks of shingle hashes, different in each size class."""
+    rank = (h ^ np.uint64(size_class * int(MIX) % (1 << 64))) * MIX
+    return rank ^ (rank >> np.uint64(31))
+
+
 @dataclass
 class Items:
-    """A block of test items and their sketches, by shingle length.
+    """A block of test items in size partitions.
 
-    Items fall into partitions by the power of two of their shingle count.  A
-    partition ranks shingles by its own hash permutation.  An item's sketch is
-    its ``n - ceil(t * n) + 1`` smallest ranks: a document that contains the
-    share ``t`` of the item's shingles lacks fewer than that, so it must hold
-    one of the sketch, and no contained item is missed.
+    A document that contains the share ``t`` of an item's ``n`` shingles lacks at
+    most ``n - ceil(t * n)`` of them.  So of the item's sketch of ``k`` ranks it
+    holds at least ``k`` less as many, one at least, and no contained item is
+    missed; ``asks`` is that number.  A document is looked up in the partitions
+    only whose items it is long enough to contain.
     """
 
     ids: list
-    sets: list[set]
-    widths: list[int]
+    texts: list[bytes]
+    sizes: list[int]
     needs: list[int]
-    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, int]]
+    asks: list[int]
+    partitions: list[Partition]
+    marks: dict[int, tuple[np.ndarray, int]]
 
     @classmethod
     def build(cls, rows: list[tuple[object, bytes | None]], n_words: int, threshold: float) -> Items:
-        self = cls([], [], [], [], {})
-        hashes, sketch = WordHashes(), {}
+        self = cls([], [], [], [], [], [], {})
+        hashes = WordHashes()
+        sketches: dict[tuple[int, int], list[tuple[int, int]]] = {}
+
+        def need(n: int) -> int:
+            return max(1, math.ceil(threshold * n - 1e-9))
+
         for item, text in rows:
             words = (text or b"").lower().split()
             if not words:
                 continue
             width = min(n_words, len(words))
-            found = shingles(words, width)
-            need = max(1, math.ceil(threshold * len(found) - 1e-9))
-            partition = np.uint64(len(found).bit_length() * int(MIX) % (1 << 64))
-            listed = list(found)
-            h = np.array([shingle_hashes(np.array([hashes[w] for w in s], np.uint64), width)[0] for s in listed], np.uint64)
-            rank = (h ^ partition) * MIX
-            for x in h[np.argsort(rank ^ (rank >> np.uint64(31)), kind="stable")[: len(found) - need + 1]]:
-                sketch.setdefault(width, []).append((int(x), len(self.ids)))
-            for to, x in zip((self.ids, self.sets, self.widths, self.needs), (item, found, width, need), strict=True):
+            n = len(shingles(words, width))
+            h = np.unique(shingle_hashes(np.array([hashes[w] for w in words], np.uint64), width))
+            size_class = n.bit_length()
+            most = (1 << size_class) - 1
+            k = min(len(h), most - need(most) + 1)
+            for x in h[np.argsort(permutation(h, size_class), kind="stable")[:k]].tolist():
+                sketches.setdefault((width, size_class), []).append((x, len(self.ids)))
+            asks = max(1, k - (n - need(n)))
+            for to, x in zip((self.ids, self.texts, self.sizes, self.needs, self.asks), (item, b" ".join(words), n, need(n), asks), strict=True):
                 to.append(x)
-        for width, pairs in sketch.items():
+        for (width, size_class), pairs in sorted(sketches.items()):
             pairs.sort()
-            keys = np.array([x for x, _ in pairs], np.uint64)
+            keys, owner = np.array([x for x, _ in pairs], np.uint64), np.array([i for _, i in pairs])
+            self.partitions.append(Partition(width, need(1 << size_class >> 1), keys, owner))
+        for width in {p.width for p in self.partitions}:
+            keys = np.concatenate([p.keys for p in self.partitions if p.width == width])
             shift = 64 - max(16, (32 * len(keys)).bit_length())
             marks = np.zeros(1 << (64 - shift), bool)
             marks[keys >> np.uint64(shift)] = True
-            self.tables[width] = keys, np.array([x for _, x in pairs]), marks, shift
+            self.marks[width] = marks, shift
         return self
 
-    def search(self, docs: list[list[bytes]], hashes: WordHashes) -> list[tuple[int, int, int]]:
-        """Document's place, item's place and number of shared shingles, of all contained items."""
-        lens = np.array([len(w) for w in docs])
-        ends = np.cumsum(lens)
-        h = np.fromiter((x for w in docs for x in map(hashes.__getitem__, w)), np.uint64, int(ends[-1]) if len(ends) else 0)
-        found: list[tuple[int, int, int]] = []
-        for width, (keys, owner, marks, shift) in self.tables.items():
-            if len(h) < width:
-                continue
-            s = shingle_hashes(h, width)
+    def candidates(self, docs: Hashed) -> Iterator[tuple[int, int, int]]:
+        """Document's place, item's place and width, of items of whose sketch a document holds enough."""
+        for width, (marks, shift) in self.marks.items():
+            s = docs.shingles(width)
             at = np.flatnonzero(marks[s >> np.uint64(shift)])
-            doc = np.searchsorted(ends, at, side="right")
-            inside = at + width <= ends[doc]
+            doc = np.searchsorted(docs.ends, at, side="right")
+            inside = at + width <= docs.ends[doc]
             at, doc = at[inside], doc[inside]
-            lo, hi = np.searchsorted(keys, s[at], "left"), np.searchsorted(keys, s[at], "right")
-            for d in np.unique(doc[hi > lo]):
-                mine = (doc == d) & (hi > lo)
-                items = {int(i) for a, b in set(zip(lo[mine].tolist(), hi[mine].tolist(), strict=True)) for i in owner[a:b]}
-                items = [i for i in items if self.needs[i] <= lens[d] - width + 1]
-                have = shingles(docs[d], width) if items else set()
-                for i in sorted(items):
-                    shared = len(self.sets[i] & have)
-                    if shared >= self.needs[i]:
-                        found.append((int(d), i, shared))
+            for part in self.partitions:
+                if part.width != width:
+                    continue
+                long_enough = docs.lens[doc] - width + 1 >= part.least
+                h, of = s[at[long_enough]], doc[long_enough]
+                lo, hi = np.searchsorted(part.keys, h, "left"), np.searchsorted(part.keys, h, "right")
+                found = np.flatnonzero(hi > lo)
+                if not len(found):
+                    continue
+                n = (hi - lo)[found]
+                entry = np.repeat(lo[found] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                # A shingle that a document repeats counts once.
+                held = np.unique(np.stack([np.repeat(of[found], n), part.owner[entry], entry]), axis=1)
+                pairs, k = np.unique(held[:2], axis=1, return_counts=True)
+                for d, i, m in zip(*pairs.tolist(), k.tolist(), strict=True):
+                    if m >= self.asks[i] and docs.lens[d] - width + 1 >= self.needs[i]:
+                        yield d, i, width
+
+    def search(self, docs: Hashed, sets: dict[int, set]) -> list[tuple[int, int, int]]:
+        """Document's place, item's place and number of shared shingles, of all contained items, counted exactly."""
+        found, have = [], (-1, -1, set())
+        for d, i, width in sorted(self.candidates(docs), key=lambda c: (c[0], c[2], c[1])):
+            if have[:2] != (d, width):
+                have = d, width, shingles(docs.docs[d], width)
+            if i not in sets:
+                if len(sets) >= SETS:
+                    sets.clear()
+                sets[i] = shingles(self.texts[i].split(), width)
+            shared = len(sets[i] & have[2])
+            if shared >= self.needs[i]:
+                found.append((d, i, shared))
         return sorted(found)
 
 
@@ -127,6 +193,26 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes:
         yield [(r["item"], None if r["text"] is None else bytes(r["text"])) for r in block.collect()]
 
 
+class Searcher:
+    """Looks for all blocks of items in documents that are cut and hashed once; of several blocks it holds one at a time."""
+
+    def __init__(self, blocks: list) -> None:
+        self.blocks = blocks
+        self.hashes = WordHashes()
+        self.only = (blocks[0](), {}) if len(blocks) == 1 else None
+
+    def hits(self, texts: pa.Array) -> Iterator[tuple[Items, list[tuple[int, int, int]]]]:
+        docs = Hashed([(t or b"").lower().split() for t in binary(texts)], self.hashes)
+        for sent in self.blocks:
+            items, sets = self.only or (sent(), {})
+            yield items, items.search(docs, sets)
+
+
+def sent_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, n_words: int, threshold: float, block_bytes: int) -> list:
+    """Broadcasts of all blocks, each of bounded size."""
+    return [share(docs.sparkSession, Items.build(rows, n_words, threshold)) for rows in item_blocks(benchmark, item_col, item_text, block_bytes)]
+
+
 def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n_words: int = 5, threshold: float = 0.8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every pair of a document and a test item that it contains.
 
@@ -135,44 +221,45 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     words; shingles have ``n_words`` words; an item of fewer words is one
     shingle, searched at its own length.  Null and empty texts and items match
     nothing.  Repeated documents or items give a row each.  Extra columns are
-    ignored.  The items go out in blocks of bounded size, and every block is
-    searched in all documents; nothing is shuffled.
+    ignored.  The items go out in blocks of bounded size, and one pass over the
+    documents, read whole, searches all of them; nothing is shuffled.
     """
     kinds = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
     schema = T.StructType([T.StructField(id_col, kinds[0]), T.StructField("item_id", kinds[1]), T.StructField("item_shingles", T.LongType()), T.StructField("shared", T.LongType()), T.StructField("containment", T.DoubleType())])
-    item_type, out = to_arrow_type(kinds[1]), None
-    for rows in item_blocks(benchmark, item_col, item_text, block_bytes):
-        sent = share(docs.sparkSession, Items.build(rows, n_words, threshold))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, hashes = sent(), WordHashes()
-            for batch in (part for whole in batches for part in sliced(whole, 1)):
-                hits = items.search([(t or b"").lower().split() for t in binary(batch.column(1))], hashes)
-                yield pa.RecordBatch.from_arrays([
+    item_type = to_arrow_type(kinds[1])
+    blocks = sent_blocks(docs, benchmark, item_col, item_text, n_words, threshold, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searcher = Searcher(blocks)
+        for batch in (part for whole in batches for part in sliced(whole, 1)):
+            for items, hits in searcher.hits(batch.column(1)):
+                columns = [
                     batch.column(0).take(pa.array([d for d, _, _ in hits], pa.int64())),
                     pa.array([items.ids[i] for _, i, _ in hits]).cast(item_type),
-                    pa.array([len(items.sets[i]) for _, i, _ in hits], pa.int64()),
+                    pa.array([items.sizes[i] for _, i, _ in hits], pa.int64()),
                     pa.array([n for _, _, n in hits], pa.int64()),
-                    pa.array([n / len(items.sets[i]) for _, i, n in hits], pa.float64()),
-                ], names=schema.names)
+                    pa.array([n / items.sizes[i] for _, i, n in hits], pa.float64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-        part = docs.select(id_col, text_col).mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n_words: int = 5, threshold: float = 0.8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the documents that contain a test item; all columns stay."""
+    """``docs`` without the documents that contain a test item; all columns stay, whatever their names.
+
+    What contains what is as in ``contained_items``: null and empty texts contain
+    nothing and stay, and repeated rows go or stay alike.
+    """
     place = docs.columns.index(text_col)
-    for rows in item_blocks(benchmark, item_col, item_text, block_bytes):
-        sent = share(docs.sparkSession, Items.build(rows, n_words, threshold))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, hashes = sent(), WordHashes()
-            for batch in (part for whole in batches for part in sliced(whole, place)):
-                keep = np.ones(batch.num_rows, bool)
-                keep[[d for d, _, _ in items.search([(t or b"").lower().split() for t in binary(batch.column(place))], hashes)]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    blocks = sent_blocks(docs, benchmark, item_col, item_text, n_words, threshold, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        searcher = Searcher(blocks)
+        for batch in (part for whole in batches for part in sliced(whole, place)):
+            keep = np.ones(batch.num_rows, bool)
+            for _, hits in searcher.hits(batch.column(place)):
+                keep[[d for d, _, _ in hits]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

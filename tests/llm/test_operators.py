@@ -152,6 +152,32 @@ def test_contained_items(spark, docs, rows, none):
     assert decontaminate.contained_items(none, bench).count() == 0 == decontaminate.contained_items(docs, bench.limit(0)).count()
 
 
+def test_size_partitions(spark):
+    # Items of 1 to 1,000 shingles in long documents, whole and at the edge of containment, over one block and many.
+    rng = random.Random(71)
+    items, docs = [], [prose(rng, 20_000).split() for _ in range(12)]
+    for n in (1, 2, 3, 4, 7, 8, 30, 31, 100, 1000):
+        words = [f"item{n}w{k}" for k in range(n + 4)]
+        items.append((n, " ".join(words)))
+        at = n % 12
+        docs[at][500:500] = words
+        # Its first words alone: enough of its shingles, and one too few.
+        enough = -(-8 * n // 10)
+        docs[(at + 1) % 12][9000:9000] = words[: enough + 4]
+        docs[(at + 2) % 12][9000:9000] = words[: enough + 3]
+    found = decontaminate.Items.build([(i, t.encode()) for i, t in items], 5, 0.8)
+    assert len(found.partitions) == len({n.bit_length() for n, _ in items}) and all(p.least <= min(found.needs[i] for i in p.owner) for p in found.partitions)
+    short = decontaminate.Hashed([[b"item1000w%d" % k for k in range(20)]], decontaminate.WordHashes())
+    assert not list(found.candidates(short))
+    want = {(d, n) for n, _ in items for d in (n % 12, (n + 1) % 12)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for block in (1 << 20, 500):
+        got = decontaminate.contained_items(df, bench, block_bytes=block).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+        assert all(r.containment == pytest.approx(1.0 if r.doc_id == r.item_id % 12 else -(-8 * r.item_id // 10) / r.item_id) for r in got)
+
+
 def test_url_filter(spark):
     bad, good = ["cheappills", "free-bets", "Casino-Win"], ["ththble", "onlinestory", "city.news"]
     data = [(i, f"http://www.{h}.example.com/fr/{i}?q#f", f"<TITLE>news of the city {i}</TITLE>", "x") for i, h in enumerate((bad + good) * 5)]
