@@ -12,6 +12,7 @@ from ..operators.compare import compare, melt, spread
 from ..session import shared_folder
 from ..sources import store
 from ..sources.workbook import WorkbookSource
+from ..streaming.follow import follow
 
 BRANDS = ("Brand#11", "Brand#12", "Brand#13")
 ATTRIBUTES = ("p_size", "p_retailprice")
@@ -67,19 +68,48 @@ def workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.format("workbook").schema(table.schema).option("path", path).load()
 
 
+def published_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publisher on a result that is there and on one that isn't: whether it published, and the latest table's rows."""
+    rows = []
+    for name in ("part", "missing"):
+        root = shared_folder(spark, "store")
+        try:
+            store.publish_result(spark, f"{sf_dir}/{name}.parquet", root, datetime(2024, 1, 2, 3, 4))
+        except FileNotFoundError:
+            rows.append((name, store.exists(spark, root), 0))
+        else:
+            rows.append((name, store.exists(spark, store.archive_path(root, datetime(2024, 1, 2, 3, 4))), store.read_latest(spark, root).count()))
+    return spark.createDataFrame(rows, "result string, published boolean, n_rows long")
+
+
+def followed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two archived tables, the second published after the stream has read the first."""
+    root, out = shared_folder(spark, "store"), shared_folder(spark, "followed")
+    table = compare_brands(spark, sf_dir)
+    for day in (1, 2):
+        store.publish(table, root, datetime(2024, 1, day, 3, 4))
+        stream = follow(spark, root, table.schema).writeStream.format("parquet").option("path", f"{out}/rows")
+        stream.option("checkpointLocation", f"{out}/offsets").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (compare_brands, long_parts, spread_brands, published_latest, published_history, result_exists, workbook_round_trip)
+    f.__name__: f for f in (compare_brands, long_parts, spread_brands, published_latest, published_history, published_result, followed_archive, result_exists, workbook_round_trip)
 }
 
 LONG_SQL = " UNION ALL ".join(f"SELECT p_brand, '{a}' AS attribute, {a}::DOUBLE AS value FROM part WHERE {a} IS NOT NULL" for a in ATTRIBUTES)
 COMPARE_SQL = f"SELECT attribute, {', '.join(f'max(value) FILTER (WHERE p_brand = {chr(39)}{b}{chr(39)}) AS "{b}"' for b in BRANDS)} FROM ({LONG_SQL}) WHERE p_brand IN {BRANDS} GROUP BY attribute"
 
+HISTORY_SQL = " UNION ALL ".join(f"SELECT *, TIMESTAMP '2024-01-0{d} 03:04:00' AS snapshot_ts FROM ({COMPARE_SQL})" for d in (1, 2))
+
 ORACLE_SQL: dict[str, str] = {
     "compare_brands": COMPARE_SQL,
     "long_parts": LONG_SQL,
     "spread_brands": f"SELECT p_brand, attribute, max(value) AS value FROM ({LONG_SQL}) WHERE p_brand IN {BRANDS} GROUP BY p_brand, attribute",
     "published_latest": COMPARE_SQL,
-    "published_history": " UNION ALL ".join(f"SELECT *, TIMESTAMP '2024-01-0{d} 03:04:00' AS snapshot_ts FROM ({COMPARE_SQL})" for d in (1, 2)),
+    "published_history": HISTORY_SQL,
+    "published_result": "SELECT 'part' AS result, true AS published, count(*) AS n_rows FROM part UNION ALL SELECT 'missing', false, 0",
+    "followed_archive": HISTORY_SQL,
     "result_exists": "SELECT * FROM (VALUES ('part', true), ('missing', false)) AS t(name, found)",
     "workbook_round_trip": COMPARE_SQL,
 }

@@ -22,9 +22,11 @@ def session(name: str = "tarnfold", cores: str = "*", shuffle_partitions: int =
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder in ``spark.checkpoint.dir``, which is set here only where it is unset."""
+    """A fresh folder in ``spark.checkpoint.dir``, which is set here only where it is unset and the session local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         base = "file://" + tempfile.mkdtemp(prefix="tarnfold-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

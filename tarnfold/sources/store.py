@@ -31,7 +31,8 @@ def publish(df: DataFrame, root: str, ts: datetime, name: str = "comparison") ->
 
     A second result in one minute is refused, so that history isn't overwritten.
     The latest table is written beside its place and renamed into it, so that a
-    failed write leaves the old one; a result read from ``latest`` itself works.
+    failed write leaves the old one, and a failed rename puts it back; a result
+    read from ``latest`` itself works.
     """
     spark = df.sparkSession
     kept = archive_path(root, ts, name)
@@ -41,11 +42,26 @@ def publish(df: DataFrame, root: str, ts: datetime, name: str = "comparison") ->
     latest, _ = _files(spark, f"{root}/latest")
     old, _ = _files(spark, f"{root}/.old-{uuid.uuid4().hex}")
     had = files.exists(latest)
-    if had and not files.rename(latest, old) or not files.rename(stage, latest):
+    if had and not files.rename(latest, old):
+        files.delete(stage, True)
+        raise OSError(f"couldn't move {latest.toString()} away")
+    swap(files, stage, latest, old if had else None)
+    return kept
+
+
+def swap(files, stage, latest, old) -> None:
+    """Rename ``stage`` to ``latest``; if that fails, ``old`` is put back, and else deleted."""
+    done = False
+    try:
+        done = files.rename(stage, latest)
+    finally:
+        if not done and old is not None:
+            files.rename(old, latest)
+    if not done:
+        files.delete(stage, True)
         raise OSError(f"couldn't replace {latest.toString()}")
-    if had:
+    if old is not None:
         files.delete(old, True)
-    return kept
 
 
 def publish_result(spark: SparkSession, result: str, root: str, ts: datetime, name: str = "comparison") -> str:

@@ -3,7 +3,11 @@
 ``spark.dataSource.register(WorkbookSource)``, then ``format("workbook")``.
 A table is a folder of ``.xlsx`` files, one a partition, or a single file.
 Reading gives every cell as a string under the names of the first row, or casts
-to a schema that is given.  Options: ``path``, and ``sheet`` (the first if unset).
+to a schema that is given: strings, booleans, numbers, decimals, dates and
+timestamps, and refuses others.  Whole numbers and decimals are read exactly as
+they are written.  Dates and times are serial numbers with a date format, as
+spreadsheets keep them, without a zone; a timestamp with one is kept in UTC.
+Options: ``path``, and ``sheet`` (the first if unset).
 """
 
 from __future__ import annotations
@@ -14,13 +18,15 @@ import sys
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import UTC, date, datetime, timedelta
+from decimal import Decimal
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
 
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 # Workers get these classes by value and need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -31,6 +37,14 @@ PACKAGE = "http://schemas.openxmlformats.org/package/2006"
 #: Rows that one sheet can hold.
 MOST_ROWS = 1_048_576
 CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
+#: What can be read and written.
+WHOLE = (ByteType, ShortType, IntegerType, LongType)
+TYPES = (StringType, BooleanType, *WHOLE, FloatType, DoubleType, DecimalType, DateType, TimestampType, TimestampNTZType)
+#: The day of serial number 0, and of 0 in books that count from 1904.
+DAY_0, DAY_0_OF_1904 = datetime(1899, 12, 30), datetime(1904, 1, 1)
+# The format's numbers of cell styles here, for dates and for times, and its built-in number formats.
+DATE_STYLE, TIME_STYLE = 1, 2
+DATE_FORMAT, TIME_FORMAT = 14, 22
 
 
 def column_name(i: int) -> str:
@@ -54,6 +68,13 @@ def cell(value: object, at: str) -> str:
         return ""
     if isinstance(value, bool):
         return f'<c r="{at}" t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, datetime):
+        plain = value.astimezone(UTC).replace(tzinfo=None) if value.tzinfo else value
+        return f'<c r="{at}" s="{TIME_STYLE}"><v>{(plain - DAY_0) / timedelta(days=1)!r}</v></c>'
+    if isinstance(value, date):
+        return f'<c r="{at}" s="{DATE_STYLE}"><v>{(value - DAY_0.date()).days}</v></c>'
+    if isinstance(value, Decimal) and value.is_finite():
+        return f'<c r="{at}"><v>{value:f}</v></c>'
     if isinstance(value, int | float) and value == value and abs(value) != float("inf"):
         return f'<c r="{at}"><v>{value!r}</v></c>'
     return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(CONTROL.sub("", str(value)))}</t></is></c>'
@@ -69,10 +90,12 @@ def to_workbook(names: list[str], rows: Iterator[tuple], sheet: str = "Sheet1")
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
     kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
     parts = {
-        "[Content_Types].xml": f'<Types xmlns="{PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/></Types>',
+        "[Content_Types].xml": f'<Types xmlns="{PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/><Override PartName="/xl/styles.xml" ContentType="{kind}.styles+xml"/></Types>',
         "_rels/.rels": f'<Relationships xmlns="{PACKAGE}/relationships"><Relationship Id="rId1" Type="{RELATION}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
         "xl/workbook.xml": f'<workbook xmlns="{MAIN}" xmlns:r="{RELATION}"><sheets><sheet name={quoteattr(sheet)} sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{PACKAGE}/relationships"><Relationship Id="rId1" Type="{RELATION}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{PACKAGE}/relationships"><Relationship Id="rId1" Type="{RELATION}/worksheet" Target="worksheets/sheet1.xml"/><Relationship Id="rId2" Type="{RELATION}/styles" Target="styles.xml"/></Relationships>',
+        "xl/styles.xml": f'<styleSheet xmlns="{MAIN}"><fonts count="1"><font/></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs>'
+        f'<cellXfs count="3"><xf/><xf numFmtId="{DATE_FORMAT}" applyNumberFormat="1"/><xf numFmtId="{TIME_FORMAT}" applyNumberFormat="1"/></cellXfs></styleSheet>',
         "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{MAIN}"><sheetData>{"".join(lines)}</sheetData></worksheet>',
     }
     out = io.BytesIO()
@@ -82,6 +105,13 @@ def to_workbook(names: list[str], rows: Iterator[tuple], sheet: str = "Sheet1")
     return out.getvalue()
 
 
+def counts_from_1904(data: bytes) -> bool:
+    """Whether a workbook's serial numbers of days begin in 1904."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        settings = ElementTree.fromstring(z.read("xl/workbook.xml")).find(f"{{{MAIN}}}workbookPr")
+    return settings is not None and settings.get("date1904") in ("1", "true")
+
+
 def from_workbook(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
     """The cells of a sheet, row by row, as strings; empty cells are null."""
     tag = f"{{{MAIN}}}"
@@ -146,28 +176,59 @@ class WorkbookReader(DataSourceReader):
 
     def read(self, partition: Workbook) -> Iterator[tuple]:
         files, _ = _open(self.options["path"])
-        rows = from_workbook(files.open_input_file(partition.path).readall(), self.options.get("sheet"))
+        data = files.open_input_file(partition.path).readall()
+        rows, first_day = from_workbook(data, self.options.get("sheet")), DAY_0_OF_1904 if counts_from_1904(data) else DAY_0
         names = rows[0] if rows else []
         at = [names.index(f.name) if f.name in names else None for f in self.schema.fields]
         for row in rows[1:]:
-            yield tuple(cast(row[i] if i is not None and i < len(row) else None, f) for i, f in zip(at, self.schema.fields, strict=True))
+            yield tuple(cast(row[i] if i is not None and i < len(row) else None, f, first_day) for i, f in zip(at, self.schema.fields, strict=True))
 
 
-def cast(value: str | None, field: StructField) -> object:
-    if value is None:
+def moment(value: str, first_day: datetime) -> datetime:
+    """A cell's time: a serial number of days, or as ISO 8601 text; to the microsecond."""
+    try:
+        days = Decimal(value)
+    except ArithmeticError:
+        found = datetime.fromisoformat(value)
+        return found.astimezone(UTC).replace(tzinfo=None) if found.tzinfo else found
+    return first_day + timedelta(microseconds=round(days * 86_400_000_000))
+
+
+def cast(value: str | None, field: StructField, first_day: datetime = DAY_0) -> object:
+    """A cell's text as a field's type.  Empty text is null for all but strings; a fraction is no whole number."""
+    kind = field.dataType
+    if value is None or isinstance(kind, StringType):
+        return value
+    if not value.strip():
         return None
-    if isinstance(field.dataType, IntegerType | LongType):
-        return int(float(value))
-    if isinstance(field.dataType, DoubleType | FloatType):
+    if isinstance(kind, WHOLE):
+        number = Decimal(value)
+        if number != int(number):
+            raise ValueError(f"{value} in {field.name} is no whole number")
+        return int(number)
+    if isinstance(kind, DecimalType):
+        return round(Decimal(value), kind.scale)
+    if isinstance(kind, DoubleType | FloatType):
         return float(value)
-    return value.lower() == "true" if isinstance(field.dataType, BooleanType) else value
+    if isinstance(kind, BooleanType):
+        return value.strip().lower() in ("true", "1")
+    found = moment(value.strip(), first_day)
+    if isinstance(kind, DateType):
+        return found.date()
+    return found.replace(tzinfo=UTC) if isinstance(kind, TimestampType) else found
+
+
+def refuse_others(schema: StructType) -> None:
+    for f in schema.fields:
+        if not isinstance(f.dataType, TYPES):
+            raise TypeError(f"a workbook can't hold {f.name}: {f.dataType.simpleString()}")
 
 
 class WorkbookWriter(DataSourceWriter):
     """Each task writes a workbook to a hidden place; the commit puts them all in place."""
 
     def __init__(self, schema: StructType, options: dict, overwrite: bool) -> None:
-        self.names, self.options, self.overwrite = schema.names, options, overwrite
+        self.schema, self.names, self.options, self.overwrite = schema, schema.names, options, overwrite
 
     def write(self, iterator: Iterator) -> Written:
         import uuid
@@ -176,7 +237,9 @@ class WorkbookWriter(DataSourceWriter):
 
         files, inner = _open(self.options["path"])
         stage, place = f"{inner}/.stage-{uuid.uuid4().hex}", f"{inner}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}.xlsx"
-        data = to_workbook(list(self.names), (tuple(r) for r in iterator), self.options.get("sheet") or "Sheet1")
+        zoned = [isinstance(f.dataType, TimestampType) for f in self.schema.fields]
+        rows = (tuple(v.astimezone(UTC) if z and v is not None else v for v, z in zip(r, zoned, strict=True)) for r in iterator)
+        data = to_workbook(list(self.names), rows, self.options.get("sheet") or "Sheet1")
         files.create_dir(inner, recursive=True)
         with files.open_output_stream(stage) as out:
             out.write(data)
@@ -208,7 +271,9 @@ class WorkbookSource(DataSource):
         return StructType([StructField(n, StringType()) for n in (rows[0] if rows else []) if n])
 
     def reader(self, schema: StructType) -> WorkbookReader:
+        refuse_others(schema)
         return WorkbookReader(schema, dict(self.options))
 
     def writer(self, schema: StructType, overwrite: bool) -> WorkbookWriter:
+        refuse_others(schema)
         return WorkbookWriter(schema, dict(self.options), overwrite)

@@ -1,14 +1,17 @@
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql.types import DateType, LongType, StringType, StructField, TimestampNTZType
 
 import __spark_entry__ as entry
 from tarnfold.operators.compare import compare, melt, spread
 from tarnfold.plans import queries
+from tarnfold.session import shared_folder
 from tarnfold.sources import store
-from tarnfold.sources.workbook import WorkbookSource, column_index, column_name, from_workbook, to_workbook
+from tarnfold.sources.workbook import DAY_0_OF_1904, WorkbookSource, cast, column_index, column_name, from_workbook, to_workbook
 from tarnfold.streaming.follow import follow
 
 SMALL = "/root/testdata/sf0.001"
@@ -50,6 +53,29 @@ def test_missing_result_writes_nothing(spark, tmp_path):
     assert not list(tmp_path.iterdir())
 
 
+def test_failed_swap_puts_the_latest_back(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    store.publish(spark.createDataFrame([(1,)], "v int"), root, datetime(2024, 5, 6, 7, 8))
+    latest, files = store._files(spark, f"{root}/latest")
+    old, stage = (store._files(spark, f"{root}/.{name}")[0] for name in ("old", "stage"))
+    files.rename(latest, old)
+    with pytest.raises(Exception, match="stage"):
+        store.swap(files, stage, latest, old)
+    assert [r.v for r in store.read_latest(spark, root).collect()] == [1]
+
+
+def test_shared_folder_needs_one_on_a_cluster():
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster, "x")
+
+
 def test_follow_streams_snapshots(spark, tmp_path):
     root = f"file://{tmp_path}"
     df = spark.createDataFrame([(1,)], "v int")
@@ -75,6 +101,31 @@ def test_workbook_source(spark, tmp_path):
     assert read.load().columns == ["i", "s", "d"]
 
 
+def test_workbook_types(spark, tmp_path):
+    spark.dataSource.register(WorkbookSource)
+    schema = "l long, m decimal(20,4), day date, t timestamp_ntz, z timestamp, b boolean"
+    rows = [
+        (9007199254740993, Decimal("1234567890123456.7891"), date(2024, 2, 29), datetime(2024, 5, 6, 7, 8, 9, 123457), datetime(2024, 5, 6, 7, 8, tzinfo=UTC), True),
+        (-(2**63), Decimal("-0.0001"), date(1950, 1, 1), datetime(1999, 12, 31, 23, 59, 59, 999999), None, None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    df.coalesce(1).write.format("workbook").mode("append").option("path", f"file://{tmp_path}/w").save()
+    back = spark.read.format("workbook").schema(df.schema).option("path", f"file://{tmp_path}/w").load()
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    for other in ("a array<int>", "m map<string,int>", "x binary"):
+        with pytest.raises(Exception, match="can't hold"):
+            spark.read.format("workbook").schema(other).option("path", f"file://{tmp_path}/w").load().collect()
+
+
+def test_workbook_cells_of_other_programs():
+    field = lambda kind: StructField("f", kind)
+    assert cast("45000", field(DateType())) == date(2023, 3, 15) and cast("43538", field(DateType()), DAY_0_OF_1904) == date(2023, 3, 15)
+    assert cast("2024-01-02", field(DateType())) == date(2024, 1, 2) and cast("45000.5", field(TimestampNTZType())) == datetime(2023, 3, 15, 12)
+    assert cast("1E3", field(LongType())) == 1000 and cast(" ", field(LongType())) is None and cast("", field(StringType())) == ""
+    with pytest.raises(ValueError, match="no whole number"):
+        cast("1.5", field(LongType()))
+
+
 def test_entry_and_queries(spark):
     assert entry.entry(spark).count() == 2
     assert set(queries.ORACLE_SQL) == set(queries.QUERIES)
