@@ -60,9 +60,62 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.extract_text(table(spark, sf_dir, "pages"))
 
 
+def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 1's result must add up to: totals, gapless slots, no split text that fits a shard, shards a text apart at most."""
+    out = sharding.shard(table(spark, sf_dir, "documents"), 24)
+    by_shard = out.groupBy("shard").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"))
+    spread = by_shard.agg((F.max("b") - F.min("b")).alias("spread"), F.bool_and((F.col("slots") == F.col("n")) & (F.col("last") == F.col("n") - 1)).alias("gapless"))
+    totals = out.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("bytes"), F.sum("n_tokens").alias("n_tokens"), F.max("size").alias("largest"))
+    groups = out.groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("shards"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), F.sum("n_tokens").alias("t"))
+    fits = (F.col("n") * 24 <= F.col("n_rows")) & (F.col("b") * 24 <= F.col("bytes")) & (F.col("t") * 24 <= F.col("all_tokens"))
+    whole = groups.join(totals.select("n_rows", "bytes", F.col("n_tokens").alias("all_tokens"))).agg(F.bool_and((F.col("shards") == 1) | ~fits).alias("whole"))
+    return totals.join(spread).join(whole).select("n_rows", "bytes", "n_tokens", "gapless", "whole", (F.col("spread") <= F.col("largest")).alias("even"))
+
+
+def base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of operator 2 that word counts alone settle."""
+    out = ppm.score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 3).alias("base_score"))
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of operator 4 that the rules settle; ``ruled`` is the verdict where a rule fits."""
+    out = op4_url_filter(spark, sf_dir)
+    return out.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
+
+
+def packing_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What operator 7's result must add up to: totals, and no bin that is too full, clashes or has gaps."""
+    out = op7_best_fit_packing(spark, sf_dir)
+    bins = out.groupBy("bin_id").agg(
+        F.sum("n_tokens").alias("tokens"),
+        F.max(F.col("bin_offset") + F.col("n_tokens")).alias("end"),
+        (F.count("source") - F.countDistinct("source")).alias("sources"),
+        (F.count("cluster") - F.countDistinct("cluster")).alias("clusters"),
+    )
+    bad = bins.agg(*[F.count_if(c).alias(n) for n, c in (("too_full", F.col("tokens") > 2048), ("gaps", F.col("tokens") != F.col("end")), ("clashes", F.col("sources") + F.col("clusters") > 0))])
+    totals = out.agg(F.countDistinct("doc_id").alias("n_docs"), F.count(F.lit(1)).alias("n_pieces"), F.sum("n_tokens").alias("n_tokens"))
+    return totals.join(bad)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_vector_bin_packing, op2_ppm_scoring, op3_decontamination, op4_url_filter, op5_pfor_tokens, op6_cotraining, op7_best_fit_packing, op8_simhash, op9_projection_forest, op10_html_extraction)
+    for f in (
+        op1_vector_bin_packing,
+        op2_ppm_scoring,
+        op3_decontamination,
+        op4_url_filter,
+        op5_pfor_tokens,
+        op6_cotraining,
+        op7_best_fit_packing,
+        op8_simhash,
+        op9_projection_forest,
+        op10_html_extraction,
+        shard_laws,
+        base_scores,
+        url_rules,
+        packing_laws,
+    )
 }
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -89,4 +142,48 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id)::BIGINT AS n_links,
 FROM r GROUP BY vec_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": CONTAINMENT_SQL, "op9_projection_forest": COSINE_SQL}
+WORDS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+')"
+
+SHARD_SQL = f"""
+SELECT count(*) AS n_rows, sum(octet_length(encode(coalesce(text, ''))) + 8)::BIGINT AS bytes, sum(len({WORDS_SQL}))::BIGINT AS n_tokens,
+       true AS gapless, true AS whole, true AS even
+FROM documents
+"""
+
+#: The polynomial's remainder byte by byte and bit by bit, of the id's digits.
+CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+#: Add-one unigrams over words and ends.
+BASE_SQL = f"""
+WITH d AS (SELECT doc_id, {CRC_SQL} % 7 = 2 AS held_out, list_append({WORDS_SQL}, chr(10)) AS w FROM documents),
+t AS (SELECT doc_id, held_out, unnest(w) AS word FROM d),
+c AS (SELECT word, count(*) AS c FROM t WHERE NOT held_out GROUP BY word),
+n AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM c)
+SELECT t.doc_id, t.held_out, count(*) AS n_tokens, count(c.c) AS n_known, max(n.n)::BIGINT AS train_tokens,
+       round(sum(log10((coalesce(c.c, 0) + 1) / (n.n + n.v + 1)::DOUBLE)), 3) AS base_score
+FROM t CROSS JOIN n LEFT JOIN c USING (word) GROUP BY t.doc_id, t.held_out
+"""
+
+RULES_SQL = f"""
+WITH r(ruled, rule_host, rule_path) AS (VALUES {", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in urls.RULES)}),
+u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, regexp_extract(rest, '^[^?#]*') AS part FROM u),
+h AS (SELECT page_id, translate(regexp_extract(part, '^[^/]*'), '{UPPER}', '{UPPER.lower()}') AS host, regexp_extract(part, '^[^/]*(.*)$', 1, 's') AS path FROM p)
+SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(ruled, length(rule_host || rule_path)) AS ruled
+FROM h LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id, host, path
+"""
+
+PACKING_SQL = f"""
+WITH d AS (SELECT doc_id, len({WORDS_SQL}) + 1 AS n FROM documents)
+SELECT count(DISTINCT doc_id) AS n_docs, sum((n + 2047) // 2048)::BIGINT AS n_pieces, sum(n)::BIGINT AS n_tokens, 0::BIGINT AS too_full, 0::BIGINT AS gaps, 0::BIGINT AS clashes FROM d
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": CONTAINMENT_SQL,
+    "op9_projection_forest": COSINE_SQL,
+    "shard_laws": SHARD_SQL,
+    "base_scores": BASE_SQL,
+    "url_rules": RULES_SQL,
+    "packing_laws": PACKING_SQL,
+}
