@@ -87,18 +87,27 @@ def first_document(id_col: Column | str, text_hash: Column | str) -> Column:
     return F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(text_hash).alias("th"))
 
 
-def only_documents(df: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def only_documents(df: DataFrame, kept: DataFrame, docs: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
     """The rows of ``df`` whose id and text's hash are in ``kept`` (``id``, ``th``), one of each.
 
     A document is an id and a text: a repeated id with another text is another
     document, and a null id is an id like any other.  Of rows that repeat both,
-    the least by all columns that have an order stays.
+    the least by all columns that have an order stays.  ``docs`` has the ``id``
+    and ``th`` of every row: only rows that do repeat are aggregated.
     """
+    times = docs.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    times = kept.join(times, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select("id", "th", (F.col("n") > 1).alias("many"))
+    times = materialize(times, f"{path}/kept")
     names = [F.col(f"`{c}`") for c in df.columns]
-    order = F.struct(*[F.col(f"`{f.name}`") for f in df.schema.fields if orderable(f.dataType)])
+    order = F.struct(F.lit(0).alias("first"), *[F.col(f"`{f.name}`") for f in df.schema.fields if f.name != text_col and orderable(f.dataType)])
     keyed = df.select(F.struct(*names).alias("row"), order.alias("by"), F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_th"))
-    found = keyed.join(kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th")), "left_semi")
-    return found.groupBy("own_id", "own_th").agg(F.min_by("row", "by").alias("row")).select("row.*")
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th"))
+    out = keyed.join(times.where("NOT many"), same, "left_semi").select("row.*")
+    many = times.where("many")
+    if not many.isEmpty():
+        found = keyed.join(many, same, "left_semi").groupBy("own_id", "own_th").agg(F.min_by("row", "by").alias("row"))
+        out = out.unionByName(found.select("row.*"))
+    return out
 
 
 def connected_components(edges: DataFrame, path: str) -> DataFrame:

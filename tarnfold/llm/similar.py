@@ -585,5 +585,5 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_wo
     rows that repeat both, one stays: the least by all columns.  All columns
     stay, whatever their names.
     """
-    _, members = _grouped(df, id_col, text_col, n_words, similarity, WIDTH)
-    return only_documents(df, members.select("first.id", "first.th").distinct(), id_col, text_col)
+    docs, members = _grouped(df, id_col, text_col, n_words, similarity, WIDTH)
+    return only_documents(df, members.select("first.id", "first.th").distinct(), docs, id_col, text_col, workspace(df.sparkSession, "kept"))
