@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import materialize, tokens, workspace
+from ._shared import materialize, partitions, tokens, workspace
 
 #: Mean pieces of a packing group, and their mean tokens as a share of that many half-full bins.
 GROUP_PIECES, GROUP_BINS = 4096, 512
+#: Groups that a task packs, in the mean, where there are many.
+GROUPS = 16
 #: Fill from which a bin stays as it is; the pieces of others are dealt and packed again.
 CLOSED = 0.99
 #: Share of the pieces that another round must settle, or it is the last.
@@ -134,7 +136,9 @@ def pack(df: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col:
     total, n = left.agg(F.sum("n_tokens"), F.count(F.lit(1))).first()
     for step in range(64):
         groups = max(1, math.ceil(n / group_pieces), math.ceil((total or 0) / (capacity * group_pieces * GROUP_BINS / GROUP_PIECES)))
+        # A task packs a few groups; left to be put together by bytes, all groups would be one task's.
         dealt = left.withColumn("pack_group", F.pmod(F.xxhash64("seq", F.lit(step)), F.lit(groups)))
+        dealt = dealt.repartition(max(min(groups, partitions(spark)), math.ceil(groups / GROUPS)), "pack_group")
         packed = dealt.groupBy("pack_group").applyInArrow(run, schema).withColumn("bin_id", F.col("bin_id") + F.lit(step << 56))
         packed = materialize(packed, f"{path}/packed-{step}")
         loose = packed.where(F.col("fill") < CLOSED * capacity)
