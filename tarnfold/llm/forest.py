@@ -16,8 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ._shared import connected_components, materialize, share, workspace
 
 TREES, LEAF, SPILL = 16, 256, 0.1
-#: Vectors that the split points of the trees are taken from, in expectation.
-SAMPLE = 1 << 16
+#: Vectors that the split points of the trees are taken from, in expectation, and their bytes at most.
+SAMPLE, SAMPLE_BYTES = 1 << 16, 64 << 20
 #: Vectors of a block; a leaf of more than two blocks' size is compared block by block.
 BLOCK = 1024
 
@@ -83,23 +83,41 @@ class Tree:
         return rows, nodes
 
 
-def close_pairs(table: pa.Table, other: pa.Table | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Node pairs of cosine ``threshold`` or more, within a table or across two."""
-    def rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return t["node"].to_numpy(), np.frombuffer(b"".join(t["unit"].to_pylist()), np.float64).reshape(t.num_rows, -1)
+def opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and their unit vectors."""
+    return table["node"].to_numpy(), np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64).reshape(table.num_rows, -1)
 
-    (a, x), (b, y) = rows(table), rows(table if other is None else other)
+
+def close_pairs(a: np.ndarray, x: np.ndarray, b: np.ndarray | None = None, y: np.ndarray | None = None, threshold: float = 0.9) -> tuple[np.ndarray, np.ndarray]:
+    """Node pairs of cosine ``threshold`` or more, among nodes ``a`` or between ``a`` and ``b``."""
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for i in range(0, len(a), BLOCK):
-        r, c = np.nonzero(x[i : i + BLOCK] @ y.T >= threshold)
+        r, c = np.nonzero(x[i : i + BLOCK] @ (x if y is None else y).T >= threshold)
         r = r + i
-        if other is None:
+        if b is None:
             r, c = r[r < c], c[r < c]
-        found.append((a[r], b[c]))
+        found.append((a[r], (a if b is None else b)[c]))
     left, right = (np.concatenate(f) for f in zip(*found, strict=True))
     return np.minimum(left, right), np.maximum(left, right)
 
 
+def between_blocks(one: pa.Table, two: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest pairs that connect what links between two blocks do, given that each block's own links are known elsewhere.
+
+    Nodes that a block's own links connect stand for each other, by the smallest
+    of them, so that the pairs don't grow with the blocks' nodes.
+    """
+    (a, x), (b, y) = opened(one), opened(two)
+    u, v = close_pairs(a, x, b, y, threshold)
+    if len(u):
+        for nodes, units in ((a, x), (b, y)):
+            root, own = spanning(*close_pairs(nodes, units, threshold=threshold))
+            if len(own):
+                u, v = (np.where(own[np.minimum(np.searchsorted(own, w), len(own) - 1)] == w, root[np.minimum(np.searchsorted(own, w), len(own) - 1)], w) for w in (u, v))
+        u, v = spanning(np.minimum(u, v), np.maximum(u, v))
+    return u, v
+
+
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Fewest pairs that connect what the pairs ``a``, ``b`` do: each node with the smallest that it reaches."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -171,8 +189,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     counts other rows; ``component_id`` is the smallest id that links reach.
     Null ids link but name no component of others.  Extra columns are ignored.
 
-    Trees are grown on a sample of about ``sample`` classes, and all rows are
-    put into their leaves.  Leaves grow with the input only where the sample is
+    Trees are grown on a sample of about ``sample`` classes, or of as many as
+    ``SAMPLE_BYTES`` hold, and all rows are put into their leaves.  Leaves grow with the input only where the sample is
     too small for more splits; a leaf of more than ``2 * BLOCK`` rows is dealt
     into blocks, and each pair of blocks is a task's work, so that no leaf is
     cut short and none is one task's alone.
@@ -195,7 +213,9 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     classes = materialize(classes, f"{path}/classes")
     dims = {r["d"]: r["n"] for r in classes.groupBy((F.length("unit") / 8).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(dims.values())
-    cut = F.pmod(F.xxhash64("unit"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, total)))
+    total_bytes = sum(8 * d * n for d, n in dims.items())
+    part = min(1.0, sample / max(1, total), SAMPLE_BYTES / max(1, total_bytes))
+    cut = F.pmod(F.xxhash64("unit"), F.lit(1 << 30)) < int((1 << 30) * part)
     drawn = classes.where(cut).select("unit").toArrow()["unit"].to_pylist()
     forest: dict[int, list[Tree]] = {}
     for d, n in dims.items():
@@ -232,11 +252,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     def compare(table: pa.Table) -> pa.Table:
         if table["i"][0].as_py() == table["j"][0].as_py():
-            a, b = close_pairs(table, None, threshold)
+            a, b = spanning(*close_pairs(*opened(table), threshold=threshold))
         else:
             first = np.equal(table["own"].to_numpy(), table["i"].to_numpy())
-            a, b = close_pairs(table.filter(pa.array(first)), table.filter(pa.array(~first)), threshold)
-        a, b = spanning(a, b)
+            a, b = between_blocks(table.filter(pa.array(first)), table.filter(pa.array(~first)), threshold)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     links = dealt.groupBy(*key, "i", "j").applyInArrow(compare, "a long, b long").distinct()
