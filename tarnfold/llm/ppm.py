@@ -36,9 +36,11 @@ from ._shared import binary, materialize, partitions, share, sliced, workspace
 ORDER = 5
 END = b"\n"
 #: Canonical bytes of a batch, and of the part of it that is worked on at once.
-BATCH_BYTES, STEP = 32 << 20, 1 << 19
-#: Orders whose counts every task gets: at most 256 ** 3 of them, however large the corpus.
-LOW = 2
+BATCH_BYTES, STEP = 24 << 20, 1 << 19
+#: Highest order whose counts every task gets, and up to how many; beyond, orders 0 and 1 go out, 65,536 counts at most.
+LOW, LOW_ROWS = 2, 1 << 22
+#: Mean runs of a branch of the trie that a task evaluates at once.
+BRANCH = 1 << 19
 
 
 def held_out(doc_id: object, parts: int = 7, part: int = 2) -> bool:
@@ -260,6 +262,11 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     ``base_score`` (add-one word unigrams), ``score`` (this model), both log10.
     A null text is empty and has its end as its only token.  Repeated rows train
     and are scored each.  Extra columns are ignored.
+
+    A word, the end too, has one row a batch, so that the most frequent one has
+    a few million rows at 100 TB.  The trie is dealt into as many branches as its
+    runs need; a branch is all that follows two or three bytes, so that the
+    largest has 256³ runs at most, whatever the corpus.
     """
     if not LOW < order <= 6:
         raise ValueError(f"order must be {LOW + 1} to 6")
@@ -278,10 +285,15 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     unknown = -float(np.log10(n_train + n_words + 1))
 
     sums = materialize(grams.groupBy("gram").agg(F.sum("n").alias("n")), f"{path}/sums")
-    low_mask = (1 << 8 * (LOW + 1)) - 1
-    low = sums.groupBy(F.col("gram").bitwiseAND(F.lit(low_mask)).alias("gram")).agg(F.sum("n").alias("n")).where("n > 0").toArrow().sort_by("gram")
-    sent = share(spark, levels(low["gram"].to_numpy().astype(np.uint64), low["n"].to_numpy(), LOW, []))
-    branch_mask = (1 << 8 * (LOW + 2)) - 256
+    for low_order in (LOW, 1):
+        low_mask = F.lit((1 << 8 * (low_order + 1)) - 1)
+        low = sums.groupBy(F.col("gram").bitwiseAND(low_mask).alias("gram")).agg(F.sum("n").alias("n")).where("n > 0")
+        low = materialize(low, f"{path}/low-{low_order}")
+        if low.count() <= LOW_ROWS:
+            break
+    low = low.toArrow().sort_by("gram")
+    sent = share(spark, levels(low["gram"].to_numpy().astype(np.uint64), low["n"].to_numpy(), low_order, []))
+    branch_mask = (1 << 8 * (low_order + 2)) - 256
 
     def evaluate(table: pa.Table) -> pa.Table:
         table = table.sort_by("gram")
@@ -289,7 +301,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
         trie = levels(keys[n > 0], n[n > 0], order, sent())
         return pa.table({"gram": table["gram"], "p": pa.array(log_probability(trie, keys), pa.float64())})
 
-    branches = 4 * partitions(spark)
+    branches = max(4 * partitions(spark), -(-sums.count() // BRANCH))
     branch = F.pmod(F.xxhash64(F.col("gram").bitwiseAND(F.lit(branch_mask))), F.lit(branches))
     known = sums.withColumn("branch", branch).groupBy("branch").applyInArrow(lambda t: evaluate(t.select(["gram", "n"])), "gram long, p double")
     known = materialize(known, f"{path}/known")
