@@ -1,7 +1,7 @@
 """HTML extraction by equivalence-class template deduction (operator 10).
 
-A page's template tokens are its tags, told apart by the containers about them,
-and its whole blocks of text.  Tokens of one container that have the same
+A page's template tokens are its tags, but for those within a block of text,
+told apart by the containers about them, and its whole blocks of text.  Tokens of one container that have the same
 occurrence vector over a host's pages are an equivalence class.  Classes that
 are frequent, large and ordered are valid; valid containers, nested, are the
 host's template.  Text belongs to the slot of the innermost template container
@@ -140,7 +140,9 @@ def parse(source: str) -> Page:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, pos)
             pos = at = end.end() if end else len(source)
         if name not in CONTAINERS:
-            tag(TOKENS[container, closing, name], container)
+            # What marks up a text within a block is part of the text, not of the template.
+            if name not in INLINE and name not in VOID:
+                tag(TOKENS[container, closing, name], container)
         elif not closing:
             stack.append(signature(name, attributes))
             path = tuple(stack)
@@ -367,11 +369,13 @@ def deduce_hosts(rows: DataFrame, path: str) -> DataFrame:
     root = hosts.select("host", F.lit(ROOT).alias("owner"), F.lit(True).alias("valid"), F.col("different").alias("pages"))
     containers = materialize(containers.unionByName(root), f"{path}/containers")
     blocks = sums.where("NOT tag AND token IS NOT NULL").select("host", "token", "owner", F.col("pages").alias("n"), "chars")
-    # Containers that are too rare for the template have no block that is alike.
-    blocks = blocks.join(containers, ["host", "owner"]).withColumn("alike", F.col("n") >= F.greatest(F.lit(float(ALIKE_PAGES)), ALIKE * F.col("pages")))
-    chars = blocks.where("NOT alike").groupBy("host", "owner").agg(F.sum("chars").alias("chars"))
+    # Most blocks are on too few pages to be the template's, whatever their container: they are summed without a join.
+    few = blocks.where(F.col("n") < ALIKE_PAGES).groupBy("host", "owner").agg(F.sum("chars").alias("chars"))
+    many = blocks.where(F.col("n") >= ALIKE_PAGES).join(containers, ["host", "owner"])
+    many = materialize(many.select("host", "token", "owner", "chars", (F.col("n") >= ALIKE * F.col("pages")).alias("alike")), f"{path}/repeated")
+    chars = few.unionByName(many.where("NOT alike").select("host", "owner", "chars")).groupBy("host", "owner").agg(F.sum("chars").alias("chars"))
     slots = containers.join(chars, ["host", "owner"], "left").groupBy("host").agg(F.collect_list(F.struct("owner", "valid", "pages", F.coalesce("chars", F.lit(0)).alias("chars"))).alias("slots"))
-    alike = blocks.where("alike").groupBy("host").agg(F.collect_list("token").alias("alike"))
+    alike = many.where("alike").groupBy("host").agg(F.collect_list("token").alias("alike"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
