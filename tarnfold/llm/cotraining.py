@@ -280,9 +280,21 @@ def packed_rows(docs: DataFrame, labels: DataFrame, path: str, id_col: str, text
             for batch in sliced(whole, 1):
                 views = features(batch, 1, range(2, 2 + n_meta))
                 packed = [pa.array([x.tobytes() for x in v], pa.binary()) for v in views]
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *packed, batch.column(batch.num_columns - 1)], names=["id", "text", "meta", "y"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *packed, batch.column(batch.num_columns - 1)], names=["id", "text", "meta", "y"])
 
-    return materialize(rows.mapInArrow(run, "id string, text binary, meta binary, y double"), f"{path}/features")
+    binaries = [T.StructField(c, T.BinaryType()) for c in ("text", "meta")]
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *binaries, T.StructField("y", T.DoubleType())])
+    return materialize(rows.mapInArrow(run, schema), f"{path}/features")
+
+
+def fit(rows: DataFrame, rounds: int = ROUNDS) -> CoTrained:
+    """Co-train on packed rows; those with a label come to the driver, of the others only sums."""
+    found = rows.where("y IS NOT NULL").toArrow()
+    if not found.num_rows:
+        return CoTrained([], 0.0, [])
+    found = found.set_column(0, "id", found["id"].cast(pa.string())).sort_by([("id", "ascending"), ("text", "ascending"), ("meta", "ascending")])
+    rest = rows.where("y IS NULL").select("text", "meta")
+    return co_train(unpacked(found), found["y"].to_numpy(), lambda exchange: summed(rest, exchange), rounds)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained:
@@ -294,12 +306,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     views and scores all rows 1.  Features are written once; a round reads them
     in parallel and adds up gradients, so that the driver sees sums only.
     """
+    path = workspace(docs.sparkSession, "cotraining")
+    return fit(packed_rows(docs, labels, path, id_col, text_col, meta_cols, label_col, labelled), rounds)
+
+
+def score_schema(kind: T.DataType, id_col: str) -> T.StructType:
+    scores = [T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "quality_score")]
+    return T.StructType([T.StructField(id_col, kind), *scores, T.StructField("kept", T.BooleanType())])
+
+
+def train_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS, threshold: float = 0.5) -> DataFrame:
+    """``score`` of the documents that the model is trained on, as ``train`` does, from features that are made once."""
     rows = packed_rows(docs, labels, workspace(docs.sparkSession, "cotraining"), id_col, text_col, meta_cols, label_col, labelled)
-    found = rows.where("y IS NOT NULL").toArrow().sort_by([("id", "ascending"), ("text", "ascending"), ("meta", "ascending")])
-    if not found.num_rows:
-        return CoTrained([], 0.0, [])
-    rest = rows.where("y IS NULL").select("text", "meta")
-    return co_train(unpacked(found), found["y"].to_numpy(), lambda exchange: summed(rest, exchange), rounds)
+    model = fit(rows, rounds)
+    schema = score_schema(docs.schema[id_col].dataType, id_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 4096) for b in batches for at in range(0, b.num_rows, 4096)):
+            found = model.scores(unpacked(batch))
+            columns = [batch.column(0), *[pa.array(s, pa.float64()) for s in found], pa.array(found[2] >= threshold)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return rows.select("id", "text", "meta").mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), threshold: float = 0.5) -> DataFrame:
@@ -310,7 +338,7 @@ def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: s
     Null metadata is a value of its own.  Texts are read whole, however long.
     Repeated rows and null ids are scored each; extra columns are ignored.
     """
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *[T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "quality_score")], T.StructField("kept", T.BooleanType())])
+    schema = score_schema(docs.schema[id_col].dataType, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -39,8 +39,7 @@ def op5_pfor_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return cotraining.score(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
+    return cotraining.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
