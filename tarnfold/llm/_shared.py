@@ -96,11 +96,22 @@ def only_documents(df: DataFrame, kept: DataFrame, docs: DataFrame, id_col: str,
     and ``th`` of every row: only rows that do repeat are aggregated.
     """
     times = docs.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    times = kept.join(times, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select("id", "th", (F.col("n") > 1).alias("many"))
+    times = kept.join(
+        times,
+        F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")),
+    ).select("id", "th", (F.col("n") > 1).alias("many"))
     times = materialize(times, f"{path}/kept")
     names = [F.col(f"`{c}`") for c in df.columns]
-    order = F.struct(F.lit(0).alias("first"), *[F.col(f"`{f.name}`") for f in df.schema.fields if f.name != text_col and orderable(f.dataType)])
-    keyed = df.select(F.struct(*names).alias("row"), order.alias("by"), F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_th"))
+    order = F.struct(
+        F.lit(0).alias("first"),
+        *[F.col(f"`{f.name}`") for f in df.schema.fields if f.name != text_col and orderable(f.dataType)],
+    )
+    keyed = df.select(
+        F.struct(*names).alias("row"),
+        order.alias("by"),
+        F.col(f"`{id_col}`").alias("own_id"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("own_th"),
+    )
     same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_th") == F.col("th"))
     out = keyed.join(times.where("NOT many"), same, "left_semi").select("row.*")
     many = times.where("many")

@@ -37,7 +37,16 @@ def text_features(text: bytes) -> np.ndarray:
         repeats += a == b
         longest = max(longest, run)
     lines = [x for x in text.split(b"\n") if x]
-    extra = [len(set(words)) / n, repeats / n, np.log1p(longest), np.log1p(n), sum(map(len, words)) / n / 10, np.log1p(n / max(1, len(lines))), sum(w.isupper() for w in words) / n, sum(not w.isalnum() and w.isascii() for w in words) / n]
+    extra = [
+        len(set(words)) / n,
+        repeats / n,
+        np.log1p(longest),
+        np.log1p(n),
+        sum(map(len, words)) / n / 10,
+        np.log1p(n / max(1, len(lines))),
+        sum(w.isupper() for w in words) / n,
+        sum(not w.isalnum() and w.isascii() for w in words) / n,
+    ]
     return np.concatenate([np.sqrt(freq), extra]).astype(np.float32)
 
 
@@ -204,7 +213,13 @@ class Exchange:
         return Round((int(c[0]), int(c[1])), (int(c[3]), int(c[4])), float(c[2]), float(c[5])), parts
 
 
-def co_train(views: Sequence[np.ndarray], y: np.ndarray, unlabelled: Callable[[Exchange], np.ndarray], rounds: int = ROUNDS, given: float = GIVEN) -> CoTrained:
+def co_train(
+    views: Sequence[np.ndarray],
+    y: np.ndarray,
+    unlabelled: Callable[[Exchange], np.ndarray],
+    rounds: int = ROUNDS,
+    given: float = GIVEN,
+) -> CoTrained:
     """Fit both views on the labelled rows, then exchange pseudo-labels over rounds.
 
     ``views`` are each view's features of the labelled rows, ``unlabelled`` sums
@@ -227,7 +242,14 @@ def co_train(views: Sequence[np.ndarray], y: np.ndarray, unlabelled: Callable[[E
         exchange = Exchange.plan(fitted, held, share, given)
         told_now, parts = exchange.opened(unlabelled(exchange))
         told.append(told_now)
-        for m, x, x_held, (gradient, hessian), weight in zip(fitted, own, held, parts, (told_now.weight_by_meta, told_now.weight_by_text), strict=True):
+        for m, x, x_held, (gradient, hessian), weight in zip(
+            fitted,
+            own,
+            held,
+            parts,
+            (told_now.weight_by_meta, told_now.weight_by_text),
+            strict=True,
+        ):
             scale = len(own_y) / max(len(own_y), weight)
             g, h = m.sums(x, own_y, np.ones(len(x)))
             m.step(g + scale * gradient, h + scale * hessian)
@@ -237,7 +259,10 @@ def co_train(views: Sequence[np.ndarray], y: np.ndarray, unlabelled: Callable[[E
 
 def features(batch: pa.RecordBatch, text_at: int, meta_at: Sequence[int]) -> list[np.ndarray]:
     text = np.array([text_features(t or b"") for t in binary(batch.column(text_at))], np.float32).reshape(batch.num_rows, -1)
-    meta = np.array([meta_features(v) for v in zip(*(batch.column(i).to_pylist() for i in meta_at), strict=True)], np.float32) if meta_at else np.zeros((batch.num_rows, META_SLOTS), np.float32)
+    meta = np.array(
+        [meta_features(v) for v in zip(*(batch.column(i).to_pylist() for i in meta_at), strict=True)],
+        np.float32,
+    ) if meta_at else np.zeros((batch.num_rows, META_SLOTS), np.float32)
     return [text, meta.reshape(batch.num_rows, META_SLOTS)]
 
 
@@ -251,7 +276,10 @@ def summed(rows: DataFrame, exchange: Exchange) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = exchange.sums(unpacked(b.slice(at, 4096)) for b in batches for at in range(0, b.num_rows, 4096))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+            names=["part", "sums"],
+        )
 
     def add(table: pa.Table) -> pa.Table:
         arrays = [np.frombuffer(x.as_py(), np.float64) for x in table["sums"]]
@@ -260,18 +288,34 @@ def summed(rows: DataFrame, exchange: Exchange) -> np.ndarray:
     parts, n = rows.mapInArrow(run, "part long, sums binary"), rows.rdd.getNumPartitions()
     while n > 1:
         n = math.ceil(n / FAN)
-        parts = parts.groupBy(F.floor(F.col("part") / FAN).alias("of")).applyInArrow(add, "part long, sums binary").select(F.floor(F.col("part") / FAN).alias("part"), "sums")
+        parts = parts.groupBy(F.floor(F.col("part") / FAN).alias("of")).applyInArrow(add, "part long, sums binary").select(
+            F.floor(F.col("part") / FAN).alias("part"),
+            "sums",
+        )
     found = [np.frombuffer(r["sums"], np.float64) for r in parts.collect()]
     return np.sum(found, axis=0) if found else exchange.sums(iter(()))
 
 
-def packed_rows(docs: DataFrame, labels: DataFrame, path: str, id_col: str, text_col: str, meta_cols: Sequence[str], label_col: str, labelled: int) -> DataFrame:
+def packed_rows(
+    docs: DataFrame,
+    labels: DataFrame,
+    path: str,
+    id_col: str,
+    text_col: str,
+    meta_cols: Sequence[str],
+    label_col: str,
+    labelled: int,
+) -> DataFrame:
     """Every document's ``id``, packed features ``text`` and ``meta``, and its label ``y`` if it is in the labelled sample."""
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("double").alias("y"))
     cut = 1 << 30
     at = F.pmod(F.xxhash64("id", F.lit("labelled")), F.lit(cut))
     chosen = marks.where(at < int(cut * min(1.0, labelled / max(1, marks.count())))).withColumn("y", F.when(F.col("y") > 0, 1.0).otherwise(0.0))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"m{i}") for i, c in enumerate(meta_cols)])
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.col(text_col).alias("text"),
+        *[F.col(c).alias(f"m{i}") for i, c in enumerate(meta_cols)],
+    )
     rows = rows.join(F.broadcast(chosen), "id", "left")
     n_meta = len(meta_cols)
 
@@ -280,7 +324,10 @@ def packed_rows(docs: DataFrame, labels: DataFrame, path: str, id_col: str, text
             for batch in sliced(whole, 1):
                 views = features(batch, 1, range(2, 2 + n_meta))
                 packed = [pa.array([x.tobytes() for x in v], pa.binary()) for v in views]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *packed, batch.column(batch.num_columns - 1)], names=["id", "text", "meta", "y"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *packed, batch.column(batch.num_columns - 1)],
+                    names=["id", "text", "meta", "y"],
+                )
 
     binaries = [T.StructField(c, T.BinaryType()) for c in ("text", "meta")]
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *binaries, T.StructField("y", T.DoubleType())])
@@ -297,7 +344,16 @@ def fit(rows: DataFrame, rounds: int = ROUNDS) -> CoTrained:
     return co_train(unpacked(found), found["y"].to_numpy(), lambda exchange: summed(rest, exchange), rounds)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    meta_cols: Sequence[str] = ("lang", "source", "n_chars"),
+    label_col: str = "quality",
+    labelled: int = LABELLED,
+    rounds: int = ROUNDS,
+) -> CoTrained:
     """Co-train on about ``labelled`` labelled rows, chosen by hash of the id, and all others.
 
     A document with several labels has the least; null labels and ids don't
@@ -315,7 +371,17 @@ def score_schema(kind: T.DataType, id_col: str) -> T.StructType:
     return T.StructType([T.StructField(id_col, kind), *scores, T.StructField("kept", T.BooleanType())])
 
 
-def train_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), label_col: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS, threshold: float = 0.5) -> DataFrame:
+def train_and_score(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    meta_cols: Sequence[str] = ("lang", "source", "n_chars"),
+    label_col: str = "quality",
+    labelled: int = LABELLED,
+    rounds: int = ROUNDS,
+    threshold: float = 0.5,
+) -> DataFrame:
     """``score`` of the documents that the model is trained on, as ``train`` does, from features that are made once."""
     rows = packed_rows(docs, labels, workspace(docs.sparkSession, "cotraining"), id_col, text_col, meta_cols, label_col, labelled)
     model = fit(rows, rounds)
@@ -330,7 +396,14 @@ def train_and_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return rows.select("id", "text", "meta").mapInArrow(run, schema)
 
 
-def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), threshold: float = 0.5) -> DataFrame:
+def score(
+    docs: DataFrame,
+    model: CoTrained,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    meta_cols: Sequence[str] = ("lang", "source", "n_chars"),
+    threshold: float = 0.5,
+) -> DataFrame:
     """``id_col``, ``text_score``, ``meta_score``, ``quality_score``, ``kept`` of every row.
 
     Scores are probabilities of good quality; a score of ``threshold`` is kept.
@@ -344,12 +417,21 @@ def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: s
         for whole in batches:
             for batch in sliced(whole, 1):
                 found = model.scores(features(batch, 1, range(2, batch.num_columns)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(s, pa.float64()) for s in found], pa.array(found[2] >= threshold)], names=schema.names)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *[pa.array(s, pa.float64()) for s in found], pa.array(found[2] >= threshold)],
+                    names=schema.names,
+                )
 
     return docs.select(id_col, text_col, *meta_cols).mapInArrow(run, schema)
 
 
-def keep_good(docs: DataFrame, model: CoTrained, text_col: str = "text", meta_cols: Sequence[str] = ("lang", "source", "n_chars"), threshold: float = 0.5) -> DataFrame:
+def keep_good(
+    docs: DataFrame,
+    model: CoTrained,
+    text_col: str = "text",
+    meta_cols: Sequence[str] = ("lang", "source", "n_chars"),
+    threshold: float = 0.5,
+) -> DataFrame:
     """``docs`` without those scored below ``threshold``; all columns stay, whatever their names.
 
     Nulls, empty and long texts and repeated rows are as in ``score``.

@@ -127,7 +127,11 @@ class Items:
             for x in h[np.argsort(permutation(h, size_class), kind="stable")[:k]].tolist():
                 sketches.setdefault((width, size_class), []).append((x, len(self.ids)))
             asks = max(1, k - (n - need(n)))
-            for to, x in zip((self.ids, self.texts, self.sizes, self.needs, self.asks), (item, b" ".join(words), n, need(n), asks), strict=True):
+            for to, x in zip(
+                (self.ids, self.texts, self.sizes, self.needs, self.asks),
+                (item, b" ".join(words), n, need(n), asks),
+                strict=True,
+            ):
                 to.append(x)
         for (width, size_class), pairs in sorted(sketches.items()):
             pairs.sort()
@@ -208,12 +212,33 @@ class Searcher:
             yield items, items.search(docs, sets)
 
 
-def sent_blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, n_words: int, threshold: float, block_bytes: int) -> list:
+def sent_blocks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    item_col: str,
+    item_text: str,
+    n_words: int,
+    threshold: float,
+    block_bytes: int,
+) -> list:
     """Broadcasts of all blocks, each of bounded size."""
-    return [share(docs.sparkSession, Items.build(rows, n_words, threshold)) for rows in item_blocks(benchmark, item_col, item_text, block_bytes)]
-
-
-def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n_words: int = 5, threshold: float = 0.8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    return [
+        share(docs.sparkSession, Items.build(rows, n_words, threshold))
+        for rows in item_blocks(benchmark, item_col, item_text, block_bytes)
+    ]
+
+
+def contained_items(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    n_words: int = 5,
+    threshold: float = 0.8,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """Every pair of a document and a test item that it contains.
 
     Columns: ``id_col``, ``item_id``, ``item_shingles``, ``shared`` (distinct
@@ -245,7 +270,16 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n_words: int = 5, threshold: float = 0.8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text: str = "text",
+    n_words: int = 5,
+    threshold: float = 0.8,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """``docs`` without the documents that contain a test item; all columns stay, whatever their names.
 
     What contains what is as in ``contained_items``: null and empty texts contain

@@ -88,7 +88,13 @@ def opened(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return table["node"].to_numpy(), np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64).reshape(table.num_rows, -1)
 
 
-def close_pairs(a: np.ndarray, x: np.ndarray, b: np.ndarray | None = None, y: np.ndarray | None = None, threshold: float = 0.9) -> tuple[np.ndarray, np.ndarray]:
+def close_pairs(
+    a: np.ndarray,
+    x: np.ndarray,
+    b: np.ndarray | None = None,
+    y: np.ndarray | None = None,
+    threshold: float = 0.9,
+) -> tuple[np.ndarray, np.ndarray]:
     """Node pairs of cosine ``threshold`` or more, among nodes ``a`` or between ``a`` and ``b``."""
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for i in range(0, len(a), BLOCK):
@@ -113,7 +119,14 @@ def between_blocks(one: pa.Table, two: pa.Table, threshold: float) -> tuple[np.n
         for nodes, units in ((a, x), (b, y)):
             root, own = spanning(*close_pairs(nodes, units, threshold=threshold))
             if len(own):
-                u, v = (np.where(own[np.minimum(np.searchsorted(own, w), len(own) - 1)] == w, root[np.minimum(np.searchsorted(own, w), len(own) - 1)], w) for w in (u, v))
+                u, v = (
+                    np.where(
+                        own[np.minimum(np.searchsorted(own, w), len(own) - 1)] == w,
+                        root[np.minimum(np.searchsorted(own, w), len(own) - 1)],
+                        w,
+                    )
+                    for w in (u, v)
+                )
         u, v = spanning(np.minimum(u, v), np.maximum(u, v))
     return u, v
 
@@ -166,17 +179,43 @@ def _links_within(members: DataFrame, threshold: float, path: str) -> DataFrame:
     blocks = F.when(F.col("m") > 2 * BLOCK, F.ceil(F.col("m") / BLOCK)).otherwise(1).cast("int")
     group = F.when(F.col("m") > 2 * BLOCK, F.col("label")).otherwise(-1 - F.pmod(F.xxhash64("label"), F.lit(bundles)))
     dealt = members.join(sizes.withColumn("blocks", blocks).withColumn("group", group), "label")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("group", F.length("unit").alias("dim"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "n", "unit")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
+        "other",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
+    )
+    dealt = dealt.select(
+        "group",
+        F.length("unit").alias("dim"),
+        F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
+        "own",
+        "node",
+        "label",
+        "n",
+        "unit",
+    )
 
     def count(table: pa.Table) -> pa.Table:
         node, links = link_counts(table, threshold)
         return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64())})
 
-    return dealt.groupBy("group", "dim", "i", "j").applyInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
-
-
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE, seed: int = 7) -> DataFrame:
+    return dealt.groupBy("group", "dim", "i", "j").applyInArrow(
+        count,
+        "node long, links long",
+    ).groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def near_duplicates(
+    df: DataFrame,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    threshold: float = 0.9,
+    trees: int = TREES,
+    leaf: int = LEAF,
+    spill: float = SPILL,
+    sample: int = SAMPLE,
+    seed: int = 7,
+) -> DataFrame:
     """``id_col``, ``n_links``, ``component_id`` and ``kept`` of every row.
 
     Two rows link if the cosine of their vectors, in double precision, is
@@ -207,11 +246,20 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 raw[i] = v.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "unit"])
 
-    rows = df.select(id_col, F.col(vector_col).cast("array<double>")).mapInArrow(normal, T.StructType([T.StructField("id", kind), T.StructField("unit", T.BinaryType())]))
+    rows = df.select(id_col, F.col(vector_col).cast("array<double>")).mapInArrow(
+        normal,
+        T.StructType([T.StructField("id", kind), T.StructField("unit", T.BinaryType())]),
+    )
     rows = materialize(rows, f"{path}/rows")
-    classes = rows.where("unit IS NOT NULL").groupBy("unit").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).withColumn("node", F.monotonically_increasing_id())
+    classes = rows.where("unit IS NOT NULL").groupBy("unit").agg(
+        F.min("id").alias("first_id"),
+        F.count(F.lit(1)).alias("n"),
+    ).withColumn("node", F.monotonically_increasing_id())
     classes = materialize(classes, f"{path}/classes")
-    dims = {r["d"]: r["n"] for r in classes.groupBy((F.length("unit") / 8).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    dims = {
+        r["d"]: r["n"]
+        for r in classes.groupBy((F.length("unit") / 8).cast("int").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+    }
     total = sum(dims.values())
     total_bytes = sum(8 * d * n for d, n in dims.items())
     part = min(1.0, sample / max(1, total), SAMPLE_BYTES / max(1, total_bytes))
@@ -239,11 +287,23 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                     for t, tree in enumerate(grown[d]):
                         at, nodes = tree.route(x)
                         n = len(at)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, d), pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(nodes, pa.int64()), batch.column(0).take(pa.array(own[at])), batch.column(1).take(pa.array(own[at]))], names=leaves.names)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(n, d), pa.int32()),
+                                pa.array(np.full(n, t), pa.int32()),
+                                pa.array(nodes, pa.int64()),
+                                batch.column(0).take(pa.array(own[at])),
+                                batch.column(1).take(pa.array(own[at])),
+                            ],
+                            names=leaves.names,
+                        )
 
     routed = classes.select("node", "unit").mapInArrow(route, leaves)
     key = ["dim", "tree", "leaf"]
-    large = routed.groupBy(key).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 2 * BLOCK).select(*key, F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    large = routed.groupBy(key).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 2 * BLOCK).select(
+        *key,
+        F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"),
+    )
     large = materialize(large, f"{path}/large")
     blocks = F.coalesce("blocks", F.lit(1))
     dealt = routed.join(large, key, "left").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
@@ -265,8 +325,17 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     counts = _links_within(members, threshold, f"{path}/sizes")
     rooted = classes.select("node", "unit", "first_id", "n").join(labels, "node", "left").withColumn("root", F.coalesce("label", "node"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = rooted.join(first, "root").join(counts, "node", "left").select("unit", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    known = rooted.join(first, "root").join(counts, "node", "left").select(
+        "unit",
+        "component_id",
+        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+    )
     known = materialize(known, f"{path}/known")
     out = rows.where("unit IS NOT NULL").join(known, "unit").select("id", "n_links", "component_id")
     out = out.unionByName(rows.where("unit IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return out.select(
+        F.col("id").alias(id_col),
+        "n_links",
+        "component_id",
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    )

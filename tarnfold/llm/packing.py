@@ -90,7 +90,15 @@ def pieces_of(df: DataFrame, capacity: int, id_col: str, text_col: str, source_c
     )
 
 
-def pack(df: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cluster_col: str | None = None, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(
+    df: DataFrame,
+    capacity: int = 2048,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    cluster_col: str | None = None,
+    group_pieces: int = GROUP_PIECES,
+) -> DataFrame:
     """Sequences of at most ``capacity`` tokens that hold every document whole.
 
     A document has its words and an end as tokens; one longer than ``capacity``

@@ -82,7 +82,10 @@ def encode(doc_ids: list[int | None], lens: np.ndarray, ids: np.ndarray) -> byte
                 out[:, word + 1] |= v[:, i] >> np.uint32(fits)
         words[starts[own][:, None] + np.arange(w * (BLOCK // LANES))] = out.reshape(len(own), -1)
     parts = [
-        np.array([len(lens), n, blocks], "<i8"), np.array([d or 0 for d in doc_ids], "<i8"), np.array([d is not None for d in doc_ids], np.uint8),
+        np.array([len(lens), n, blocks], "<i8"), np.array([d or 0 for d in doc_ids], "<i8"), np.array(
+            [d is not None for d in doc_ids],
+            np.uint8,
+        ),
         np.concatenate([[0], np.cumsum(lens)]).astype("<i8"), low.astype("<u4"), width, exceptions,
         starts.astype("<u4"), patches.astype("<u4"), words.astype("<u4"), at.astype(np.uint8), high.astype("<u4"),
     ]
@@ -200,7 +203,10 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         probe = " Ab,  b\nc\td. "
-        if tokenizer.encode(probe, add_special_tokens=False).ids != [i for w in ("ab", ",", "b", "c", "d", ".") for i in tokenizer.encode(w, add_special_tokens=False).ids]:
+        if tokenizer.encode(probe, add_special_tokens=False).ids != [
+            i
+            for w in ("ab", ",", "b", "c", "d", ".") for i in tokenizer.encode(w, add_special_tokens=False).ids
+        ]:
             raise ValueError("the tokenizer doesn't drop white space and case or joins words and marks")
         known, part, seq = WordIds.of_process(tokenizer_path, tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
@@ -212,7 +218,13 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, end_id: int, id_
             lens = np.array([len(t) // 4 for t in texts], np.int64)
             payload = encode(doc_ids, lens, np.frombuffer(b"".join(texts), "<u4"))
             row = [[part], [seq], [doc_ids[0]], [len(doc_ids)], [int(lens.sum())], [payload]]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=SEGMENTS.names)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(v, t)
+                    for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)
+                ],
+                names=SEGMENTS.names,
+            )
 
         for batch in (part for whole in batches for part in sliced(whole, 1)):
             words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in batch.column(1).to_pylist()]
@@ -244,7 +256,14 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     whole = index.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = whole.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     starts = starts.join(before, "part").select("part", "seq", (F.col("base") + F.col("inside")).alias("at"))
-    fields = [T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("local", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
+    fields = [
+        T.StructField("part", T.IntegerType()),
+        T.StructField("seq", T.IntegerType()),
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("local", T.LongType()),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_crc32", T.LongType()),
+    ]
     schema = T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +273,14 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 n, offsets = len(segment.doc_ids), segment.offsets.tolist()
                 raw = memoryview(segment.ids(0, segment.n).astype("<u4").tobytes())
                 docs = [raw[4 * a : 4 * b] for a, b in zip(offsets, offsets[1:], strict=False)]
-                columns = [pa.array([part.as_py()] * n, pa.int32()), pa.array([seq.as_py()] * n, pa.int32()), pa.array(segment.doc_ids, pa.int64()), pa.array(offsets[:-1], pa.int64()), pa.array(np.diff(segment.offsets), pa.int64()), pa.array([zlib.crc32(d) for d in docs], pa.int64())]
+                columns = [
+                    pa.array([part.as_py()] * n, pa.int32()),
+                    pa.array([seq.as_py()] * n, pa.int32()),
+                    pa.array(segment.doc_ids, pa.int64()),
+                    pa.array(offsets[:-1], pa.int64()),
+                    pa.array(np.diff(segment.offsets), pa.int64()),
+                    pa.array([zlib.crc32(d) for d in docs], pa.int64()),
+                ]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array([bytes(d) for d in docs], pa.binary())] * with_ids, names=schema.names)
 
     docs = index.select("part", "seq", "payload").mapInArrow(run, schema)

@@ -16,7 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_vector_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"), 24)
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "n_tokens")
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "n_tokens",
+    )
 
 
 def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,13 +71,38 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What operator 1's result must add up to: totals, gapless slots, no split text that fits a shard, shards a text apart at most."""
     out = sharding.shard(table(spark, sf_dir, "documents"), 24)
-    by_shard = out.groupBy("shard").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"))
-    spread = by_shard.agg((F.max("b") - F.min("b")).alias("spread"), F.bool_and((F.col("slots") == F.col("n")) & (F.col("last") == F.col("n") - 1)).alias("gapless"))
-    totals = out.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("bytes"), F.sum("n_tokens").alias("n_tokens"), F.max("size").alias("largest"))
-    groups = out.groupBy("text_crc32", "size").agg(F.countDistinct("shard").alias("shards"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), F.sum("n_tokens").alias("t"))
+    by_shard = out.groupBy("shard").agg(
+        F.sum("size").alias("b"),
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("slot").alias("slots"),
+        F.max("slot").alias("last"),
+    )
+    spread = by_shard.agg(
+        (F.max("b") - F.min("b")).alias("spread"),
+        F.bool_and((F.col("slots") == F.col("n")) & (F.col("last") == F.col("n") - 1)).alias("gapless"),
+    )
+    totals = out.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("size").alias("bytes"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.max("size").alias("largest"),
+    )
+    groups = out.groupBy("text_crc32", "size").agg(
+        F.countDistinct("shard").alias("shards"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("b"),
+        F.sum("n_tokens").alias("t"),
+    )
     fits = (F.col("n") * 24 <= F.col("n_rows")) & (F.col("b") * 24 <= F.col("bytes")) & (F.col("t") * 24 <= F.col("all_tokens"))
     whole = groups.join(totals.select("n_rows", "bytes", F.col("n_tokens").alias("all_tokens"))).agg(F.bool_and((F.col("shards") == 1) | ~fits).alias("whole"))
-    return totals.join(spread).join(whole).select("n_rows", "bytes", "n_tokens", "gapless", "whole", (F.col("spread") <= F.col("largest")).alias("even"))
+    return totals.join(spread).join(whole).select(
+        "n_rows",
+        "bytes",
+        "n_tokens",
+        "gapless",
+        "whole",
+        (F.col("spread") <= F.col("largest")).alias("even"),
+    )
 
 
 def base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,16 +51,27 @@ def place_bucket(items: np.ndarray, free: np.ndarray, turn: int) -> np.ndarray:
     return (place(items, np.roll(items.sum(0) * share, -(turn % n), axis=0)) + turn) % n
 
 
-def _placed_singly(rows: DataFrame, big: DataFrame, share: list[Column], n_shards: int) -> tuple[list[tuple[bytearray, list[int]]], np.ndarray]:
+def _placed_singly(
+    rows: DataFrame,
+    big: DataFrame,
+    share: list[Column],
+    n_shards: int,
+) -> tuple[list[tuple[bytearray, list[int]]], np.ndarray]:
     """Shards of the large groups, by piece if one is larger than a shard, and what is left free in each shard."""
     hot = F.greatest(*share) > 1.0 / n_shards
     salts = F.when(hot, F.ceil(F.greatest(*share) * n_shards * PIECES)).otherwise(1).cast("int")
-    groups = {bytes(r["key"]): r for r in big.select("key", salts.alias("salts"), *[s.alias(c) for s, c in zip(share, "btr", strict=True)]).collect()}
+    groups = {
+        bytes(r["key"]): r
+        for r in big.select("key", salts.alias("salts"), *[s.alias(c) for s, c in zip(share, "btr", strict=True)]).collect()
+    }
     salted = rows.join(F.broadcast(big.where(hot).select("key", salts.alias("salts"))), "key")
     salted = salted.groupBy("key", F.pmod(F.xxhash64("seq"), "salts").cast("int").alias("salt"))
     salted = salted.agg(F.sum("size").alias("b"), F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("r"))
     found = [((k, 0), [r[c] for c in "btr"]) for k, r in groups.items() if r["salts"] == 1]
-    found += [((bytes(r["key"]), r["salt"]), [r[c] for c in "btr"]) for r in salted.select("key", "salt", *[s.alias(c) for s, c in zip(share, "btr", strict=True)]).collect()]
+    found += [
+        ((bytes(r["key"]), r["salt"]), [r[c] for c in "btr"])
+        for r in salted.select("key", "salt", *[s.alias(c) for s, c in zip(share, "btr", strict=True)]).collect()
+    ]
     found.sort(key=lambda x: x[0])
     free = np.full((n_shards, 3), 1.0 / n_shards)
     shards = place(np.array([v for _, v in found], float).reshape(-1, 3), free).tolist()
@@ -70,7 +81,14 @@ def _placed_singly(rows: DataFrame, big: DataFrame, share: list[Column], n_shard
     return [(bytearray(k), at) for k, at in of.items()], np.maximum(free, 0.0)
 
 
-def shard(df: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text", large: float = LARGE, bucket: int = BUCKET) -> DataFrame:
+def shard(
+    df: DataFrame,
+    n_shards: int = 24,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    large: float = LARGE,
+    bucket: int = BUCKET,
+) -> DataFrame:
     """A shard and a slot for every row, sizes in bytes near equal.
 
     Columns: ``id_col``, ``size`` (UTF-8 bytes plus 8), ``text_crc32``, ``shard``,
@@ -126,4 +144,11 @@ def shard(df: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: s
     counts = put.groupBy("shard", "sub").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "sub", (F.sum("n").over(Window.partitionBy("shard").orderBy("sub")) - F.col("n")).alias("base"))
     ranked = put.withColumn("rank", F.row_number().over(Window.partitionBy("shard", "sub").orderBy(id_col, "text_crc32", "seq")) - 1)
-    return ranked.join(before, ["shard", "sub"]).select(id_col, "size", "text_crc32", "shard", (F.col("base") + F.col("rank")).cast("long").alias("slot"), "n_tokens")
+    return ranked.join(before, ["shard", "sub"]).select(
+        id_col,
+        "size",
+        "text_crc32",
+        "shard",
+        (F.col("base") + F.col("rank")).cast("long").alias("slot"),
+        "n_tokens",
+    )

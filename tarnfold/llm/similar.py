@@ -225,7 +225,13 @@ def _sketch(df: DataFrame, id_col: str, text_col: str, n_words: int, lanes: int)
             sets = [shingle_set((t or b"").lower().split(), n_words, hashes) for t in binary(batch.column(1))]
             fps = [long_fingerprint(s, lanes) for s in sets]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            columns = [batch.column(0), batch.column(2), pa.array(nodes), pa.array([len(s) for s in sets], pa.int64()), pa.array(fps, pa.list_(pa.int64()))]
+            columns = [
+                batch.column(0),
+                batch.column(2),
+                pa.array(nodes),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(fps, pa.list_(pa.int64())),
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     longs = [T.StructField(c, T.LongType()) for c in ("th", "node", "n")]
@@ -247,7 +253,10 @@ def _candidates(classes: DataFrame, segments: int, width: int, similarity: float
                 node, n, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.array(batch.column(2).to_pylist(), np.int64)
                 keys, of = entries(fps, n, segments, width, similarity)
                 own = bounds[np.minimum(n, len(bounds) - 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, node[of], own[of], fps[of, 0], fps[of, 1])], names=["key", "node", "bound", "p", "q"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (keys, node[of], own[of], fps[of, 0], fps[of, 1])],
+                    names=["key", "node", "bound", "p", "q"],
+                )
 
     bounds = bounds_by_size(similarity, 128)
 
@@ -334,7 +343,10 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
                 n = batch.column(5).to_numpy()
                 keys, of = entries(fps, n, segments, width, similarity)
                 own = np.column_stack([*(c.to_numpy() for c in batch.columns[1:5]), bounds[np.minimum(n, len(bounds) - 1)], fps])[of]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(own[:, c]) for c in range(own.shape[1]))], names=["key", *names])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), *(pa.array(own[:, c]) for c in range(own.shape[1]))],
+                    names=["key", *names],
+                )
 
     def give(key: np.ndarray, rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label, block, size, node, fps = rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 5:]
@@ -410,17 +422,39 @@ def _apart(active: DataFrame, segments: int, width: int, similarity: float, smal
             found = asked([x for k in np.unique(key).tolist() for x in asks(k, rows, np.flatnonzero(row & (key == k)), np.flatnonzero(~row & (key == k)))])
             yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(3)], names=["node", "label", "block"])
 
-    met = active.select("fp", "label", "block", "size", "node", "n").mapInArrow(enter, f"key long, {longs}").repartition("key").sortWithinPartitions("key")
+    met = active.select(
+        "fp",
+        "label",
+        "block",
+        "size",
+        "node",
+        "n",
+    ).mapInArrow(enter, f"key long, {longs}").repartition("key").sortWithinPartitions("key")
     met = met.mapInArrow(meet, f"to_node long, to_label long, to_block long, key long, {longs}")
     met = materialize(met, workspace(active.sparkSession, "apart"))
-    found = met.where("key IS NULL").select(F.col("to_node").alias("node"), F.col("to_label").alias("label"), F.col("to_block").alias("block"))
+    found = met.where("key IS NULL").select(
+        F.col("to_node").alias("node"),
+        F.col("to_label").alias("label"),
+        F.col("to_block").alias("block"),
+    )
     huge = met.where("key IS NOT NULL").select("key", *names)
     shares = huge.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     keys = shares.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "label")).alias("top")).where("top.k < m")
-    keys = keys.select("key", F.col("top.label").alias("most"), F.ceil(F.col("m") / ENTRIES).cast("int").alias("cols"), F.ceil((F.col("m") - F.col("top.k")) / ENTRIES).cast("int").alias("rows"))
+    keys = keys.select(
+        "key",
+        F.col("top.label").alias("most"),
+        F.ceil(F.col("m") / ENTRIES).cast("int").alias("cols"),
+        F.ceil((F.col("m") - F.col("top.k")) / ENTRIES).cast("int").alias("rows"),
+    )
     own = huge.join(keys, "key")
-    col = own.withColumn("row", F.lit(False)).withColumn("j", F.pmod(F.xxhash64("node", F.lit(1)), "cols").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
-    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn("i", F.pmod(F.xxhash64("node", F.lit(2)), "rows").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
+    col = own.withColumn("row", F.lit(False)).withColumn(
+        "j",
+        F.pmod(F.xxhash64("node", F.lit(1)), "cols").cast("int"),
+    ).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)))
+    row = own.where("label <> most").withColumn("row", F.lit(True)).withColumn(
+        "i",
+        F.pmod(F.xxhash64("node", F.lit(2)), "rows").cast("int"),
+    ).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cols") - 1)))
     dealt = col.unionByName(row).select(F.xxhash64("key", "i", "j").alias("g"), "row", "key", *names)
     dealt = dealt.repartition("g").sortWithinPartitions("g").mapInArrow(meet_dealt, "node long, label long, block long")
     return found.unionByName(dealt)
@@ -453,8 +487,20 @@ def _links_to_blocks(asked: DataFrame, comps: DataFrame, sets: DataFrame, simila
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     chunks = asked.groupBy("label", "block").agg(F.ceil(F.count(F.lit(1)) / TEXTS).cast("int").alias("chunks"))
-    one = asked.join(chunks, ["label", "block"]).select("node", "label", "block", F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(True).alias("asks"))
-    two = comps.select("node", "label", "block").join(chunks, ["label", "block"]).select("node", "label", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("asks"))
+    one = asked.join(chunks, ["label", "block"]).select(
+        "node",
+        "label",
+        "block",
+        F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"),
+        F.lit(True).alias("asks"),
+    )
+    two = comps.select("node", "label", "block").join(chunks, ["label", "block"]).select(
+        "node",
+        "label",
+        "block",
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        F.lit(False).alias("asks"),
+    )
     dealt = one.unionByName(two).join(sets, "node").select(F.xxhash64("label", "block", "chunk").alias("g"), "asks", "node", "set")
     return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
 
@@ -546,7 +592,14 @@ def _grouped(df: DataFrame, id_col: str, text_col: str, n_words: int, similarity
     return docs.select("id", "th", "node"), members
 
 
-def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, similarity: float = 0.8, width: int = WIDTH) -> DataFrame:
+def similar_texts(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n_words: int = 5,
+    similarity: float = 0.8,
+    width: int = WIDTH,
+) -> DataFrame:
     """``id_col`` and ``component_id`` of every row: groups of texts that links connect, by their smallest id.
 
     Two texts link if their sets of ``n_words``-word shingles have a Jaccard

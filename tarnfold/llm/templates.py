@@ -51,7 +51,10 @@ MAIN_WORDS = frozenset("article articlebody content entry main post story".split
 #: Those that mark a main element too.
 ANSWER_WORDS = frozenset("ad ads advert advertisement comment comments disqus promo related replies reply sponsored".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -331,7 +334,10 @@ def page_tokens(rows: DataFrame) -> DataFrame:
                     chars[token, c] = chars.get((token, c), 0) + len(text)
                 out += [(host, key, token, c, 1, None, n) for (token, c), n in chars.items()]
             columns = list(zip(*out, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i else pa.string()) for i, c in enumerate(columns)], names=["host", "page", "token", "owner", "n", "place", "chars"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64() if i else pa.string()) for i, c in enumerate(columns)],
+                names=["host", "page", "token", "owner", "n", "place", "chars"],
+            )
 
     return rows.select("host", "html").mapInArrow(run, TAG_ROWS)
 
@@ -346,11 +352,19 @@ def deduce_hosts(rows: DataFrame, path: str) -> DataFrame:
     """
     found = materialize(page_tokens(rows), f"{path}/tokens")
     # Copies in different tasks: one row for each different page and token.
-    once = found.groupBy("host", "page", "token", "owner").agg(F.max("n").alias("n"), F.max("place").alias("place"), F.max("chars").alias("chars"))
+    once = found.groupBy("host", "page", "token", "owner").agg(
+        F.max("n").alias("n"),
+        F.max("place").alias("place"),
+        F.max("chars").alias("chars"),
+    )
     once = materialize(once, f"{path}/different")
     h = F.xxhash64("page", F.lit("vector"))
     lanes = [F.sum(F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << 21) - 1)) * F.col("n")).alias(f"v{at}") for at in (0, 21, 42)]
-    sums = once.groupBy("host", "token", "owner", F.col("place").isNotNull().alias("tag")).agg(*lanes, F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
+    sums = once.groupBy("host", "token", "owner", F.col("place").isNotNull().alias("tag")).agg(
+        *lanes,
+        F.count(F.lit(1)).alias("pages"),
+        F.sum("chars").alias("chars"),
+    )
     sums = materialize(sums, f"{path}/vectors")
     hosts = sums.where("token IS NULL").select("host", F.col("pages").alias("different"))
     least = F.when(F.col("different") > 1, F.greatest(F.lit(2.0), SUPPORT * F.col("different"))).otherwise(1.0)
@@ -360,7 +374,10 @@ def deduce_hosts(rows: DataFrame, path: str) -> DataFrame:
     tags = materialize(tags, f"{path}/tags")
     large = tags.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
     # The order of a class's tokens in each page and container, and whether it is one.
-    placed = once.where("place IS NOT NULL").select("host", "page", "token", "place").join(tags.select("host", "token", "class"), ["host", "token"])
+    placed = once.where("place IS NOT NULL").select("host", "page", "token", "place").join(
+        tags.select("host", "token", "class"),
+        ["host", "token"],
+    )
     order = placed.groupBy("host", "page", "class").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("order"))
     order = order.select("host", "class", F.xxhash64(F.transform("order", lambda t: t["token"])).alias("order"))
     orders = order.groupBy("host", "class").agg((F.min("order") == F.max("order")).alias("ordered"))
@@ -372,7 +389,10 @@ def deduce_hosts(rows: DataFrame, path: str) -> DataFrame:
     # Most blocks are on too few pages to be the template's, whatever their container: they are summed without a join.
     few = blocks.where(F.col("n") < ALIKE_PAGES).groupBy("host", "owner").agg(F.sum("chars").alias("chars"))
     many = blocks.where(F.col("n") >= ALIKE_PAGES).join(containers, ["host", "owner"])
-    many = materialize(many.select("host", "token", "owner", "chars", (F.col("n") >= ALIKE * F.col("pages")).alias("alike")), f"{path}/repeated")
+    many = materialize(
+        many.select("host", "token", "owner", "chars", (F.col("n") >= ALIKE * F.col("pages")).alias("alike")),
+        f"{path}/repeated",
+    )
     chars = few.unionByName(many.where("NOT alike").select("host", "owner", "chars")).groupBy("host", "owner").agg(F.sum("chars").alias("chars"))
     slots = containers.join(chars, ["host", "owner"], "left").groupBy("host").agg(F.collect_list(F.struct("owner", "valid", "pages", F.coalesce("chars", F.lit(0)).alias("chars"))).alias("slots"))
     alike = many.where("alike").groupBy("host").agg(F.collect_list("token").alias("alike"))
@@ -400,7 +420,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     with their container repeat, ``ALIKE_PAGES`` at least, are the template's.
     """
     host = F.coalesce(host_of(F.col(url_col))[0], F.lit(""))
-    rows = pages.select(host.alias("host"), F.coalesce(html_col, F.lit("")).alias("html"), F.col(id_col).alias("id"), F.col(url_col).alias("url"))
+    rows = pages.select(
+        host.alias("host"),
+        F.coalesce(html_col, F.lit("")).alias("html"),
+        F.col(id_col).alias("id"),
+        F.col(url_col).alias("url"),
+    )
     templates = deduce_hosts(rows, workspace(pages.sparkSession, "html"))
     schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField(url_col, T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
@@ -414,6 +439,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                         known.clear()
                     known[host] = Template.unpacked(batch.column(4)[i].as_py())
                 texts.append(main_text(parse(source), known[host]))
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                names=schema.names,
+            )
 
     return rows.join(templates, "host").select("host", "html", "id", "url", "template").mapInArrow(run, schema)

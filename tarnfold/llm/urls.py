@@ -26,10 +26,182 @@ from ._shared import materialize, share, workspace
 
 # Words that name unwanted sites, and words that many sites have
 # in their names.  They label the training hosts and seed the word counts.
-UNWANTED = ("ads", "adult", "adserver", "bet", "bets", "betting", "cams", "casino", "cialis", "clickbait", "crack", "cracked", "dating", "doubleclick", "escort", "escorts", "farm", "gamble", "gambling", "hack", "hentai", "jackpot", "keygen", "loan", "loans", "lottery", "malware", "milf", "nude", "payday", "phish", "phishing", "pharma", "pill", "pills", "poker", "popunder", "porn", "porno", "proxy", "roulette", "scam", "sex", "sexy", "slots", "spam", "spyware", "torrent", "torrents", "track", "tracker", "tracking", "viagra", "virus", "warez", "win", "xxx")
-USUAL = ("about", "academy", "api", "app", "archive", "art", "article", "best", "blog", "book", "books", "business", "cdn", "center", "cheap", "city", "club", "code", "college", "community", "company", "cook", "daily", "data", "design", "dev", "digital", "docs", "download", "education", "fast", "film", "finance", "food", "forum", "free", "garden", "group", "guide", "health", "help", "history", "home", "hot", "house", "info", "journal", "kids", "lab", "law", "learn", "library", "life", "link", "live", "local", "magazine", "mail", "market", "math", "media", "mobile", "music", "my", "nature", "net", "network", "news", "now", "online", "open", "paper", "park", "photo", "post", "press", "project", "recipe", "research", "review", "school", "science", "search", "shop", "site", "sport", "sports", "static", "store", "story", "studio", "team", "tech", "the", "times", "today", "top", "travel", "university", "video", "weather", "web", "wiki", "world", "www", "x", "zone")
+UNWANTED = (
+    "ads",
+    "adult",
+    "adserver",
+    "bet",
+    "bets",
+    "betting",
+    "cams",
+    "casino",
+    "cialis",
+    "clickbait",
+    "crack",
+    "cracked",
+    "dating",
+    "doubleclick",
+    "escort",
+    "escorts",
+    "farm",
+    "gamble",
+    "gambling",
+    "hack",
+    "hentai",
+    "jackpot",
+    "keygen",
+    "loan",
+    "loans",
+    "lottery",
+    "malware",
+    "milf",
+    "nude",
+    "payday",
+    "phish",
+    "phishing",
+    "pharma",
+    "pill",
+    "pills",
+    "poker",
+    "popunder",
+    "porn",
+    "porno",
+    "proxy",
+    "roulette",
+    "scam",
+    "sex",
+    "sexy",
+    "slots",
+    "spam",
+    "spyware",
+    "torrent",
+    "torrents",
+    "track",
+    "tracker",
+    "tracking",
+    "viagra",
+    "virus",
+    "warez",
+    "win",
+    "xxx",
+)
+USUAL = (
+    "about",
+    "academy",
+    "api",
+    "app",
+    "archive",
+    "art",
+    "article",
+    "best",
+    "blog",
+    "book",
+    "books",
+    "business",
+    "cdn",
+    "center",
+    "cheap",
+    "city",
+    "club",
+    "code",
+    "college",
+    "community",
+    "company",
+    "cook",
+    "daily",
+    "data",
+    "design",
+    "dev",
+    "digital",
+    "docs",
+    "download",
+    "education",
+    "fast",
+    "film",
+    "finance",
+    "food",
+    "forum",
+    "free",
+    "garden",
+    "group",
+    "guide",
+    "health",
+    "help",
+    "history",
+    "home",
+    "hot",
+    "house",
+    "info",
+    "journal",
+    "kids",
+    "lab",
+    "law",
+    "learn",
+    "library",
+    "life",
+    "link",
+    "live",
+    "local",
+    "magazine",
+    "mail",
+    "market",
+    "math",
+    "media",
+    "mobile",
+    "music",
+    "my",
+    "nature",
+    "net",
+    "network",
+    "news",
+    "now",
+    "online",
+    "open",
+    "paper",
+    "park",
+    "photo",
+    "post",
+    "press",
+    "project",
+    "recipe",
+    "research",
+    "review",
+    "school",
+    "science",
+    "search",
+    "shop",
+    "site",
+    "sport",
+    "sports",
+    "static",
+    "store",
+    "story",
+    "studio",
+    "team",
+    "tech",
+    "the",
+    "times",
+    "today",
+    "top",
+    "travel",
+    "university",
+    "video",
+    "weather",
+    "web",
+    "wiki",
+    "world",
+    "www",
+    "x",
+    "zone",
+)
 #: Rules of the contract: action, host and path.
-RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
+RULES = (
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+)
 
 #: A word is in the unigram model if it is at least this share of all words: at most so many are.
 SHARE = 1 / 200_000
@@ -156,7 +328,15 @@ def visible(html_col: Column) -> Column:
     return F.lower(F.coalesce(bare, F.lit("")))
 
 
-def word_counts(pages: DataFrame, host: Column, path: Column, text: Column, seeds: Sequence[str], share: float, out: str) -> dict[str, float]:
+def word_counts(
+    pages: DataFrame,
+    host: Column,
+    path: Column,
+    text: Column,
+    seeds: Sequence[str],
+    share: float,
+    out: str,
+) -> dict[str, float]:
     """Unigram counts of words in texts, paths and hyphened hosts, from ``share`` of all on, and the seeds."""
     hyphened = F.when(F.instr(host, "-") > 0, host).otherwise("")
     words = F.regexp_extract_all(F.lower(F.concat_ws(" ", hyphened, path, text)), F.lit(r"\p{L}{2,}"), 0)
@@ -169,7 +349,14 @@ def word_counts(pages: DataFrame, host: Column, path: Column, text: Column, seed
     return counts
 
 
-def host_tokens(pages: DataFrame, host: Column, path: Column, speaks: Column, counts: dict[str, float], unwanted: frozenset[str]) -> DataFrame:
+def host_tokens(
+    pages: DataFrame,
+    host: Column,
+    path: Column,
+    speaks: Column,
+    counts: dict[str, float],
+    unwanted: frozenset[str],
+) -> DataFrame:
     """``host``, ``slot`` of each of its tokens; null slots count its ``pages``, those that speak against it, and ``named``, seed words in its name."""
     sent = share(pages.sparkSession, counts)
 
@@ -189,13 +376,27 @@ def host_tokens(pages: DataFrame, host: Column, path: Column, speaks: Column, co
             found = [(h, s, 0, 0, 0) for h, s in slots] + [(h, None, *n) for h, n in own.items()]
             columns = list(zip(*found, strict=True)) or [()] * 5
             kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "slot", "pages", "against", "named"])
-
-    rows = pages.select(host.alias("h"), path.alias("p"), speaks.alias("s")).mapInArrow(run, "host string, slot int, pages long, against long, named long")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["host", "slot", "pages", "against", "named"],
+            )
+
+    rows = pages.select(host.alias("h"), path.alias("p"), speaks.alias("s")).mapInArrow(
+        run,
+        "host string, slot int, pages long, against long, named long",
+    )
     return rows.groupBy("host", "slot").agg(F.sum("pages").alias("pages"), F.sum("against").alias("against"), F.max("named").alias("named"))
 
 
-def train(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", unwanted: Sequence[str] = UNWANTED, usual: Sequence[str] = USUAL, share: float = SHARE, rounds: int = ROUNDS) -> UrlModel:
+def train(
+    pages: DataFrame,
+    url_col: str = "url",
+    html_col: str | None = "html",
+    unwanted: Sequence[str] = UNWANTED,
+    usual: Sequence[str] = USUAL,
+    share: float = SHARE,
+    rounds: int = ROUNDS,
+) -> UrlModel:
     """Count words and fit the classifier, both over all pages.
 
     Unigrams are the words of page titles and texts, of paths and between
@@ -214,7 +415,11 @@ def train(pages: DataFrame, url_col: str = "url", html_col: str | None = "html",
     seeds = F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(unwanted)})(?!\p{{L}})")) if unwanted else F.lit(0)
     speaks = (seeds >= 2) & (seeds >= DENSE * F.regexp_count(text, F.lit(r"\p{L}+")))
     found = materialize(host_tokens(pages, host, path, speaks, counts, frozenset(unwanted)), f"{out}/tokens")
-    hosts = found.where("slot IS NULL").select("host", (F.col("named") > 0).alias("named"), (F.col("against") >= AGREED * F.col("pages")).alias("against"))
+    hosts = found.where("slot IS NULL").select(
+        "host",
+        (F.col("named") > 0).alias("named"),
+        (F.col("against") >= AGREED * F.col("pages")).alias("against"),
+    )
     hosts = materialize(hosts, f"{out}/hosts")
     tokens = found.where("slot IS NOT NULL").select("host", "slot")
     labels = hosts.select("host", (F.col("named") | F.col("against")).cast("int").alias("kind"))
@@ -233,7 +438,13 @@ def train(pages: DataFrame, url_col: str = "url", html_col: str | None = "html",
     return UrlModel(counts, weights, prior)
 
 
-def judge(pages: DataFrame, model: UrlModel, rules: Iterable[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(
+    pages: DataFrame,
+    model: UrlModel,
+    rules: Iterable[tuple[str, str, str]] = RULES,
+    id_col: str = "page_id",
+    url_col: str = "url",
+) -> DataFrame:
     """``id_col``, ``host``, ``path``, ``rule``, ``verdict``, ``words``, ``log_odds`` of every row.
 
     A url that is null or has no ``://`` has an empty host and path, no rule, and
@@ -256,7 +467,10 @@ def judge(pages: DataFrame, model: UrlModel, rules: Iterable[tuple[str, str, str
                 rule = fixed.match(h, p)
                 rows.append((rule[0] if rule else None, rule[1] if rule else "block" if h and odds > 0 else "allow", [*host, *rest], odds))
             kinds = (pa.string(), pa.string(), pa.list_(pa.string()), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)]], names=schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)]],
+                names=schema.names,
+            )
 
     host, path = host_of(F.col(url_col))
     return pages.select(id_col, host.alias("host"), path.alias("path")).mapInArrow(run, schema)
