@@ -94,10 +94,23 @@ def followed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (compare_brands, long_parts, spread_brands, published_latest, published_history, published_result, followed_archive, result_exists, workbook_round_trip)
+    f.__name__: f for f in (
+        compare_brands,
+        long_parts,
+        spread_brands,
+        published_latest,
+        published_history,
+        published_result,
+        followed_archive,
+        result_exists,
+        workbook_round_trip,
+    )
 }
 
-LONG_SQL = " UNION ALL ".join(f"SELECT p_brand, '{a}' AS attribute, {a}::DOUBLE AS value FROM part WHERE {a} IS NOT NULL" for a in ATTRIBUTES)
+LONG_SQL = " UNION ALL ".join(
+    f"SELECT p_brand, '{a}' AS attribute, {a}::DOUBLE AS value FROM part WHERE {a} IS NOT NULL"
+    for a in ATTRIBUTES
+)
 COMPARE_SQL = f"SELECT attribute, {', '.join(f'max(value) FILTER (WHERE p_brand = {chr(39)}{b}{chr(39)}) AS "{b}"' for b in BRANDS)} FROM ({LONG_SQL}) WHERE p_brand IN {BRANDS} GROUP BY attribute"
 
 HISTORY_SQL = " UNION ALL ".join(f"SELECT *, TIMESTAMP '2024-01-0{d} 03:04:00' AS snapshot_ts FROM ({COMPARE_SQL})" for d in (1, 2))

@@ -125,7 +125,10 @@ def from_workbook(data: bytes, sheet: str | None = None) -> list[list[str | None
         target = links[wanted]
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in s.iter(f"{tag}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{tag}si")]
+            shared = [
+                "".join(t.text or "" for t in s.iter(f"{tag}t"))
+                for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{tag}si")
+            ]
         page = ElementTree.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}"))
     rows: list[list[str | None]] = []
     for row in page.iter(f"{tag}row"):
@@ -181,7 +184,10 @@ class WorkbookReader(DataSourceReader):
         names = rows[0] if rows else []
         at = [names.index(f.name) if f.name in names else None for f in self.schema.fields]
         for row in rows[1:]:
-            yield tuple(cast(row[i] if i is not None and i < len(row) else None, f, first_day) for i, f in zip(at, self.schema.fields, strict=True))
+            yield tuple(
+                cast(row[i] if i is not None and i < len(row) else None, f, first_day)
+                for i, f in zip(at, self.schema.fields, strict=True)
+            )
 
 
 def moment(value: str, first_day: datetime) -> datetime:
