@@ -18,11 +18,11 @@ both are shuffled tables, and a batch gets the part of them that it needs.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -218,22 +218,47 @@ def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     return np.cumsum(lens) - lens, lens, np.array(row["held"], bool), zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=int(lens.sum()) or 1)
 
 
+def words_of(data: np.ndarray, step: int = 1 << 22) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The words of documents on end and the documents' places, about ``step`` bytes at a time; ends are no words here.
+
+    In canonical bytes a word ends before a space or an end, and only there.
+    """
+    at = before = 0
+    while at < len(data):
+        size = step
+        # A word may be longer than a step.
+        while not len(cuts := np.flatnonzero(((part := data[at : at + size]) == 32) | (part == END[0]))):
+            size *= 2
+        starts = np.concatenate([[0], cuts[:-1] + 1])
+        ends = part[cuts] == END[0]
+        doc = before + np.cumsum(ends) - ends
+        full = cuts > starts
+        part = part[: cuts[-1] + 1]
+        letters = part[(part != 32) & (part != END[0])]
+        offsets = np.concatenate([[0], np.cumsum((cuts - starts)[full])]).astype(np.int64)
+        yield pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]), doc[full]
+        at += int(cuts[-1]) + 1
+        before += int(ends.sum())
+
+
+def summed(words: pa.Table) -> pa.Table:
+    """Each word once, with the sum of its ``n``."""
+    return words.group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+
 def words_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each batch and how often its training documents have them; the end is a word."""
     for batch in batches:
         for row in batch.to_pylist():
-            starts, lens, held, data = opened(row)
-            train: Counter = Counter()
-            others: set[bytes] = set()
-            for a, n, h in zip(starts.tolist(), lens.tolist(), held.tolist(), strict=True):
-                (others if h else train).update(data[a : a + n].split())
-            train[END] = int((~held).sum())
-            others.difference_update(train)
-            words = [*train, *others]
-            counts = [*train.values(), *[0] * len(others)]
-            for i in range(0, len(words), 100_000):
-                n = len(words[i : i + 100_000])
-                yield pa.RecordBatch.from_arrays([pa.array(words[i : i + n], pa.binary()), pa.array([row["batch"]] * n, pa.int64()), pa.array(counts[i : i + n], pa.int64())], names=["word", "batch", "n"])
+            _, _, held, data = opened(row)
+            parts = [pa.table({"word": pa.array([END], pa.large_binary()), "n": pa.array([int((~held).sum())], pa.int64())})]
+            for words, doc in words_of(np.frombuffer(data, np.uint8)):
+                parts.append(summed(pa.table({"word": words, "n": pa.array((~held[doc]).astype(np.int64))})))
+            found = summed(pa.concat_tables(parts))
+            for i in range(0, found.num_rows, 100_000):
+                part = found.slice(i, 100_000)
+                columns = [part["word"].combine_chunks().cast(pa.binary()), pa.array(np.full(part.num_rows, row["batch"]), pa.int64()), part["n"].combine_chunks()]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "batch", "n"])
 
 
 def grams_in(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
@@ -327,15 +352,20 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
             scores[first : first + len(sums)] += sums
         del table
         mine = right.filter(right["word"].is_valid())
-        count = dict(zip(mine["word"].to_pylist(), mine["v"].to_pylist(), strict=True))
+        known, count = mine["word"].combine_chunks().cast(pa.large_binary()), mine["v"].to_numpy()
         del mine, right
-        n_tokens, n_known, base = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-        for i, (a, size) in enumerate(zip(starts.tolist(), lens.tolist(), strict=True)):
-            words = data[a : a + size].split()
-            c = np.fromiter(map(count.__getitem__, [*words, END]), np.float64, len(words) + 1)
-            n_tokens[i], n_known[i], base[i] = len(c), np.count_nonzero(c), np.log10(c + 1).sum()
+        end = count[known.index(END).as_py()]
+        n_tokens, n_known, base = np.ones(n, np.int64), np.full(n, int(end > 0), np.int64), np.full(n, np.log10(end + 1))
+        for words, doc in words_of(np.frombuffer(data, np.uint8)):
+            c = count[pc.index_in(words, value_set=known).to_numpy()]
+            n_tokens += np.bincount(doc, minlength=n)
+            n_known += np.bincount(doc[c > 0], minlength=n)
+            base += np.bincount(doc, weights=np.log10(c + 1), minlength=n)
         base += n_tokens * unknown
         columns = [pa.array(row["ids"], id_type), pa.array(held), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(n, n_train), pa.int64()), pa.array(base), pa.array(scores)]
         return pa.table(columns, names=schema.names)
 
-    return batches.groupBy("batch").cogroup(right.groupBy("batch")).applyInArrow(measure, schema)
+    # About a batch a task, however many there are.
+    n = max(partitions(spark), batches.count())
+    one, two = batches.repartition(n, "batch").groupBy("batch"), right.repartition(n, "batch").groupBy("batch")
+    return one.cogroup(two).applyInArrow(measure, schema)
