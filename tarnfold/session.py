@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -21,12 +22,22 @@ def session(name: str = "tarnfold", cores: str = "*", shuffle_partitions: int =
     )
 
 
+@functools.cache
+def own_folder() -> str:
+    """A temporary folder of this process, for local sessions that name none."""
+    return "file://" + tempfile.mkdtemp(prefix="tarnfold-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder in ``spark.checkpoint.dir``, which is set here only where it is unset and the session local."""
+    """A fresh folder on storage that the driver and all executors share.
+
+    It lies in ``spark.checkpoint.dir``.  Where that is unset, a local session
+    gets a temporary folder of this machine; a cluster is refused, as its
+    executors couldn't see one.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        base = "file://" + tempfile.mkdtemp(prefix="tarnfold-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
