@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,26 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder as workspace  # noqa: F401
+
 #: Words of a text, as a Java and DuckDB pattern; ``bytes.split()`` splits alike.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder on storage that the driver and all executors share.
-
-    It lies in ``spark.checkpoint.dir``.  Where that is unset, a local session
-    gets a temporary folder of this machine; a cluster is refused, as its
-    executors couldn't see one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        base = "file://" + tempfile.mkdtemp(prefix="tarnfold-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write a table to shared storage and read it back, which cuts lineage."""
     df.write.option("compression", "zstd").parquet(path)

@@ -1,4 +1,4 @@
-"""The queries of the ten operators over whole tables, and SQL where it can say the same."""
+"""The queries of the operators over whole tables, and SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, decontaminate, forest, packing, pfor, ppm, sharding, simhash, templates, urls
+from . import audit, cotraining, decontaminate, forest, media, packing, pfor, ppm, sharding, simhash, templates, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_features(table(spark, sf_dir, "documents"))
+
+
+def op12_tiled_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What operator 1's result must add up to: totals, gapless slots, no split text that fits a shard, shards a text apart at most."""
     out = sharding.shard(table(spark, sf_dir, "documents"), 24)
@@ -131,6 +143,16 @@ def packing_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(bad)
 
 
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of operator 11 that don't depend on the format."""
+    return op11_signature_sniffing(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+def vector_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of operator 12 that sums settle."""
+    return op12_tiled_whitening(spark, sf_dir).select("vec_id", "component", "n", "deviation")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -144,10 +166,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_projection_forest,
         op10_html_extraction,
+        op11_signature_sniffing,
+        op12_tiled_whitening,
+        op13_filter_audit,
         shard_laws,
         base_scores,
         url_rules,
         packing_laws,
+        media_payloads,
+        vector_deviations,
     )
 }
 
@@ -212,6 +239,50 @@ WITH d AS (SELECT doc_id, len({WORDS_SQL}) + 1 AS n FROM documents)
 SELECT count(DISTINCT doc_id) AS n_docs, sum((n + 2047) // 2048)::BIGINT AS n_pieces, sum(n)::BIGINT AS n_tokens, 0::BIGINT AS too_full, 0::BIGINT AS gaps, 0::BIGINT AS clashes FROM d
 """
 
+PAYLOAD_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t FROM documents),
+p AS (SELECT doc_id, octet_length(t) AS n, CASE WHEN octet_length(t) = 0 THEN 576 ELSE (octet_length(t) + 575) // 576 * 576 END AS m, t FROM d)
+SELECT doc_id, n AS n_bytes, m AS payload_bytes, sha256(t || unhex(repeat('FF', (m - n)::BIGINT))) AS payload_sha256 FROM p
+"""
+
+#: Whole numbers of each dimension, and their exact distance from the sums; 32 components of 64 dimensions.
+DEVIATION_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)::BIGINT + 1000000) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda c: c IS NOT NULL AND isfinite(c)))),
+e AS (SELECT vec_id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+s AS (SELECT i, sum(x) AS s, count(*) AS n FROM e GROUP BY i),
+d AS (SELECT vec_id, max(n)::BIGINT AS n, sum((n * x - s) * (n * x - s))::BIGINT AS deviation FROM e JOIN s USING (i) GROUP BY vec_id)
+SELECT vec_id, component::INT AS component, n, deviation FROM d CROSS JOIN generate_series(1, 32) AS c(component)
+"""
+
+#: Each document's failures, and what each step of each order does with it, counted.
+AUDIT_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+         regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS fails
+      FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+h AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+a AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM a p, a q, a r, a s, a t
+      WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+k AS (SELECT filter_order, step::INT AS step, ascii(filter_order[step]) - 64 AS own,
+        list_transform(range(1, step), lambda i: ascii(filter_order[i]) - 64) AS before FROM o, generate_series(1, 5) AS s(step)),
+c AS (SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS here, fails,
+        len(list_filter(before, lambda i: fails[i])) > 0 AS gone FROM h, k),
+r AS (SELECT part, filter_order, step, own,
+        coalesce(sum(n) FILTER (WHERE NOT here AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (WHERE here AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (WHERE here AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (WHERE here AND len(list_filter(fails, lambda x: x)) = 1), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (WHERE here AND NOT gone), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (WHERE here AND NOT gone), 0)::BIGINT AS toxic_lost
+      FROM c GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley FROM r
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": CONTAINMENT_SQL,
     "op9_projection_forest": COSINE_SQL,
@@ -219,4 +290,7 @@ ORACLE_SQL: dict[str, str] = {
     "base_scores": BASE_SQL,
     "url_rules": RULES_SQL,
     "packing_laws": PACKING_SQL,
+    "op13_filter_audit": AUDIT_SQL,
+    "media_payloads": PAYLOAD_SQL,
+    "vector_deviations": DEVIATION_SQL,
 }

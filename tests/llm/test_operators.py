@@ -824,14 +824,14 @@ def test_templates_of_hosts_are_the_plain_ones(spark, tmp_path):
     assert not all(v for v, _, _ in found["d"].slots.values()) and templates.deduce_hosts(spark.createDataFrame([], "host string, html string"), f"file://{tmp_path}/e").count() == 0
 
 
-@pytest.mark.parametrize("name", ["shard_laws", "base_scores", "url_rules", "packing_laws", "op3_decontamination"])
+@pytest.mark.parametrize("name", ["shard_laws", "base_scores", "url_rules", "packing_laws", "op3_decontamination", "op13_filter_audit", "media_payloads", "vector_deviations"])
 def test_queries_match_their_sql(spark, name):
     import duckdb
 
     from tarnfold.llm import queries
 
     sf, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = queries.QUERIES[name](spark, sf)
     names = ", ".join(got.columns)
