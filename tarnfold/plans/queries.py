@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
+from threading import Thread
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.asof import asof_join
 from ..operators.compare import compare, melt, spread
+from ..operators.ranges import overlap_join
 from ..session import shared_folder
 from ..sources import store
 from ..sources.workbook import WorkbookSource
@@ -78,7 +81,7 @@ def published_result(spark: SparkSession, sf_dir: str) -> DataFrame:
         except FileNotFoundError:
             rows.append((name, store.exists(spark, root), 0))
         else:
-            rows.append((name, store.exists(spark, store.archive_path(root, datetime(2024, 1, 2, 3, 4))), store.read_latest(spark, root).count()))
+            rows.append((name, store.archive_path(spark, root, datetime(2024, 1, 2, 3, 4)) is not None, store.read_latest(spark, root).count()))
     return spark.createDataFrame(rows, "result string, published boolean, n_rows long")
 
 
@@ -93,6 +96,100 @@ def followed_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
+def published_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each version after two publications, a writer that stops before its commit, one that comes too late, and four at once."""
+    root = shared_folder(spark, "store")
+    at = lambda minute: datetime(2024, 1, 1, 0, minute)
+    store.publish(long_parts(spark, sf_dir), root, at(1))
+    store.publish(part(spark, sf_dir), root, at(2), expected=1)
+    store.stage(long_parts(spark, sf_dir), root, at(3), "comparison")
+    refused = []
+
+    def attempt(minute: int, expected: int) -> None:
+        try:
+            store.publish(compare_brands(spark, sf_dir), root, at(minute), expected=expected)
+        except store.Conflict:
+            refused.append(minute)
+
+    attempt(4, 1)
+    writers = [Thread(target=attempt, args=(minute, 2)) for minute in range(5, 9)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    rows = [(v, store.read_version(spark, root, v).count(), store.read_history(spark, root, v).count(), len(refused)) for v in store.versions(spark, root)]
+    return spark.createDataFrame(rows, "version int, n_rows long, n_history long, n_refused int")
+
+
+def exact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long form of long and decimal attributes, beyond what a double holds, of columns whose names have dots."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    wide = orders.select(
+        F.translate("o_orderpriority", "-", ".").alias("o.priority"),
+        (F.lit(1 << 53) + F.col("o_orderkey") * 2 + 1).alias("o.key"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("o.price"),
+    )
+    return melt(wide, "o.priority", ("o.key", "o.price")).withColumn("value", F.col("value").cast("string"))
+
+
+PRIORITIES = ("1.URGENT", "2.HIGH", "3.MEDIUM")
+
+
+def exact_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priorities side by side, to the last digit, and in long form again."""
+    return spread(compare(exact_orders(spark, sf_dir), "o.priority", PRIORITIES), "o.priority")
+
+
+#: Events of 2024, spread over the years of the orders, by customers of which one has a third of all rows.
+STRETCH = 80
+
+
+def timed_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events and orders by customer and time in seconds; customer 0 has every third row."""
+    hot = lambda c: F.when(c % 3 == 0, 0).otherwise(c % 50).alias("customer")
+    seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    first, second = (int((datetime(y, 1, 1) - datetime(1970, 1, 1)) / timedelta(seconds=1)) for y in (2024, 1995))
+    events = events.select("event_id", hot(F.col("event_id")), ((seconds("ts") - first) * STRETCH + second).alias("sec"), "value")
+    orders = orders.select(hot(F.col("o_orderkey")), seconds("o_orderdate").alias("sec"), "o_totalprice", "o_orderkey")
+    return events, orders
+
+
+def asof_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its customer's last order at or before it; of a time's orders that of the greatest price."""
+    events, orders = timed_tables(spark, sf_dir)
+    out = asof_join(events, orders, "sec", "sec", on=["customer"], tie=["o_totalprice", "o_orderkey"])
+    return out.select("event_id", "customer", *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("right_sec", "right_o_orderkey")])
+
+
+def asof_next_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event that a later order follows within three days, of any customer, with the first such order."""
+    events, orders = timed_tables(spark, sf_dir)
+    out = asof_join(events, orders, "sec", "sec", direction="forward", strict=True, tolerance=F.lit(3 * 86_400), tie=["o_totalprice", "o_orderkey"], how="inner")
+    return out.select("event_id", "right_sec", "right_o_orderkey")
+
+
+def overlapping_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a customer's orders that were open, from their date to their last shipping date, on a common day."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    shipped = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("shipped"))
+    spans = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "o_orderkey", "o_orderdate", "shipped")
+    pairs = overlap_join(spans, spans, ("o_orderdate", "shipped"), ("o_orderdate", "shipped"), on=["o_custkey"])
+    return pairs.where("o_orderkey < right_o_orderkey").select("o_custkey", "o_orderkey", F.col("right_o_orderkey").alias("other"))
+
+
+def orders_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders placed in each supplier's window, from a day to years long, by nothing but the dates."""
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    first = F.to_date(F.lit("1995-01-01"))
+    windows = supplier.select("s_suppkey", F.date_add(first, (F.col("s_suppkey") * 37 % 2400).cast("int")).alias("a"), (F.col("s_suppkey") % 7).alias("k"))
+    windows = windows.withColumn("b", F.date_add("a", F.pow(F.lit(3), F.col("k")).cast("int")))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    pairs = overlap_join(windows, orders, ("a", "b"), ("day", "day"))
+    return pairs.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("right_o_orderkey").alias("key_sum"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         compare_brands,
@@ -104,6 +201,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         followed_archive,
         result_exists,
         workbook_round_trip,
+        published_versions,
+        exact_orders,
+        exact_comparison,
+        asof_orders,
+        asof_next_orders,
+        overlapping_orders,
+        orders_in_windows,
     )
 }
 
@@ -115,6 +219,18 @@ COMPARE_SQL = f"SELECT attribute, {', '.join(f'max(value) FILTER (WHERE p_brand
 
 HISTORY_SQL = " UNION ALL ".join(f"SELECT *, TIMESTAMP '2024-01-0{d} 03:04:00' AS snapshot_ts FROM ({COMPARE_SQL})" for d in (1, 2))
 
+EXACT_SQL = """
+WITH o AS (SELECT replace(o_orderpriority, '-', '.') AS "o.priority", (9007199254740992 + o_orderkey * 2 + 1)::DECIMAL(29,2) AS k, o_totalprice::DECIMAL(12,2)::DECIMAL(29,2) AS p FROM orders)
+SELECT "o.priority", 'o.key' AS attribute, k::DECIMAL(21,2)::VARCHAR AS value FROM o WHERE k IS NOT NULL
+UNION ALL SELECT "o.priority", 'o.price', p::DECIMAL(21,2)::VARCHAR FROM o WHERE p IS NOT NULL
+"""
+
+HOT_SQL = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} % 50 END AS customer"
+TIMED_SQL = f"""
+WITH e AS (SELECT event_id, {HOT_SQL.format("event_id")}, (epoch_us(ts) // 1000000 - epoch_us(TIMESTAMP '2024-01-01') // 1000000) * {STRETCH} + epoch_us(TIMESTAMP '1995-01-01') // 1000000 AS sec FROM events),
+o AS (SELECT {HOT_SQL.format("o_orderkey")}, epoch_us(o_orderdate) // 1000000 AS sec, o_totalprice, o_orderkey FROM orders)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "compare_brands": COMPARE_SQL,
     "long_parts": LONG_SQL,
@@ -125,4 +241,16 @@ ORACLE_SQL: dict[str, str] = {
     "followed_archive": HISTORY_SQL,
     "result_exists": "SELECT * FROM (VALUES ('part', true), ('missing', false)) AS t(name, found)",
     "workbook_round_trip": COMPARE_SQL,
+    "published_versions": f"""SELECT version::INT AS version, n_rows, sum(n_rows) OVER (ORDER BY version)::BIGINT AS n_history, 4::INT AS n_refused FROM (
+        SELECT 1 AS version, count(*) AS n_rows FROM ({LONG_SQL}) UNION ALL SELECT 2, count(*) FROM part UNION ALL SELECT 3, count(*) FROM ({COMPARE_SQL}))""",
+    "exact_orders": EXACT_SQL,
+    "exact_comparison": f"""SELECT "o.priority", attribute, max(value) AS value FROM ({EXACT_SQL}) WHERE "o.priority" IN {PRIORITIES} GROUP BY ALL""",
+    "asof_orders": f"""{TIMED_SQL}, b AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY customer, sec ORDER BY o_totalprice DESC, o_orderkey DESC) = 1)
+        SELECT event_id, e.customer::BIGINT AS customer, coalesce(b.sec, -1) AS right_sec, coalesce(b.o_orderkey, -1) AS right_o_orderkey FROM e ASOF LEFT JOIN b ON e.customer = b.customer AND e.sec >= b.sec""",
+    "asof_next_orders": f"""{TIMED_SQL}, b AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY sec ORDER BY o_totalprice DESC, o_orderkey DESC) = 1)
+        SELECT event_id, b.sec AS right_sec, b.o_orderkey AS right_o_orderkey FROM e ASOF JOIN b ON e.sec < b.sec WHERE b.sec - e.sec <= 3 * 86400""",
+    "overlapping_orders": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, max(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL HAVING max(l_shipdate) >= o_orderdate)
+        SELECT x.o_custkey, x.o_orderkey, y.o_orderkey AS other FROM s x JOIN s y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a <= y.b AND y.a <= x.b""",
+    "orders_in_windows": """WITH w AS (SELECT s_suppkey, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT AS a, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT + pow(3, s_suppkey % 7)::INT AS b FROM supplier)
+        SELECT s_suppkey, count(*) AS n_orders, sum(o_orderkey)::BIGINT AS key_sum FROM w JOIN orders ON o_orderdate::DATE BETWEEN a AND b GROUP BY s_suppkey""",
 }

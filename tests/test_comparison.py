@@ -1,5 +1,10 @@
+import os
+import subprocess
+import sys
 from datetime import UTC, date, datetime
 from decimal import Decimal
+from pathlib import Path
+from threading import Thread
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql.types import DateType, LongType, StringType, StructField, TimestampNTZType
 
 import __spark_entry__ as entry
+from tarnfold.functions.snapshots import snapshot_key
 from tarnfold.operators.compare import compare, melt, spread
 from tarnfold.plans import queries
 from tarnfold.session import shared_folder
@@ -34,6 +40,21 @@ def test_melt_leaves_out_nulls(spark):
     assert sorted(map(tuple, melt(mixed, "e", ("n", "s")).collect())) == [("a", "n", "1"), ("a", "s", "x")]
 
 
+def test_melt_keeps_every_digit(spark):
+    big = (1 << 53) + 1
+    df = spark.createDataFrame([("a.b", big, Decimal("0.10"), 1.5, True), ("c`d", None, Decimal("-2.05"), None, False)], "`e.n` string, `l.x` long, `m``y` decimal(10,2), d double, t boolean")
+    rows = lambda out: sorted((*tuple(r)[:2], str(r.value)) for r in out.collect())
+    assert rows(melt(df, "e.n", ["l.x"])) == [("a.b", "l.x", str(big))]
+    both = melt(df, "e.n", ["l.x", "m`y"])
+    assert rows(both) == [("a.b", "l.x", f"{big}.00"), ("a.b", "m`y", "0.10"), ("c`d", "m`y", "-2.05")]
+    table = compare(both, "e.n", ["a.b", "c`d"])
+    assert table.columns == ["attribute", "a.b", "c`d"] and rows(spread(table, "e.n")) == rows(both)
+    assert melt(df, "e.n", ["l.x", "d"]).schema["value"].dataType.typeName() == "double"
+    assert melt(df, "e.n", ["l.x", "t"]).schema["value"].dataType.typeName() == "string"
+    wide = df.selectExpr("`e.n`", "CAST(`m``y` AS decimal(38,30)) AS m", "`l.x` AS l")
+    assert melt(wide, "e.n", ["m", "l"]).schema["value"].dataType.typeName() == "string"
+
+
 def test_publish_archives_and_replaces(spark, tmp_path):
     root = f"file://{tmp_path}"
     first = spark.createDataFrame([(1,)], "v int")
@@ -53,15 +74,110 @@ def test_missing_result_writes_nothing(spark, tmp_path):
     assert not list(tmp_path.iterdir())
 
 
-def test_failed_swap_puts_the_latest_back(spark, tmp_path):
+class Killed(BaseException):
+    """What no handler of the library may catch."""
+
+
+@pytest.mark.parametrize("step", ["stage", "describe", "move", "after"])
+def test_a_killed_writer_leaves_one_whole_version(spark, tmp_path, monkeypatch, step):
     root = f"file://{tmp_path}"
-    store.publish(spark.createDataFrame([(1,)], "v int"), root, datetime(2024, 5, 6, 7, 8))
-    latest, files = store._files(spark, f"{root}/latest")
-    old, stage = (store._files(spark, f"{root}/.{name}")[0] for name in ("old", "stage"))
-    files.rename(latest, old)
-    with pytest.raises(Exception, match="stage"):
-        store.swap(files, stage, latest, old)
-    assert [r.v for r in store.read_latest(spark, root).collect()] == [1]
+    first, second = (spark.createDataFrame([(i, n) for n in range(5)], "v int, n int") for i in (1, 2))
+    store.publish(first, root, datetime(2024, 5, 6, 7, 8))
+    before = store.read_latest(spark, root)
+
+    def killed(*args):
+        if step == "stage":
+            # A part of the files is there.
+            args[0].limit(1).write.parquet(f"{args[1]}/_staged/x/{args[3]}_{snapshot_key(args[2])}")
+        if step == "after":
+            real(*args)
+        raise Killed
+
+    name = "move" if step == "after" else step
+    real = getattr(store, name)
+    with monkeypatch.context() as m, pytest.raises(Killed):
+        m.setattr(store, name, killed)
+        store.publish(second, root, datetime(2024, 5, 6, 7, 9))
+    done = step == "after"
+    want = [(1 + done, n) for n in range(5)]
+    assert sorted(map(tuple, store.read_latest(spark, root).collect())) == want
+    assert sorted(map(tuple, before.collect())) == [(1, n) for n in range(5)]
+    assert store.read_history(spark, root).count() == 5 * (1 + done) and store.versions(spark, root) == [1, 2][: 1 + done]
+    if done:
+        with pytest.raises(FileExistsError):
+            store.publish(second, root, datetime(2024, 5, 6, 7, 9))
+    else:
+        store.publish(second, root, datetime(2024, 5, 6, 7, 9))
+        assert store.versions(spark, root) == [1, 2] and store.vacuum(spark, root) == 0
+    assert store.vacuum(spark, root, hours=0) == 1 and store.read_latest(spark, root).count() == 5
+
+
+def test_versions_of_writers_at_once(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    lost = []
+
+    def write(i, expected, minute):
+        try:
+            store.publish(spark.createDataFrame([(i,)], "v int"), root, datetime(2024, 5, 6, 7, minute), expected=expected)
+        except (store.Conflict, FileExistsError) as e:
+            lost.append(type(e))
+
+    def at_once(jobs):
+        threads = [Thread(target=write, args=job) for job in jobs]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+
+    at_once([(i, 0, i) for i in range(5)])
+    assert store.versions(spark, root) == [1] and lost == [store.Conflict] * 4
+    # Without a version to follow all are published, one after another, but for a minute that is there.
+    lost.clear()
+    at_once([(10 + i, None, 30 + i // 2) for i in range(6)])
+    assert store.versions(spark, root) == [1, 2, 3, 4] and lost == [FileExistsError] * 3
+    assert [store.manifest(spark, root, v)["after"] for v in (1, 2, 3, 4)] == [0, 1, 2, 3]
+    assert store.read_history(spark, root, 2).count() == 2 and store.read_history(spark, root).count() == 4
+
+
+def test_versions_keep_their_schemas(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    with pytest.raises(FileNotFoundError):
+        store.read_latest(spark, root)
+    store.publish(spark.createDataFrame([], "v int, `x.y` string"), root, datetime(2024, 5, 6, 7, 8), "a")
+    store.publish(spark.createDataFrame([(1.5,)], "w double"), root, datetime(2024, 5, 6, 7, 8), "b")
+    assert store.read_version(spark, root, 1).columns == ["v", "x.y"] and store.read_version(spark, root, 1).count() == 0
+    assert [r.w for r in store.read_latest(spark, root).collect()] == [1.5]
+    assert store.archive_path(spark, root, datetime(2024, 5, 6, 7, 8), "b").endswith("archive/000000000002/b_2024-05-06_0708")
+    assert store.archive_path(spark, root, datetime(2024, 5, 6, 7, 9), "b") is None
+
+
+def test_a_move_replaces_nothing(spark, tmp_path):
+    # Of the local file system, and through one that isn't known to be local.
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.t.link./in", f"file://{tmp_path}")
+    for root in (f"file://{tmp_path}", "viewfs://t/in"):
+        (tmp_path / "a").mkdir()
+        (tmp_path / "a" / "f").write_text("1")
+        assert store.move(spark, f"{root}/a", f"{root}/to/b") and (tmp_path / "to" / "b" / "f").exists()
+        (tmp_path / "a").mkdir()
+        assert not store.move(spark, f"{root}/a", f"{root}/to/b") and sorted(x.name for x in (tmp_path / "to" / "b").iterdir()) == ["f"]
+        with pytest.raises(Exception, match="none"):
+            store.move(spark, f"{root}/none", f"{root}/to/c")
+        (tmp_path / "a").rmdir()
+        (tmp_path / "to" / "b" / "f").unlink()
+        (tmp_path / "to" / "b").rmdir()
+
+
+def test_a_local_session_needs_no_settings(tmp_path):
+    # Of a fresh process, as this one's Spark may have a folder set.
+    code = (
+        "import __spark_entry__ as e; from tarnfold.session import session; s = session('plain', '2', 2); "
+        "assert s.conf.get('spark.checkpoint.dir', None) is None; "
+        f"print('ROWS', e.queries()['published_latest'](s, '{SMALL}').count())"
+    )
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(Path(__file__).parent.parent)}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=tmp_path)
+    assert "ROWS 2" in done.stdout, done.stderr[-2000:]
 
 
 def test_shared_folder_needs_one_on_a_cluster():
