@@ -88,10 +88,18 @@ def overlap_join(
     """
     one, two = placed(left, *left_span, on), placed(right, *right_span, on)
     spark = left.sparkSession
+    path = shared_folder(spark, "overlap")
     keys = [f"k{i}" for i in range(len(on))]
     whole = dict(one.dtypes)["a"] == dict(two.dtypes)["a"] == "bigint"
     if not whole:
         one, two = (t.withColumn("a", F.col("a").cast("double")).withColumn("b", F.col("b").cast("double")) for t in (one, two))
+
+    # Both tables are read several times, so what they come from is computed once.
+    def kept(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{path}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{path}/{name}")
+
+    one, two = kept(one, "left"), kept(two, "right")
     if width is None:
         both = one.select(*keys, "a", "b").unionByName(two.select(*keys, "a", "b"))
         distinct = F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)
@@ -122,12 +130,11 @@ def overlap_join(
 
     cell = [*keys, "m", "guests", "bin"]
     one, two = binned(one, levels[1], 0), binned(two, levels[0], 1)
-    path = shared_folder(spark, "overlap")
     counts = one.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("o"))
     counts = counts.unionByName(two.groupBy(*cell).agg(F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("o")))
     counts = counts.groupBy(*cell).agg(F.sum("n").alias("n"), F.sum("o").alias("o")).where((F.greatest("n", "o") > hot) & (F.least("n", "o") > 0))
-    counts.select(*cell, F.ceil(F.col("n") / hot).cast("int").alias("left_parts"), F.ceil(F.col("o") / hot).cast("int").alias("right_parts")).write.parquet(path)
-    split = spark.read.parquet(path)
+    split = counts.select(*cell, F.ceil(F.col("n") / hot).cast("int").alias("left_parts"), F.ceil(F.col("o") / hot).cast("int").alias("right_parts"))
+    split = kept(split, "hot")
     few = split.count()
     if few:
         split = F.broadcast(split) if few <= FEW else split
