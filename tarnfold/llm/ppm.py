@@ -272,7 +272,7 @@ def grams_in(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
                 found.append(tally(codes[train]))
                 keys, n = tally(codes[~train])
                 found.append((keys, n * 0))
-                if len(found) > 16:
+                if len(found) > 6:
                     found = [merge(found)]
             keys, n = merge(found)
             for i in range(0, len(keys), 100_000):
