@@ -753,8 +753,9 @@ def test_shared_slots_inside_main_text():
     def page(text):
         return f'<html><body><article><h1>Head {text}</h1><p>Body {text}</p><div class="x12">Read our letter <ul><li>daily</ul></div><p>All rights kept</p><div class="y3">By {text}</div></article></body></html>'
 
+    # A box that says the same everywhere is the template's; a sentence beside text that varies is the article's.
     texts = [f"own {i}" for i in range(6)]
-    assert templates.extract([page(t) for t in texts]) == [f"Head {t} Body {t} By {t}" for t in texts]
+    assert templates.extract([page(t) for t in texts]) == [f"Head {t} Body {t} All rights kept By {t}" for t in texts]
     # Copies of one article, or few pages, tell nothing of a template.
     for few in (["same"] * 9, ["one", "two"]):
         assert templates.extract([page(t) for t in few]) == [f"Head {t} Body {t} Read our letter daily All rights kept By {t}" for t in few]
@@ -788,7 +789,7 @@ def test_marks_within_a_text_are_no_template():
 
 
 def plain_template(sources):
-    """Equivalence classes by whole vectors, from tags and blocks that are counted one by one."""
+    """Equivalence classes by whole vectors, from tags and blocks that are counted one by one; containers with pages and varying characters."""
     pages = list({templates.text_key(p): p for p in map(templates.parse, sources)}.values())
     vector = {t: [p.tags.get(t, (0,))[0] for p in pages] for p in pages for t in p.tags}
     slots = {templates.ROOT: (True, len(pages))}
@@ -798,11 +799,11 @@ def plain_template(sources):
             own = [u for u in vector if vector[u] == v]
             inside = [[u for u in sorted(own, key=lambda u: p.tags[u][1]) if p.tags[u][2] == t] for p in pages if t in p.tags]
             slots[t] = (len(own) >= 2 and all(o == inside[0] for o in inside), seen)
-    alike = set()
-    for c, (_, seen) in slots.items():
-        texts = Counter(t for p in pages for t in {t for d, t, _ in p.blocks if d == c})
-        alike |= {templates.block_token(c, t) for t, n in texts.items() if n >= 5 and n >= 0.9 * seen}
-    return slots, alike
+    for c, (valid, seen) in slots.items():
+        texts = Counter(t for p in pages for t in {t for d, t in p.blocks if d == c})
+        alike = {t for t, n in texts.items() if n >= 5 and n >= 0.9 * seen}
+        slots[c] = (valid, seen, sum(len(t) for p in pages for d, t in p.blocks if d == c and t not in alike))
+    return slots
 
 
 def test_templates_of_hosts_are_the_plain_ones(spark, tmp_path):
@@ -816,11 +817,7 @@ def test_templates_of_hosts_are_the_plain_ones(spark, tmp_path):
     found = {r.host: templates.Template.unpacked(bytes(r.template)) for r in got.collect()}
     assert set(found) == set(sites)
     for h, own in sites.items():
-        slots, alike = plain_template(own)
-        one = templates.deduce([templates.parse(x) for x in own])
-        for t in (found[h], one):
-            assert {c: (valid, pages) for c, (valid, pages, _) in t.slots.items()} == slots and t.alike == alike
-        assert found[h] == one
+        assert found[h].slots == templates.deduce([templates.parse(x) for x in own]).slots == plain_template(own)
     assert not all(v for v, _, _ in found["d"].slots.values()) and templates.deduce_hosts(spark.createDataFrame([], "host string, html string"), f"file://{tmp_path}/e").count() == 0
 
 
