@@ -36,7 +36,7 @@ from ._shared import binary, materialize, partitions, share, sliced, workspace
 ORDER = 5
 END = b"\n"
 #: Canonical bytes of a batch, and of the part of it that is worked on at once.
-BATCH_BYTES, STEP = 24 << 20, 1 << 19
+BATCH_BYTES, STEP = 24 << 20, 1 << 18
 #: Highest order whose counts every task gets, and up to how many; beyond, orders 0 and 1 go out, 65,536 counts at most.
 LOW, LOW_ROWS = 2, 1 << 22
 #: Mean runs of a branch of the trie that a task evaluates at once.
