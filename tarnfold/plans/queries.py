@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from ..operators.asof import asof_join
 from ..operators.compare import compare, melt, spread
 from ..operators.ranges import overlap_join
+from ..operators.theta import inequality_join
 from ..session import shared_folder
 from ..sources import store
 from ..sources.workbook import WorkbookSource
+from ..streaming.changes import changes, use_state_store
 from ..streaming.follow import follow
 
 BRANDS = ("Brand#11", "Brand#12", "Brand#13")
@@ -190,6 +192,37 @@ def orders_in_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("right_o_orderkey").alias("key_sum"))
 
 
+def richer_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a supplier and a customer of a smaller key, by 15 to one, with a larger balance, by the supplier's nation."""
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey", "s_acctbal", (F.col("s_suppkey") * 15).alias("k"))
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_acctbal")
+    pairs = inequality_join(supplier, customer, [("s_acctbal", "<", "c_acctbal"), ("k", ">=", "c_custkey")])
+    return pairs.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("right_c_custkey").alias("key_sum"))
+
+
+#: Days of January 2024 with a snapshot, and how long a row may be in none.
+DAYS, ABSENCE = (1, 2, 3, 6), timedelta(days=3)
+
+
+def followed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed in an archive that grows, by a stream that is stopped and goes on from its checkpoint after each snapshot."""
+    use_state_store(spark)
+    root, out = shared_folder(spark, "store"), shared_folder(spark, "changes")
+    long = long_parts(spark, sf_dir).limit(0)
+    schema = compare(long, "p_brand", BRANDS).schema
+    for day in DAYS:
+        own = part(spark, sf_dir).where(F.col("p_partkey") % 7 >= day)
+        own = melt(own.select("p_brand", *ATTRIBUTES), "p_brand", ATTRIBUTES)
+        brands = [b for k, b in enumerate(BRANDS) if (k + day) % 4]
+        own = own.where(F.col("p_brand").isin(brands) & ((F.col("attribute") != "p_size") | F.lit(day != 3)))
+        store.publish(compare(own, "p_brand", BRANDS), root, datetime(2024, 1, day))
+        found = changes(follow(spark, root, schema), "attribute", BRANDS, ABSENCE)
+        stream = found.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
+        stream.trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows")
+    return rows.select("attribute", "entity", "change", F.coalesce("old", F.lit("")).alias("old"), F.coalesce("new", F.lit("")).alias("new"), F.date_format("snapshot_ts", "yyyy-MM-dd").alias("day"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         compare_brands,
@@ -208,6 +241,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         asof_next_orders,
         overlapping_orders,
         orders_in_windows,
+        richer_customers,
+        followed_changes,
     )
 }
 
@@ -225,6 +260,23 @@ SELECT "o.priority", 'o.key' AS attribute, k::DECIMAL(21,2)::VARCHAR AS value FR
 UNION ALL SELECT "o.priority", 'o.price', p::DECIMAL(21,2)::VARCHAR FROM o WHERE p IS NOT NULL
 """
 
+#: Each snapshot's cells, against those of the row's snapshot before.
+CHANGES_SQL = f"""
+WITH d AS (SELECT unnest({list(DAYS)}) AS day),
+b AS (SELECT unnest({list(BRANDS)}) AS brand, unnest([0, 1, 2]) AS k),
+c AS (SELECT day, attribute, p_brand AS entity, max(value)::VARCHAR AS v FROM d JOIN
+        (SELECT p_partkey, p_brand, 'p_size' AS attribute, p_size::DOUBLE AS value FROM part UNION ALL SELECT p_partkey, p_brand, 'p_retailprice', p_retailprice FROM part)
+        ON p_partkey % 7 >= day JOIN b ON p_brand = brand AND (k + day) % 4 <> 0 WHERE NOT (attribute = 'p_size' AND day = 3) GROUP BY ALL),
+r AS (SELECT attribute, day, lag(day) OVER (PARTITION BY attribute ORDER BY day) AS before FROM (SELECT DISTINCT attribute, day FROM c)),
+g AS (SELECT r.attribute, brand, r.day, before, now.v AS new, old.v AS old, before IS NOT NULL AND r.day - before > {ABSENCE.days} AS gone FROM r CROSS JOIN b
+      LEFT JOIN c now ON now.day = r.day AND now.attribute = r.attribute AND now.entity = brand
+      LEFT JOIN c old ON old.day = r.before AND old.attribute = r.attribute AND old.entity = brand),
+e AS (SELECT attribute, brand, day, old, new FROM g WHERE NOT gone UNION ALL SELECT attribute, brand, day, NULL, new FROM g WHERE gone
+      UNION ALL SELECT attribute, brand, before + {ABSENCE.days}, old, NULL FROM g WHERE gone)
+SELECT attribute, brand AS entity, CASE WHEN old IS NULL THEN 'appeared' WHEN new IS NULL THEN 'left' ELSE 'changed' END AS change,
+       coalesce(old, '') AS old, coalesce(new, '') AS new, strftime(DATE '2024-01-01' + (day - 1)::INT, '%Y-%m-%d') AS day FROM e WHERE old IS DISTINCT FROM new
+"""
+
 HOT_SQL = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} % 50 END AS customer"
 TIMED_SQL = f"""
 WITH e AS (SELECT event_id, {HOT_SQL.format("event_id")}, (epoch_us(ts) // 1000000 - epoch_us(TIMESTAMP '2024-01-01') // 1000000) * {STRETCH} + epoch_us(TIMESTAMP '1995-01-01') // 1000000 AS sec FROM events),
@@ -251,6 +303,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT event_id, b.sec AS right_sec, b.o_orderkey AS right_o_orderkey FROM e ASOF JOIN b ON e.sec < b.sec WHERE b.sec - e.sec <= 3 * 86400""",
     "overlapping_orders": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, max(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL HAVING max(l_shipdate) >= o_orderdate)
         SELECT x.o_custkey, x.o_orderkey, y.o_orderkey AS other FROM s x JOIN s y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a <= y.b AND y.a <= x.b""",
+    "followed_changes": CHANGES_SQL,
+    "richer_customers": """SELECT s_nationkey, count(*) AS n_pairs, sum(c_custkey)::BIGINT AS key_sum FROM supplier JOIN customer
+        ON s_acctbal < c_acctbal AND s_suppkey * 15 >= c_custkey GROUP BY s_nationkey""",
     "orders_in_windows": """WITH w AS (SELECT s_suppkey, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT AS a, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT + pow(3, s_suppkey % 7)::INT AS b FROM supplier)
         SELECT s_suppkey, count(*) AS n_orders, sum(o_orderkey)::BIGINT AS key_sum FROM w JOIN orders ON o_orderdate::DATE BETWEEN a AND b GROUP BY s_suppkey""",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarnfold.operators import ranges
 from tarnfold.operators.asof import asof_join
 from tarnfold.operators.ranges import overlap_join
+from tarnfold.operators.theta import inequality_join
 
 
 def plain_asof(left, right, direction, strict, tolerance):
@@ -117,3 +118,35 @@ def test_position_orders_microseconds(spark):
     df = spark.createDataFrame([(r,) for r in rows], "t timestamp_ntz")
     got = [r.p for r in df.select(ranges.position(df, "t").alias("p")).collect()]
     assert got == [(r - datetime(1970, 1, 1)) // (datetime.resolution) for r in rows]
+
+
+@pytest.mark.parametrize(("first", "second", "bits"), [("<", ">=", 3), (">", ">", 5), ("<=", "<", 0), (">=", None, 2), ("<", None, None)])
+def test_inequalities_are_the_plain_pairs(spark, first, second, bits):
+    rng = random.Random(first)
+    ops = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
+    table = lambda n: [(rng.choice([rng.randrange(40), 7, None]), rng.choice(["a", "b", f"k{rng.randrange(30)}", None]), i) for i in range(n)] + [(7, "b", 5)] * 10
+    left, right = table(90), table(70)
+    x = spark.createDataFrame(left, "n int, `s.t` string, row int").repartition(3)
+    y = spark.createDataFrame(right, "n int, `s.t` string, row int")
+    conditions = [("n", first, "n")] + [("s.t", second, "s.t")] * (second is not None)
+    got = inequality_join(x, y, conditions, bits=bits)
+    assert got.columns == ["n", "s.t", "row", "right_n", "right_s.t", "right_row"]
+
+    def fits(a, b):
+        return all(None not in (a[i], b[i]) and ops[op](a[i], b[i]) for i, op in ((0, first), (1, second)) if op)
+
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(((*a, *b) for a in left for b in right if fits(a, b)), key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert inequality_join(x.limit(0), y, conditions).count() == 0
+
+
+def test_inequalities_meet_once():
+    # Of any two ranks there is one node at which they meet, and of one rank with itself the range.
+    def own(rank, bits, lesser):
+        return {(b, rank >> (b + 1)) for b in range(bits) if (rank >> b & 1) == (0 if lesser else 1)} | {(-1, rank)}
+
+    for a in range(32):
+        for b in range(32):
+            met = own(a, 5, True) & own(b, 5, False)
+            assert len(met) == (a <= b) and (a != b or met == {(-1, a)})
