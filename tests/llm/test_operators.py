@@ -262,6 +262,30 @@ def test_segmentation_is_the_best_of_all_splits():
     assert urls.Segmenter({"a" * 60: 5.0, "b": 5.0})["b" + "a" * 60] == ["b", "a" * 60]
 
 
+def test_segments_are_those_of_all_words(spark, tmp_path):
+    # Every word counts, however rare it is; no task has them all.
+    rng = random.Random(65)
+    counts = {"".join(rng.choices("abcé", k=rng.randint(1, 5))): float(rng.choice([2, 3, 10**9])) for _ in range(60)} | {"long" * 300: 2.0}
+    names = ["".join(rng.choices("abcdé", k=rng.randint(1, 30))) for _ in range(80)] + ["a" + "long" * 300 + "b", "zzz", "x" * 3000, "a", "a"]
+    table = spark.createDataFrame(list(counts.items()), "w string, n double").repartition(3)
+    got = urls.segments(spark.createDataFrame([(n,) for n in names], "name string"), table, sum(counts.values()), f"file://{tmp_path}/s")
+    segment = urls.Segmenter(counts)
+    assert {r["name"]: r.words for r in got.collect()} == {n: segment[n] for n in names}
+    assert urls.segments(spark.createDataFrame([("ab",)], "name string"), table.limit(0), 1.0, f"file://{tmp_path}/t").first().words == ["ab"]
+
+
+def test_ties_are_allowed(spark):
+    # No evidence for either side: the odds are exactly even.
+    counts = spark.createDataFrame([("river", 2.0)], "w string, n double")
+    model = urls.UrlModel(counts, 2.0, np.zeros(urls.SLOTS), 0.0)
+    pages = spark.createDataFrame([(1, "http://river.example.com/a"), (1, "http://river.example.com/a"), (2, "http://")], "page_id long, url string")
+    got = sorted((r.page_id, r.verdict, r.log_odds) for r in urls.judge(pages, model, rules=()).collect())
+    assert got == [(1, "allow", 0.0), (1, "allow", 0.0), (2, "allow", 0.0)]
+    # Of two rules of one length that of the longer host counts, and a rule's host fits whole labels only.
+    rules = (("block", "b.com", "/a"), ("allow", "x.b.com", ""), ("block", "", "/"))
+    assert urls.Rules.build(rules).match("x.b.com", "/a") == ("x.b.com", "allow") and urls.Rules.build(rules).match("ab.com", "/a") is None
+
+
 def test_naive_bayes_is_the_plain_one():
     rng = random.Random(62)
     hosts = [(i % 3 == 0, {rng.randrange(30) for _ in range(6)}) for i in range(40)]
