@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import asof_join
 from ..operators.compare import compare, melt, spread
+from ..operators.frames import rolling, running
 from ..operators.ranges import overlap_join
 from ..operators.theta import inequality_join
+from ..operators.topk import top_k
 from ..session import shared_folder
 from ..sources import store
 from ..sources.workbook import WorkbookSource
@@ -200,6 +202,32 @@ def richer_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("right_c_custkey").alias("key_sum"))
 
 
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by a user of whom one has every third; values in whole hundredths."""
+    user = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user_id")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", user, "ts", F.round(F.col("value") * 100).cast("long").alias("cents"))
+
+
+def rolling_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with what its user's last six hours come to."""
+    aggregates = {"n": F.count(F.lit(1)), "total": F.sum("cents"), "least": F.min("cents")}
+    out = rolling(hot_events(spark, sf_dir), ["user_id"], "ts", timedelta(hours=6), aggregates, per_key=1 << 12)
+    return out.select("event_id", "n", "total", "least")
+
+
+def running_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with what its user's events come to until then."""
+    out = running(hot_events(spark, sf_dir), ["user_id"], "ts", {"n": ("count", "event_id"), "total": ("sum", "cents"), "most": ("max", "cents")}, per_key=1 << 12)
+    return out.select("event_id", "n", "total", "most")
+
+
+def top_customers_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's three dearest orders, by price, then the later and then the lesser key; customer 0 has every third order."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = orders.select(F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("o_custkey")).alias("customer"), F.floor(F.col("o_totalprice") / 1000).alias("price"), "o_orderdate", "o_orderkey")
+    return top_k(orders, ["customer"], [("price", "desc"), ("o_orderdate", "desc"), "o_orderkey"], 3, rank="place").select("customer", "place", "o_orderkey", "price")
+
+
 #: Days of January 2024 with a snapshot, and how long a row may be in none.
 DAYS, ABSENCE = (1, 2, 3, 6), timedelta(days=3)
 
@@ -243,6 +271,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         orders_in_windows,
         richer_customers,
         followed_changes,
+        rolling_events,
+        running_events,
+        top_customers_orders,
     )
 }
 
@@ -277,6 +308,8 @@ SELECT attribute, brand AS entity, CASE WHEN old IS NULL THEN 'appeared' WHEN ne
        coalesce(old, '') AS old, coalesce(new, '') AS new, strftime(DATE '2024-01-01' + (day - 1)::INT, '%Y-%m-%d') AS day FROM e WHERE old IS DISTINCT FROM new
 """
 
+EVENTS_SQL = "WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts, round(value * 100)::BIGINT AS cents FROM events)"
+
 HOT_SQL = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} % 50 END AS customer"
 TIMED_SQL = f"""
 WITH e AS (SELECT event_id, {HOT_SQL.format("event_id")}, (epoch_us(ts) // 1000000 - epoch_us(TIMESTAMP '2024-01-01') // 1000000) * {STRETCH} + epoch_us(TIMESTAMP '1995-01-01') // 1000000 AS sec FROM events),
@@ -304,6 +337,12 @@ ORACLE_SQL: dict[str, str] = {
     "overlapping_orders": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, max(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL HAVING max(l_shipdate) >= o_orderdate)
         SELECT x.o_custkey, x.o_orderkey, y.o_orderkey AS other FROM s x JOIN s y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a <= y.b AND y.a <= x.b""",
     "followed_changes": CHANGES_SQL,
+    "rolling_events": f"""{EVENTS_SQL} SELECT event_id, count(*) OVER w AS n, sum(cents) OVER w::BIGINT AS total, min(cents) OVER w AS least FROM e
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)""",
+    "running_events": f"""{EVENTS_SQL} SELECT event_id, count(*) OVER w AS n, sum(cents) OVER w::BIGINT AS total, max(cents) OVER w AS most FROM e
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "top_customers_orders": """WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS customer, floor(o_totalprice / 1000)::BIGINT AS price, o_orderdate, o_orderkey FROM orders)
+        SELECT customer, row_number() OVER (PARTITION BY customer ORDER BY price DESC, o_orderdate DESC, o_orderkey)::INT AS place, o_orderkey, price FROM o QUALIFY place <= 3""",
     "richer_customers": """SELECT s_nationkey, count(*) AS n_pairs, sum(c_custkey)::BIGINT AS key_sum FROM supplier JOIN customer
         ON s_acctbal < c_acctbal AND s_suppkey * 15 >= c_custkey GROUP BY s_nationkey""",
     "orders_in_windows": """WITH w AS (SELECT s_suppkey, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT AS a, DATE '1995-01-01' + (s_suppkey * 37 % 2400)::INT + pow(3, s_suppkey % 7)::INT AS b FROM supplier)
