@@ -9,6 +9,7 @@ from threading import Thread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import islands
 from ..operators.asof import asof_join
 from ..operators.compare import compare, melt, spread
 from ..operators.frames import rolling, running
@@ -17,6 +18,7 @@ from ..operators.theta import inequality_join
 from ..operators.topk import top_k
 from ..session import shared_folder
 from ..sources import store
+from ..sources.sketches import DISTINCT_ERROR, RANK_ERROR
 from ..sources.workbook import WorkbookSource
 from ..streaming.changes import changes, use_state_store
 from ..streaming.follow import follow
@@ -228,6 +230,30 @@ def top_customers_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(orders, ["customer"], [("price", "desc"), ("o_orderdate", "desc"), "o_orderkey"], 3, rank="place").select("customer", "place", "o_orderkey", "price")
 
 
+def history_by_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sketches of four versions say of all their rows together, and whether it is as near as they promise."""
+    root = shared_folder(spark, "store")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    for day in range(1, 5):
+        store.publish(orders.where(F.col("o_orderkey") % 7 >= day), root, datetime(2024, 1, day), sketches=True)
+    found = store.summary(spark, root, first=2, quantiles=[0.5])
+    history = store.read_history(spark, root).where("snapshot_ts > timestamp_ntz'2024-01-01'")
+    exact = history.agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).unpivot([], orders.columns, "name", "exact")
+    median = {r["name"]: r["quantiles"][0] for r in found.where("quantiles IS NOT NULL").collect()}
+    ranks = history.agg(*[F.avg((F.col(c) <= v).cast("double")).alias(c) for c, v in median.items()]).unpivot([], list(median), "name", "rank")
+    out = found.join(exact, "name").join(ranks, "name", "left")
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")
+    return out.select("name", "n", "nulls", "exact", near.alias("near"), (F.abs(F.coalesce("rank", F.lit(0.5)) - 0.5) <= RANK_ERROR).alias("median_near"))
+
+
+def event_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of a user's events that are no more than twelve hours apart, by a table function in SQL."""
+    islands.register(spark)
+    events = hot_events(spark, sf_dir).where("user_id % 10 = 0")
+    out = spark.sql("SELECT * FROM islands(TABLE({events}), 'user_id', 'ts', INTERVAL '12' HOUR)", events=events)
+    return out.select("user_id", "island", "first", "last", "n_rows", F.coalesce(F.call_function("extract", F.lit("HOUR"), "gap") + 24 * F.call_function("extract", F.lit("DAY"), "gap"), F.lit(-1)).cast("long").alias("gap_hours"))
+
+
 #: Days of January 2024 with a snapshot, and how long a row may be in none.
 DAYS, ABSENCE = (1, 2, 3, 6), timedelta(days=3)
 
@@ -274,6 +300,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rolling_events,
         running_events,
         top_customers_orders,
+        history_by_sketches,
+        event_islands,
     )
 }
 
@@ -337,6 +365,12 @@ ORACLE_SQL: dict[str, str] = {
     "overlapping_orders": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, max(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL HAVING max(l_shipdate) >= o_orderdate)
         SELECT x.o_custkey, x.o_orderkey, y.o_orderkey AS other FROM s x JOIN s y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a <= y.b AND y.a <= x.b""",
     "followed_changes": CHANGES_SQL,
+    "history_by_sketches": "WITH o AS (SELECT o.* FROM orders o, generate_series(2, 4) AS d(day) WHERE o_orderkey % 7 >= day) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, (count(*) - count({c}))::BIGINT AS nulls, count(DISTINCT {c}) AS exact, true AS near, true AS median_near FROM o" for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")),
+    "event_islands": f"""{EVENTS_SQL}, s AS (SELECT user_id, ts, ts - lag(ts) OVER w > INTERVAL 12 HOURS AS far FROM e WHERE user_id % 10 = 0 WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+        i AS (SELECT user_id, ts, 1 + count(*) FILTER (WHERE far) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS island FROM s),
+        g AS (SELECT user_id, island, min(ts) AS first, max(ts) AS last, count(*) AS n_rows FROM i GROUP BY ALL)
+        SELECT user_id, island, first, last, n_rows, coalesce(floor((epoch_us(first) - epoch_us(lag(last) OVER (PARTITION BY user_id ORDER BY island))) / 3600000000.0), -1)::BIGINT AS gap_hours FROM g""",
     "rolling_events": f"""{EVENTS_SQL} SELECT event_id, count(*) OVER w AS n, sum(cents) OVER w::BIGINT AS total, min(cents) OVER w AS least FROM e
         WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW)""",
     "running_events": f"""{EVENTS_SQL} SELECT event_id, count(*) OVER w AS n, sum(cents) OVER w::BIGINT AS total, max(cents) OVER w AS most FROM e

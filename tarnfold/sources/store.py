@@ -16,6 +16,7 @@ import json
 import re
 import time
 import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.snapshots import snapshot_key, snapshot_ts
+from .sketches import FOLDER, read_sketches, together, write_sketches
 
 VERSION = re.compile(r"\d{12}")
 MANIFEST = "_manifest.json"
@@ -137,7 +139,14 @@ def commit(spark: SparkSession, folder: str, root: str, content: dict, expected:
             return last + 1
 
 
-def publish(df: DataFrame, root: str, ts: datetime, name: str = "comparison", expected: int | None = None) -> str:
+def publish(
+    df: DataFrame,
+    root: str,
+    ts: datetime,
+    name: str = "comparison",
+    expected: int | None = None,
+    sketches: bool | Sequence[str] = False,
+) -> str:
     """Archive a result under its minute as the next version, which makes it the latest; returns its path.
 
     A second result of a name in one minute is refused with a
@@ -145,10 +154,15 @@ def publish(df: DataFrame, root: str, ts: datetime, name: str = "comparison", ex
     the version that the result was made from (0 for none), a ``Conflict`` is
     raised if another was published since; of several such writers one wins.  A
     refused or failed result leaves at most a staged folder, which ``vacuum``
-    removes.  A result read from the latest version itself works.
+    removes.  A result read from the latest version itself works.  With
+    ``sketches`` the version has those of all columns, or of the named ones.
     """
     spark = df.sparkSession
     folder = stage(df, root, ts, name)
+    if sketches is not False:
+        # Of what was written, which is read once more and not computed again.
+        written = spark.read.schema(df.schema).parquet(f"{folder}/{name}_{snapshot_key(ts)}")
+        write_sketches(written, folder, None if sketches is True else sketches)
     content = {"name": name, "minute": snapshot_key(ts), "schema": df.schema.jsonValue()}
     version = commit(spark, folder, root, content, expected)
     return f"{version_path(root, version)}/{name}_{snapshot_key(ts)}"
@@ -200,3 +214,16 @@ def read_history(spark: SparkSession, root: str, until: int | None = None) -> Da
     read = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
     folders = [f"{root}/archive"] if until is None else [version_path(root, v) for v in versions(spark, root) if v <= until]
     return read.parquet(*folders).withColumn("snapshot_ts", snapshot_ts(F.col("_metadata.file_path")))
+
+
+def summary(spark: SparkSession, root: str, first: int = 1, until: int | None = None, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Rows, nulls, distinct values and quantiles by column over versions ``first`` to ``until``, from their sketches alone.
+
+    Versions that were published without sketches are a ``ValueError``, as the
+    answer would be short of them.
+    """
+    chosen = [v for v in versions(spark, root) if first <= v and (until is None or v <= until)]
+    without = [v for v in chosen if not exists(spark, f"{version_path(root, v)}/{FOLDER}")]
+    if without:
+        raise ValueError(f"no sketches in versions {without}")
+    return together(read_sketches(spark, [version_path(root, v) for v in chosen]), quantiles)

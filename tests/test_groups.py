@@ -88,3 +88,51 @@ def test_top_k_ranks_and_odd_tables(spark):
     assert top_k(df.limit(0), ["g"], ["v"], 2).count() == 0
     with pytest.raises(ValueError, match="asc"):
         top_k(df, ["g"], [("v", "down")], 1)
+
+
+@pytest.fixture(scope="module")
+def sql(spark):
+    from tarnfold.functions import islands
+
+    islands.register(spark)
+    return spark
+
+
+def plain_islands(rows, gap):
+    out = []
+    for key in {r[0] for r in rows}:
+        times = sorted(r[1] for r in rows if r[0] == key and r[1] is not None)
+        runs = []
+        for t in times:
+            if runs and t - runs[-1][-1] <= gap:
+                runs[-1].append(t)
+            else:
+                runs.append([t])
+        out += [(key, i + 1, r[0], r[-1], len(r), r[0] - runs[i - 1][-1] if i else None) for i, r in enumerate(runs)]
+    return sorted(out, key=repr)
+
+
+def test_islands_are_the_plain_runs(sql):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([rng.randrange(300), None]), [i]) for i in range(120)] + [("c", None, [0])]
+    df = sql.createDataFrame(rows, "`Key x` string, n int, other array<int>").repartition(4)
+    got = sql.sql("SELECT * FROM islands(TABLE({t}), 'key x', 'N', 5)", t=df)
+    assert got.columns == ["Key x", "island", "first", "last", "n_rows", "gap"] and got.schema["gap"].dataType.typeName() == "integer"
+    assert sorted(map(tuple, got.collect()), key=repr) == plain_islands(rows, 5)
+    alone = sql.sql("SELECT * FROM islands(TABLE({t}), '', 'n', 5)", t=df)
+    assert sorted(map(tuple, alone.collect()), key=repr) == sorted((r[1:] for r in plain_islands([(0, *r[1:]) for r in rows], 5)), key=repr)
+    assert sql.sql("SELECT * FROM islands(TABLE({t}), 'key x', 'n', 5)", t=df.limit(0)).count() == 0
+
+
+def test_islands_of_times(sql):
+    start = datetime(2024, 3, 1)
+    rows = [(i // 6, start + timedelta(hours=x)) for i, x in enumerate([0, 1, 2, 30, 31, 90, 5, 5, 5, 29, 54, 1])]
+    df = sql.createDataFrame(rows, "k int, t timestamp_ntz")
+    got = sql.sql("SELECT * FROM islands(TABLE({t}), 'k', 't', INTERVAL '24' HOUR)", t=df)
+    assert sorted(map(tuple, got.collect()), key=repr) == plain_islands(rows, timedelta(hours=24))
+    days = sql.sql("SELECT * FROM islands(TABLE({t}), 'k', 'd', 1)", t=df.selectExpr("k", "date(t) AS d"))
+    want = plain_islands([(k, t.date()) for k, t in rows], timedelta(days=1))
+    assert sorted(map(tuple, days.collect()), key=repr) == sorted(((*r[:5], r[5] and r[5].days) for r in want), key=repr)
+    for bad in ("'k', 't', 5", "'none', 't', INTERVAL '1' HOUR", "'k', 'k', INTERVAL '1' HOUR"):
+        with pytest.raises(Exception, match="take|has no one column"):
+            sql.sql(f"SELECT * FROM islands(TABLE({{t}}), {bad})", t=df).collect()
