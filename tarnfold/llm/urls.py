@@ -351,7 +351,7 @@ def segments(names: DataFrame, counts: DataFrame, total: float, out: str) -> Dat
     parts = own.select("i", "name", F.explode(lengths).alias("k")).where(F.col("k") <= F.length("name"))
     parts = parts.select("i", "name", "k", F.explode(F.sequence(F.lit(1), F.length("name") - F.col("k") + 1)).alias("at"))
     parts = parts.select("i", F.expr("substring(name, at, k)").alias("w"))
-    found = parts.join(counts, "w").groupBy("i").agg(F.collect_set(F.struct("w", "n")).alias("found"))
+    found = parts.hint("merge").join(counts, "w").groupBy("i").agg(F.collect_set(F.struct("w", "n")).alias("found"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -487,9 +487,10 @@ def judge(
     tokens = tokens.select("name", "in_path", F.posexplode("words").alias("k", "w")).withColumn("w", token(F.col("w"), F.col("in_path")))
     tokens = tokens.withColumn("slot", slot_of(F.col("w"))).join(F.broadcast(by_slot), "slot", "left")
     weighed = tokens.groupBy("name", "in_path").agg(F.sort_array(F.collect_list(F.struct("k", "w", F.coalesce("weight", F.lit(0.0)).alias("weight")))).alias("tokens"))
-    each = every.withColumn("in_path", F.col("at") >= F.col("n")).join(weighed, ["name", "in_path"])
+    # Files of repeated names are small for what they hold: nothing that grows with the rows is broadcast for that.
+    each = every.withColumn("in_path", F.col("at") >= F.col("n")).hint("merge").join(weighed, ["name", "in_path"])
     each = each.groupBy(F.col("own").alias("its")).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "tokens"))), lambda x: x["tokens"])).alias("tokens"))
-    each = rows.select("own", "id", "host", "path").join(each, F.col("own") == F.col("its"), "left")
+    each = rows.select("own", "id", "host", "path").hint("merge").join(each, F.col("own") == F.col("its"), "left")
     tokens = F.coalesce("tokens", F.array().cast("array<struct<k:int,w:string,weight:double>>"))
     odds = F.lit(model.prior) + F.aggregate(F.transform(tokens, lambda x: x["weight"]), F.lit(0.0), lambda a, x: a + x)
     each = each.select("id", "host", "path", F.transform(tokens, lambda x: x["w"]).alias("words"), odds.alias("log_odds"))
