@@ -22,6 +22,7 @@ from ..sources.sketches import DISTINCT_ERROR, RANK_ERROR
 from ..sources.workbook import WorkbookSource
 from ..streaming.changes import changes, use_state_store
 from ..streaming.follow import follow
+from ..streaming.late import gated, late_rows, on_time, sessions
 
 BRANDS = ("Brand#11", "Brand#12", "Brand#13")
 ATTRIBUTES = ("p_size", "p_retailprice")
@@ -254,6 +255,32 @@ def event_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "island", "first", "last", "n_rows", F.coalesce(F.call_function("extract", F.lit("HOUR"), "gap") + 24 * F.call_function("extract", F.lit("DAY"), "gap"), F.lit(-1)).cast("long").alias("gap_hours"))
 
 
+#: How late a row may come, the gap that ends a session, and the days of arrivals that a batch has.
+BOUND, GAP, BATCH_DAYS = timedelta(hours=12), timedelta(hours=6), 5
+
+
+def late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' sessions of events that arrive up to ten hours late, some twice, and some six days late; and what came too late, by user."""
+    folder = shared_folder(spark, "late")
+    events = hot_events(spark, sf_dir).select("event_id", "user_id", "ts")
+    delay = F.col("event_id") * 7919 % 100 * 360 + F.when(F.col("event_id") % 50 == 7, 6 * 86_400).otherwise(0)
+    again = F.when(F.col("event_id") % 10 == 3, F.array(F.lit(0), F.lit(3600))).otherwise(F.array(F.lit(0)))
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
+    arrivals = events.select("*", F.explode(again).alias("more")).select("event_id", "user_id", "ts", F.floor((seconds + delay + F.col("more")) / (BATCH_DAYS * 86_400)).alias("b"))
+    arrivals.write.parquet(f"{folder}/arrivals")
+    arrivals = spark.read.parquet(f"{folder}/arrivals")
+    for r in arrivals.select("b").distinct().orderBy("b").collect():
+        arrivals.where(F.col("b") == r.b).drop("b").coalesce(1).write.mode("append").parquet(f"{folder}/source")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/source")
+        gated(stream, folder, "ts", BOUND).trigger(availableNow=True).start().awaitTermination()
+    closed = sessions(on_time(spark, folder, events.schema), ["user_id"], "ts", GAP, BOUND, ["event_id"])
+    closed = closed.writeStream.format("parquet").option("path", f"{folder}/sessions").option("checkpointLocation", f"{folder}/state")
+    closed.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(f"{folder}/sessions").select(F.lit("session").alias("kind"), "user_id", F.col("start").cast("timestamp_ntz").alias("first"), (F.col("end") - F.lit(GAP)).cast("timestamp_ntz").alias("last"), "n")
+    late = late_rows(spark, folder, events.schema).groupBy("user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("n"))
+    return found.unionByName(late.withColumn("kind", F.lit("late")))
+
+
 #: Days of January 2024 with a snapshot, and how long a row may be in none.
 DAYS, ABSENCE = (1, 2, 3, 6), timedelta(days=3)
 
@@ -302,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         top_customers_orders,
         history_by_sketches,
         event_islands,
+        late_sessions,
     )
 }
 
@@ -338,6 +366,20 @@ SELECT attribute, brand AS entity, CASE WHEN old IS NULL THEN 'appeared' WHEN ne
 
 EVENTS_SQL = "WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts, round(value * 100)::BIGINT AS cents FROM events)"
 
+LATE_SQL = f"""{EVENTS_SQL},
+a AS (SELECT event_id, user_id, ts, ((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000000 + event_id * 7919 % 100 * 360
+        + CASE WHEN event_id % 50 = 7 THEN 6 * 86400 ELSE 0 END + more) // ({BATCH_DAYS} * 86400) AS b
+      FROM (SELECT *, unnest(CASE WHEN event_id % 10 = 3 THEN [0, 3600] ELSE [0] END) AS more FROM e)),
+m AS (SELECT b, max(max(ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a GROUP BY b),
+g AS (SELECT event_id, user_id, ts, seen IS NOT NULL AND ts <= seen - INTERVAL {BOUND.seconds // 3600} HOURS AS late FROM a JOIN m USING (b)),
+o AS (SELECT DISTINCT event_id, user_id, ts FROM g WHERE NOT late),
+s AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL {GAP.seconds // 3600} HOURS AS far FROM o),
+i AS (SELECT user_id, ts, count(*) FILTER (WHERE far) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM s)
+SELECT 'session' AS kind, user_id, min(ts) AS first, max(ts) AS last, count(*) AS n FROM i GROUP BY user_id, k
+HAVING max(ts) + INTERVAL {GAP.seconds // 3600} HOURS <= (SELECT max(ts) FROM o) - INTERVAL {BOUND.seconds // 3600} HOURS
+UNION ALL SELECT 'late', user_id, min(ts), max(ts), count(*) FROM g WHERE late GROUP BY user_id
+"""
+
 HOT_SQL = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} % 50 END AS customer"
 TIMED_SQL = f"""
 WITH e AS (SELECT event_id, {HOT_SQL.format("event_id")}, (epoch_us(ts) // 1000000 - epoch_us(TIMESTAMP '2024-01-01') // 1000000) * {STRETCH} + epoch_us(TIMESTAMP '1995-01-01') // 1000000 AS sec FROM events),
@@ -365,6 +407,7 @@ ORACLE_SQL: dict[str, str] = {
     "overlapping_orders": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate AS a, max(l_shipdate) AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL HAVING max(l_shipdate) >= o_orderdate)
         SELECT x.o_custkey, x.o_orderkey, y.o_orderkey AS other FROM s x JOIN s y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a <= y.b AND y.a <= x.b""",
     "followed_changes": CHANGES_SQL,
+    "late_sessions": LATE_SQL,
     "history_by_sketches": "WITH o AS (SELECT o.* FROM orders o, generate_series(2, 4) AS d(day) WHERE o_orderkey % 7 >= day) "
     + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, (count(*) - count({c}))::BIGINT AS nulls, count(DISTINCT {c}) AS exact, true AS near, true AS median_near FROM o" for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")),
     "event_islands": f"""{EVENTS_SQL}, s AS (SELECT user_id, ts, ts - lag(ts) OVER w > INTERVAL 12 HOURS AS far FROM e WHERE user_id % 10 = 0 WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

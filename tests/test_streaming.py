@@ -78,3 +78,39 @@ def test_late_snapshots(spark, tmp_path):
 
 def test_shared_folders_are_fresh(spark):
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_late_rows_are_told(spark, tmp_path):
+    from tarnfold.streaming.late import gate, gated, late_rows, on_time, sessions
+
+    schema = spark.createDataFrame([], "id int, k string, t timestamp_ntz").schema
+    folder, bound = f"file://{tmp_path}", timedelta(minutes=10)
+    at = lambda minute: datetime(2024, 1, 1) + timedelta(minutes=minute)
+    batches = [
+        [(1, "a", at(0)), (2, "a", at(3)), (3, None, at(4)), (1, "a", at(0))],
+        [(4, "a", at(30)), (5, "a", at(-7)), (6, "b", at(-5)), (2, "a", at(3))],
+        # On the watermark itself, and just after it.
+        [(7, "b", at(20)), (8, "b", at(20) + timedelta(seconds=1)), (9, "b", None), (4, "a", at(30))],
+        [(10, "a", at(90))],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/source")
+        gated(spark.readStream.schema(schema).parquet(f"{folder}/source"), folder, "t", bound).trigger(availableNow=True).start().awaitTermination()
+    late = sorted((r.id, r.batch, r.watermark) for r in late_rows(spark, folder, schema).collect())
+    assert late == [(5, 1, at(-6)), (7, 2, at(20)), (9, 2, at(20))]
+
+    def passed():
+        return sorted(r.id for r in spark.read.schema(schema).parquet(f"{folder}/on_time").collect())
+
+    assert passed() == [1, 1, 2, 2, 3, 4, 4, 6, 8, 10]
+    # A batch that comes again says the same, whatever came after it.
+    gate(folder, "t", bound)(spark.createDataFrame(batches[1], schema), 1)
+    assert passed() == [1, 1, 2, 2, 3, 4, 4, 6, 8, 10] and late_rows(spark, folder, schema).count() == 3
+
+    found = sessions(on_time(spark, folder, schema), ["k"], "t", timedelta(minutes=5), bound, ["id"])
+    q = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted(((r.k, r.start, r.end, r.n) for r in spark.read.parquet(f"{folder}/out").collect()), key=str)
+    want = [("a", at(0), at(8), 2), (None, at(4), at(9), 1), ("a", at(30), at(35), 1), ("b", at(-5), at(0), 1), ("b", at(20) + timedelta(seconds=1), at(25) + timedelta(seconds=1), 1)]
+    assert got == sorted(want, key=str)
+    assert sum(o["numRowsDroppedByWatermark"] for p in q.recentProgress for o in p["stateOperators"]) == 0
