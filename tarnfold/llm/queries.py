@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from . import audit, cotraining, decontaminate, forest, media, packing, pfor, ppm, sharding, simhash, templates, urls, whitening
 
 
+#: Noisy copies of vectors: their number, of each how manyth, and how much of each entry's neighbour is added.
+COPIES = ((1, 5, 0.3), (2, 10, 0.44))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -143,6 +147,14 @@ def packing_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(bad)
 
 
+def linked_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 over the vectors and noisy copies of some, as the tables' own have no links: every fifth turned by a third, every tenth by more."""
+    own = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda c: c.cast("double")).alias("v"))
+    turned = lambda a: F.transform("v", lambda c, i: c + a * F.element_at("v", F.when(i == 0, -1).otherwise(i)))
+    copies = [own.where(f"vec_id % {k} = 0").select((F.col("vec_id") + m * 1_000_000).alias("vec_id"), turned(a).alias("v")) for m, k, a in COPIES]
+    return forest.near_duplicates(own.unionByName(copies[0]).unionByName(copies[1]), vector_col="v")
+
+
 def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of operator 11 that don't depend on the format."""
     return op11_signature_sniffing(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
@@ -173,6 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         base_scores,
         url_rules,
         packing_laws,
+        linked_vectors,
         media_payloads,
         vector_deviations,
     )
@@ -194,13 +207,19 @@ FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING
 """
 
 #: All pairs by cosine, and the smallest id that links reach.
-COSINE_SQL = """
-WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+LINKED_SQL = """
+WITH RECURSIVE e AS ({vectors}),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
 r AS (SELECT vec_id, vec_id AS c FROM e UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.c = l.a)
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id)::BIGINT AS n_links, min(c) AS component_id, vec_id = min(c) AS kept
 FROM r GROUP BY vec_id
 """
+VECTORS_SQL = "SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings"
+COSINE_SQL = LINKED_SQL.format(vectors=VECTORS_SQL)
+COPIES_SQL = "".join(
+    f" UNION ALL SELECT vec_id + {m * 1_000_000}, list_transform(v, lambda c, i: c + {a} * v[CASE WHEN i = 1 THEN len(v) ELSE i - 1 END]) FROM ({VECTORS_SQL}) WHERE vec_id % {k} = 0"
+    for m, k, a in COPIES
+)
 
 WORDS_SQL = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+')"
 
@@ -290,6 +309,7 @@ ORACLE_SQL: dict[str, str] = {
     "base_scores": BASE_SQL,
     "url_rules": RULES_SQL,
     "packing_laws": PACKING_SQL,
+    "linked_vectors": LINKED_SQL.format(vectors=VECTORS_SQL + COPIES_SQL),
     "op13_filter_audit": AUDIT_SQL,
     "media_payloads": PAYLOAD_SQL,
     "vector_deviations": DEVIATION_SQL,

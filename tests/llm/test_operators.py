@@ -845,7 +845,7 @@ def test_templates_of_hosts_are_the_plain_ones(spark, tmp_path):
     assert not all(v for v, _, _ in found["d"].slots.values()) and templates.deduce_hosts(spark.createDataFrame([], "host string, html string"), f"file://{tmp_path}/e").count() == 0
 
 
-@pytest.mark.parametrize("name", ["shard_laws", "base_scores", "url_rules", "packing_laws", "op3_decontamination", "op13_filter_audit", "media_payloads", "vector_deviations"])
+@pytest.mark.parametrize("name", ["shard_laws", "base_scores", "url_rules", "packing_laws", "linked_vectors", "op3_decontamination", "op13_filter_audit", "media_payloads", "vector_deviations"])
 def test_queries_match_their_sql(spark, name):
     import duckdb
 
