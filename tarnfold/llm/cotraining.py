@@ -120,6 +120,11 @@ class Logistic:
                 break
         self.platt = float(a), float(b)
 
+    def loss(self, x: np.ndarray, y: np.ndarray) -> float:
+        """The mean log loss of the calibrated view."""
+        z = self.logit(x)
+        return float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.platt[0] * self.raw(x) + self.platt[1], -30, 30)
 
@@ -130,12 +135,13 @@ def probability(logit: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Round:
-    """One exchange: good and bad pseudo-labels that the text view gave, and the metadata view; and their weights."""
+    """One exchange: good and bad pseudo-labels that the text view gave, and the metadata view; their weights; and which views learnt from it."""
 
     by_text: tuple[int, int]
     by_meta: tuple[int, int]
     weight_by_text: float
     weight_by_meta: float
+    learnt: tuple[bool, ...] = ()
 
 
 @dataclass
@@ -227,7 +233,8 @@ def co_train(
     for calibration.  In a round each view labels for the other the rows that it
     is surest of; each takes a step on its labelled rows and what it was
     given, which together weigh no more than the labelled ones; and both are
-    calibrated again.
+    calibrated again.  A step after which a view's log loss is higher on the rows
+    set aside is taken back, so that no exchange makes a view worse there.
     """
     y = y.astype(np.float64)
     aside = np.arange(len(y)) % 4 == 3
@@ -251,9 +258,14 @@ def co_train(
             strict=True,
         ):
             scale = len(own_y) / max(len(own_y), weight)
+            before, loss = (m.w, m.platt), m.loss(x_held, held_y)
             g, h = m.sums(x, own_y, np.ones(len(x)))
             m.step(g + scale * gradient, h + scale * hessian)
             m.calibrate(x_held, held_y)
+            better = m.loss(x_held, held_y) <= loss
+            if not better:
+                m.w, m.platt = before
+            told_now.learnt += (better,)
     return CoTrained(fitted, float(np.log(share / (1 - share))), told)
 
 

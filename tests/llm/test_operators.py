@@ -436,6 +436,31 @@ def test_cotraining_round_is_the_plain_sum(spark, monkeypatch):
     assert np.allclose(parts[1][0], weight * (p - label) * z) and np.allclose(parts[1][1], weight * 0.25 * np.outer(z, z))
 
 
+def two_views(rng, n, signal):
+    """Labels, and two views that tell of them independently, each by a few of its columns."""
+    y = rng.integers(0, 2, n).astype(float)
+    return y, [np.where(np.arange(30) < 6, s * (2 * y[:, None] - 1), 0) + rng.normal(size=(n, 30)) for s in signal]
+
+
+@pytest.mark.parametrize(("signal", "gains"), [((0.5, 0.5), True), ((0.6, 0.0), False), ((0.0, 0.0), False)])
+def test_the_exchange_helps_and_never_harms(signal, gains):
+    # Few labels, many rows without: what one view is sure of teaches the other, but not where it knows nothing.
+    before, after = [], []
+    for seed in range(8):
+        rng = np.random.default_rng(seed)
+        y, views = two_views(rng, 8000, signal)
+        known, rest, fresh = slice(0, 80), slice(80, 5000), slice(5000, 8000)
+        for rounds, out in ((0, before), (cotraining.ROUNDS, after)):
+            model = cotraining.co_train([v[known] for v in views], y[known], lambda e: e.sums(iter([[v[rest] for v in views]])), rounds)
+            held = [v[known][3::4] for v in views]
+            losses = [m.loss(x, y[known][3::4]) for m, x in zip(model.views, held, strict=True)]
+            out.append((((model.scores([v[fresh] for v in views])[2] > 0.5) == y[fresh]).mean(), losses))
+        # On the rows set aside neither view is worse than without the exchange.
+        assert all(b <= a + 1e-9 for a, b in zip(before[-1][1], after[-1][1], strict=True))
+    gain = np.mean([a for a, _ in after]) - np.mean([b for b, _ in before])
+    assert gain > 0.02 if gains else gain > -0.02
+
+
 def test_both_views_give_labels(spark):
     sf = "/root/testdata/sf0.1"
     model = cotraining.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
