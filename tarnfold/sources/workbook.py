@@ -15,11 +15,13 @@ from __future__ import annotations
 import io
 import re
 import sys
+import uuid
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from decimal import Decimal
+from typing import IO
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
 
@@ -105,44 +107,71 @@ def to_workbook(names: list[str], rows: Iterator[tuple], sheet: str = "Sheet1")
     return out.getvalue()
 
 
-def counts_from_1904(data: bytes) -> bool:
+def counts_from_1904(book: zipfile.ZipFile) -> bool:
     """Whether a workbook's serial numbers of days begin in 1904."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        settings = ElementTree.fromstring(z.read("xl/workbook.xml")).find(f"{{{MAIN}}}workbookPr")
+    settings = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{{{MAIN}}}workbookPr")
     return settings is not None and settings.get("date1904") in ("1", "true")
 
 
-def from_workbook(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
-    """The cells of a sheet, row by row, as strings; empty cells are null."""
+def elements(part: IO[bytes], name: str) -> Iterator[ElementTree.Element]:
+    """The elements of a name in a part, one at a time: each is forgotten when the next is asked for."""
+    tag, path = f"{{{MAIN}}}{name}", []
+    for event, element in ElementTree.iterparse(part, ("start", "end")):
+        if event == "start":
+            path.append(element)
+            continue
+        path.pop()
+        if element.tag == tag:
+            yield element
+            if path:
+                path[-1].remove(element)
+
+
+def sheet_part(book: zipfile.ZipFile, sheet: str | None) -> str:
+    """The part of a workbook that holds a sheet, by default the first."""
+    found = ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{{{MAIN}}}sheet")
+    sheets = {s.get("name"): s.get(f"{{{RELATION}}}id") for s in found}
+    if sheet is not None and sheet not in sheets:
+        raise ValueError(f"no sheet named {sheet}")
+    links = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+    target = links[sheets[sheet] if sheet is not None else next(iter(sheets.values()))]
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def shared_strings(book: zipfile.ZipFile) -> list[str]:
+    """The strings that cells name by number."""
+    if "xl/sharedStrings.xml" not in book.namelist():
+        return []
+    with book.open("xl/sharedStrings.xml") as part:
+        return ["".join(t.text or "" for t in s.iter(f"{{{MAIN}}}t")) for s in elements(part, "si")]
+
+
+def sheet_rows(book: zipfile.ZipFile, sheet: str | None = None) -> Iterator[list[str | None]]:
+    """The cells of a sheet, row by row, as strings; empty cells are null.
+
+    The sheet is read as a stream: what is held is a row, and the workbook's
+    shared strings.
+    """
     tag = f"{{{MAIN}}}"
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
-        sheets = {s.get("name"): s.get(f"{{{RELATION}}}id") for s in book.iter(f"{tag}sheet")}
-        if sheet is not None and sheet not in sheets:
-            raise ValueError(f"no sheet named {sheet}")
-        wanted = sheets[sheet] if sheet is not None else next(iter(sheets.values()))
-        links = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        target = links[wanted]
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            shared = [
-                "".join(t.text or "" for t in s.iter(f"{tag}t"))
-                for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{tag}si")
-            ]
-        page = ElementTree.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}"))
-    rows: list[list[str | None]] = []
-    for row in page.iter(f"{tag}row"):
-        values: list[str | None] = []
-        for c in row.iter(f"{tag}c"):
-            at = column_index(c.get("r") or "") if c.get("r") else len(values)
-            values += [None] * (at + 1 - len(values))
-            kind, v = c.get("t"), c.find(f"{tag}v")
-            if kind == "inlineStr":
-                values[at] = "".join(t.text or "" for t in c.iter(f"{tag}t"))
-            elif v is not None and v.text is not None:
-                values[at] = shared[int(v.text)] if kind == "s" else ("true" if v.text == "1" else "false") if kind == "b" else v.text
-        rows.append(values)
-    return rows
+    shared = shared_strings(book)
+    with book.open(sheet_part(book, sheet)) as part:
+        for row in elements(part, "row"):
+            values: list[str | None] = []
+            for c in row.iter(f"{tag}c"):
+                at = column_index(c.get("r") or "") if c.get("r") else len(values)
+                values += [None] * (at + 1 - len(values))
+                kind, v = c.get("t"), c.find(f"{tag}v")
+                if kind == "inlineStr":
+                    values[at] = "".join(t.text or "" for t in c.iter(f"{tag}t"))
+                elif v is not None and v.text is not None:
+                    values[at] = shared[int(v.text)] if kind == "s" else ("true" if v.text == "1" else "false") if kind == "b" else v.text
+            yield values
+
+
+def from_workbook(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
+    """All cells of a sheet of a workbook in memory."""
+    with zipfile.ZipFile(io.BytesIO(data)) as book:
+        return list(sheet_rows(book, sheet))
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -179,15 +208,16 @@ class WorkbookReader(DataSourceReader):
 
     def read(self, partition: Workbook) -> Iterator[tuple]:
         files, _ = _open(self.options["path"])
-        data = files.open_input_file(partition.path).readall()
-        rows, first_day = from_workbook(data, self.options.get("sheet")), DAY_0_OF_1904 if counts_from_1904(data) else DAY_0
-        names = rows[0] if rows else []
-        at = [names.index(f.name) if f.name in names else None for f in self.schema.fields]
-        for row in rows[1:]:
-            yield tuple(
-                cast(row[i] if i is not None and i < len(row) else None, f, first_day)
-                for i, f in zip(at, self.schema.fields, strict=True)
-            )
+        with files.open_input_file(partition.path) as source, zipfile.ZipFile(source) as book:
+            first_day = DAY_0_OF_1904 if counts_from_1904(book) else DAY_0
+            rows = sheet_rows(book, self.options.get("sheet"))
+            names = next(rows, [])
+            at = [names.index(f.name) if f.name in names else None for f in self.schema.fields]
+            for row in rows:
+                yield tuple(
+                    cast(row[i] if i is not None and i < len(row) else None, f, first_day)
+                    for i, f in zip(at, self.schema.fields, strict=True)
+                )
 
 
 def moment(value: str, first_day: datetime) -> datetime:
@@ -231,22 +261,21 @@ def refuse_others(schema: StructType) -> None:
 
 
 class WorkbookWriter(DataSourceWriter):
-    """Each task writes a workbook to a hidden place; the commit puts them all in place."""
+    """Each task writes a workbook to the job's hidden folder; the commit puts them all in place, and the folder goes."""
 
     def __init__(self, schema: StructType, options: dict, overwrite: bool) -> None:
         self.schema, self.names, self.options, self.overwrite = schema, schema.names, options, overwrite
+        self.staged = f".stage-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator) -> Written:
-        import uuid
-
         from pyspark import TaskContext
 
         files, inner = _open(self.options["path"])
-        stage, place = f"{inner}/.stage-{uuid.uuid4().hex}", f"{inner}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}.xlsx"
+        stage, place = f"{inner}/{self.staged}/{uuid.uuid4().hex}", f"{inner}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex[:8]}.xlsx"
         zoned = [isinstance(f.dataType, TimestampType) for f in self.schema.fields]
         rows = (tuple(v.astimezone(UTC) if z and v is not None else v for v, z in zip(r, zoned, strict=True)) for r in iterator)
         data = to_workbook(list(self.names), rows, self.options.get("sheet") or "Sheet1")
-        files.create_dir(inner, recursive=True)
+        files.create_dir(f"{inner}/{self.staged}", recursive=True)
         with files.open_output_stream(stage) as out:
             out.write(data)
         return Written(stage, place)
@@ -258,11 +287,17 @@ class WorkbookWriter(DataSourceWriter):
             files.move(m.stage, m.place)
         for path in old:
             files.delete_file(path)
+        self.clear()
 
     def abort(self, messages: list) -> None:
-        files, _ = _open(self.options["path"])
-        for m in filter(None, messages):
-            files.delete_file(m.stage)
+        self.clear()
+
+    def clear(self) -> None:
+        """Delete what tasks have left, those that failed too."""
+        files, inner = _open(self.options["path"])
+        files.delete_dir_contents(f"{inner}/{self.staged}", missing_dir_ok=True)
+        if files.get_file_info(f"{inner}/{self.staged}").type != fs.FileType.NotFound:
+            files.delete_dir(f"{inner}/{self.staged}")
 
 
 class WorkbookSource(DataSource):
@@ -273,8 +308,11 @@ class WorkbookSource(DataSource):
     def schema(self) -> StructType:
         files, _ = _open(self.options["path"])
         found = _list(self.options["path"])
-        rows = from_workbook(files.open_input_file(found[0]).readall(), self.options.get("sheet")) if found else []
-        return StructType([StructField(n, StringType()) for n in (rows[0] if rows else []) if n])
+        names: list[str | None] = []
+        if found:
+            with files.open_input_file(found[0]) as source, zipfile.ZipFile(source) as book:
+                names = next(sheet_rows(book, self.options.get("sheet")), [])
+        return StructType([StructField(n, StringType()) for n in names if n])
 
     def reader(self, schema: StructType) -> WorkbookReader:
         refuse_others(schema)

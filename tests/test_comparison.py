@@ -1,6 +1,9 @@
+import io
 import os
 import subprocess
 import sys
+import tracemalloc
+import zipfile
 from datetime import UTC, date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -9,6 +12,7 @@ from threading import Thread
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, TimestampNTZType
 
 import __spark_entry__ as entry
@@ -17,7 +21,7 @@ from tarnfold.operators.compare import compare, melt, spread
 from tarnfold.plans import queries
 from tarnfold.session import shared_folder
 from tarnfold.sources import store
-from tarnfold.sources.workbook import DAY_0_OF_1904, WorkbookSource, cast, column_index, column_name, from_workbook, to_workbook
+from tarnfold.sources.workbook import DAY_0_OF_1904, WorkbookSource, cast, column_index, column_name, from_workbook, sheet_rows, to_workbook
 from tarnfold.streaming.follow import follow
 
 SMALL = "/root/testdata/sf0.001"
@@ -217,6 +221,35 @@ def test_workbook_source(spark, tmp_path):
     assert read.load().columns == ["i", "s", "d"]
 
 
+def test_workbook_is_read_as_a_stream(spark, tmp_path):
+    # What is held grows with a row, not with the sheet.
+    def peak(n):
+        book = zipfile.ZipFile(io.BytesIO(to_workbook(["i", "s"], ((i, f"text {i % 7}") for i in range(n)))))
+        rows = sheet_rows(book)
+        next(rows)
+        tracemalloc.start()
+        count = sum(1 for _ in rows)
+        out = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert count == n
+        return out
+
+    assert peak(20_000) < 2 * peak(2000)
+
+
+def test_workbook_leaves_no_staged_files(spark, tmp_path):
+    spark.dataSource.register(WorkbookSource)
+    path = tmp_path / "w"
+    df = spark.range(6).repartition(3)
+    df.write.format("workbook").mode("append").option("path", f"file://{path}").save()
+    assert all(p.suffix == ".xlsx" for p in path.iterdir() if not p.name.endswith(".crc"))
+    before = sorted(p.name for p in path.iterdir())
+    broken = df.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        broken.write.format("workbook").mode("overwrite").option("path", f"file://{path}").save()
+    assert sorted(p.name for p in path.iterdir()) == before
+
+
 def test_workbook_types(spark, tmp_path):
     spark.dataSource.register(WorkbookSource)
     schema = "l long, m decimal(20,4), day date, t timestamp_ntz, z timestamp, b boolean"
