@@ -487,6 +487,8 @@ def judge(
     tokens = tokens.select("name", "in_path", F.posexplode("words").alias("k", "w")).withColumn("w", token(F.col("w"), F.col("in_path")))
     tokens = tokens.withColumn("slot", slot_of(F.col("w"))).join(F.broadcast(by_slot), "slot", "left")
     weighed = tokens.groupBy("name", "in_path").agg(F.sort_array(F.collect_list(F.struct("k", "w", F.coalesce("weight", F.lit(0.0)).alias("weight")))).alias("tokens"))
+    # Written first, so that both sides of the join are plain shuffles, of which Spark splits a hot name's part.
+    weighed = materialize(weighed, f"{out}/weighed")
     # Files of repeated names are small for what they hold: nothing that grows with the rows is broadcast for that.
     each = every.withColumn("in_path", F.col("at") >= F.col("n")).hint("merge").join(weighed, ["name", "in_path"])
     each = each.groupBy(F.col("own").alias("its")).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "tokens"))), lambda x: x["tokens"])).alias("tokens"))
