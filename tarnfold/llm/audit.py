@@ -28,6 +28,8 @@ MASKS = 1 << len(FILTERS)
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 STEPS = [(order, step) for order in ORDERS for step in range(1, len(FILTERS) + 1)]
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Bytes that continue a code point in UTF-8; all others are one.
+CONTINUED = bytes(range(0x80, 0xC0))
 #: Any of these fails filter D.
 MARKS = b"#$%&*|"
 #: Parts that are multiplied at once.
@@ -58,8 +60,7 @@ def failures(text: bytes) -> int:
     mask = int(len(words) < 50)
     mask |= 2 * (100 * len(set(words)) < 65 * len(words))
     capitals = len(text) - len(text.translate(None, CAPITALS))
-    # Code points: bytes that don't continue one.
-    points = len(text) if text.isascii() else len(text.decode())
+    points = len(text) if text.isascii() else len(text.translate(None, CONTINUED))
     mask |= 4 * (100 * capitals > 5 * points)
     return mask | 8 * (len(text) != len(text.translate(None, MARKS)))
 
