@@ -52,25 +52,35 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
 
 
+def rename_locally(spark: SparkSession, here, there) -> None:
+    """Rename a local folder by the operating system, as Hadoop's way would look first and move then."""
+    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
+    own = [jvm.java.nio.file.Path.of(p.toUri().getPath(), new_array(jvm.java.lang.String, 0)) for p in (here, there)]
+    how = new_array(jvm.java.nio.file.CopyOption, 1)
+    how[0] = jvm.java.nio.file.StandardCopyOption.ATOMIC_MOVE
+    jvm.java.nio.file.Files.move(*own, how)
+
+
+def rename_on_cluster(spark: SparkSession, here, there) -> None:
+    """Rename a folder by its file system, which refuses if there is a target."""
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.NONE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(here.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(here, there, how)
+
+
 def move(spark: SparkSession, source: str, target: str) -> bool:
     """Rename a folder in one step, unless there is something at ``target``."""
-    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
     here, files = _files(spark, source)
     there, _ = _files(spark, target)
     files.mkdirs(there.getParent())
     try:
-        if files.resolvePath(here).toUri().getScheme() == "file":
-            # Hadoop's local rename would look first and move then.
-            own = [jvm.java.nio.file.Path.of(p.toUri().getPath(), new_array(jvm.java.lang.String, 0)) for p in (files.resolvePath(here), jvm.org.apache.hadoop.fs.Path(files.resolvePath(there.getParent()), there.getName()))]
-            how = new_array(jvm.java.nio.file.CopyOption, 1)
-            how[0] = jvm.java.nio.file.StandardCopyOption.ATOMIC_MOVE
-            jvm.java.nio.file.Files.move(*own, how)
+        at, parent = files.resolvePath(here), files.resolvePath(there.getParent())
+        if at.toUri().getScheme() == "file":
+            rename_locally(spark, at, spark._jvm.org.apache.hadoop.fs.Path(parent, there.getName()))
         else:
-            kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-            how = new_array(kind, 1)
-            how[0] = kind.NONE
-            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(here.toUri(), spark._jsc.hadoopConfiguration())
-            context.rename(here, there, how)
+            rename_on_cluster(spark, here, there)
     except Py4JJavaError:
         if files.exists(there):
             return False

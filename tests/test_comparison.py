@@ -172,6 +172,19 @@ def test_a_move_replaces_nothing(spark, tmp_path):
         (tmp_path / "to" / "b").rmdir()
 
 
+def test_a_cluster_renames_onto_nothing(spark, tmp_path):
+    path = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"file://{tmp_path}/{name}")
+    for name in "abc":
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f").write_text(name)
+    store.rename_on_cluster(spark, path("a"), path("d"))
+    assert (tmp_path / "d" / "f").read_text() == "a" and not (tmp_path / "a").exists()
+    for rename in (store.rename_on_cluster, store.rename_locally):
+        with pytest.raises(Exception, match="xist|mpty"):
+            rename(spark, path("b"), path("c"))
+        assert (tmp_path / "c" / "f").read_text() == "c" and (tmp_path / "b" / "f").exists()
+
+
 def test_a_local_session_needs_no_settings(tmp_path):
     # Of a fresh process, as this one's Spark may have a folder set.
     code = (
