@@ -204,6 +204,8 @@ class Searcher:
         self.blocks = blocks
         self.hashes = WordHashes()
         self.only = (blocks[0](), {}) if len(blocks) == 1 else None
+        # Bytes of text that are searched at once: more of them where blocks have to be opened for each.
+        self.at_once = (4 if self.only else 16) << 20
 
     def hits(self, texts: pa.Array) -> Iterator[tuple[Items, list[tuple[int, int, int]]]]:
         docs = Hashed([(t or b"").lower().split() for t in binary(texts)], self.hashes)
@@ -256,7 +258,7 @@ def contained_items(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(blocks)
-        for batch in (part for whole in batches for part in sliced(whole, 1)):
+        for batch in (part for whole in batches for part in sliced(whole, 1, searcher.at_once)):
             for items, hits in searcher.hits(batch.column(1)):
                 columns = [
                     batch.column(0).take(pa.array([d for d, _, _ in hits], pa.int64())),
@@ -290,7 +292,7 @@ def decontaminate(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(blocks)
-        for batch in (part for whole in batches for part in sliced(whole, place)):
+        for batch in (part for whole in batches for part in sliced(whole, place, searcher.at_once)):
             keep = np.ones(batch.num_rows, bool)
             for _, hits in searcher.hits(batch.column(place)):
                 keep[[d for d, _, _ in hits]] = False
