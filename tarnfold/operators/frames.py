@@ -34,11 +34,11 @@ def reach(span: timedelta | int) -> int:
 
 
 def stretches(rows: DataFrame, keys: Sequence[str], least: float | int, per_key: int) -> float | int:
-    """How long a stretch is, of a table with its ``_at``: the most frequent key's ``per_key`` rows, ``least`` at least."""
-    sizes = rows.where("_at IS NOT NULL").groupBy(*[named(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("a"), F.max("_at").alias("b"))
+    """How long a stretch is, of a table with its ``__at``: the most frequent key's ``per_key`` rows, ``least`` at least."""
+    sizes = rows.where("__at IS NOT NULL").groupBy(*[named(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("a"), F.max("__at").alias("b"))
     most, low, high = sizes.agg(F.max("n"), F.min("a"), F.max("b")).first()
     span = (high - low) * per_key / most if most else 0
-    whole = dict(rows.dtypes)["_at"] == "bigint"
+    whole = dict(rows.dtypes)["__at"] == "bigint"
     return max(least, int(span), 1) if whole else max(float(least), span, 1e-300)
 
 
@@ -63,15 +63,15 @@ def rolling(
     the next ones that it may be in a frame of, two more at most; rows of one
     instant are in one task.
     """
-    rows = df.withColumn("_at", position(df, time))
+    rows = df.withColumn("__at", position(df, time))
     before, after = reach(preceding), reach(following)
     length = stretches(rows, on, before + after, per_key)
-    near = F.sequence(stretch_of(F.col("_at") - F.lit(after), length), stretch_of(F.col("_at") + F.lit(before), length))
+    near = F.sequence(stretch_of(F.col("__at") - F.lit(after), length), stretch_of(F.col("__at") + F.lit(before), length))
     # What has no time has no stretch, but stays.
-    rows = rows.withColumn("_in", F.explode_outer(near))
-    frame = Window.partitionBy(*[named(k) for k in on], "_in").orderBy("_at").rangeBetween(-before, after)
-    out = rows.select(*[named(c) for c in df.columns], "_at", "_in", *[c.over(frame).alias(n) for n, c in aggregates.items()])
-    return out.where(F.col("_in").eqNullSafe(stretch_of(F.col("_at"), length))).drop("_at", "_in")
+    rows = rows.withColumn("__in", F.explode_outer(near))
+    frame = Window.partitionBy(*[named(k) for k in on], "__in").orderBy("__at").rangeBetween(-before, after)
+    out = rows.select(*[named(c) for c in df.columns], "__at", "__in", *[c.over(frame).alias(n) for n, c in aggregates.items()])
+    return out.where(F.col("__in").eqNullSafe(stretch_of(F.col("__at"), length))).drop("__at", "__in")
 
 
 def running(df: DataFrame, on: Sequence[str], time: str, aggregates: Mapping[str, tuple[str, str]], per_key: int = ROWS) -> DataFrame:
@@ -82,19 +82,19 @@ def running(df: DataFrame, on: Sequence[str], time: str, aggregates: Mapping[str
     what those before come to is added.  Null keys are a key; null times come
     before all others, as Spark orders them.  Repeated rows stay.
     """
-    rows = df.withColumn("_at", position(df, time))
+    rows = df.withColumn("__at", position(df, time))
     length = stretches(rows, on, 0, per_key)
-    rows = rows.withColumn("_in", stretch_of(F.col("_at"), length))
+    rows = rows.withColumn("__in", stretch_of(F.col("__at"), length))
     keys = [named(k) for k in on]
-    own = Window.partitionBy(*keys, "_in").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.select(*[named(c) for c in df.columns], "_in", *[OWN[f](named(c)).over(own).alias(n) for n, (f, c) in aggregates.items()])
-    sums = rows.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_in").alias("_its")).agg(*[OWN[f](named(c)).alias(f"_{n}") for n, (f, c) in aggregates.items()])
-    earlier = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_its").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*[f"_k{i}" for i in range(len(keys))], "_its", *[TOGETHER[f](f"_{n}").over(earlier).alias(f"_{n}") for n, (f, _) in aggregates.items()])
-    same = F.col("_in").eqNullSafe(F.col("_its"))
+    own = Window.partitionBy(*keys, "__in").orderBy("__at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.select(*[named(c) for c in df.columns], "__in", *[OWN[f](named(c)).over(own).alias(n) for n, (f, c) in aggregates.items()])
+    sums = rows.groupBy(*[k.alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__in").alias("__its")).agg(*[OWN[f](named(c)).alias(f"__{n}") for n, (f, c) in aggregates.items()])
+    earlier = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy("__its").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[f"__k{i}" for i in range(len(keys))], "__its", *[TOGETHER[f](f"__{n}").over(earlier).alias(f"__{n}") for n, (f, _) in aggregates.items()])
+    same = F.col("__in").eqNullSafe(F.col("__its"))
     for i, k in enumerate(keys):
-        same = same & k.eqNullSafe(F.col(f"_k{i}"))
+        same = same & k.eqNullSafe(F.col(f"__k{i}"))
     both = {"min": F.least, "max": F.greatest}
     add = lambda x, y: F.when(x.isNull(), y).when(y.isNull(), x).otherwise(x + y)
-    out = [both.get(f, add)(F.col(n), F.col(f"_{n}")).alias(n) for n, (f, _) in aggregates.items()]
+    out = [both.get(f, add)(F.col(n), F.col(f"__{n}")).alias(n) for n, (f, _) in aggregates.items()]
     return local.join(sums, same, "left").select(*[named(c) for c in df.columns], *out)

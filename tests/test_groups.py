@@ -42,7 +42,7 @@ def test_a_hot_key_is_cut(spark):
     # The rows that a stretch has, itself and its halo.
     seen = rolling(df, ["k"], "t", 10, {"n": F.count(F.lit(1))}, per_key=100)
     plan = seen._jdf.queryExecution().toString()
-    assert "_in" in plan and seen.agg(F.max("n")).first()[0] == 11
+    assert "__in" in plan and seen.agg(F.max("n")).first()[0] == 11
     sizes = df.withColumn("_in", F.floor(F.col("t") / 100)).groupBy("_in").count().agg(F.max("count")).first()[0]
     assert sizes <= 100 and seen.count() == 4000
 
