@@ -424,9 +424,6 @@ def train(
     out = workspace(pages.sparkSession, "urls")
     host, path = host_of(F.col(url_col))
     text = visible(F.col(html_col)) if html_col else F.lit("")
-    # Markup is taken off once, and the texts are read twice.
-    pages = materialize(pages.select(host.alias("host"), path.alias("path"), text.alias("text")), f"{out}/texts")
-    host, path, text = F.col("host"), F.col("path"), F.col("text")
     counts, words = word_counts(pages, host, path, text, (*unwanted, *usual), out)
     seeds = F.regexp_count(text, F.lit(rf"(?<!\p{{L}})(?:{'|'.join(unwanted)})(?!\p{{L}})")) if unwanted else F.lit(0)
     speaks = (seeds >= 2) & (seeds >= DENSE * F.regexp_count(text, F.lit(r"\p{L}+")))
