@@ -32,6 +32,25 @@ def test_rolling_is_the_whole_window(spark, kind, before, after, per_key):
     assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+@pytest.mark.parametrize(("kind", "before", "after"), [("long", 40, 0), ("long", 0, 25), ("timestamp_ntz", timedelta(seconds=30), timedelta(seconds=7)), ("double", 3, 1), ("long", 10_000, 1), ("long", 0, 0)])
+def test_summed_frames_are_the_whole_window(spark, kind, before, after):
+    df = events(spark, random.Random(kind), 260, kind).withColumn("d", F.col("v").cast("decimal(9,2)"))
+    pairs = {"s": ("sum", "v"), "n": ("count", "v"), "m": ("min", "v"), "x": ("max", "v"), "all": ("count", "*"), "d_sum": ("sum", "d")}
+    plain = {"s": F.sum("v"), "n": F.count("v"), "m": F.min("v"), "x": F.max("v"), "all": F.count(F.lit(1)), "d_sum": F.sum("d")}
+    got, want = rolling(df, ["k"], "t.x", before, pairs, after), rolling(df, ["k"], "t.x", before, plain, after)
+    assert got.dtypes == want.dtypes and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert rolling(df.limit(0), ["k"], "t.x", before, pairs, after).count() == 0
+
+
+def test_a_dense_frame_is_not_read_for_each_row(spark):
+    df = spark.range(300_000).selectExpr("1 AS k", "id AS t", "id % 7 AS v")
+    got = rolling(df, ["k"], "t", 200_000, {"s": ("sum", "v"), "n": ("count", "*")})
+    # Half of the rows' frames have 200,001 rows: 40 billion reads if each row reads its own.
+    assert got.agg(F.max("n")).first()[0] == 200_001
+    assert "RangeFrame, -" not in got._jdf.queryExecution().toString()
+    assert got.where("t = 299999").first().s == sum(i % 7 for i in range(99_999, 300_000))
+
+
 def test_frames_reach_whole_numbers(spark):
     with pytest.raises(ValueError, match="whole"):
         rolling(spark.range(3).selectExpr("1 AS k", "id / 2 AS t"), ["k"], "t", 0.5, {"n": F.count(F.lit(1))})
