@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarnfold.operators import ranges
 from tarnfold.operators.asof import asof_join
 from tarnfold.operators.ranges import overlap_join
-from tarnfold.operators.theta import inequality_join
+from tarnfold.operators.theta import inequality_join, inequality_totals
 
 
 def plain_asof(left, right, direction, strict, tolerance):
@@ -141,6 +141,41 @@ def test_inequalities_are_the_plain_pairs(spark, first, second, bits):
     assert inequality_join(x.limit(0), y, conditions).count() == 0
 
 
+@pytest.mark.parametrize(("first", "second", "stretch"), [("<", ">=", 15), (">", ">", 3), ("<=", "<", 1), (">=", None, 15), ("<", None, 2), ("<=", ">=", 4)])
+def test_totals_are_those_of_the_plain_pairs(spark, first, second, stretch):
+    rng = random.Random(f"{first}{second}")
+    ops = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b}
+    table = lambda n: [(rng.choice([rng.randrange(40), 7, None]), rng.choice(["a", "b", f"k{rng.randrange(30)}", None]), rng.choice([rng.randrange(-9, 9), None])) for _ in range(n)] + [(7, "b", 5)] * 10
+    left, right = table(90), table(170)
+    x = spark.createDataFrame(left, "n int, `s.t` string, row int").repartition(3)
+    y = spark.createDataFrame(right, "n int, `s.t` string, row int")
+    conditions = [("n", first, "n")] + [("s.t", second, "s.t")] * (second is not None)
+    got = inequality_totals(x, y, conditions, {"total": "row"}, stretch=stretch)
+    assert got.columns == ["n", "s.t", "row", "n", "total"]
+
+    def fits(a, b):
+        return all(None not in (a[i], b[i]) and ops[op](a[i], b[i]) for i, op in ((0, first), (1, second)) if op)
+
+    want = []
+    for a in left:
+        found = [b[2] for b in right if fits(a, b)]
+        known = [v for v in found if v is not None]
+        want += [(*a, len(found), sum(known) if known else None)] * bool(found)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert inequality_totals(x.limit(0), y, conditions, {}).count() == 0 and inequality_totals(x, y.limit(0), conditions, {}).count() == 0
+
+
+def test_totals_make_no_pairs(spark):
+    # 20,000 x 20,000 rows have 2 x 10**8 pairs by one inequality, and about 10**8 by both.
+    x = spark.range(20_000).selectExpr("id AS a", "id * 7919 % 20011 AS b")
+    got = inequality_totals(x, x, [("a", ">=", "a"), ("b", "<", "b")], {"s": "a"}, "pairs", stretch=8).orderBy("a").toPandas()
+    b = x.toPandas()["b"].to_numpy()
+    for i in (0, 1, 77, 4096, 19_999):
+        above = (b[: i + 1] > b[i]).nonzero()[0]
+        row = got[got["a"] == i]
+        assert (int(row["pairs"].iloc[0]), int(row["s"].iloc[0])) == (len(above), above.sum()) if len(above) else row.empty
+
+
 def test_inequalities_meet_once():
     # Of any two ranks there is one node at which they meet, and of one rank with itself the range.
     def own(rank, bits, lesser):
