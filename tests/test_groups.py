@@ -45,7 +45,7 @@ def test_summed_frames_are_the_whole_window(spark, kind, before, after):
 def test_a_dense_frame_is_not_read_for_each_row(spark):
     df = spark.range(300_000).selectExpr("1 AS k", "id AS t", "id % 7 AS v")
     got = rolling(df, ["k"], "t", 200_000, {"s": ("sum", "v"), "n": ("count", "*")})
-    # Half of the rows' frames have 200,001 rows: 40 billion reads if each row reads its own.
+    # Each row reading its own frame, of up to 200,001 rows, makes 40 billion reads.
     assert got.agg(F.max("n")).first()[0] == 200_001
     assert "RangeFrame, -" not in got._jdf.queryExecution().toString()
     assert got.where("t = 299999").first().s == sum(i % 7 for i in range(99_999, 300_000))
