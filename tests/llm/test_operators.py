@@ -371,6 +371,38 @@ def test_word_ids_are_the_librarys():
     assert np.frombuffer(next(pfor.WordIds(t).encode([text.split(" ")])), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_looked_up_once_by_their_parts(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words, learned = pfor.WordIds(t), []
+    monkeypatch.setattr(words, "learn", lambda parts: learned.extend(parts) or pfor.WordIds.learn(words, parts))
+    texts = [["naïve", "Naïve", "NAÏVE,", "naïve***"], [], ["÷a", "ÿÞß.", "don't", "", "×", "x1,"], ["naïve"]]
+    want = [t.encode(" ".join(x), add_special_tokens=False).ids for x in texts]
+    for docs in (texts, pa.array([["none"], *texts], pa.list_(pa.string()))[1:]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(docs)] == want
+    # Letters go to the model, in one case and without marks; the rest once each to the whole tokenizer.
+    assert sorted(learned) == sorted([",", "***", ".", "÷a", "don't", "×", "x1,"])
+    assert {w for w in words.known if w.isalpha()} == {"naïve", "ÿþß"}
+    words = pfor.WordIds(t)
+    words.alone = False
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == want
+
+
+def test_word_ids_are_forgotten_when_full(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(pfor, "MEMO", 3)
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = pfor.WordIds(t)
+    for text in ("a b c d", "d e", "F, a!", "g e d c b a"):
+        assert np.frombuffer(next(words.encode([text.split(" ")])), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert len(words.known) == 7
+
+
 def test_cotraining(spark, none):
     rng = random.Random(5)
     data = [(i, prose(rng, 60) if i % 4 else " ".join(w + "%%%" for w in prose(rng, 60).split()), "en", f"s{i % 3}", 300) for i in range(400)] + [(900, None, None, None, None), (901, "", None, None, None), (None, "x", "en", "s1", 1)]
