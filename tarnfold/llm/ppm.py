@@ -181,10 +181,12 @@ def log_probability(trie: list[Level], codes: np.ndarray) -> np.ndarray:
 
 
 def batches_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The corpus as batches: ids, lengths, held-out marks and canonical bytes of some documents."""
-    kind = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField("batch", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("lens", T.ArrayType(T.LongType())), T.StructField("held", T.ArrayType(T.BooleanType())), T.StructField("data", T.BinaryType())])
-    id_type = to_arrow_type(kind)
+    """The corpus as batches: ids, lengths, held-out marks and canonical bytes of some documents, as ``opened`` reads them.
+
+    They are one value, as Spark takes time with the square of a batch's rows to hand on lists that most rows lack.
+    """
+    id_type = to_arrow_type(df.schema[id_col].dataType)
+    limit = BATCH_BYTES
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
@@ -193,9 +195,14 @@ def batches_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             data = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
-            row = [[part << 32 | seq], [ids], [[len(t) for t in texts]], [[held_out(i) for i in ids]], [data]]
-            kinds = (pa.int64(), pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names=schema.names)
+            row = [[ids], [[len(t) for t in texts]], [[held_out(i) for i in ids]], [data]]
+            kinds = (pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary())
+            row = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names=["ids", "lens", "held", "data"])
+            with pa.BufferOutputStream() as sink:
+                with pa.ipc.new_stream(sink, row.schema) as out:
+                    out.write_batch(row)
+                doc = sink.getvalue().to_pybytes()
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | seq], pa.int64()), pa.array([doc], pa.binary())], names=["batch", "doc"])
 
         for whole in source:
             for batch in sliced(whole, 1):
@@ -203,19 +210,21 @@ def batches_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     ids.append(i)
                     texts.append(b" ".join((t or b"").lower().split()) + END)
                     size += len(texts[-1])
-                    if size >= BATCH_BYTES:
+                    if size >= limit:
                         yield close()
                         ids, texts, size, seq = [], [], 0, seq + 1
         if ids:
             yield close()
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    return df.select(id_col, text_col).mapInArrow(run, "batch long, doc binary")
 
 
-def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """A batch's document starts, lengths, held-out marks and bytes."""
-    lens = np.array(row["lens"], np.int64)
-    return np.cumsum(lens) - lens, lens, np.array(row["held"], bool), zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=int(lens.sum()) or 1)
+def opened(doc: pa.Buffer) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """A batch's document ids, starts, lengths, held-out marks and bytes."""
+    ids, lens, held, data = (c.chunk(0) for c in pa.ipc.open_stream(doc).read_all().columns)
+    lens = lens.flatten().to_numpy()
+    data = zstandard.ZstdDecompressor().decompress(data[0].as_buffer(), max_output_size=int(lens.sum()) or 1)
+    return ids.flatten(), np.cumsum(lens) - lens, lens, held.flatten().to_numpy(zero_copy_only=False), data
 
 
 def words_of(data: np.ndarray, step: int = 1 << 22) -> Iterator[tuple[pa.Array, np.ndarray]]:
@@ -249,23 +258,23 @@ def summed(words: pa.Table) -> pa.Table:
 def words_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each batch and how often its training documents have them; the end is a word."""
     for batch in batches:
-        for row in batch.to_pylist():
-            _, _, held, data = opened(row)
+        for number, doc in zip(batch.column("batch").to_pylist(), batch.column("doc"), strict=True):
+            _, _, _, held, data = opened(doc.as_buffer())
             parts = [pa.table({"word": pa.array([END], pa.large_binary()), "n": pa.array([int((~held).sum())], pa.int64())})]
-            for words, doc in words_of(np.frombuffer(data, np.uint8)):
-                parts.append(summed(pa.table({"word": words, "n": pa.array((~held[doc]).astype(np.int64))})))
+            for words, at in words_of(np.frombuffer(data, np.uint8)):
+                parts.append(summed(pa.table({"word": words, "n": pa.array((~held[at]).astype(np.int64))})))
             found = summed(pa.concat_tables(parts))
             for i in range(0, found.num_rows, 100_000):
                 part = found.slice(i, 100_000)
-                columns = [part["word"].combine_chunks().cast(pa.binary()), pa.array(np.full(part.num_rows, row["batch"]), pa.int64()), part["n"].combine_chunks()]
+                columns = [part["word"].combine_chunks().cast(pa.binary()), pa.array(np.full(part.num_rows, number), pa.int64()), part["n"].combine_chunks()]
                 yield pa.RecordBatch.from_arrays(columns, names=["word", "batch", "n"])
 
 
 def grams_in(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
     """Distinct runs of ``order + 1`` bytes of each batch and their numbers in its training documents."""
     for batch in batches:
-        for row in batch.to_pylist():
-            starts, _, held, data = opened(row)
+        for number, doc in zip(batch.column("batch").to_pylist(), batch.column("doc"), strict=True):
+            _, starts, _, held, data = opened(doc.as_buffer())
             found = []
             for at, codes in windows(np.frombuffer(data, np.uint8), starts, order):
                 train = ~held[np.searchsorted(starts, at, side="right") - 1]
@@ -277,7 +286,7 @@ def grams_in(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.Recor
             keys, n = merge(found)
             for i in range(0, len(keys), 100_000):
                 part = keys[i : i + 100_000].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(np.full(len(part), row["batch"]), pa.int64()), pa.array(n[i : i + 100_000], pa.int64())], names=["gram", "batch", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(np.full(len(part), number), pa.int64()), pa.array(n[i : i + 100_000], pa.int64())], names=["gram", "batch", "n"])
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
@@ -298,12 +307,11 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     spark = df.sparkSession
     path = workspace(spark, "ppm")
     batches = materialize(batches_of(df, id_col, text_col), f"{path}/batches")
-    bare = batches.select("batch", "lens", "held", "data")
-    words = bare.mapInArrow(words_in, "word binary, batch long, n long")
+    words = batches.mapInArrow(words_in, "word binary, batch long, n long")
     of_word = Window.partitionBy("word")
     words = words.select("batch", "word", F.sum("n").over(of_word).alias("c"), (F.min("batch").over(of_word) == F.col("batch")).alias("first"))
     words = materialize(words, f"{path}/words")
-    grams = materialize(bare.mapInArrow(lambda it: grams_in(it, order), "gram long, batch long, n long"), f"{path}/grams")
+    grams = materialize(batches.mapInArrow(lambda it: grams_in(it, order), "gram long, batch long, n long"), f"{path}/grams")
 
     n_train, n_words = words.where("first").agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     n_train = n_train or 0
@@ -331,29 +339,26 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
     known = sums.withColumn("branch", branch).groupBy("branch").applyInArrow(lambda t: evaluate(t.select(["gram", "n"])), "gram long, p double")
     known = materialize(known, f"{path}/known")
 
+    # Rows of a batch: its words, its runs, and one with its documents.
     none = F.lit(None)
-    right = words.select("batch", "word", none.cast("long").alias("gram"), F.col("c").cast("double").alias("v"))
-    right = right.unionByName(grams.select("batch", "gram").join(known, "gram").select("batch", none.cast("binary").alias("word"), "gram", F.col("p").alias("v")))
-    kind = df.schema[id_col].dataType
-    id_type = to_arrow_type(kind)
-    schema = T.StructType([T.StructField(id_col, kind), T.StructField("held_out", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")], *[T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]])
-
-    def measure(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        starts, lens, held, data = opened(row)
+    no_doc = none.cast("binary").alias("doc")
+    rows = words.select("batch", "word", none.cast("long").alias("gram"), F.col("c").cast("double").alias("v"), no_doc)
+    rows = rows.unionByName(grams.join(known, "gram").select("batch", none.cast("binary").alias("word"), "gram", F.col("p").alias("v"), no_doc))
+    rows = rows.unionByName(batches.select("batch", none.cast("binary").alias("word"), none.cast("long").alias("gram"), none.cast("double").alias("v"), "doc"))
+    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")], *[T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]])
+
+    def measure(doc: pa.Table, grams: pa.Table, words: pa.Table) -> pa.Table:
+        ids, starts, _, held, data = opened(doc["doc"][0].as_buffer())
         n = len(starts)
-        mine = right.filter(right["gram"].is_valid())
-        table = Lookup(mine["gram"].to_numpy().astype(np.uint64), mine["v"].to_numpy())
+        table = Lookup(grams["gram"].to_numpy().astype(np.uint64), grams["v"].to_numpy())
         scores = np.zeros(n)
         for at, codes in windows(np.frombuffer(data, np.uint8), starts, order):
             first = np.searchsorted(starts, at[0], side="right") - 1
             doc = np.searchsorted(starts, at, side="right") - 1 - first
             sums = np.bincount(doc, weights=table.get(codes))
             scores[first : first + len(sums)] += sums
-        del table
-        mine = right.filter(right["word"].is_valid())
-        known, count = mine["word"].combine_chunks().cast(pa.large_binary()), mine["v"].to_numpy()
-        del mine, right
+        del table, grams
+        known, count = words["word"].combine_chunks().cast(pa.large_binary()), words["v"].to_numpy()
         end = count[known.index(END).as_py()]
         n_tokens, n_known, base = np.ones(n, np.int64), np.full(n, int(end > 0), np.int64), np.full(n, np.log10(end + 1))
         for words, doc in words_of(np.frombuffer(data, np.uint8)):
@@ -362,10 +367,25 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order:
             n_known += np.bincount(doc[c > 0], minlength=n)
             base += np.bincount(doc, weights=np.log10(c + 1), minlength=n)
         base += n_tokens * unknown
-        columns = [pa.array(row["ids"], id_type), pa.array(held), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(n, n_train), pa.int64()), pa.array(base), pa.array(scores)]
+        columns = [ids, pa.array(held), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(n, n_train), pa.int64()), pa.array(base), pa.array(scores)]
         return pa.table(columns, names=schema.names)
 
-    # About a batch a task, however many there are.
-    n = max(partitions(spark), batches.count())
-    one, two = batches.repartition(n, "batch").groupBy("batch"), right.repartition(n, "batch").groupBy("batch")
-    return one.cogroup(two).applyInArrow(measure, schema)
+    def measured(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (["doc"], ["gram", "v"], ["word", "v"])
+        parts: dict[int, tuple[list, ...]] = {}
+        for some in source:
+            number = some.column("batch")
+            for batch in pc.unique(number).to_pylist():
+                for out, names in zip(parts.setdefault(batch, ([], [], [])), kinds, strict=True):
+                    mine = pc.and_(pc.equal(number, batch), some.column(names[0]).is_valid())
+                    # Filtered rows are a copy, so that what came with them goes.
+                    out.append(some.select(names).filter(mine))
+        while parts:
+            yield from measure(*(pa.Table.from_batches(p) for p in parts.popitem()[1])).to_batches()
+
+    # A batch a task, with no sort and no group held by Spark.  Where partitions differ so much that most
+    # places would be empty, a task may get several batches.
+    parts, per, n = batches.select((F.shiftright("batch", 32) + 1).alias("part"), (F.col("batch").bitwiseAND(F.lit(0xFFFFFFFF)) + 1).alias("per")).agg(F.max("part"), F.max("per"), F.count(F.lit(1))).first()
+    places = max(1, min((parts or 0) * (per or 0), 4 * n))
+    place = F.pmod(F.shiftright("batch", 32) * F.lit(per or 0) + F.col("batch").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(places)).cast("int")
+    return rows.repartitionById(places, place).mapInArrow(measured, schema)

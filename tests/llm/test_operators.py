@@ -9,6 +9,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 pytest.importorskip("tarnfold.llm")
 
@@ -164,6 +165,37 @@ def test_ppm(docs, rows, none, monkeypatch):
     assert all(again[r.doc_id, r.n_tokens] == pytest.approx(r.score) for r in got)
 
 
+def test_ppm_gives_each_task_one_batch_and_no_group(docs, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): r for r in ppm.score(docs).collect()}
+    monkeypatch.setattr(ppm, "BATCH_BYTES", 2_000)
+    out = ppm.score(docs)
+    # No batch's rows are sorted or handed over whole: Spark's part of it would grow an executor's memory with the batch.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan and "MapInArrow" in plan
+    tasks = {}
+    for r in out.withColumn("task", F.spark_partition_id()).collect():
+        one = whole[r.doc_id, r.n_tokens]
+        assert (r.held_out, r.n_known, r.train_tokens) == (one.held_out, one.n_known, one.train_tokens)
+        assert (r.base_score, r.score) == pytest.approx((one.base_score, one.score))
+        tasks.setdefault(r.task, []).append(r.n_tokens)
+    # A batch ends with the document that fills it, so without its largest one none has many tokens; two batches would.
+    assert len(tasks) > 5
+    assert all(sum(n) - max(n) <= 1_100 for n in tasks.values())
+
+
+def test_ppm_of_batches_that_share_a_task(docs, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): r.score for r in ppm.score(docs).collect()}
+    monkeypatch.setattr(ppm, "BATCH_BYTES", 2_000)
+    # Two of nine partitions hold all rows, so that batches of both come to the same places.
+    apart = docs.withColumn("to", F.when(F.crc32(F.coalesce("text", F.lit("")).cast("binary")) % 2 == 0, 8).otherwise(0)).repartitionById(9, "to").drop("to")
+    got = ppm.score(apart).withColumn("task", F.spark_partition_id()).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in docs.collect())
+    assert all(whole[r.doc_id, r.n_tokens] == pytest.approx(r.score) for r in got)
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    sides = {(r.task, zlib.crc32(text[r.doc_id].encode()) % 2) for r in got}
+    assert len(sides) > len({task for task, _ in sides})
+
+
 def test_words_of_canonical_bytes():
     texts = ["", "a", "b a b", "", "longer words \u00e9\u00e8 a", "x" * 50]
     data = np.frombuffer(b"".join(t.encode() + b"\n" for t in texts), np.uint8)
